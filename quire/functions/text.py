@@ -60,3 +60,12 @@ def token_count(c: Column) -> Column:
 def tokens_lower(c: Column) -> Column:
     """``[t.lower() for t in re.findall(r'\\w+', text)]``."""
     return F.transform(F.regexp_extract_all(c, F.lit(WORDS), 0), lambda t: F.lower(t))
+
+
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and hand it to ``body`` as a lambda variable.
+
+    An expression referenced inside a higher-order function's lambda is evaluated
+    again for every element; binding it first keeps per-row work linear.
+    """
+    return F.get(F.transform(F.array(value), body), 0)

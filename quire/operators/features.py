@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions.regex import WORD, WS, whole_word
-from ..functions.text import count_matches, token_count
+from ..functions.text import count_matches, let, token_count
 from ..options import AssessOptions
 
 ORDERED_ITEM = "(?md)^" + WS + r"*\p{Nd}+[.)]" + WS + "+"
@@ -78,19 +78,23 @@ def section_features(title: Column, content: Column, opts: AssessOptions = Asses
     """The nine features of one section as a struct."""
     content = F.coalesce(content, F.lit(""))
     title = F.coalesce(title, F.lit(""))
-    tokens = token_count(content)
-    lower_content = F.lower(content)
-    return F.struct(
-        tokens.alias("tokens"),
-        count_matches(content, ORDERED_ITEM).alias("ordered_lists"),
-        count_matches(content, UNORDERED_ITEM).alias("unordered_lists"),
-        count_matches(content, PIPE_ROW).alias("tables"),
-        count_matches(content, IMAGE).alias("images"),
-        count_matches(content, LINK).alias("links"),
-        _any_substring(F.lower(title), opts.task_landmarks).alias("has_steps_title"),
-        imperative_density(content, opts.task_keywords, tokens).alias("imperative_density"),
-        _count_substrings(lower_content, opts.reference_markers).alias("reference_markers"),
-    )
+
+    def build(b):
+        tokens = b["tokens"]
+        return F.struct(
+            tokens.alias("tokens"),
+            count_matches(content, ORDERED_ITEM).alias("ordered_lists"),
+            count_matches(content, UNORDERED_ITEM).alias("unordered_lists"),
+            count_matches(content, PIPE_ROW).alias("tables"),
+            count_matches(content, IMAGE).alias("images"),
+            count_matches(content, LINK).alias("links"),
+            _any_substring(F.lower(title), opts.task_landmarks).alias("has_steps_title"),
+            imperative_density(content, opts.task_keywords, tokens).alias("imperative_density"),
+            _count_substrings(b["lower"], opts.reference_markers).alias("reference_markers"),
+        )
+
+    bound = F.struct(token_count(content).alias("tokens"), F.lower(content).alias("lower"))
+    return let(bound, build)
 
 
 def features_of_sections(sections: Column, opts: AssessOptions = AssessOptions()) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.regex import WS_INLINE
-from ..functions.text import normalize_newlines, py_strip, remove_tags
+from ..functions.text import let, normalize_newlines, py_strip, remove_tags
 
 SECTION_SCHEMA = "array<struct<level:int,title:string,content:string>>"
 PREAMBLE_TITLE = "Document"
@@ -41,19 +41,26 @@ def _split_on_headings(text: Column, pattern: str, level_of, title_of, body_of,
     ``split`` and ``regexp_extract_all`` use the same matcher, so piece ``i + 1``
     is the body that follows heading ``i``.
     """
-    pieces = F.split(text, pattern, -1)
-    levels = F.regexp_extract_all(text, F.lit(pattern), 1)
-    titles = F.regexp_extract_all(text, F.lit(pattern), 2)
-    heads = F.transform(
-        levels,
-        lambda lv, i: _section(level_of(lv), title_of(F.get(titles, i)), body_of(F.get(pieces, i + 1))),
+    parts = F.struct(
+        F.split(text, pattern, -1).alias("pieces"),
+        F.regexp_extract_all(text, F.lit(pattern), 1).alias("levels"),
+        F.regexp_extract_all(text, F.lit(pattern), 2).alias("titles"),
     )
-    pre = F.get(pieces, 0)
-    pre_part = F.when(
-        keep_preamble(pre),
-        F.array(_section(F.lit(0), F.lit(PREAMBLE_TITLE), body_of(pre))),
-    ).otherwise(_empty_sections())
-    return F.concat(pre_part, heads)
+
+    def build(p):
+        pieces, titles = p["pieces"], p["titles"]
+        heads = F.transform(
+            p["levels"],
+            lambda lv, i: _section(level_of(lv), title_of(F.get(titles, i)), body_of(F.get(pieces, i + 1))),
+        )
+        pre = F.get(pieces, 0)
+        pre_part = F.when(
+            keep_preamble(pre),
+            F.array(_section(F.lit(0), F.lit(PREAMBLE_TITLE), body_of(pre))),
+        ).otherwise(_empty_sections())
+        return F.concat(pre_part, heads)
+
+    return let(parts, build)
 
 
 def markdown_sections(text: Column) -> Column:
@@ -117,10 +124,12 @@ def route_sections(fmt: Column, text: Column) -> Column:
 
 def heading_ladder_valid(sections: Column) -> Column:
     """False when a level exceeds the previous one by more than 1 (level 0 counts as 1)."""
-    eff = F.transform(sections, lambda s: F.greatest(s["level"], F.lit(1)))
-    return F.forall(
-        F.transform(eff, lambda lv, i: (i == 0) | (lv - F.get(eff, i - 1) <= 1)),
-        lambda ok: ok,
+    return let(
+        F.transform(sections, lambda s: F.greatest(s["level"], F.lit(1))),
+        lambda eff: F.forall(
+            F.transform(eff, lambda lv, i: (i == 0) | (lv - F.get(eff, i - 1) <= 1)),
+            lambda ok: ok,
+        ),
     )
 
 

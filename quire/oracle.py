@@ -224,3 +224,89 @@ q(
     "FROM scores s JOIN corpus c USING (path)",
 )
 q("fingerprint", "SELECT path, strlen(text)::BIGINT AS size, sha256(text) AS sha256 FROM corpus")
+
+
+# ---------------------------------------------------------------- near duplicates
+from .operators.dedupe import PRIME, SENTINEL, permutation_params  # noqa: E402
+from .options import DUPLICATE_THRESHOLD, MINHASH_NUM_PERM, SHINGLE_NGRAM, AssessOptions  # noqa: E402
+
+
+def dedupe_ctes(tag: str, n: int, threshold: float, num_perm: int, seed: int) -> str:
+    """Signatures, representatives, all-pairs edges (brute force) and the greedy walk."""
+    params = "[" + ", ".join(f"{{'a': {a}, 'b': {b}}}" for a, b in permutation_params(num_perm, seed)) + "]"
+    return f"""
+{tag}_items AS (
+  SELECT c.path AS key, coalesce(s.content, CASE WHEN c.fmt = 'generic' THEN c.text END, '') AS text
+  FROM corpus c LEFT JOIN (SELECT path, content FROM md_sections WHERE section_index = 0
+                           UNION ALL SELECT path, content FROM html_sections WHERE section_index = 0) s USING (path)),
+{tag}_tok AS (
+  SELECT key, list_transform(regexp_extract_all(text, {sql_str(WORDS)}), lambda x: lower(x)) AS tk FROM {tag}_items),
+{tag}_sh AS (
+  SELECT key, CASE WHEN len(tk) >= {n}
+    THEN list_transform(generate_series(1, len(tk) - {n} + 1), lambda i: array_to_string(tk[i:i + {n - 1}], ' '))
+    ELSE []::VARCHAR[] END AS sh FROM {tag}_tok),
+{tag}_hs AS (
+  SELECT key, sh, list_transform(list_distinct(sh), lambda s: ('0x' || substr(md5(s), 1, 8))::BIGINT % {PRIME}) AS hs
+  FROM {tag}_sh),
+{tag}_sig AS (
+  SELECT key, sh, list_transform({params},
+    lambda ab: coalesce(list_min(list_transform(hs, lambda h: (h * ab.a + ab.b) % {PRIME})), {SENTINEL}::BIGINT)) AS sig
+  FROM {tag}_hs),
+{tag}_reps AS (SELECT sig, min(key) AS rep FROM {tag}_sig GROUP BY sig),
+{tag}_pairs AS (
+  SELECT x.rep AS a, y.rep AS b,
+    len(list_filter(generate_series(1, len(x.sig)), lambda i: x.sig[i] = y.sig[i])) / len(x.sig) AS similarity
+  FROM {tag}_reps x JOIN {tag}_reps y ON x.rep < y.rep),
+{tag}_edges AS (SELECT * FROM {tag}_pairs WHERE similarity >= {threshold!r}),
+{tag}_nodes AS (
+  SELECT rep, row_number() OVER (ORDER BY rep) AS rn
+  FROM (SELECT a AS rep FROM {tag}_edges UNION SELECT b FROM {tag}_edges)),
+{tag}_smaller AS (SELECT b AS rep, list(a) AS sm FROM {tag}_edges GROUP BY b),
+{tag}_walk(i, leaders) AS (
+  SELECT 0, []::VARCHAR[]
+  UNION ALL
+  SELECT w.i + 1, CASE WHEN list_has_any(w.leaders, coalesce(s.sm, []::VARCHAR[])) THEN w.leaders
+                       ELSE list_append(w.leaders, n.rep) END
+  FROM {tag}_walk w JOIN {tag}_nodes n ON n.rn = w.i + 1 LEFT JOIN {tag}_smaller s ON s.rep = n.rep),
+{tag}_leaders AS (SELECT unnest(leaders) AS leader FROM {tag}_walk WHERE i = (SELECT max(i) FROM {tag}_walk)),
+{tag}_rep_leader AS (
+  SELECT r.rep, coalesce(m.leader, r.rep) AS leader, coalesce(m.similarity, 1.0) AS similarity
+  FROM {tag}_reps r LEFT JOIN (
+    SELECT b AS rep, min(a) AS leader, arg_min(similarity, a) AS similarity
+    FROM {tag}_edges JOIN {tag}_leaders ON a = leader GROUP BY b) m USING (rep)),
+{tag}_key_leader AS (
+  SELECT s.key, rl.leader, rl.similarity FROM {tag}_sig s JOIN {tag}_reps r USING (sig) JOIN {tag}_rep_leader rl USING (rep))"""
+
+
+_D = AssessOptions()
+DEDUPE = dedupe_ctes("dd", SHINGLE_NGRAM, DUPLICATE_THRESHOLD, MINHASH_NUM_PERM, _D.minhash_seed)
+DEDUPE_LOOSE = dedupe_ctes("dl", 3, 0.7, MINHASH_NUM_PERM, _D.minhash_seed)
+BASE_DD = BASE + "," + DEDUPE
+
+
+def qd(name: str, select: str, loose: bool = False) -> None:
+    ORACLE[name] = "WITH RECURSIVE" + BASE_DD[len("WITH"):] + ("," + DEDUPE_LOOSE if loose else "") + "\n" + select
+
+
+qd(
+    "shingles",
+    "SELECT key, len(sh)::BIGINT AS n_shingles, len(list_distinct(sh))::BIGINT AS n_distinct, "
+    "md5(array_to_string(sh, '|')) AS digest FROM dd_sh",
+)
+qd("minhash_signature", "SELECT key, array_to_string(sig, ',') AS sig FROM dd_sig")
+qd(
+    "signature_similarity",
+    "SELECT x.key AS a, y.key AS b, "
+    "len(list_filter(generate_series(1, len(x.sig)), lambda i: x.sig[i] = y.sig[i])) / len(x.sig) AS similarity "
+    "FROM documents d1 JOIN documents d2 ON d2.doc_id = d1.doc_id + 1 "
+    "JOIN dd_sig x ON x.key = concat('docs/', d1.source, '/', CAST(d1.doc_id AS VARCHAR), '.md') "
+    "JOIN dd_sig y ON y.key = concat('docs/', d2.source, '/', CAST(d2.doc_id AS VARCHAR), '.md')",
+)
+qd("near_dup_clusters", "SELECT key, leader FROM dd_key_leader")
+qd("near_dup_clusters_loose", "SELECT key, leader FROM dl_key_leader", loose=True)
+qd("near_dup_pairs", "SELECT leader AS a, key AS b, similarity FROM dd_key_leader WHERE key <> leader")
+qd("clusters", "SELECT leader, count(*)::BIGINT AS size FROM dd_key_leader GROUP BY leader")
+qd(
+    "report_duplicates",
+    "SELECT leader, count(*)::BIGINT AS size FROM dd_key_leader GROUP BY leader HAVING count(*) > 1",
+)

@@ -162,3 +162,71 @@ def q_fingerprint(spark, sf):
     c = corpus(spark, sf)
     t = F.coalesce("text", F.lit(""))
     return c.select("path", F.octet_length(t).cast("bigint").alias("size"), F.sha2(t, 256).alias("sha256"))
+
+
+# ---------------------------------------------------------------- near duplicates
+from .operators.dedupe import cluster_keys, cluster_table, dedupe_items, shingles, signature_similarity, signatures  # noqa: E402
+
+LOOSE = AssessOptions(ngram=3, threshold=0.7)
+
+
+def _items(spark, sf, opts=AssessOptions()):
+    return dedupe_items(_assessed(spark, sf, opts), opts.dedupe_scope)
+
+
+@register("shingles")
+def q_shingles(spark, sf):
+    opts = AssessOptions()
+    sh = _items(spark, sf).select("key", shingles(F.col("text"), opts.ngram).alias("sh"))
+    return sh.select(
+        "key",
+        F.size("sh").cast("bigint").alias("n_shingles"),
+        F.size(F.array_distinct("sh")).cast("bigint").alias("n_distinct"),
+        F.md5(F.array_join("sh", "|")).alias("digest"),
+    )
+
+
+@register("minhash_signature")
+def q_minhash(spark, sf):
+    s = signatures(_items(spark, sf))
+    return s.select("key", F.array_join(F.transform("sig", lambda v: v.cast("string")), ",").alias("sig"))
+
+
+@register("signature_similarity")
+def q_signature_similarity(spark, sf):
+    # each document against the document with the next doc_id (an equi-join, no global order)
+    docs = spark.read.parquet(f"{sf.rstrip('/')}/documents.parquet").select(
+        "doc_id", F.concat(F.lit("docs/"), "source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".md")).alias("key")
+    )
+    s = signatures(_items(spark, sf)).join(docs, "key")
+    a = s.select(F.col("doc_id").alias("id_a"), F.col("key").alias("a"), F.col("sig").alias("sa"))
+    b = s.select((F.col("doc_id") - 1).alias("id_a"), F.col("key").alias("b"), F.col("sig").alias("sb"))
+    return a.join(b, "id_a").select("a", "b", signature_similarity(F.col("sa"), F.col("sb")).alias("similarity"))
+
+
+@register("near_dup_clusters")
+def q_near_dup_clusters(spark, sf):
+    return cluster_keys(_items(spark, sf)).select("key", "leader")
+
+
+@register("near_dup_clusters_loose")
+def q_near_dup_clusters_loose(spark, sf):
+    return cluster_keys(_items(spark, sf, LOOSE), LOOSE).select("key", "leader")
+
+
+@register("near_dup_pairs")
+def q_near_dup_pairs(spark, sf):
+    kl = cluster_keys(_items(spark, sf))
+    return kl.filter(F.col("key") != F.col("leader")).select(
+        F.col("leader").alias("a"), F.col("key").alias("b"), "similarity"
+    )
+
+
+@register("clusters")
+def q_clusters(spark, sf):
+    return cluster_table(cluster_keys(_items(spark, sf)))
+
+
+@register("report_duplicates")
+def q_report_duplicates(spark, sf):
+    return cluster_table(cluster_keys(_items(spark, sf))).filter(F.col("size") > 1)
