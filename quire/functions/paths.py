@@ -12,7 +12,7 @@ def strip_scheme(c: Column) -> Column:
 
 
 def basename(c: Column) -> Column:
-    return F.regexp_extract(c, F.lit(r"([^/]*)$"), 1)
+    return F.regexp_extract(c, r"([^/]*)$", 1)
 
 
 def stem(c: Column) -> Column:
@@ -22,7 +22,7 @@ def stem(c: Column) -> Column:
 
 def suffix(c: Column) -> Column:
     """``pathlib.PurePath.suffix`` (last ``.xxx`` of a name that is not only a leading dot)."""
-    return F.regexp_extract(basename(c), F.lit(r"(?s)(?<=.)(\.[^.]+)\z"), 1)
+    return F.regexp_extract(basename(c), r"(?s)(?<=.)(\.[^.]+)\z", 1)
 
 
 def _components(c: Column) -> Column:
