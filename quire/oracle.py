@@ -310,3 +310,311 @@ qd(
     "report_duplicates",
     "SELECT leader, count(*)::BIGINT AS size FROM dd_key_leader GROUP BY leader HAVING count(*) > 1",
 )
+
+
+# ---------------------------------------------------------------- conversion side
+from .options import MAP_FOOTER, MAP_HEADER, TOPIC_TEMPLATES, UNTITLED  # noqa: E402
+from .plans.report import REPORT_HEAD, REPORT_MIDDLE, REPORT_NO_DUPLICATES, REPORT_TABLE_OPEN, REPORT_TAIL  # noqa: E402
+
+
+def xml_esc(x: str) -> str:
+    return f"replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+
+
+def html_esc(x: str) -> str:
+    return f"replace(replace({xml_esc(x)}, '\"', '&quot;'), '''', '&#x27;')"
+
+
+def unesc(x: str) -> str:
+    return f"replace(replace(replace(replace(replace({x}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&amp;', '&')"
+
+
+def base_name(p: str) -> str:
+    return f"regexp_extract({p}, '[^/]*$')"
+
+
+def _dot(name: str) -> str:
+    # 1-based position of the last '.', 0 when there is none
+    return f"(CASE WHEN strpos({name}, '.') = 0 THEN 0 ELSE length({name}) - strpos(reverse({name}), '.') + 1 END)"
+
+
+def suffix_of(p: str) -> str:
+    n = base_name(p)
+    d = _dot(n)
+    return f"(CASE WHEN {d} > 1 AND {d} < length({n}) THEN substr({n}, {d}) ELSE '' END)"
+
+
+def stem_of(p: str) -> str:
+    n = base_name(p)
+    d = _dot(n)
+    return f"(CASE WHEN {d} > 1 AND {d} < length({n}) THEN substr({n}, 1, {d} - 1) ELSE {n} END)"
+
+
+TITLE_PAT = "(?i)<title>(.*?)</title>"
+PARA_PAT = "(?is)<para>(.*?)</para>"
+
+
+def title_of(db: str) -> str:
+    return (f"(CASE WHEN regexp_matches({db}, {sql_str(TITLE_PAT)}) THEN regexp_extract({db}, {sql_str(TITLE_PAT)}, 1) "
+            f"ELSE {sql_str(UNTITLED)} END)")
+
+
+def body_of(db: str) -> str:
+    paras = f"regexp_extract_all({db}, {sql_str(PARA_PAT)}, 1)"
+    fallback = f"'<p>' || {xml_esc('substr(' + untag(db) + ', 1, 200)')} || '</p>'"
+    return (f"(CASE WHEN len({paras}) > 0 THEN array_to_string(list_transform({paras}, "
+            f"lambda p: '<p>' || {strip('p')} || '</p>'), '') ELSE {fallback} END)")
+
+
+def topic_xml(title: str, body: str, ttype: str) -> str:
+    whens = " ".join(
+        f"WHEN {sql_str(k)} THEN {sql_str(o.format(id='t1'))} || {xml_esc(title)} || {sql_str(m)} || {body} || {sql_str(c)}"
+        for k, (o, m, c) in TOPIC_TEMPLATES.items()
+    )
+    return f"(CASE {ttype} {whens} END)"
+
+
+def type_error(ttype: str) -> str:
+    known = ", ".join(sorted(TOPIC_TEMPLATES))
+    types = ", ".join(sql_str(k) for k in TOPIC_TEMPLATES)
+    return (f"(CASE WHEN {ttype} IN ({types}) THEN NULL ELSE 'Unknown topic_type ''' || coalesce({ttype}, 'None') "
+            f"|| {sql_str(f'. Expected one of: {known}')} END)").replace("'Unknown topic_type ''' || ", "'Unknown topic_type ''' || ").replace(
+        sql_str(f". Expected one of: {known}"), sql_str(f"'. Expected one of: {known}"))
+
+
+def toks_lower(x: str) -> str:
+    return f"list_transform(regexp_extract_all({x}, {sql_str(WORDS)}), lambda t: lower(t))"
+
+
+NOT_W = r"[^\p{L}\p{N}_]"
+TASK_WORDS = ["step", "click", "select", "open", "run", "press", "type"]
+REF_WORDS = ["parameters", "syntax", "options", "defaults"]
+
+
+def classify_sql(stem: str, db: str, plan: str | None, ruled: bool) -> str:
+    toks = toks_lower(db)
+    parts = []
+    if ruled:
+        parts += [
+            f"WHEN regexp_full_match({stem}, '2.') THEN 'task'",
+            f"WHEN regexp_full_match({stem}, '[13].*5') THEN 'reference'",
+            f"WHEN regexp_full_match({stem}, '4[^0-4]') THEN 'concept'",
+            f"WHEN list_contains({toks}, 'nicht') THEN 'reference'",
+            f"WHEN contains(lower({db}), 'parameters:') THEN 'reference'",
+            f"WHEN contains(lower({db}), 'procedure') THEN 'task'",
+        ]
+    if plan is not None:
+        hint = strip(f"lower({plan})")
+        parts.append(f"WHEN {plan} IS NOT NULL AND {hint} IN ('concept', 'task', 'reference') THEN {hint}")
+    parts.append(f"WHEN list_has_any({toks}, {TASK_WORDS!r}) THEN 'task'")
+    parts.append(
+        f"WHEN list_has_any({toks}, {REF_WORDS!r}) OR regexp_matches(lower({db}), "
+        f"{sql_str('(^|' + NOT_W + ')table of(' + NOT_W + '|$)')}) THEN 'reference'"
+    )
+    return "(CASE " + " ".join(parts) + " ELSE 'concept' END)"
+
+
+def comps(p: str) -> str:
+    return f"list_filter(string_split({p}, '/'), lambda x: x <> '' AND x <> '.')"
+
+
+def rel_path(t: str, b: str) -> str:
+    tc, bc = comps(t), comps(b)
+    n = f"least(len({tc}), len({bc}))"
+    common = (f"coalesce(list_position(list_transform(generate_series(1, {n}), lambda i: ({tc})[i] = ({bc})[i]), false) - 1, {n})")
+    return f"(repeat('../', len({bc}) - {common}) || array_to_string(({tc})[{common} + 1:], '/'))"
+
+
+def topicref_sql(t: str, b: str) -> str:
+    return f"('  <topicref href=\"' || {rel_path(t, b)} || '\" />')"
+
+
+BLOCK_BREAK_PAT = "\\n(?:" + WS_INLINE + "*\\n)+"
+
+
+def paras_sql(content: str) -> str:
+    blocks = f"list_filter(list_transform(regexp_split_to_array(coalesce({content}, ''), {sql_str(BLOCK_BREAK_PAT)}), lambda b: {strip('b')}), lambda b: b <> '')"
+    return f"array_to_string(list_transform({blocks}, lambda b: '<para>' || {xml_esc('b')} || '</para>'), '')"
+
+
+def section_xml(level: str, title: str, content: str) -> str:
+    return (f"(CASE WHEN {level} = 0 THEN {paras_sql(content)} ELSE '<section><title>' || {xml_esc(title)} || "
+            f"'</title>' || {paras_sql(content)} || '</section>' END)")
+
+
+DOCBOOK_DOCS = (
+    "docbook_docs AS (SELECT concat('docs/', source, '/', CAST(doc_id AS VARCHAR), '.md') AS path, doc_id, "
+    "'<article><title>' || split_part(text, chr(10), 1) || '</title>' || "
+    "array_to_string(list_transform((string_split(text, chr(10)))[2:], lambda l: '<para>' || l || '</para>'), '') "
+    "|| '</article>' AS docbook FROM documents)"
+)
+
+CONVERT = f"""
+{DOCBOOK_DOCS},
+md_inter AS (
+  SELECT c.path, '<article>' || coalesce(string_agg({section_xml('s.level', 's.title', 's.content')}, '' ORDER BY s.section_index), '') || '</article>' AS docbook
+  FROM corpus c LEFT JOIN md_sections s USING (path) WHERE c.fmt = 'md' GROUP BY c.path),
+html_inter AS (
+  SELECT c.path, '<article>' || coalesce(string_agg({section_xml('s.level', unesc('s.title'), unesc('s.content'))}, '' ORDER BY s.section_index), '') || '</article>' AS docbook
+  FROM corpus c LEFT JOIN html_sections s USING (path) WHERE c.fmt = 'html' GROUP BY c.path),
+routed AS (
+  SELECT path, lower({suffix_of('path')}) AS ext,
+    CASE lower({suffix_of('path')}) WHEN '.md' THEN 'pandoc-md' WHEN '.html' THEN 'pandoc-html'
+      WHEN '.htm' THEN 'pandoc-html' WHEN '.docx' THEN 'pandoc-docx' END AS handler
+  FROM corpus),
+extracted AS (
+  SELECT r.path, r.handler, coalesce(m.docbook, h.docbook) AS docbook,
+    CASE WHEN r.handler IS NULL THEN 'No extractor registered for extension: ''' || r.ext || ''''
+         WHEN r.handler NOT IN ('pandoc-md', 'pandoc-html') THEN 'Handler ''' || r.handler || ''' converts binary documents, which this engine does not read'
+    END AS error
+  FROM routed r LEFT JOIN md_inter m ON m.path = r.path AND r.handler = 'pandoc-md'
+                LEFT JOIN html_inter h ON h.path = r.path AND r.handler = 'pandoc-html'),
+plans AS (
+  SELECT c.path AS source, {base_name('c.path')} AS basename,
+    coalesce(f.pred, 'concept') AS default_topic_type, s.conversion_risk AS risk, s.topicization_readiness AS readiness,
+    s.pred_types AS section_types
+  FROM corpus c JOIN scores s USING (path) LEFT JOIN (SELECT path, pred FROM feat2 WHERE section_index = 0) f USING (path)),
+e2e_topics AS (
+  SELECT x.path, t.topic_type, 'dita/topics/' || {stem_of('x.path')} || '_' || t.topic_type || '.dita' AS topic_path,
+    {topic_xml(title_of('x.docbook'), body_of('x.docbook'), 't.topic_type')} AS xml
+  FROM extracted x JOIN (
+    SELECT e.path, {classify_sql(stem_of('e.path'), 'e.docbook', 'p.default_topic_type', False)} AS topic_type
+    FROM extracted e LEFT JOIN plans p ON p.source = e.path WHERE e.error IS NULL) t USING (path)
+  WHERE x.error IS NULL),
+ruled_topics AS (
+  SELECT d.path, t.topic_type,
+    CASE WHEN d.doc_id % 97 <> 0 THEN 'dita/topics/' || {stem_of('d.path')} || '_' || t.topic_type || '.dita' END AS topic_path,
+    CASE WHEN d.doc_id % 97 <> 0 THEN {topic_xml(title_of('d.docbook'), body_of('d.docbook'), 't.topic_type')} END AS xml,
+    CASE WHEN d.doc_id % 97 = 0 THEN 'No intermediate document for ' || d.path END AS error
+  FROM docbook_docs d JOIN (
+    SELECT d2.path, CASE WHEN d2.doc_id % 97 <> 0 THEN {classify_sql(stem_of('d2.path'), 'd2.docbook', 'p.default_topic_type', True)} END AS topic_type
+    FROM docbook_docs d2 LEFT JOIN plans p ON p.source = d2.path) t USING (path))"""
+
+
+def map_sql(topics: str, title: str) -> str:
+    esc = title.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
+    return f"""
+SELECT 0::BIGINT AS part, '' AS k1, 0::BIGINT AS k2, '' AS k3, {sql_str(MAP_HEADER.format(title=esc))} AS fragment
+UNION ALL
+SELECT 1, topic_path, 0, '', {topicref_sql('topic_path', "'dita'")} || chr(10) FROM {topics}
+UNION ALL
+SELECT 2, '', 0, '', CASE WHEN count(*) > 0 THEN {sql_str(MAP_FOOTER[1:])} ELSE {sql_str(MAP_FOOTER)} END FROM {topics}"""
+
+
+BASE_CV = BASE_DD + "," + CONVERT
+
+
+def qc(name: str, select: str) -> None:
+    ORACLE[name] = "WITH RECURSIVE" + BASE_CV[len("WITH"):] + "\n" + select
+
+
+qc(
+    "path_parts",
+    "SELECT path, " + base_name("path") + " AS basename, " + stem_of("path") + " AS stem, " + suffix_of("path") + " AS suffix FROM ("
+    "SELECT path FROM corpus UNION ALL "
+    "SELECT concat('docs/', source, '/.', CAST(doc_id AS VARCHAR)) FROM documents UNION ALL "
+    "SELECT concat('docs/', source, '/', CAST(doc_id AS VARCHAR), '.tar.gz') FROM documents)",
+)
+qc(
+    "route_handler",
+    "SELECT path, ext, CASE ext WHEN '.md' THEN 'pandoc-md' WHEN '.html' THEN 'pandoc-html' WHEN '.htm' THEN 'pandoc-html' "
+    "WHEN '.docx' THEN 'pandoc-docx' END AS handler, "
+    "CASE WHEN ext NOT IN ('.md', '.html', '.htm', '.docx') THEN 'No extractor registered for extension: ''' || ext || '''' END AS error "
+    "FROM (SELECT path, lower(" + suffix_of("path") + ") AS ext FROM (SELECT concat('in/', source, '/', CAST(doc_id AS VARCHAR), "
+    "CASE doc_id % 6 WHEN 0 THEN '.md' WHEN 1 THEN '.HTML' WHEN 2 THEN '.htm' WHEN 3 THEN '.docx' WHEN 4 THEN '.xyz' ELSE '' END) AS path "
+    "FROM documents))",
+)
+qc("docbook_title", f"SELECT path, {title_of('docbook')} AS title FROM docbook_docs")
+qc("docbook_body", f"SELECT path, {body_of('docbook')} AS body FROM docbook_docs")
+qc(
+    "build_topic",
+    "SELECT path, topic_type, " + topic_xml(title_of("docbook"), body_of("docbook"), "topic_type") + " AS xml, "
+    + type_error("topic_type") + " AS error FROM (SELECT *, CASE WHEN doc_id % 50 = 0 THEN 'bogus' "
+    "ELSE ['concept', 'task', 'reference'][doc_id % 3 + 1] END AS topic_type FROM docbook_docs)",
+)
+qc(
+    "classify_topic",
+    "SELECT path, " + classify_sql(stem_of("path"), "docbook", "plan_type", True) + " AS topic_type FROM "
+    "(SELECT *, CASE doc_id % 3 WHEN 0 THEN ' Task ' WHEN 1 THEN 'bogus' END AS plan_type FROM docbook_docs)",
+)
+qc(
+    "topicref",
+    "SELECT topic_path, map_dir, " + topicref_sql("topic_path", "map_dir") + " AS ref FROM ("
+    "SELECT 'dita/topics/' || CAST(doc_id AS VARCHAR) || '_concept.dita' AS topic_path, "
+    "CASE WHEN doc_id % 5 = 0 THEN 'out/maps' WHEN doc_id % 2 = 0 THEN 'dita' ELSE 'dita/topics' END AS map_dir FROM documents)",
+)
+qc(
+    "conversion_plan",
+    "SELECT source, basename || '.conversion_plan.json' AS plan_file, default_topic_type, 1::BIGINT AS chunk_level, "
+    "true AS nested_topics, risk, readiness, section_types FROM plans",
+)
+qc("plan_collisions", "SELECT basename, count(*)::BIGINT AS n FROM plans GROUP BY basename HAVING count(*) > 1")
+qc("plan_join", "SELECT d.path, p.default_topic_type AS plan_type FROM docbook_docs d LEFT JOIN plans p ON p.source = d.path")
+qc(
+    "plan_join_basename",
+    "SELECT d.path, p.plan_type FROM docbook_docs d LEFT JOIN (SELECT basename, arg_max(default_topic_type, source) AS plan_type "
+    "FROM plans GROUP BY basename) p ON p.basename = " + base_name("d.path"),
+)
+qc("md_to_intermediate", "SELECT path, docbook FROM md_inter")
+qc("html_to_intermediate", "SELECT path, docbook FROM html_inter")
+qc("extract_stage", "SELECT path, handler, md5(docbook) AS docbook_md5, error FROM extracted")
+qc("transform_stage", "SELECT path, topic_type, topic_path, xml, error FROM ruled_topics")
+qc(
+    "assess_stage",
+    "SELECT p.source AS path, p.default_topic_type, p.risk AS conversion_risk, p.readiness AS topicization_readiness, k.leader "
+    "FROM plans p JOIN dd_key_leader k ON k.key = p.source",
+)
+qc(
+    "end_to_end",
+    "SELECT x.path, t.topic_type, t.topic_path, md5(t.xml) AS xml_md5, x.error AS extract_error "
+    "FROM extracted x LEFT JOIN e2e_topics t USING (path)",
+)
+qc("topics", "SELECT topic_type, count(*)::BIGINT AS n FROM e2e_topics GROUP BY topic_type")
+qc("topic_map", map_sql("e2e_topics", "Documentation Set"))
+qc("topic_count", "SELECT count(*)::BIGINT AS topic_count FROM e2e_topics")
+qc("load_stage", map_sql("(SELECT * FROM ruled_topics WHERE error IS NULL)", "Docs & Notes"))
+qc("errors_split", "SELECT 'extract' AS stage, path, error FROM extracted WHERE error IS NOT NULL")
+qc(
+    "run_summary",
+    "SELECT 'files_found' AS metric, count(*)::BIGINT AS value FROM corpus "
+    "UNION ALL SELECT 'extract_ok', count(*) FILTER (WHERE error IS NULL) FROM extracted "
+    "UNION ALL SELECT 'extract_failed', count(*) FILTER (WHERE error IS NOT NULL) FROM extracted "
+    "UNION ALL SELECT 'topics', count(*) FROM e2e_topics "
+    "UNION ALL SELECT 'transform_failed', 0",
+)
+qc(
+    "report_summary",
+    "SELECT c.path, strlen(c.text)::BIGINT AS size, s.sections, s.topicization_readiness AS readiness, "
+    "s.conversion_risk AS risk FROM corpus c JOIN scores s USING (path)",
+)
+_ROW = (
+    "'<tr><td>' || " + html_esc("c.path") + " || '</td><td>' || CAST(strlen(c.text) AS VARCHAR) || '</td><td>' || "
+    "CAST(s.sections AS VARCHAR) || '</td><td>' || CAST(s.topicization_readiness AS VARCHAR) || '</td><td>' || "
+    "CAST(s.conversion_risk AS VARCHAR) || '</td></tr>'"
+)
+qc(
+    "report_html",
+    f"""SELECT 0::BIGINT AS part, '' AS k1, 0::BIGINT AS k2, '' AS k3,
+  {sql_str(REPORT_HEAD)} || CAST(count(*) AS VARCHAR) || {sql_str(REPORT_TABLE_OPEN)} AS fragment FROM corpus
+UNION ALL
+SELECT 1, c.path, 0, '', CASE WHEN c.path = (SELECT min(path) FROM corpus) THEN '' ELSE chr(10) END || {_ROW}
+FROM corpus c JOIN scores s USING (path)
+UNION ALL
+SELECT 2, '', 0, '', {sql_str(REPORT_MIDDLE)} || CASE WHEN count(*) > 0 THEN '<ul>' ELSE {sql_str(REPORT_NO_DUPLICATES)} END
+FROM (SELECT DISTINCT leader FROM dd_key_leader WHERE key <> leader)
+UNION ALL
+SELECT 3, leader, 0, '', '<li>' || {html_esc('leader')} FROM (SELECT DISTINCT leader FROM dd_key_leader WHERE key <> leader)
+UNION ALL
+SELECT 3, leader, 1, key, ', ' || {html_esc('key')} FROM dd_key_leader WHERE key <> leader
+UNION ALL
+SELECT 3, leader, 2, '', '</li>' FROM (SELECT DISTINCT leader FROM dd_key_leader WHERE key <> leader)
+UNION ALL
+SELECT 4, '', 0, '', CASE WHEN count(*) > 0 THEN '</ul>' ELSE '' END || {sql_str(REPORT_TAIL)}
+FROM (SELECT DISTINCT leader FROM dd_key_leader WHERE key <> leader)""",
+)
+ORACLE["decode_text"] = (
+    "SELECT concat('docs/', source, '/', CAST(doc_id AS VARCHAR), '.md') AS path, "
+    "CASE WHEN doc_id % 2 = 0 THEN true ELSE NOT regexp_matches(text, '[^\\x{00}-\\x{ff}]') END AS round_trip, "
+    "CASE WHEN doc_id % 2 = 0 THEN true ELSE NOT regexp_matches(text, '[\\x{80}-\\x{ff}]') END AS valid_utf8, "
+    "length(text)::BIGINT AS n_chars FROM documents"
+)

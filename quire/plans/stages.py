@@ -23,22 +23,30 @@ from ..options import AssessOptions, ConvertOptions
 from .conversion_plan import conversion_plans, join_plans
 from .report import report_fragments
 
+class Outputs(dict):
+    """Stage outputs; a value given as a zero-argument callable is built on first access
+    (the clustering runs jobs while it is planned, so it is only built when asked for)."""
+
+    def __getitem__(self, key):
+        value = super().__getitem__(key)
+        if callable(value) and not isinstance(value, DataFrame):
+            value = value()
+            self[key] = value
+        return value
+
+
 MD_HANDLERS = ("pandoc-md",)
 HTML_HANDLERS = ("pandoc-html",)
 
 
-def assess_stage(corpus: DataFrame, opts: AssessOptions = AssessOptions()) -> dict[str, DataFrame]:
+def assess_stage(corpus: DataFrame, opts: AssessOptions = AssessOptions()) -> Outputs:
     """Inventory, clusters ``(key, leader, similarity)``, plans and report fragments."""
     assessed = assess_documents(corpus, opts)
-    clusters = cluster_keys(dedupe_items(assessed, opts.dedupe_scope), opts)
     inv = inventory(assessed)
-    return {
-        "assessed": assessed,
-        "inventory": inv,
-        "clusters": clusters,
-        "plans": conversion_plans(assessed),
-        "report": report_fragments(inv, clusters),
-    }
+    out = Outputs(assessed=assessed, inventory=inv, plans=conversion_plans(assessed))
+    out["clusters"] = lambda: cluster_keys(dedupe_items(assessed, opts.dedupe_scope), opts)
+    out["report"] = lambda: report_fragments(inv, out["clusters"])
+    return out
 
 
 def extract_stage(corpus: DataFrame, copts: ConvertOptions = ConvertOptions()) -> DataFrame:
@@ -132,7 +140,7 @@ def run_summary(corpus: DataFrame, extracted: DataFrame, topics: DataFrame) -> D
 
 def run_all(
     corpus: DataFrame, opts: AssessOptions = AssessOptions(), copts: ConvertOptions = ConvertOptions()
-) -> dict[str, DataFrame]:
+) -> Outputs:
     """Whole conversion: assess → extract → transform (with plans) → load."""
     assessed = assess_stage(corpus, opts)
     extracted = extract_stage(corpus, copts)
@@ -140,12 +148,12 @@ def run_all(
     topics = transform_stage(intermediates, assessed["plans"].select(
         F.col("source"), F.col("default_topic_type")), copts)
     loaded = load_stage(topics, copts)
-    return {
-        **assessed,
-        "extracted": extracted,
-        "topics": topics,
-        "map": loaded["map"],
-        "topic_count": loaded["topic_count"],
-        "errors": errors(extracted, topics),
-        "summary": run_summary(corpus, extracted, topics),
-    }
+    assessed.update(
+        extracted=extracted,
+        topics=topics,
+        map=loaded["map"],
+        topic_count=loaded["topic_count"],
+        errors=errors(extracted, topics),
+        summary=run_summary(corpus, extracted, topics),
+    )
+    return assessed

@@ -230,3 +230,274 @@ def q_clusters(spark, sf):
 @register("report_duplicates")
 def q_report_duplicates(spark, sf):
     return cluster_table(cluster_keys(_items(spark, sf))).filter(F.col("size") > 1)
+
+
+# ---------------------------------------------------------------- conversion: shared derived inputs
+from .functions.paths import basename as path_basename, relative_path, stem as path_stem, suffix as path_suffix  # noqa: E402
+from .operators.classify import classify_topic  # noqa: E402
+from .operators.convert import html_text_sections, to_intermediate  # noqa: E402
+from .operators.routing import build_registry, extension, handler_for, no_handler_error  # noqa: E402
+from .operators.topics import (  # noqa: E402
+    build_topic,
+    extract_body,
+    extract_title,
+    map_fragments,
+    topic_type_error,
+    topicref,
+)
+from .options import ConvertOptions, Rule  # noqa: E402
+from .plans.conversion_plan import conversion_plans, join_plans, plan_collisions, plan_json  # noqa: E402
+from .plans.report import report_fragments, report_summary  # noqa: E402
+from .plans.stages import assess_stage, errors, extract_stage, run_all, run_summary, transform_stage  # noqa: E402
+from .sources.files import decode_text, discover  # noqa: E402
+from .sources.tables import docbook_corpus, read_table  # noqa: E402
+
+# Rules exercised by the classification queries (glob on the stem, regex on the content).
+FILENAME_RULES = (Rule("2?", "task"), Rule("[13]*5", "Reference"), Rule("4[!0-4]", "glossary"))
+CONTENT_RULES = (Rule(r"\bnicht\b", "reference"), Rule("Parameters:", "reference"), Rule("procedure", "TASK"))
+RULED = ConvertOptions(rules_by_filename=FILENAME_RULES, rules_by_content=CONTENT_RULES)
+# plan hints of the classification query: valid (needs normalising), invalid, missing
+HINT_SQL = "CASE doc_id % 3 WHEN 0 THEN ' Task ' WHEN 1 THEN 'bogus' END"
+# topic types of the topic-builder query, one unknown type among them
+TYPE_SQL = "CASE WHEN doc_id % 50 = 0 THEN 'bogus' ELSE element_at(array('concept', 'task', 'reference'), cast(doc_id % 3 AS int) + 1) END"
+# map folders of the topicref query
+MAPDIR_SQL = "CASE WHEN doc_id % 5 = 0 THEN 'out/maps' WHEN doc_id % 2 = 0 THEN 'dita' ELSE 'dita/topics' END"
+# extensions of the routing query
+ROUTE_PATH_SQL = (
+    "concat('in/', source, '/', cast(doc_id as string), "
+    "CASE doc_id % 6 WHEN 0 THEN '.md' WHEN 1 THEN '.HTML' WHEN 2 THEN '.htm' WHEN 3 THEN '.docx' "
+    "WHEN 4 THEN '.xyz' ELSE '' END)"
+)
+
+
+def _docbook_with_ids(spark, sf):
+    db = docbook_corpus(spark, sf)
+    ids = read_table(spark, sf, "documents").selectExpr(
+        "concat('docs/', source, '/', cast(doc_id as string), '.md') AS path", "doc_id"
+    )
+    return db.join(ids, "path")
+
+
+# ---------------------------------------------------------------- paths, routing
+@register("path_parts")
+def q_path_parts(spark, sf):
+    c = corpus(spark, sf).select("path")
+    extra = read_table(spark, sf, "documents").selectExpr(
+        "concat('docs/', source, '/.', cast(doc_id as string)) AS path",
+    ).unionByName(read_table(spark, sf, "documents").selectExpr(
+        "concat('docs/', source, '/', cast(doc_id as string), '.tar.gz') AS path",
+    ))
+    p = F.col("path")
+    return c.unionByName(extra).select(
+        "path", path_basename(p).alias("basename"), path_stem(p).alias("stem"), path_suffix(p).alias("suffix")
+    )
+
+
+@register("route_handler")
+def q_route_handler(spark, sf):
+    reg = build_registry()
+    paths = read_table(spark, sf, "documents").selectExpr(f"{ROUTE_PATH_SQL} AS path")
+    h = handler_for(F.col("path"), reg)
+    return paths.select(
+        "path", extension(F.col("path")).alias("ext"), h.alias("handler"),
+        F.when(h.isNull(), no_handler_error(F.col("path"))).alias("error"),
+    )
+
+
+# ---------------------------------------------------------------- DocBook → topic pieces
+@register("docbook_title")
+def q_docbook_title(spark, sf):
+    return docbook_corpus(spark, sf).select("path", extract_title(F.col("docbook")).alias("title"))
+
+
+@register("docbook_body")
+def q_docbook_body(spark, sf):
+    return docbook_corpus(spark, sf).select("path", extract_body(F.col("docbook")).alias("body"))
+
+
+@register("build_topic")
+def q_build_topic(spark, sf):
+    d = _docbook_with_ids(spark, sf).withColumn("topic_type", F.expr(TYPE_SQL))
+    db = F.col("docbook")
+    return d.select(
+        "path",
+        "topic_type",
+        build_topic(extract_title(db), extract_body(db), F.col("topic_type")).alias("xml"),
+        topic_type_error(F.col("topic_type")).alias("error"),
+    )
+
+
+@register("classify_topic")
+def q_classify_topic(spark, sf):
+    d = _docbook_with_ids(spark, sf).withColumn("plan_type", F.expr(HINT_SQL))
+    t = classify_topic(path_stem(F.col("path")), F.col("docbook"), FILENAME_RULES, CONTENT_RULES, F.col("plan_type"))
+    return d.select("path", t.alias("topic_type"))
+
+
+@register("topicref")
+def q_topicref(spark, sf):
+    d = read_table(spark, sf, "documents").selectExpr(
+        "concat('dita/topics/', cast(doc_id as string), '_concept.dita') AS topic_path", f"{MAPDIR_SQL} AS map_dir"
+    )
+    return d.select("topic_path", "map_dir", topicref(F.col("topic_path"), F.col("map_dir")).alias("ref"))
+
+
+# ---------------------------------------------------------------- plans
+def _plans(spark, sf):
+    return conversion_plans(_assessed(spark, sf))
+
+
+@register("conversion_plan")
+def q_conversion_plan(spark, sf):
+    p = _plans(spark, sf)
+    return plan_json(p).select("source", "plan_file").join(
+        p.select(
+            "source",
+            "default_topic_type",
+            F.col("chunking.level").cast("bigint").alias("chunk_level"),
+            F.col("chunking.nested_topics").alias("nested_topics"),
+            "risk",
+            "readiness",
+            F.array_join(F.transform("sections", lambda s: s["pred"]), ",").alias("section_types"),
+        ),
+        "source",
+    )
+
+
+@register("plan_collisions")
+def q_plan_collisions(spark, sf):
+    return plan_collisions(_plans(spark, sf))
+
+
+@register("plan_join")
+def q_plan_join(spark, sf):
+    p = _plans(spark, sf).select("source", "default_topic_type")
+    return join_plans(docbook_corpus(spark, sf).select("path"), p, "path").select("path", "plan_type")
+
+
+@register("plan_join_basename")
+def q_plan_join_basename(spark, sf):
+    p = _plans(spark, sf).select("source", "default_topic_type")
+    return join_plans(docbook_corpus(spark, sf).select("path"), p, "basename").select("path", "plan_type")
+
+
+# ---------------------------------------------------------------- intermediates and stages
+@register("md_to_intermediate")
+def q_md_to_intermediate(spark, sf):
+    c = corpus(spark, sf).filter(format_of(F.col("path")) == "md")
+    return c.select("path", to_intermediate(markdown_sections(F.col("text"))).alias("docbook"))
+
+
+@register("html_to_intermediate")
+def q_html_to_intermediate(spark, sf):
+    c = corpus(spark, sf).filter(format_of(F.col("path")) == "html")
+    return c.select("path", to_intermediate(html_text_sections(html_sections(F.col("text")))).alias("docbook"))
+
+
+@register("extract_stage")
+def q_extract_stage(spark, sf):
+    e = extract_stage(corpus(spark, sf))
+    return e.select("path", "handler", F.md5("docbook").alias("docbook_md5"), "error")
+
+
+@register("transform_stage")
+def q_transform_stage(spark, sf):
+    d = _docbook_with_ids(spark, sf)
+    # every 97th intermediate is missing: an error row for that path only
+    d = d.withColumn("docbook", F.when(F.col("doc_id") % 97 != 0, F.col("docbook")))
+    plans = _plans(spark, sf).select("source", "default_topic_type")
+    t = transform_stage(d.select("path", "docbook"), plans, RULED)
+    return t
+
+
+def _run(spark, sf):
+    return run_all(corpus(spark, sf))
+
+
+@register("assess_stage")
+def q_assess_stage(spark, sf):
+    out = assess_stage(corpus(spark, sf))
+    return out["plans"].select(
+        F.col("source").alias("path"), "default_topic_type", F.col("risk").alias("conversion_risk"),
+        F.col("readiness").alias("topicization_readiness"),
+    ).join(out["clusters"].select(F.col("key").alias("path"), "leader"), "path")
+
+
+@register("end_to_end")
+def q_end_to_end(spark, sf):
+    out = _run(spark, sf)
+    ex = out["extracted"].select("path", F.col("error").alias("extract_error"))
+    tp = out["topics"].select("path", "topic_type", "topic_path", F.md5("xml").alias("xml_md5"))
+    return ex.join(tp, "path", "left").select("path", "topic_type", "topic_path", "xml_md5", "extract_error")
+
+
+@register("topics")
+def q_topics(spark, sf):
+    t = _run(spark, sf)["topics"].filter(F.col("error").isNull())
+    return t.groupBy("topic_type").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
+@register("topic_map")
+def q_topic_map(spark, sf):
+    return _run(spark, sf)["map"]
+
+
+@register("topic_count")
+def q_topic_count(spark, sf):
+    return _run(spark, sf)["topic_count"]
+
+
+@register("load_stage")
+def q_load_stage(spark, sf):
+    # the map of the ruled transform (topics of documents with one rule set), as fragments
+    d = _docbook_with_ids(spark, sf)
+    plans = _plans(spark, sf).select("source", "default_topic_type")
+    t = transform_stage(d.select("path", "docbook"), plans, RULED)
+    return map_fragments(t.filter(F.col("error").isNull()).select("topic_path"), "Docs & Notes", "dita")
+
+
+@register("errors_split")
+def q_errors_split(spark, sf):
+    out = _run(spark, sf)
+    return out["errors"]
+
+
+@register("run_summary")
+def q_run_summary(spark, sf):
+    return _run(spark, sf)["summary"]
+
+
+# ---------------------------------------------------------------- report
+@register("report_summary")
+def q_report_summary(spark, sf):
+    return report_summary(_assessed(spark, sf))
+
+
+@register("report_html")
+def q_report_html(spark, sf):
+    out = assess_stage(corpus(spark, sf))
+    return out["report"]
+
+
+# ---------------------------------------------------------------- file sources
+@register("decode_text")
+def q_decode_text(spark, sf):
+    # the documents as bytes: UTF-8 for even ids, Latin-1 for odd ids
+    d = read_table(spark, sf, "documents").select(
+        F.concat(F.lit("docs/"), "source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".md")).alias("path"),
+        "text",
+        F.when(F.col("doc_id") % 2 == 0, F.encode("text", "UTF-8")).otherwise(F.encode("text", "ISO-8859-1")).alias("content"),
+    )
+    dec = decode_text(F.col("content"))
+    return d.select(
+        "path",
+        (dec == F.col("text")).alias("round_trip"),
+        F.is_valid_utf8(F.col("content").cast("string")).alias("valid_utf8"),
+        F.length(dec).cast("bigint").alias("n_chars"),
+    )
+
+
+@register("discover")
+def q_discover(spark, sf):
+    files = discover(spark, sf, [".parquet"])
+    return files.select(path_basename(F.col("path")).alias("name"), "size")
