@@ -377,9 +377,9 @@ def topic_xml(title: str, body: str, ttype: str) -> str:
 def type_error(ttype: str) -> str:
     known = ", ".join(sorted(TOPIC_TEMPLATES))
     types = ", ".join(sql_str(k) for k in TOPIC_TEMPLATES)
-    return (f"(CASE WHEN {ttype} IN ({types}) THEN NULL ELSE 'Unknown topic_type ''' || coalesce({ttype}, 'None') "
-            f"|| {sql_str(f'. Expected one of: {known}')} END)").replace("'Unknown topic_type ''' || ", "'Unknown topic_type ''' || ").replace(
-        sql_str(f". Expected one of: {known}"), sql_str(f"'. Expected one of: {known}"))
+    tail = sql_str("'. Expected one of: " + known)
+    return (f"(CASE WHEN {ttype} IN ({types}) THEN NULL "
+            f"ELSE 'Unknown topic_type ''' || coalesce({ttype}, 'None') || {tail} END)")
 
 
 def toks_lower(x: str) -> str:

@@ -400,14 +400,17 @@ def q_extract_stage(spark, sf):
     return e.select("path", "handler", F.md5("docbook").alias("docbook_md5"), "error")
 
 
-@register("transform_stage")
-def q_transform_stage(spark, sf):
+def _ruled_topics(spark, sf):
     d = _docbook_with_ids(spark, sf)
     # every 97th intermediate is missing: an error row for that path only
     d = d.withColumn("docbook", F.when(F.col("doc_id") % 97 != 0, F.col("docbook")))
     plans = _plans(spark, sf).select("source", "default_topic_type")
-    t = transform_stage(d.select("path", "docbook"), plans, RULED)
-    return t
+    return transform_stage(d.select("path", "docbook"), plans, RULED)
+
+
+@register("transform_stage")
+def q_transform_stage(spark, sf):
+    return _ruled_topics(spark, sf)
 
 
 def _run(spark, sf):
@@ -450,9 +453,7 @@ def q_topic_count(spark, sf):
 @register("load_stage")
 def q_load_stage(spark, sf):
     # the map of the ruled transform (topics of documents with one rule set), as fragments
-    d = _docbook_with_ids(spark, sf)
-    plans = _plans(spark, sf).select("source", "default_topic_type")
-    t = transform_stage(d.select("path", "docbook"), plans, RULED)
+    t = _ruled_topics(spark, sf)
     return map_fragments(t.filter(F.col("error").isNull()).select("topic_path"), "Docs & Notes", "dita")
 
 
