@@ -96,9 +96,20 @@ def signature_similarity(a: Column, b: Column) -> Column:
 
 
 def signatures(items: DataFrame, opts: AssessOptions = AssessOptions()) -> DataFrame:
-    """``(key, sig)`` from ``(key, text)`` — a narrow projection."""
-    return items.select(
-        "key", minhash(shingles(F.col("text"), opts.ngram), opts.num_perm, opts.minhash_seed).alias("sig")
+    """``(key, sig)`` from ``(key, text)``; keys must be unique.
+
+    Same values as :func:`minhash`, computed as ``num_perm`` ``min`` aggregates over
+    the exploded distinct shingle hashes: the affine hashes run in generated code
+    (lambdas inside array functions do not), and partial aggregation reduces every
+    document to one row before the exchange, so a huge document is never a hot key.
+    """
+    params = permutation_params(opts.num_perm, opts.minhash_seed)
+    sh = items.select("key", F.explode_outer(F.array_distinct(shingles(F.col("text"), opts.ngram))).alias("sh"))
+    hashed = sh.select("key", base_hash(F.col("sh")).alias("h"))  # null for a document without shingles
+    mins = [F.min((F.col("h") * F.lit(a) + F.lit(b)) % F.lit(PRIME)).alias(f"m{i}") for i, (a, b) in enumerate(params)]
+    sentinel = F.lit(SENTINEL).cast("bigint")
+    return hashed.groupBy("key").agg(*mins).select(
+        "key", F.array(*[F.coalesce(F.col(f"m{i}"), sentinel) for i in range(len(params))]).alias("sig")
     )
 
 

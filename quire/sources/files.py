@@ -48,7 +48,9 @@ def decode_text(content: Column) -> Column:
 
 def read_corpus(spark: SparkSession, root: str, extensions=DEFAULT_EXTENSIONS) -> DataFrame:
     """``(path, size, content, text)``: the corpus of a folder, ready for ``assess_documents``."""
-    files = discover(spark, root, extensions)
+    from .tables import spread
+
+    files = spread(discover(spark, root, extensions))
     return files.select("path", "size", "content", decode_text(F.col("content")).alias("text"))
 
 

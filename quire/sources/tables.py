@@ -69,6 +69,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, factor: int = 2) -> DataFrame:
+    """Spread a small input over the cluster's cores before CPU-heavy per-row work.
+
+    Text work costs far more CPU per byte than the scan, so an input that arrives
+    in fewer splits than there are cores (one row group, a folder of small files
+    packed into one split) would leave cores idle.  Large inputs already have many
+    splits and are left alone: no shuffle of the full corpus at scale.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism * factor
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def corpus(spark: SparkSession, sf_dir: str, names=ALL_CORPORA) -> DataFrame:
     """``(path string, text string)`` for the named derived corpora, unioned."""
     out = None
@@ -76,7 +88,7 @@ def corpus(spark: SparkSession, sf_dir: str, names=ALL_CORPORA) -> DataFrame:
         table, path_sql, text_sql = CORPUS_SQL[name]
         df = read_table(spark, sf_dir, table).selectExpr(f"{path_sql} AS path", f"{text_sql} AS text")
         out = df if out is None else out.unionByName(df)
-    return out
+    return spread(out)
 
 
 def corpus_sql(names=ALL_CORPORA) -> str:
@@ -107,4 +119,4 @@ def docbook_sql_expr() -> tuple[str, str]:
 def docbook_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(path, docbook)`` built from the ``documents`` table."""
     path_sql, xml_sql = docbook_sql_expr()
-    return read_table(spark, sf_dir, "documents").selectExpr(f"{path_sql} AS path", f"{xml_sql} AS docbook")
+    return spread(read_table(spark, sf_dir, "documents").selectExpr(f"{path_sql} AS path", f"{xml_sql} AS docbook"))
