@@ -25,14 +25,15 @@ def conversion_plans(assessed: DataFrame) -> DataFrame:
     )
 
 
-def plan_json(plans: DataFrame) -> DataFrame:
+def plan_json(plans: DataFrame, keep: bool = False) -> DataFrame:
     """``(source, plan_file, json)`` — what the plan sink writes, one JSON per document.
 
     ``plan_file`` is ``<basename>.conversion_plan.json``; two sources with one
-    basename give one file name (see :func:`plan_collisions`).
+    basename give one file name (see :func:`plan_collisions`).  ``keep`` keeps
+    the plan columns next to the JSON.
     """
     return plans.select(
-        "source",
+        *(plans.columns if keep else ["source"]),
         F.concat(basename(F.col("source")), F.lit(".conversion_plan.json")).alias("plan_file"),
         F.to_json(F.struct("source", "chunking", "default_topic_type", "sections", "risk", "readiness")).alias("json"),
     )

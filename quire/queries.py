@@ -349,18 +349,16 @@ def _plans(spark, sf):
 
 @register("conversion_plan")
 def q_conversion_plan(spark, sf):
-    p = _plans(spark, sf)
-    return plan_json(p).select("source", "plan_file").join(
-        p.select(
-            "source",
-            "default_topic_type",
-            F.col("chunking.level").cast("bigint").alias("chunk_level"),
-            F.col("chunking.nested_topics").alias("nested_topics"),
-            "risk",
-            "readiness",
-            F.array_join(F.transform("sections", lambda s: s["pred"]), ",").alias("section_types"),
-        ),
+    p = plan_json(_plans(spark, sf), keep=True)
+    return p.select(
         "source",
+        "plan_file",
+        "default_topic_type",
+        F.col("chunking.level").cast("bigint").alias("chunk_level"),
+        F.col("chunking.nested_topics").alias("nested_topics"),
+        "risk",
+        "readiness",
+        F.array_join(F.transform("sections", lambda s: s["pred"]), ",").alias("section_types"),
     )
 
 

@@ -65,8 +65,16 @@ CORPUS_SQL: dict[str, tuple[str, str, str]] = {
 ALL_CORPORA = ("documents", "conversations", "part", "pages", "benchmark")
 
 
+_READS: dict = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet table of the folder; the DataFrame (not data) is reused per session."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(path)
+    return _READS[key]
 
 
 def spread(df: DataFrame, factor: int = 2) -> DataFrame:
