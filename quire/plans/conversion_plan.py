@@ -70,3 +70,16 @@ def join_plans(docs: DataFrame, plans: DataFrame | None, key: str = "path") -> D
     hints = plan_hints(plans, key)
     k = F.col("path") if key == "path" else basename(F.col("path"))
     return docs.withColumn("plan_key", k).join(hints, "plan_key", "left").drop("plan_key")
+
+
+PLAN_SCHEMA = (
+    "source string, chunking struct<level:int,nested_topics:boolean>, default_topic_type string, "
+    "sections array<struct<index:int,title:string,pred:string,confidence:double,reasons:array<string>>>, "
+    "risk bigint, readiness bigint"
+)
+
+
+def read_plans(spark, path: str) -> DataFrame:
+    """Plan table back from a plan sink folder (``plan_file``, ``json`` lines)."""
+    raw = spark.read.schema("plan_file string, json string").json(path)
+    return raw.select("plan_file", F.from_json("json", PLAN_SCHEMA).alias("p")).select("plan_file", "p.*")

@@ -119,3 +119,18 @@ def test_empty_map(spark):
 def test_decode(spark):
     df = spark.createDataFrame([(bytearray("café".encode("utf-8")),), (bytearray("café".encode("latin-1")),)], "c binary")
     assert [r[0] for r in df.select(decode_text(F.col("c"))).collect()] == ["café", "café"]
+
+
+def test_plan_sink_round_trip(spark):
+    from quire.operators.inventory import assess_documents
+    from quire.plans.conversion_plan import conversion_plans, plan_json, read_plans
+    from quire.sources.sinks import write_plans
+
+    corpus = spark.createDataFrame([("d/guide.md", "# G\n\n1. Click it\n"), ("e/guide.md", "text")], "path string, text string")
+    plans = conversion_plans(assess_documents(corpus))
+    root = tempfile.mkdtemp(prefix="quire-plans-", dir="/tmp")
+    write_plans(plan_json(plans), root + "/plans")
+    back = {r.source: r for r in read_plans(spark, root + "/plans").collect()}
+    assert back["d/guide.md"].default_topic_type == "task"
+    assert back["d/guide.md"].plan_file == "guide.md.conversion_plan.json"
+    assert back["e/guide.md"].chunking.nested_topics is True
