@@ -34,21 +34,25 @@ def relative_path(target: Column, base: Column) -> Column:
 
     Both are taken as clean paths relative to one root (no ``..`` inside).
     """
-    t = _components(target)
-    b = _components(base)
-    n = F.least(F.size(t), F.size(b))
-    # length of the common prefix: count leading positions that agree
-    common = F.aggregate(
-        F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))),
-        F.struct(F.lit(0).alias("k"), F.lit(True).alias("same")),
-        lambda acc, i: F.struct(
-            F.when(acc["same"] & (i < n) & (F.get(t, i) == F.get(b, i)), acc["k"] + 1)
-            .otherwise(acc["k"])
-            .alias("k"),
-            (acc["same"] & (i < n) & (F.get(t, i) == F.get(b, i))).alias("same"),
-        ),
-        lambda acc: acc["k"],
-    )
-    ups = F.repeat(F.lit("../"), F.size(b) - common)
-    rest = F.array_join(F.slice(t, common + 1, F.greatest(F.size(t) - common, F.lit(0))), "/")
-    return F.concat(ups, rest)
+    from .text import let
+
+    def build(p):
+        t, b = p["t"], p["b"]
+        n = F.least(F.size(t), F.size(b))
+        same = lambda i: (i < n) & (F.get(t, i) == F.get(b, i))
+        # length of the common prefix: count leading positions that agree
+        common = F.aggregate(
+            F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))),
+            F.struct(F.lit(0).alias("k"), F.lit(True).alias("same")),
+            lambda acc, i: F.struct(
+                F.when(acc["same"] & same(i), acc["k"] + 1).otherwise(acc["k"]).alias("k"),
+                (acc["same"] & same(i)).alias("same"),
+            ),
+            lambda acc: acc["k"],
+        )
+        return let(common, lambda c: F.concat(
+            F.repeat(F.lit("../"), F.size(b) - c),
+            F.array_join(F.slice(t, c + 1, F.greatest(F.size(t) - c, F.lit(0))), "/"),
+        ))
+
+    return let(F.struct(_components(target).alias("t"), _components(base).alias("b")), build)

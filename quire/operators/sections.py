@@ -135,10 +135,13 @@ def heading_ladder_valid(sections: Column) -> Column:
 
 def section_rows(df: DataFrame, sections_col: str = "sections", keep: tuple[str, ...] = ("path",)) -> DataFrame:
     """One row per section with its 0-based ``section_index`` (narrow ``posexplode``)."""
+    # posexplode_outer + null filter: a plain posexplode makes the optimizer infer
+    # ``size(sections) > 0`` and push it below the projection, evaluating the
+    # splitter expression a second and third time
     return df.select(
         *keep,
-        F.posexplode(sections_col).alias("section_index", "section"),
-    ).select(
+        F.posexplode_outer(sections_col).alias("section_index", "section"),
+    ).filter(F.col("section_index").isNotNull()).select(
         *keep,
         F.col("section_index").cast("bigint").alias("section_index"),
         F.col("section.level").cast("bigint").alias("level"),

@@ -83,14 +83,11 @@ def map_fragments(topics: DataFrame, title: str, map_dir: str) -> DataFrame:
         F.lit("").alias("k3"),
         F.concat(topicref(F.col("topic_path"), F.lit(map_dir)), F.lit("\n")).alias("fragment"),
     )
-    # refs joined by newlines, then the footer: with no topic an empty line remains
-    footer = topics.agg(F.count(F.lit(1)).alias("n")).select(
-        F.lit(2).cast("bigint").alias("part"),
-        F.lit("").alias("k1"),
-        F.lit(0).cast("bigint").alias("k2"),
-        F.lit("").alias("k3"),
-        F.when(F.col("n") > 0, F.lit(MAP_FOOTER[1:])).otherwise(F.lit(MAP_FOOTER)).alias("fragment"),
-    )
+    # refs joined by newlines, then the footer: with no topic an empty line remains.
+    # Emptiness is a bounded check (first row only), not a second pass over all topics.
+    has_refs = len(topics.select("topic_path").take(1)) > 0
+    footer_text = MAP_FOOTER[1:] if has_refs else MAP_FOOTER
+    footer = spark.createDataFrame([(2, "", 0, "", footer_text)], FRAGMENT_SCHEMA)
     return header.unionByName(refs).unionByName(footer)
 
 

@@ -18,7 +18,7 @@ from ..operators.dedupe import cluster_keys, dedupe_items
 from ..operators.inventory import assess_documents, inventory
 from ..operators.routing import build_registry, handler_for, no_handler_error
 from ..operators.sections import html_sections, markdown_sections
-from ..operators.topics import build_topic, extract_body, extract_title, map_fragments, topic_file_name, topic_type_error
+from ..operators.topics import build_topic, extract_body, extract_title, map_fragments, topic_file_name
 from ..options import AssessOptions, ConvertOptions
 from .conversion_plan import conversion_plans, join_plans
 from .report import report_fragments
@@ -49,57 +49,74 @@ def assess_stage(corpus: DataFrame, opts: AssessOptions = AssessOptions()) -> Ou
     return out
 
 
-def extract_stage(corpus: DataFrame, copts: ConvertOptions = ConvertOptions()) -> DataFrame:
-    """``(path, handler, docbook, error)``: route by extension, convert Markdown / HTML.
-
-    Unknown extensions and handlers without a converter become error rows; the
-    other rows are unaffected.
-    """
+def _extract(rows: DataFrame, copts: ConvertOptions, md_sections, html_secs) -> DataFrame:
     registry = build_registry(copts.handler_overrides, copts.optional_handlers)
     h = handler_for(F.col("path"), registry)
-    text = F.col("text")
     docbook = (
-        F.when(h.isin(*MD_HANDLERS), to_intermediate(markdown_sections(text)))
-        .when(h.isin(*HTML_HANDLERS), to_intermediate(html_text_sections(html_sections(text))))
+        F.when(h.isin(*MD_HANDLERS), to_intermediate(md_sections))
+        .when(h.isin(*HTML_HANDLERS), to_intermediate(html_text_sections(html_secs)))
     )
     error = F.when(h.isNull(), no_handler_error(F.col("path"))).when(
         ~h.isin(*MD_HANDLERS, *HTML_HANDLERS),
         F.concat(F.lit("Handler '"), h, F.lit("' converts binary documents, which this engine does not read")),
     )
-    return corpus.select("path", h.alias("handler"), docbook.alias("docbook"), error.alias("error"))
+    return rows.select(
+        "*",
+        h.alias("handler"),
+        docbook.alias("docbook"),
+        error.alias("error"),
+        h.isin(*MD_HANDLERS, *HTML_HANDLERS).alias("has_docbook"),
+    )
 
 
-def transform_stage(
-    intermediates: DataFrame, plans: DataFrame | None = None, copts: ConvertOptions = ConvertOptions()
-) -> DataFrame:
-    """``(path, topic_type, topic_path, xml, error)`` from ``(path, docbook)``.
+def extract_stage(corpus: DataFrame, copts: ConvertOptions = ConvertOptions()) -> DataFrame:
+    """``(path, handler, docbook, error)``: route by extension, convert Markdown / HTML.
 
-    A missing intermediate (null docbook) is an error row for that path only.
+    Unknown extensions and handlers without a converter become error rows; the
+    other rows are unaffected.
+    """
+    text = F.col("text")
+    out = _extract(corpus.select("path", "text"), copts, markdown_sections(text), html_sections(text))
+    return out.select("path", "handler", "docbook", "error")
+
+
+def _transform(docs: DataFrame, copts: ConvertOptions) -> DataFrame:
+    """Topics of ``(path, docbook, has_docbook, plan_type)`` rows (narrow).
+
+    ``error`` depends only on the cheap ``has_docbook`` flag: filters on it are pushed
+    below the projections by the optimizer, which copies the filtered expression,
+    so it must not contain the conversion itself.  Classification always yields a
+    known type (rule types and hints are validated), so no type error arises here.
     """
-    docs = join_plans(intermediates.select("path", "docbook"), plans, copts.plan_key)
     db = F.col("docbook")
     ttype = classify_topic(stem(F.col("path")), db, copts.rules_by_filename, copts.rules_by_content, F.col("plan_type"))
-    staged = docs.select(
-        "path",
-        "docbook",
-        F.when(db.isNotNull(), ttype).alias("topic_type"),
-    )
+    ok = F.col("has_docbook")
+    staged = docs.select("path", "docbook", "has_docbook", F.when(ok, ttype).alias("topic_type"))
     xml = build_topic(extract_title(db), extract_body(db), F.col("topic_type"))
-    error = F.when(db.isNull(), F.concat(F.lit("No intermediate document for "), F.col("path"))).otherwise(
-        topic_type_error(F.col("topic_type"))
-    )
     out_dir = copts.topics_dir.rstrip("/")
     return staged.select(
         "path",
         "topic_type",
-        F.when(error.isNull(), F.concat(F.lit(out_dir + "/"), topic_file_name(F.col("path"), F.col("topic_type")))).alias(
+        F.when(ok, F.concat(F.lit(out_dir + "/"), topic_file_name(F.col("path"), F.col("topic_type")))).alias(
             "topic_path"
         ),
-        F.when(error.isNull(), xml).alias("xml"),
-        error.alias("error"),
+        F.when(ok, xml).alias("xml"),
+        F.when(~ok, F.concat(F.lit("No intermediate document for "), F.col("path"))).alias("error"),
     )
 
 
+def transform_stage(
+    intermediates: DataFrame, plans: DataFrame | None = None, copts: ConvertOptions = ConvertOptions()
+) -> DataFrame:
+    """``(path, topic_type, topic_path, xml, error)`` from ``(path, docbook)``, with the
+    plan hints of a separate plan table ``(source, default_topic_type)`` (left join).
+
+    A missing intermediate (null docbook) is an error row for that path only.
+    """
+    docs = join_plans(intermediates.select("path", "docbook"), plans, copts.plan_key)
+    return _transform(docs.withColumn("has_docbook", F.col("docbook").isNotNull()), copts)
+
+
 def load_stage(topics: DataFrame, copts: ConvertOptions = ConvertOptions()) -> dict[str, DataFrame]:
     """Map fragments over all successful topics and the topic count."""
     ok = topics.filter(F.col("error").isNull()).select("topic_path")
@@ -141,12 +158,21 @@ def run_summary(corpus: DataFrame, extracted: DataFrame, topics: DataFrame) -> D
 def run_all(
     corpus: DataFrame, opts: AssessOptions = AssessOptions(), copts: ConvertOptions = ConvertOptions()
 ) -> Outputs:
-    """Whole conversion: assess → extract → transform (with plans) → load."""
+    """Whole conversion: assess → extract → transform (with plans) → load.
+
+    Extraction reuses the assessment's section arrays and the plan's default type
+    travels in the same row, so every document is split once and no plan join is
+    needed: assessment, extraction and transformation are one narrow projection.
+    """
     assessed = assess_stage(corpus, opts)
-    extracted = extract_stage(corpus, copts)
-    intermediates = extracted.filter(F.col("error").isNull()).select("path", "docbook")
-    topics = transform_stage(intermediates, assessed["plans"].select(
-        F.col("source"), F.col("default_topic_type")), copts)
+    a = assessed["assessed"].select(
+        "path",
+        "section_list",
+        F.coalesce(F.get("predictions", 0)["pred"], F.lit("concept")).alias("plan_type"),
+    )
+    rows = _extract(a, copts, F.col("section_list"), F.col("section_list"))
+    extracted = rows.select("path", "handler", "docbook", "error")
+    topics = _transform(rows.filter(F.col("has_docbook")).select("path", "docbook", "has_docbook", "plan_type"), copts)
     loaded = load_stage(topics, copts)
     assessed.update(
         extracted=extracted,

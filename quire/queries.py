@@ -31,20 +31,35 @@ def register(name: str):
     return deco
 
 
+_PLANS: dict = {}
+
+
+def _memo(kind: str, spark: SparkSession, sf: str, build, *extra):
+    """Reuse a lazily built DataFrame (the plan object, not data) within one session."""
+    key = (kind, id(spark), sf, *map(repr, extra))
+    if key not in _PLANS:
+        _PLANS[key] = build()
+    return _PLANS[key]
+
+
+def _corpus(spark: SparkSession, sf: str) -> DataFrame:
+    return _memo("corpus", spark, sf, lambda: corpus(spark, sf))
+
+
 def _assessed(spark: SparkSession, sf: str, opts: AssessOptions = AssessOptions()) -> DataFrame:
-    return assess_documents(corpus(spark, sf), opts)
+    return _memo("assessed", spark, sf, lambda: assess_documents(_corpus(spark, sf), opts), opts)
 
 
 # ---------------------------------------------------------------- sections
 @register("md_sections")
 def q_md_sections(spark, sf):
-    c = corpus(spark, sf).filter(format_of(F.col("path")) == "md")
+    c = _corpus(spark, sf).filter(format_of(F.col("path")) == "md")
     return section_rows(c.select("path", markdown_sections(F.col("text")).alias("sections")))
 
 
 @register("html_sections")
 def q_html_sections(spark, sf):
-    c = corpus(spark, sf).filter(format_of(F.col("path")) == "html")
+    c = _corpus(spark, sf).filter(format_of(F.col("path")) == "html")
     return section_rows(c.select("path", html_sections(F.col("text")).alias("sections")))
 
 
@@ -56,7 +71,7 @@ def q_section_rows(spark, sf):
 
 @register("route_format")
 def q_route_format(spark, sf):
-    return corpus(spark, sf).select("path", format_of(F.col("path")).alias("fmt"))
+    return _corpus(spark, sf).select("path", format_of(F.col("path")).alias("fmt"))
 
 
 @register("assess_generic")
@@ -76,7 +91,7 @@ def q_assess_generic(spark, sf):
 # ---------------------------------------------------------------- features
 @register("token_count")
 def q_token_count(spark, sf):
-    return corpus(spark, sf).select("path", token_count(F.coalesce("text", F.lit(""))).alias("tokens"))
+    return _corpus(spark, sf).select("path", token_count(F.coalesce("text", F.lit(""))).alias("tokens"))
 
 
 def _feature_rows(spark, sf):
@@ -159,7 +174,7 @@ def q_inventory(spark, sf):
 
 @register("fingerprint")
 def q_fingerprint(spark, sf):
-    c = corpus(spark, sf)
+    c = _corpus(spark, sf)
     t = F.coalesce("text", F.lit(""))
     return c.select("path", F.octet_length(t).cast("bigint").alias("size"), F.sha2(t, 256).alias("sha256"))
 
@@ -281,7 +296,7 @@ def _docbook_with_ids(spark, sf):
 # ---------------------------------------------------------------- paths, routing
 @register("path_parts")
 def q_path_parts(spark, sf):
-    c = corpus(spark, sf).select("path")
+    c = _corpus(spark, sf).select("path")
     extra = read_table(spark, sf, "documents").selectExpr(
         "concat('docs/', source, '/.', cast(doc_id as string)) AS path",
     ).unionByName(read_table(spark, sf, "documents").selectExpr(
@@ -382,19 +397,19 @@ def q_plan_join_basename(spark, sf):
 # ---------------------------------------------------------------- intermediates and stages
 @register("md_to_intermediate")
 def q_md_to_intermediate(spark, sf):
-    c = corpus(spark, sf).filter(format_of(F.col("path")) == "md")
+    c = _corpus(spark, sf).filter(format_of(F.col("path")) == "md")
     return c.select("path", to_intermediate(markdown_sections(F.col("text"))).alias("docbook"))
 
 
 @register("html_to_intermediate")
 def q_html_to_intermediate(spark, sf):
-    c = corpus(spark, sf).filter(format_of(F.col("path")) == "html")
+    c = _corpus(spark, sf).filter(format_of(F.col("path")) == "html")
     return c.select("path", to_intermediate(html_text_sections(html_sections(F.col("text")))).alias("docbook"))
 
 
 @register("extract_stage")
 def q_extract_stage(spark, sf):
-    e = extract_stage(corpus(spark, sf))
+    e = extract_stage(_corpus(spark, sf))
     return e.select("path", "handler", F.md5("docbook").alias("docbook_md5"), "error")
 
 
@@ -412,12 +427,12 @@ def q_transform_stage(spark, sf):
 
 
 def _run(spark, sf):
-    return run_all(corpus(spark, sf))
+    return run_all(_corpus(spark, sf))
 
 
 @register("assess_stage")
 def q_assess_stage(spark, sf):
-    out = assess_stage(corpus(spark, sf))
+    out = assess_stage(_corpus(spark, sf))
     return out["plans"].select(
         F.col("source").alias("path"), "default_topic_type", F.col("risk").alias("conversion_risk"),
         F.col("readiness").alias("topicization_readiness"),
@@ -474,7 +489,7 @@ def q_report_summary(spark, sf):
 
 @register("report_html")
 def q_report_html(spark, sf):
-    out = assess_stage(corpus(spark, sf))
+    out = assess_stage(_corpus(spark, sf))
     return out["report"]
 
 
