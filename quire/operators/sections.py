@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.regex import WS_INLINE
+from ..functions.regex import LINE_BREAK_CHARS, WS_INLINE, char_class
 from ..functions.text import let, normalize_newlines, py_strip, remove_tags
 
 SECTION_SCHEMA = "array<struct<level:int,title:string,content:string>>"
@@ -21,6 +21,8 @@ PREAMBLE_TITLE = "Document"
 MD_HEADING = "(?md)^(#{1,6})" + WS_INLINE + "+([^\\n]*)"
 # An HTML heading: open tag h1-h6 with any attributes, lazy body, any closing level.
 HTML_HEADING = r"(?isu)<h([1-6])(?:[^>]*)>(.*?)</h[1-6]>"
+# line breaks other than "\n" (only texts containing one need normalising)
+OTHER_BREAKS = char_class(LINE_BREAK_CHARS.replace("\n", ""))
 
 
 def _section(level: Column, title: Column, content: Column) -> Column:
@@ -39,28 +41,33 @@ def _split_on_headings(text: Column, pattern: str, level_of, title_of, body_of,
     """Shared shape: ``split`` gives preamble + one body per heading, in match order.
 
     ``split`` and ``regexp_extract_all`` use the same matcher, so piece ``i + 1``
-    is the body that follows heading ``i``.
+    is the body that follows heading ``i``.  A text without any heading skips
+    both (one ``rlike`` scan, no arrays).
     """
-    parts = F.struct(
-        F.split(text, pattern, -1).alias("pieces"),
-        F.regexp_extract_all(text, F.lit(pattern), 1).alias("levels"),
-        F.regexp_extract_all(text, F.lit(pattern), 2).alias("titles"),
-    )
 
-    def build(p):
-        pieces, titles = p["pieces"], p["titles"]
-        heads = F.transform(
-            p["levels"],
-            lambda lv, i: _section(level_of(lv), title_of(F.get(titles, i)), body_of(F.get(pieces, i + 1))),
-        )
-        pre = F.get(pieces, 0)
-        pre_part = F.when(
-            keep_preamble(pre),
-            F.array(_section(F.lit(0), F.lit(PREAMBLE_TITLE), body_of(pre))),
+    def preamble_only(t):
+        return F.when(
+            keep_preamble(t), F.array(_section(F.lit(0), F.lit(PREAMBLE_TITLE), body_of(t)))
         ).otherwise(_empty_sections())
-        return F.concat(pre_part, heads)
 
-    return let(parts, build)
+    def with_headings(t):
+        parts = F.struct(
+            F.split(t, pattern, -1).alias("pieces"),
+            F.regexp_extract_all(t, F.lit(pattern), 1).alias("levels"),
+            F.regexp_extract_all(t, F.lit(pattern), 2).alias("titles"),
+        )
+
+        def build(p):
+            pieces, titles = p["pieces"], p["titles"]
+            heads = F.transform(
+                p["levels"],
+                lambda lv, i: _section(level_of(lv), title_of(F.get(titles, i)), body_of(F.get(pieces, i + 1))),
+            )
+            return F.concat(preamble_only(F.get(pieces, 0)), heads)
+
+        return let(parts, build)
+
+    return let(text, lambda t: F.when(t.rlike(pattern), with_headings(t)).otherwise(preamble_only(t)))
 
 
 def markdown_sections(text: Column) -> Column:
@@ -70,7 +77,8 @@ def markdown_sections(text: Column) -> Column:
     least one line precedes the heading (even a blank one); empty text has no
     section.  Contents are stripped, titles stripped.
     """
-    norm = normalize_newlines(F.coalesce(text, F.lit("")))
+    t = F.coalesce(text, F.lit(""))
+    norm = F.when(t.rlike(OTHER_BREAKS), normalize_newlines(t)).otherwise(t)
     return _split_on_headings(
         norm,
         MD_HEADING,
