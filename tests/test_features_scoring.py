@@ -97,3 +97,33 @@ def test_sample_guide(spark):
     g = a["in/x.txt"]
     assert (g.sections, g.topicization_readiness, g.conversion_risk, g.metrics, len(g.predictions)) == (1, 50, 50, None, 0)
     assert g.raw_sections[0].content == "plain"
+
+
+def test_array_form_equals_exploded_form(spark):
+    """Metrics from the in-row arrays equal a groupBy over exploded section rows."""
+    import os
+
+    from quire.operators.sections import section_rows
+    from quire.sources.tables import corpus
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        return
+    a = assess_documents(corpus(spark, sf)).filter(F.col("fmt") != "generic")
+    rows = section_rows(a, "section_list", keep=("path",))
+    f = rows.select("path", section_features(F.col("title"), F.col("content")).alias("f"))
+    grouped = f.groupBy("path").agg(
+        (F.sum("f.tokens") / F.count(F.lit(1))).cast("bigint").alias("avg"),
+        F.bool_and(F.col("f.tables") <= 1).alias("simple"),
+        F.bool_or(F.col("f.tables") > 1).alias("complex"),
+        F.count(F.lit(1)).alias("n"),
+    )
+    arr = a.filter(F.col("sections") > 0).select(
+        "path",
+        F.col("metrics.avg_section_tokens").alias("avg"),
+        F.col("metrics.tables_simple").alias("simple"),
+        F.col("metrics.complex_tables").alias("complex"),
+        F.col("sections").alias("n"),
+    )
+    assert arr.exceptAll(grouped.select(*arr.columns)).count() == 0
+    assert grouped.select(*arr.columns).exceptAll(arr).count() == 0
