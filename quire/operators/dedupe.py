@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import let, tokens_lower
 from ..options import AssessOptions
-from ..session import ensure_checkpoint_dir
+from ..session import WIDE_AGGREGATE_CONF, ensure_checkpoint_dir, scoped_conf
 
 PRIME = 2147483647  # 2^31 - 1, modulus of the affine permutations
 SENTINEL = 2**63 - 1  # start value of every slot; stays for an empty shingle set
@@ -189,7 +189,8 @@ def cluster_keys(items: DataFrame, opts: AssessOptions = AssessOptions()) -> Dat
             "key", F.lit(first["leader"]).alias("leader"), signature_similarity(lsig, F.col("sig")).alias("similarity")
         )
 
-    sigs = _ckpt(sigs)  # signatures are computed once; later jobs read the checkpoint
+    with scoped_conf(items.sparkSession, WIDE_AGGREGATE_CONF):
+        sigs = _ckpt(sigs)  # signatures are computed once; later jobs read the checkpoint
     reps = _ckpt(collapse_signatures(sigs))
     rep_leader = _leader_rounds(reps, opts)
     # rep → leader, then every key through its signature
@@ -206,7 +207,8 @@ def _leader_rounds(reps: DataFrame, opts: AssessOptions) -> DataFrame:
     t = opts.threshold
     ranges = band_ranges(opts.num_perm, t)
     mem = _buckets(reps, ranges)
-    sizes = mem.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    sizes = _ckpt(mem.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    largest = sizes.agg(F.max("n")).first()[0] or 0  # one-row aggregate
     mem = _ckpt(mem.join(sizes, "bucket"))  # only buckets with a partner; n carried along
 
     # exact edges of small buckets (at most limit^2 / 2 pairs per bucket)
@@ -220,10 +222,12 @@ def _leader_rounds(reps: DataFrame, opts: AssessOptions) -> DataFrame:
     edges = _ckpt(_verify(pairs, reps, t))
 
     # large buckets: membership with signatures, salted by member
-    big = mem.filter(F.col("n") > opts.bucket_pair_limit).select("bucket", "rep")
-    big = _ckpt(big.join(reps.select("rep", "sig"), "rep").withColumn("salt", F.abs(F.xxhash64("rep")) % SALTS))
-    has_big = big.limit(1).count() > 0
-    has_edges = edges.limit(1).count() > 0
+    has_big = largest > opts.bucket_pair_limit
+    big = None
+    if has_big:
+        big = mem.filter(F.col("n") > opts.bucket_pair_limit).select("bucket", "rep")
+        big = _ckpt(big.join(reps.select("rep", "sig"), "rep").withColumn("salt", F.abs(F.xxhash64("rep")) % SALTS))
+    has_edges = not edges.isEmpty()
 
     if not has_big and not has_edges:
         return reps.select("rep", F.col("rep").alias("leader"), F.lit(1.0).alias("similarity"))

@@ -60,3 +60,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir is not set; iterative operators need a shared "
         "checkpoint folder (e.g. on HDFS / object storage) to cut lineage."
     )
+
+
+class scoped_conf:
+    """Temporarily set SQL confs for the jobs run inside the block, then restore them."""
+
+    def __init__(self, spark: SparkSession, confs: dict[str, str]):
+        self.spark, self.confs, self.saved = spark, dict(confs), {}
+
+    def __enter__(self):
+        for k, v in self.confs.items():
+            self.saved[k] = self.spark.conf.get(k, None)
+            self.spark.conf.set(k, v)
+        return self
+
+    def __exit__(self, *exc):
+        for k, v in self.saved.items():
+            if v is None:
+                self.spark.conf.unset(k)
+            else:
+                self.spark.conf.set(k, v)
+        return False
+
+
+# The signature aggregate has one ``min`` per permutation; its generated method is
+# larger than the default limit, and above it Spark silently runs the stage
+# without whole-stage codegen (about 3-4x slower).
+WIDE_AGGREGATE_CONF = {"spark.sql.codegen.hugeMethodLimit": "200000"}
