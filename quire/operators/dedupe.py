@@ -195,7 +195,8 @@ def cluster_keys(items: DataFrame, opts: AssessOptions = AssessOptions()) -> Dat
     rep_leader = _leader_rounds(reps, opts)
     # rep → leader, then every key through its signature
     sig_leader = reps.join(rep_leader, "rep").select("sig", "leader", "similarity")
-    return sigs.join(sig_leader, "sig").select("key", "leader", "similarity")
+    # the result is small (three columns per key) and read by several consumers
+    return _ckpt(sigs.join(sig_leader, "sig").select("key", "leader", "similarity"))
 
 
 def _ckpt(df: DataFrame) -> DataFrame:

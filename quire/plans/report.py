@@ -87,16 +87,25 @@ def report_fragments(inv: DataFrame, key_leader: DataFrame) -> DataFrame:
     rows = summary.select(*_frag(1, F.col("path"), 0, "", F.concat(sep, row)))
 
     members = key_leader.filter(F.col("key") != F.col("leader"))
-    leaders = members.select("leader").distinct()
+    has_dups = not members.isEmpty()  # bounded: looks for one row
     dup_rows = members.select(*_frag(3, F.col("leader"), 1, F.col("key"), F.concat(F.lit(", "), html_escape(F.col("key")))))
-    opens = leaders.select(*_frag(3, F.col("leader"), 0, "", F.concat(F.lit("<li>"), html_escape(F.col("leader")))))
-    closes = leaders.select(*_frag(3, F.col("leader"), 2, "", F.lit("</li>")))
-    n_dups = leaders.agg(F.count(F.lit(1)).alias("n"))
-    middle = n_dups.select(
-        *_frag(2, "", 0, "", F.concat(F.lit(REPORT_MIDDLE), F.when(F.col("n") > 0, F.lit("<ul>")).otherwise(F.lit(REPORT_NO_DUPLICATES))))
+    # one distinct over the leaders gives both the opening and the closing fragment
+    bounds = members.select("leader").distinct().select(
+        "leader",
+        F.explode(F.array(
+            F.struct(F.lit(0).cast("bigint").alias("k2"), F.concat(F.lit("<li>"), html_escape(F.col("leader"))).alias("f")),
+            F.struct(F.lit(2).cast("bigint").alias("k2"), F.lit("</li>").alias("f")),
+        )).alias("b"),
+    ).select(
+        F.lit(3).cast("bigint").alias("part"), F.col("leader").alias("k1"), F.col("b.k2").alias("k2"),
+        F.lit("").alias("k3"), F.col("b.f").alias("fragment"),
     )
-    tail = n_dups.select(*_frag(4, "", 0, "", F.concat(F.when(F.col("n") > 0, F.lit("</ul>")).otherwise(F.lit("")), F.lit(REPORT_TAIL))))
+    spark = summary.sparkSession
+    middle_text = REPORT_MIDDLE + ("<ul>" if has_dups else REPORT_NO_DUPLICATES)
+    tail_text = ("</ul>" if has_dups else "") + REPORT_TAIL
+    middle = spark.range(1).select(*_frag(2, "", 0, "", F.lit(middle_text)))
+    tail = spark.range(1).select(*_frag(4, "", 0, "", F.lit(tail_text)))
     out = head
-    for df in (rows, middle, opens, dup_rows, closes, tail):
+    for df in (rows, middle, bounds, dup_rows, tail):
         out = out.unionByName(df)
     return out

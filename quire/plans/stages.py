@@ -80,7 +80,7 @@ def extract_stage(corpus: DataFrame, copts: ConvertOptions = ConvertOptions()) -
     return out.select("path", "handler", "docbook", "error")
 
 
-def _transform(docs: DataFrame, copts: ConvertOptions) -> DataFrame:
+def _transform(docs: DataFrame, copts: ConvertOptions, keep: tuple[str, ...] = ()) -> DataFrame:
     """Topics of ``(path, docbook, has_docbook, plan_type)`` rows (narrow).
 
     ``error`` depends only on the cheap ``has_docbook`` flag: filters on it are pushed
@@ -91,11 +91,12 @@ def _transform(docs: DataFrame, copts: ConvertOptions) -> DataFrame:
     db = F.col("docbook")
     ttype = classify_topic(stem(F.col("path")), db, copts.rules_by_filename, copts.rules_by_content, F.col("plan_type"))
     ok = F.col("has_docbook")
-    staged = docs.select("path", "docbook", "has_docbook", F.when(ok, ttype).alias("topic_type"))
+    staged = docs.select("path", *keep, "docbook", "has_docbook", F.when(ok, ttype).alias("topic_type"))
     xml = build_topic(extract_title(db), extract_body(db), F.col("topic_type"))
     out_dir = copts.topics_dir.rstrip("/")
     return staged.select(
         "path",
+        *keep,
         "topic_type",
         F.when(ok, F.concat(F.lit(out_dir + "/"), topic_file_name(F.col("path"), F.col("topic_type")))).alias(
             "topic_path"
@@ -133,26 +134,19 @@ def errors(extracted: DataFrame, topics: DataFrame) -> DataFrame:
     return e.unionByName(t)
 
 
-def run_summary(corpus: DataFrame, extracted: DataFrame, topics: DataFrame) -> DataFrame:
-    """``(metric, value)``: files, extract ok / failed, topics, transform failed."""
-    files = corpus.agg(F.count(F.lit(1)).alias("value")).select(F.lit("files_found").alias("metric"), "value")
-    ex = extracted.agg(
-        F.count_if(F.col("error").isNull()).alias("ok"), F.count_if(F.col("error").isNotNull()).alias("failed")
+def run_summary(documents: DataFrame) -> DataFrame:
+    """``(metric, value)`` from the per-document table in one aggregation:
+    files, extract ok / failed, topics, transform failed."""
+    agg = documents.agg(
+        F.count(F.lit(1)).alias("files_found"),
+        F.count_if(F.col("extract_error").isNull()).alias("extract_ok"),
+        F.count_if(F.col("extract_error").isNotNull()).alias("extract_failed"),
+        F.count_if(F.col("extract_error").isNull() & F.col("error").isNull()).alias("topics"),
+        F.count_if(F.col("extract_error").isNull() & F.col("error").isNotNull()).alias("transform_failed"),
     )
-    tp = topics.agg(
-        F.count_if(F.col("error").isNull()).alias("ok"), F.count_if(F.col("error").isNotNull()).alias("failed")
-    )
-    parts = [
-        files,
-        ex.select(F.lit("extract_ok").alias("metric"), F.col("ok").alias("value")),
-        ex.select(F.lit("extract_failed").alias("metric"), F.col("failed").alias("value")),
-        tp.select(F.lit("topics").alias("metric"), F.col("ok").alias("value")),
-        tp.select(F.lit("transform_failed").alias("metric"), F.col("failed").alias("value")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("metric", F.col("value").cast("bigint").alias("value"))
+    names = ["files_found", "extract_ok", "extract_failed", "topics", "transform_failed"]
+    pairs = F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).cast("bigint").alias("value")) for n in names])
+    return agg.select(F.explode(pairs).alias("m")).select("m.metric", "m.value")
 
 
 def run_all(
@@ -172,14 +166,26 @@ def run_all(
     )
     rows = _extract(a, copts, F.col("section_list"), F.col("section_list"))
     extracted = rows.select("path", "handler", "docbook", "error")
-    topics = _transform(rows.filter(F.col("has_docbook")).select("path", "docbook", "has_docbook", "plan_type"), copts)
+    # one row per document: extraction and transformation results side by side (no join)
+    documents = _transform(
+        rows.select("path", "handler", F.col("error").alias("extract_error"), "docbook", "has_docbook", "plan_type"),
+        copts,
+        keep=("handler", "extract_error"),
+    ).withColumn("error", F.when(F.col("extract_error").isNull(), F.col("error")))
+    topics = documents.filter(F.col("extract_error").isNull()).select("path", "topic_type", "topic_path", "xml", "error")
     loaded = load_stage(topics, copts)
+    failures = documents.filter(F.col("extract_error").isNotNull() | F.col("error").isNotNull()).select(
+        F.when(F.col("extract_error").isNotNull(), F.lit("extract")).otherwise(F.lit("transform")).alias("stage"),
+        "path",
+        F.coalesce("extract_error", "error").alias("error"),
+    )
     assessed.update(
         extracted=extracted,
+        documents=documents,
         topics=topics,
         map=loaded["map"],
         topic_count=loaded["topic_count"],
-        errors=errors(extracted, topics),
-        summary=run_summary(corpus, extracted, topics),
+        errors=failures,
+        summary=run_summary(documents),
     )
     return assessed

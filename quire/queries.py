@@ -441,10 +441,8 @@ def q_assess_stage(spark, sf):
 
 @register("end_to_end")
 def q_end_to_end(spark, sf):
-    out = _run(spark, sf)
-    ex = out["extracted"].select("path", F.col("error").alias("extract_error"))
-    tp = out["topics"].select("path", "topic_type", "topic_path", F.md5("xml").alias("xml_md5"))
-    return ex.join(tp, "path", "left").select("path", "topic_type", "topic_path", "xml_md5", "extract_error")
+    d = _run(spark, sf)["documents"]
+    return d.select("path", "topic_type", "topic_path", F.md5("xml").alias("xml_md5"), "extract_error")
 
 
 @register("topics")
