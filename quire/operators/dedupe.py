@@ -28,7 +28,9 @@ Scale plan
 
 from __future__ import annotations
 
+import logging
 import random
+import time
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +44,7 @@ SENTINEL = 2**63 - 1  # start value of every slot; stays for an empty shingle se
 SALTS = 32  # fan-out used to split hot buckets in the leader joins
 
 UNDECIDED, LEADER, MEMBER = 0, 1, 2
+LOG = logging.getLogger("quire.dedupe")
 
 
 # --------------------------------------------------------------------------- shingles & signatures
@@ -240,7 +243,10 @@ def _leader_rounds(reps: DataFrame, opts: AssessOptions) -> DataFrame:
     big_total = _ckpt(big.groupBy("rep").agg(F.count(F.lit(1)).alias("nb"))) if has_big else None
     big_cands = None
 
-    while state.filter(F.col("status") == UNDECIDED).limit(1).count() > 0:
+    rounds, started = 0, time.perf_counter()
+    while not state.filter(F.col("status") == UNDECIDED).isEmpty():
+        rounds += 1
+        LOG.info("leader round %d (%.1fs)", rounds, time.perf_counter() - started)
         undecided = state.filter(F.col("status") == UNDECIDED).select("rep")
         # blocked by a smaller neighbour that is not a member (undecided or leader)
         live = state.filter(F.col("status") != MEMBER).select(F.col("rep").alias("a"))

@@ -210,10 +210,13 @@ def q_minhash(spark, sf):
 @register("signature_similarity")
 def q_signature_similarity(spark, sf):
     # each document against the document with the next doc_id (an equi-join, no global order)
-    docs = spark.read.parquet(f"{sf.rstrip('/')}/documents.parquet").select(
+    docs = read_table(spark, sf, "documents").select(
         "doc_id", F.concat(F.lit("docs/"), "source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".md")).alias("key")
     )
-    s = signatures(_items(spark, sf)).join(docs, "key")
+    from .session import WIDE_AGGREGATE_CONF, scoped_conf
+
+    with scoped_conf(spark, WIDE_AGGREGATE_CONF):  # both join sides read one checkpoint
+        s = signatures(_items(spark, sf)).join(docs, "key").checkpoint(eager=True)
     a = s.select(F.col("doc_id").alias("id_a"), F.col("key").alias("a"), F.col("sig").alias("sa"))
     b = s.select((F.col("doc_id") - 1).alias("id_a"), F.col("key").alias("b"), F.col("sig").alias("sb"))
     return a.join(b, "id_a").select("a", "b", signature_similarity(F.col("sa"), F.col("sb")).alias("similarity"))

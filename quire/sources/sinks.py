@@ -43,6 +43,12 @@ def write_fragments(fragments: DataFrame, path: str) -> None:
     writer always adds one).  Concatenating the part files in name order gives
     the document.  A retried task rewrites its own part file.
     """
+    spark = fragments.sparkSession
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(jpath):
+        # part files of an older, longer output would be concatenated with the new ones
+        raise FileExistsError(f"fragment output {path} exists; write to a new folder")
     fragments.orderBy("part", "k1", "k2", "k3").select("fragment").foreachPartition(_write_partition(path))
 
 
