@@ -173,7 +173,7 @@ def run_all(
         keep=("handler", "extract_error"),
     ).withColumn("error", F.when(F.col("extract_error").isNull(), F.col("error")))
     topics = documents.filter(F.col("extract_error").isNull()).select("path", "topic_type", "topic_path", "xml", "error")
-    loaded = load_stage(topics, copts)
+    ok_topics = topics.filter(F.col("error").isNull())
     failures = documents.filter(F.col("extract_error").isNotNull() | F.col("error").isNotNull()).select(
         F.when(F.col("extract_error").isNotNull(), F.lit("extract")).otherwise(F.lit("transform")).alias("stage"),
         "path",
@@ -183,8 +183,9 @@ def run_all(
         extracted=extracted,
         documents=documents,
         topics=topics,
-        map=loaded["map"],
-        topic_count=loaded["topic_count"],
+        # the map probes for emptiness (a job), so it is built only when asked for
+        map=lambda: map_fragments(ok_topics.select("topic_path"), copts.map_title, copts.map_dir),
+        topic_count=ok_topics.agg(F.count(F.lit(1)).cast("bigint").alias("topic_count")),
         errors=failures,
         summary=run_summary(documents),
     )

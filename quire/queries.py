@@ -430,7 +430,7 @@ def q_transform_stage(spark, sf):
 
 
 def _run(spark, sf):
-    return run_all(_corpus(spark, sf))
+    return _memo("run", spark, sf, lambda: run_all(_corpus(spark, sf)))
 
 
 @register("assess_stage")

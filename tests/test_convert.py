@@ -134,3 +134,21 @@ def test_plan_sink_round_trip(spark):
     assert back["d/guide.md"].default_topic_type == "task"
     assert back["d/guide.md"].plan_file == "guide.md.conversion_plan.json"
     assert back["e/guide.md"].chunking.nested_topics is True
+
+
+def test_semantics_that_are_easy_to_get_wrong(spark):
+    from quire.operators.sections import markdown_sections
+
+    # Q2: '#' inside a code fence is a heading; '# ' with nothing after is a heading with empty title
+    df = spark.createDataFrame([("```\n# not code\n```\n# \nx",)], "t string")
+    secs = [(s.level, s.title) for s in df.select(markdown_sections(F.col("t")).alias("s")).first().s]
+    assert secs == [(0, "Document"), (1, "not code"), (1, "")]
+    # Q11: filename rules see the stem, so a pattern ending in '.md' never matches
+    rules = (Rule("*HOWTO*.md", "task"),)
+    st = spark.createDataFrame([("my_HOWTO_guide",)], "stem string")
+    got = st.select(classify_topic(F.col("stem"), F.lit("plain words"), rules, ())).first()[0]
+    assert got == "concept"
+    # Q15: a.md and a.html of one type share one topic path
+    inter = spark.createDataFrame([("x/a.md", "<para>p</para>"), ("y/a.html", "<para>q</para>")], "path string, docbook string")
+    paths = {r.topic_path for r in transform_stage(inter).collect()}
+    assert paths == {"dita/topics/a_concept.dita"}
