@@ -123,3 +123,30 @@ def test_threshold_edges(spark):
     assert {r.key: r.leader for r in cluster_keys(items, none).collect()} == {"a": "a", "b": "b"}
     everything = AssessOptions(threshold=0.0)
     assert {r.leader for r in cluster_keys(items, everything).collect()} == {"a"}
+
+
+def test_hot_group_default_limit(spark):
+    """A third of the corpus are near-copies of one text: buckets exceed the default
+    pair limit, go through the large-bucket path, and the result is still the greedy one."""
+    rng = random.Random(11)
+    vocab = [f"v{i}" for i in range(300)]
+    hot = [rng.choice(vocab) for _ in range(60)]
+    rows = []
+    for i in range(240):
+        if i % 3 == 0:
+            words = list(hot)
+            for _ in range(rng.randrange(0, 3)):
+                words[rng.randrange(len(words))] = rng.choice(vocab)
+        else:
+            words = [rng.choice(vocab) for _ in range(60)]
+        rows.append((f"d{i:04d}", " ".join(words)))
+    items = spark.createDataFrame(rows, "key string, text string")
+    opts = AssessOptions(ngram=3, num_perm=64, threshold=0.7)
+    sigs = {r.key: list(r.sig) for r in signatures(items, opts).collect()}
+    from quire.operators.dedupe import _buckets, band_ranges as br
+
+    reps = spark.createDataFrame([(k, v) for k, v in sigs.items()], "rep string, sig array<bigint>")
+    biggest = _buckets(reps, br(64, 0.7)).groupBy("bucket").count().agg(F.max("count")).first()[0]
+    assert biggest > opts.bucket_pair_limit  # the hot group really forms large buckets
+    got = {r.key: r.leader for r in cluster_keys(items, opts).collect()}
+    assert got == greedy(sigs, 0.7)
