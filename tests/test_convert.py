@@ -152,3 +152,11 @@ def test_semantics_that_are_easy_to_get_wrong(spark):
     inter = spark.createDataFrame([("x/a.md", "<para>p</para>"), ("y/a.html", "<para>q</para>")], "path string, docbook string")
     paths = {r.topic_path for r in transform_stage(inter).collect()}
     assert paths == {"dita/topics/a_concept.dita"}
+
+
+def test_source_extensions():
+    from quire.sources.files import source_extensions
+
+    fmts = {"treat_as_html": [".html", ".htm"], "treat_as_markdown": [".md", "md", 3]}
+    assert source_extensions(fmts) == [".htm", ".html", ".md"]
+    assert source_extensions({}) == [".md", ".docx", ".html"]
