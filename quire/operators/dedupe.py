@@ -10,7 +10,9 @@ the similarity graph.
 
 Scale plan
 ----------
-* Signatures are a narrow projection (no shuffle).
+* Signatures are ``num_perm`` ``min`` aggregates over exploded shingle hashes in
+  generated code; partial aggregation leaves one row per document before the
+  only exchange, so a huge document is never a hot key.
 * Equal signatures collapse to one representative by ``groupBy(sig)`` with
   map-side partial aggregation, so a group of exact copies holding a third of the
   data never lands in one task; equal signatures always share a cluster.

@@ -150,3 +150,15 @@ def test_hot_group_default_limit(spark):
     assert biggest > opts.bucket_pair_limit  # the hot group really forms large buckets
     got = {r.key: r.leader for r in cluster_keys(items, opts).collect()}
     assert got == greedy(sigs, 0.7)
+
+
+def test_column_minhash_equals_aggregate_signatures(spark):
+    from quire.operators.dedupe import minhash
+
+    rows = _random_corpus(3, 12) + [("empty", ""), ("short", "two words")]
+    items = spark.createDataFrame(rows, "key string, text string")
+    opts = AssessOptions(ngram=3, num_perm=16)
+    by_col = {r.key: list(r.sig) for r in items.select(
+        "key", minhash(shingles(F.col("text"), 3), 16, opts.minhash_seed).alias("sig")).collect()}
+    by_agg = {r.key: list(r.sig) for r in signatures(items, opts).collect()}
+    assert by_col == by_agg
