@@ -103,7 +103,8 @@ _PY_ESCAPES_IN_CLASS = {
 
 
 def python_regex_to_java(pattern: str) -> str:
-    """Translate the Python-only meaning of ``\\w \\W \\d \\D \\s \\S \\b \\B \\Z`` to Java.
+    """Translate the Python-only meaning of ``\\w \\W \\d \\D \\s \\S \\b \\B \\Z`` and the
+    ``(?P<name>…)`` / ``(?P=name)`` group syntax to Java.
 
     Java gives these escapes ASCII meaning by default; Python gives them Unicode
     meaning on str.  Everything else in the two dialects used by rule patterns
@@ -123,6 +124,15 @@ def python_regex_to_java(pattern: str) -> str:
                 out.append(ch + nxt)
             i += 2
             continue
+        if not in_class and pattern.startswith("(?P<", i):
+            out.append("(?<")  # named group
+            i += 4
+            continue
+        if not in_class and pattern.startswith("(?P=", i):
+            j = pattern.index(")", i)
+            out.append("\\k<" + pattern[i + 4:j] + ">")  # named back-reference
+            i = j + 1
+            continue
         if ch == "[" and not in_class:
             in_class = True
             out.append(ch)

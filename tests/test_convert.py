@@ -160,3 +160,11 @@ def test_source_extensions():
     fmts = {"treat_as_html": [".html", ".htm"], "treat_as_markdown": [".md", "md", 3]}
     assert source_extensions(fmts) == [".htm", ".html", ".md"]
     assert source_extensions({}) == [".md", ".docx", ".html"]
+
+
+def test_python_regex_translation(spark):
+    from quire.functions.regex import python_regex_to_java
+
+    pat = python_regex_to_java(r"(?P<w>ab)\s+(?P=w)\b")
+    df = spark.createDataFrame([("ab  ab",), ("ab ac",), ("ab　abc",)], "t string")
+    assert [r[0] for r in df.select(F.col("t").rlike(pat)).collect()] == [True, False, False]
