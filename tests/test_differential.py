@@ -112,3 +112,44 @@ def test_features_match_python_re(spark):
     for path, text in rows:
         want = sum(len(re.findall(r"\b" + re.escape(v) + r"\b", text, re.IGNORECASE)) for v in verbs)
         assert vh[path] == want, (path, text)
+
+
+MARKUP = ["<title>", "</title>", "<TITLE>", "<para>", "</para>", "<PARA>", "<h1>", "</h2>", "<h3 id=x>", "<b>",
+          "</b>", "\n", "\r\n", " ", "x", "é", "&", "<", ">", "<>", "title", "para"]
+
+
+def test_markup_regexes_match_python_re(spark):
+    import re
+
+    from quire.operators.sections import HTML_HEADING
+    from quire.operators.topics import PARA_RE, TITLE_RE
+
+    rng = random.Random(9)
+    rows = [("m%03d" % i, "".join(rng.choice(MARKUP) for _ in range(rng.randrange(0, 30)))) for i in range(400)]
+    df = spark.createDataFrame(rows, "path string, d string")
+    d = F.col("d")
+    got = {r[0]: tuple(r[1:]) for r in df.select(
+        "path",
+        d.rlike(TITLE_RE),
+        F.regexp_extract(d, TITLE_RE, 1),
+        F.regexp_extract_all(d, F.lit(PARA_RE), 1),
+        F.regexp_replace(d, "<[^>]+>", ""),
+        F.regexp_extract_all(d, F.lit(HTML_HEADING), 1),
+        F.regexp_extract_all(d, F.lit(HTML_HEADING), 2),
+    ).collect()}
+    # FIXED VALUES: the Python patterns of title, paragraph, tag and HTML heading
+    title = re.compile(r"<title>(.*?)</title>", re.IGNORECASE)
+    para = re.compile(r"<para>(.*?)</para>", re.IGNORECASE | re.DOTALL)
+    heading = re.compile(r"<h([1-6])(?:[^>]*)>(.*?)</h[1-6]>", re.IGNORECASE | re.DOTALL)
+    for path, text in rows:
+        m = title.search(text)
+        heads = heading.findall(text)
+        want = (
+            m is not None,
+            m.group(1) if m else "",
+            para.findall(text),
+            re.sub(r"<[^>]+>", "", text),
+            [h[0] for h in heads],
+            [h[1] for h in heads],
+        )
+        assert got[path] == want, (path, text)
