@@ -231,14 +231,18 @@ from .operators.dedupe import PRIME, SENTINEL, permutation_params  # noqa: E402
 from .options import DUPLICATE_THRESHOLD, MINHASH_NUM_PERM, SHINGLE_NGRAM, AssessOptions  # noqa: E402
 
 
-def dedupe_ctes(tag: str, n: int, threshold: float, num_perm: int, seed: int) -> str:
+def dedupe_ctes(tag: str, n: int, threshold: float, num_perm: int, seed: int, scope: str = "first_section") -> str:
     """Signatures, representatives, all-pairs edges (brute force) and the greedy walk."""
     params = "[" + ", ".join(f"{{'a': {a}, 'b': {b}}}" for a, b in permutation_params(num_perm, seed)) + "]"
-    return f"""
-{tag}_items AS (
+    if scope == "document":
+        items = f"{tag}_items AS (SELECT path AS key, text FROM corpus),"
+    else:
+        items = f"""{tag}_items AS (
   SELECT c.path AS key, coalesce(s.content, CASE WHEN c.fmt = 'generic' THEN c.text END, '') AS text
   FROM corpus c LEFT JOIN (SELECT path, content FROM md_sections WHERE section_index = 0
-                           UNION ALL SELECT path, content FROM html_sections WHERE section_index = 0) s USING (path)),
+                           UNION ALL SELECT path, content FROM html_sections WHERE section_index = 0) s USING (path)),"""
+    return f"""
+{items}
 {tag}_tok AS (
   SELECT key, list_transform(regexp_extract_all(text, {sql_str(WORDS)}), lambda x: lower(x)) AS tk FROM {tag}_items),
 {tag}_sh AS (
@@ -284,8 +288,13 @@ DEDUPE_LOOSE = dedupe_ctes("dl", 3, 0.7, MINHASH_NUM_PERM, _D.minhash_seed)
 BASE_DD = BASE + "," + DEDUPE
 
 
-def qd(name: str, select: str, loose: bool = False) -> None:
-    ORACLE[name] = "WITH RECURSIVE" + BASE_DD[len("WITH"):] + ("," + DEDUPE_LOOSE if loose else "") + "\n" + select
+DEDUPE_DOC = dedupe_ctes("dw", SHINGLE_NGRAM, DUPLICATE_THRESHOLD, MINHASH_NUM_PERM, _D.minhash_seed, scope="document")
+
+
+def qd(name: str, select: str, loose: bool = False, extra: str = "") -> None:
+    ORACLE[name] = (
+        "WITH RECURSIVE" + BASE_DD[len("WITH"):] + ("," + DEDUPE_LOOSE if loose else "") + extra + "\n" + select
+    )
 
 
 qd(
@@ -304,6 +313,7 @@ qd(
 )
 qd("near_dup_clusters", "SELECT key, leader FROM dd_key_leader")
 qd("near_dup_clusters_loose", "SELECT key, leader FROM dl_key_leader", loose=True)
+qd("near_dup_clusters_document", "SELECT key, leader FROM dw_key_leader", extra="," + DEDUPE_DOC)
 qd("near_dup_pairs", "SELECT leader AS a, key AS b, similarity FROM dd_key_leader WHERE key <> leader")
 qd("clusters", "SELECT leader, count(*)::BIGINT AS size FROM dd_key_leader GROUP BY leader")
 qd(

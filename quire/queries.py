@@ -232,6 +232,12 @@ def q_near_dup_clusters_loose(spark, sf):
     return cluster_keys(_items(spark, sf, LOOSE), LOOSE).select("key", "leader")
 
 
+@register("near_dup_clusters_document")
+def q_near_dup_clusters_document(spark, sf):
+    opts = AssessOptions(dedupe_scope="document")
+    return cluster_keys(_items(spark, sf, opts), opts).select("key", "leader")
+
+
 @register("near_dup_pairs")
 def q_near_dup_pairs(spark, sf):
     kl = cluster_keys(_items(spark, sf))
