@@ -1,0 +1 @@
+"""DataFrame operators: sections, features, scoring, near duplicates, classification, topics."""

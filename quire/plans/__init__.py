@@ -1,0 +1 @@
+"""Conversion plans, stage composition and the assessment report."""

@@ -1,0 +1 @@
+"""File sources, corpora derived from tables, and sinks."""

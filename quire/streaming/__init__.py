@@ -1,0 +1 @@
+"""Incremental (Structured Streaming) assessment of a folder."""
