@@ -213,9 +213,9 @@ def _leader_rounds(reps: DataFrame, opts: AssessOptions) -> DataFrame:
     t = opts.threshold
     ranges = band_ranges(opts.num_perm, t)
     mem = _buckets(reps, ranges)
-    sizes = _ckpt(mem.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
-    largest = sizes.agg(F.max("n")).first()[0] or 0  # one-row aggregate
+    sizes = mem.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     mem = _ckpt(mem.join(sizes, "bucket"))  # only buckets with a partner; n carried along
+    largest = mem.agg(F.max("n")).first()[0] or 0  # one-row aggregate
 
     # exact edges of small buckets (at most limit^2 / 2 pairs per bucket)
     small = mem.filter(F.col("n") <= opts.bucket_pair_limit)
