@@ -167,8 +167,8 @@ def _verify(pairs: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
 
 
 def collapse_signatures(sigs: DataFrame) -> DataFrame:
-    """``(sig, rep)``: one representative (smallest key) per distinct signature."""
-    return sigs.groupBy("sig").agg(F.min("key").alias("rep"))
+    """``(sig, rep, copies)``: one representative (smallest key) per distinct signature."""
+    return sigs.groupBy("sig").agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("copies"))
 
 
 def cluster_keys(items: DataFrame, opts: AssessOptions = AssessOptions()) -> DataFrame:
@@ -199,9 +199,18 @@ def cluster_keys(items: DataFrame, opts: AssessOptions = AssessOptions()) -> Dat
     reps = _ckpt(collapse_signatures(sigs))
     rep_leader = _leader_rounds(reps, opts)
     # rep → leader, then every key through its signature
-    sig_leader = reps.join(rep_leader, "rep").select("sig", "leader", "similarity")
+    sig_leader = _ckpt(reps.join(rep_leader, "rep").select("sig", "copies", "leader", "similarity"))
+    # Back to every key.  A signature with very many copies is one hot join key: those
+    # signatures (at most keys / hot_signature_rows of them) are broadcast, the rest
+    # use the shuffle join, where no key has more than hot_signature_rows rows.
+    hot_limit = opts.hot_signature_rows
+    hot = sig_leader.filter(F.col("copies") > hot_limit).select("sig", "leader", "similarity")
+    cold = sig_leader.filter(F.col("copies") <= hot_limit).select("sig", "leader", "similarity")
+    out = sigs.join(cold, "sig")
+    if not hot.isEmpty():
+        out = out.unionByName(sigs.join(F.broadcast(hot), "sig"))
     # the result is small (three columns per key) and read by several consumers
-    return _ckpt(sigs.join(sig_leader, "sig").select("key", "leader", "similarity"))
+    return _ckpt(out.select("key", "leader", "similarity"))
 
 
 def _ckpt(df: DataFrame) -> DataFrame:

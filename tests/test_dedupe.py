@@ -162,3 +162,16 @@ def test_column_minhash_equals_aggregate_signatures(spark):
         "key", minhash(shingles(F.col("text"), 3), 16, opts.minhash_seed).alias("sig")).collect()}
     by_agg = {r.key: list(r.sig) for r in signatures(items, opts).collect()}
     assert by_col == by_agg
+
+
+def test_hot_signature_broadcast_path(spark):
+    """Exact-copy groups above the hot limit are joined back by broadcast; same result."""
+    rows = [(f"c{i:03d}", "same words repeated in every copy of this text") for i in range(30)]
+    rows += _random_corpus(4, 30)
+    items = spark.createDataFrame(rows, "key string, text string")
+    base = AssessOptions(ngram=3, num_perm=32, threshold=0.7)
+    hot = AssessOptions(ngram=3, num_perm=32, threshold=0.7, hot_signature_rows=5)
+    sigs = {r.key: list(r.sig) for r in signatures(items, base).collect()}
+    want = greedy(sigs, 0.7)
+    assert {r.key: r.leader for r in cluster_keys(items, hot).collect()} == want
+    assert {r.key: r.leader for r in cluster_keys(items, base).collect()} == want
