@@ -90,8 +90,3 @@ def map_fragments(topics: DataFrame, title: str, map_dir: str) -> DataFrame:
     footer = spark.createDataFrame([(2, "", 0, "", footer_text)], FRAGMENT_SCHEMA)
     return header.unionByName(refs).unionByName(footer)
 
-
-def assemble_fragments(fragments: DataFrame) -> Column:
-    """One-string view of a fragment table (aggregate; for small outputs and tests)."""
-    ordered = F.array_sort(F.collect_list(F.struct("part", "k1", "k2", "k3", "fragment")))
-    return F.array_join(F.transform(ordered, lambda s: s["fragment"]), "")

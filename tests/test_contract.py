@@ -49,3 +49,13 @@ def test_queries_match_oracle(spark):
         if s != d:
             bad.append(name)
     assert bad == []
+
+
+def test_scoped_conf_restores(spark):
+    from quire.session import scoped_conf
+
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(key, None)
+    with scoped_conf(spark, {key: "123456"}):
+        assert spark.conf.get(key) == "123456"
+    assert spark.conf.get(key, None) == before
