@@ -168,3 +168,13 @@ def test_python_regex_translation(spark):
     pat = python_regex_to_java(r"(?P<w>ab)\s+(?P=w)\b")
     df = spark.createDataFrame([("ab  ab",), ("ab ac",), ("ab　abc",)], "t string")
     assert [r[0] for r in df.select(F.col("t").rlike(pat)).collect()] == [True, False, False]
+
+
+def test_fragment_writer_refuses_existing_folder(spark):
+    from quire.operators.topics import map_fragments
+
+    root = tempfile.mkdtemp(prefix="quire-exists-", dir="/tmp")
+    frags = map_fragments(spark.createDataFrame([("dita/topics/a.dita",)], "topic_path string"), "T", "dita")
+    write_fragments(frags, root + "/m")
+    with pytest.raises(FileExistsError):
+        write_fragments(frags, root + "/m")
