@@ -50,3 +50,27 @@ def map_pandas(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
             yield fn(batch)
 
     return df.mapInPandas(run, schema)
+
+
+def score_texts(docs: DataFrame, model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``keep`` columns, ``score`` (0 to 1) and ``predicted`` (1 if score >= 0.5), one row per input row.
+
+    ``model.scores(texts)`` gives the scores; a null text counts as empty and is scored
+    too.  One narrow pass; null ids and repeated rows are kept, an empty table gives no
+    rows.  Other columns of ``docs`` are not read; ``keep`` must not name the new ones.
+    """
+    if {"score", "predicted"} & set(keep):
+        raise ValueError("keep must not hold score or predicted")
+    types = dict(docs.dtypes)
+    schema = ", ".join([*(f"`{c}` {types[c]}" for c in keep), "score double"])
+
+    def run(batch):
+        return batch.assign(score=model.scores(batch["text"].fillna("")))[[*keep, "score"]]
+
+    out = map_pandas(docs.select(*dict.fromkeys(["text", *keep])), run, schema)
+    return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def learnable(labels: DataFrame, column: str, held_out: Column) -> DataFrame:
+    """``(doc_id, label)`` of the rows that are not held out."""
+    return labels.filter(~held_out).select("doc_id", F.col(column).alias("label"))

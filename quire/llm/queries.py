@@ -2,12 +2,39 @@
 
 from __future__ import annotations
 
+import functools
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, secrets, token_counts
-from .common import read_columns
+from ..session import ship_package
+from . import packing, quality, secrets, token_counts, toxicity
+from .common import in_fold, learnable, read_columns, score_texts
+
+
+# Held-out folds: crc32 of the id modulo the first number leaves the second
+TOXIC_FOLDS, QUALITY_FOLDS = (5, 0), (3, 1)
+
+
+def fitted(operator, docs: DataFrame, labels: DataFrame, column: str, folds: tuple[int, int]):
+    """The operator's model, learnt from the labels outside the held-out fold."""
+    return operator.fit(docs, learnable(labels, column, in_fold(F.col("doc_id"), *folds)))
+
+
+def _classify(operator, spark: SparkSession, sf_dir: str, column: str, folds: tuple[int, int]) -> DataFrame:
+    docs = read_columns(spark, sf_dir, "documents", "doc_id", "text")
+    model = fitted(operator, docs, read_columns(spark, sf_dir, "labels", "doc_id", column), column, folds)
+    scored = score_texts(docs, model)
+    return scored.select("doc_id", in_fold(F.col("doc_id"), *folds).alias("held_out"), "score", "predicted")
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _classify(toxicity, spark, sf_dir, "toxic", TOXIC_FOLDS)
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _classify(quality, spark, sf_dir, "quality", QUALITY_FOLDS)
 
 
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,7 +59,16 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
-QUERIES = {f.__name__: f for f in (op3_secret_scans, op7_token_counts, op9_packing)}
+def _shipping(query):
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+QUERIES = {f.__name__: _shipping(f) for f in (op1_toxicity, op3_secret_scans, op5_quality_classifier, op7_token_counts, op9_packing)}
 
 # DuckDB statements of the queries that SQL can express
 ORACLE: dict[str, str] = {}
