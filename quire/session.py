@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -87,3 +89,25 @@ class scoped_conf:
 # larger than the default limit, and above it Spark silently runs the stage
 # without whole-stage codegen (about 3-4x slower).
 WIDE_AGGREGATE_CONF = {"spark.sql.codegen.hugeMethodLimit": "200000"}
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the session's Python workers this package, once per application.
+
+    Workers import functions by module name, and find the package only if it is installed
+    on their machines or lies in their working folder.  The zip holds source files only;
+    Spark's own file server hands it out.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    target = os.path.join(tempfile.mkdtemp(prefix="quire-src-"), f"{root.name}.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for path in sorted(root.rglob("*.py")):
+            z.write(path, path.relative_to(root.parent).as_posix())
+    spark.sparkContext.addPyFile(target)
+    _SHIPPED.add(app)
