@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import packing, quality, secrets, token_counts, toxicity
+from . import ann, packing, quality, secrets, token_counts, topk, toxicity
 from .common import in_fold, learnable, read_columns, score_texts
 
 
@@ -33,6 +33,18 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _classify(toxicity, spark, sf_dir, "toxic", TOXIC_FOLDS)
 
 
+def _every_hundredth():
+    return F.col("vec_id") % 100 == 0
+
+
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read_columns(spark, sf_dir, "embeddings", "vec_id", "embedding"), _every_hundredth())
+
+
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.highest_products(read_columns(spark, sf_dir, "embeddings", "vec_id", "embedding"), _every_hundredth())
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _classify(quality, spark, sf_dir, "quality", QUALITY_FOLDS)
 
@@ -68,7 +80,24 @@ def _shipping(query):
     return run
 
 
-QUERIES = {f.__name__: _shipping(f) for f in (op1_toxicity, op3_secret_scans, op5_quality_classifier, op7_token_counts, op9_packing)}
+QUERIES = {f.__name__: _shipping(f) for f in (
+    op1_toxicity, op3_secret_scans, op4_nearest_neighbours, op5_quality_classifier, op7_token_counts, op8_top_k, op9_packing,
+)}
 
 # DuckDB statements of the queries that SQL can express
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op8_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.w::DOUBLE[], c.w::DOUBLE[]) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+        ), ranked AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+    """,
+}

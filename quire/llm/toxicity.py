@@ -34,7 +34,7 @@ FIT_ROWS = 12_000
 MAX_TERMS = 96
 LEXICON_GROUPS = 6
 LEAST_LIFT = 30.0
-STEMS = (3, 4, 5, 6, 7)
+STEMS = (4, 5, 6)
 PRIOR = 0.1  # toxic share assumed without labels
 
 WORDS = re.compile(r"[^\W\d_]+").findall
