@@ -47,7 +47,8 @@ def map_pandas(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
 
     def run(batches: Iterator):
         for batch in batches:
-            yield fn(batch)
+            if len(batch):
+                yield fn(batch)
 
     return df.mapInPandas(run, schema)
 

@@ -170,10 +170,12 @@ def pack(docs: DataFrame, ranks: str, specials: tuple[tuple[str, int], ...] = ((
             for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
                 ids = (enc.encode(text) if text else b"") + end
                 packer.place(None if pd.isna(doc) else int(doc), 0, len(ids) // 4, ids)
-            yield _rows(packer.done, first + made, False)
+            if packer.done:
+                yield _rows(packer.done, first + made, False)
             made += len(packer.done)
             packer.done = []
-        yield _rows([w[1] for w in packer.open], first + made, True)
+        if packer.open:
+            yield _rows([w[1] for w in packer.open], first + made, True)
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     state = materialize(rows.mapInPandas(first_pass, WITH_IDS), "pack")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import ann, packing, quality, secrets, token_counts, topk, toxicity
+from . import ann, jaccard, packing, quality, secrets, token_counts, topk, toxicity
 from .common import in_fold, learnable, read_columns, score_texts
 
 
@@ -71,6 +71,10 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link_components(read_columns(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def _shipping(query):
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,6 +86,7 @@ def _shipping(query):
 
 QUERIES = {f.__name__: _shipping(f) for f in (
     op1_toxicity, op3_secret_scans, op4_nearest_neighbours, op5_quality_classifier, op7_token_counts, op8_top_k, op9_packing,
+    op10_jaccard_join,
 )}
 
 # DuckDB statements of the queries that SQL can express

@@ -134,7 +134,8 @@ def mine_lexicon(rows: DataFrame) -> Lexicon:
                 for b in batches:
                     for t in b["text"]:
                         total.update(terms(t) if among is None else terms(t) & among)
-                yield pd.DataFrame({"term": list(total.keys()), "n": list(total.values())})
+                if total:  # an empty string column has no Arrow form
+                    yield pd.DataFrame({"term": list(total.keys()), "n": list(total.values())})
 
             counted = single.filter(F.col("label") == label).mapInPandas(per_partition, "term string, n bigint")
             return counted.groupBy("term").agg(F.sum("n").alias("n"))
