@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import ann, jaccard, packing, quality, secrets, token_counts, topk, toxicity
+from . import ann, jaccard, licenses, packing, quality, secrets, token_counts, topk, toxicity
 from .common import in_fold, learnable, read_columns, score_texts
 
 
@@ -49,6 +49,10 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _classify(quality, spark, sf_dir, "quality", QUALITY_FOLDS)
 
 
+def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(read_columns(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.secret_spans(read_columns(spark, sf_dir, "documents", "doc_id", "text")).drop("redacted")
     base = F.filter("spans", lambda s: s["kind"] != "random")
@@ -85,7 +89,7 @@ def _shipping(query):
 
 
 QUERIES = {f.__name__: _shipping(f) for f in (
-    op1_toxicity, op3_secret_scans, op4_nearest_neighbours, op5_quality_classifier, op7_token_counts, op8_top_k, op9_packing,
+    op1_toxicity, op2_license_scans, op3_secret_scans, op4_nearest_neighbours, op5_quality_classifier, op7_token_counts, op8_top_k, op9_packing,
     op10_jaccard_join,
 )}
 
@@ -93,10 +97,10 @@ QUERIES = {f.__name__: _shipping(f) for f in (
 ORACLE: dict[str, str] = {
     "op8_top_k": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
             FROM embeddings
             WHERE vec_id IS NOT NULL AND len(embedding) > 0
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
         ), scored AS (
             SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.w::DOUBLE[], c.w::DOUBLE[]) AS BIGINT) AS score
             FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
