@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import ann, jaccard, licenses, packing, quality, secrets, token_counts, topk, toxicity
+from . import ann, jaccard, licenses, packing, pieces, quality, secrets, token_counts, topk, toxicity
 from .common import in_fold, learnable, read_columns, score_texts
 
 
@@ -65,6 +65,22 @@ def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_piece_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_columns(spark, sf_dir, "documents", "doc_id", "text")
+    found = pieces.n_best_segmentations(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    best = F.get("paths", 0)
+    line = F.transform("paths", lambda p: F.concat_ws(":", p["score"].cast("bigint").cast("string"), p["n_tokens"].cast("string"), p["ids_crc32"].cast("string")))
+    return found.select(
+        "doc_id",
+        F.coalesce(best["n_tokens"], F.lit(0)).alias("n_tokens"),
+        best["score"].alias("score"),
+        best["ids_crc32"].alias("ids_crc32"),
+        F.size("paths").cast("bigint").alias("n_paths"),
+        F.array_join(line, ",").alias("paths"),
+        "round_trip",
+    )
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_columns(spark, sf_dir, "documents", "doc_id", "text")
     return token_counts.token_counts(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -89,7 +105,8 @@ def _shipping(query):
 
 
 QUERIES = {f.__name__: _shipping(f) for f in (
-    op1_toxicity, op2_license_scans, op3_secret_scans, op4_nearest_neighbours, op5_quality_classifier, op7_token_counts, op8_top_k, op9_packing,
+    op1_toxicity, op2_license_scans, op3_secret_scans, op4_nearest_neighbours, op5_quality_classifier,
+    op6_piece_segmentation, op7_token_counts, op8_top_k, op9_packing,
     op10_jaccard_join,
 )}
 
