@@ -13,19 +13,23 @@ Scale plan
 * Signatures are ``num_perm`` ``min`` aggregates over exploded shingle hashes in
   generated code; partial aggregation leaves one row per document before the
   only exchange, so a huge document is never a hot key.
-* Equal signatures collapse to one representative by ``groupBy(sig)`` with
-  map-side partial aggregation, so a group of exact copies holding a third of the
-  data never lands in one task; equal signatures always share a cluster.
+* Equal signatures collapse to one representative by 128 bits of hash with map-side
+  partial aggregation, so a group of exact copies holding a third of the data
+  never lands in one task; equal signatures always share a cluster.
 * Bands are lossless: with ``need`` = the fewest equal positions that reach the
   threshold, ``num_perm - need + 1`` bands guarantee by pigeonhole that every
   qualifying pair agrees on a whole band.  No qualifying pair is ever missed.
-* Buckets (band, band value) with at most ``bucket_pair_limit`` members are
-  resolved by exact pair verification (bounded work per bucket).  Larger buckets
-  never enumerate their pairs: they take part in the leader rounds only through
-  bounded aggregates (the smallest undecided member per bucket) and a join of
-  each new leader with the bucket's members (linear), salted against skew.
-* Leader rounds run on the driver as a loop of DataFrame jobs; state is cut with
-  reliable ``checkpoint()`` in the session's checkpoint directory every round.
+* Pairs are never listed.  A bucket (band, band value) is dealt out in cells of two
+  blocks of bounded size; a task compares a cell's signatures and returns at most one
+  row per member: that a smaller undecided member resembles it, or which leader does.
+  One path serves buckets of any size.
+* Leader rounds: first two linear ones, in which the smallest member of all its buckets
+  leads and takes what resembles it (families of near copies are settled there); then
+  rounds in which every member without a smaller undecided look-alike leads.  Members
+  that merely share a template do not block each other, so the number of rounds
+  follows the longest chain of look-alikes, not the size of a bucket.
+* The state of a round is written as parquet to the shared checkpoint folder and the
+  round before is deleted: sizes stay known to the planner, rounds stay equally fast.
 """
 
 from __future__ import annotations
@@ -34,16 +38,19 @@ import logging
 import random
 import time
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import let, tokens_lower
 from ..options import AssessOptions
-from ..session import WIDE_AGGREGATE_CONF, ensure_checkpoint_dir, scoped_conf
+from ..session import WIDE_AGGREGATE_CONF, delete_path, scoped_conf, ship_package, write_and_read
 
 PRIME = 2147483647  # 2^31 - 1, modulus of the affine permutations
 SENTINEL = 2**63 - 1  # start value of every slot; stays for an empty shingle set
-SALTS = 32  # fan-out used to split hot buckets in the leader joins
+BLOCK = 1024  # members of a block; a cell compares two blocks
+STAR_ROUNDS = 2  # linear rounds before all members are compared
 
 UNDECIDED, LEADER, MEMBER = 0, 1, 2
 LOG = logging.getLogger("quire.dedupe")
@@ -154,21 +161,20 @@ def _buckets(reps: DataFrame, ranges) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- clustering
-def _verify(pairs: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
-    """Keep candidate pairs ``(a, b)`` whose signatures reach the threshold."""
-    sa = reps.select(F.col("rep").alias("a"), F.col("sig").alias("sa"))
-    sb = reps.select(F.col("rep").alias("b"), F.col("sig").alias("sb"))
-    return (
-        pairs.join(sa, "a")
-        .join(sb, "b")
-        .select("a", "b", signature_similarity(F.col("sa"), F.col("sb")).alias("similarity"))
-        .filter(F.col("similarity") >= threshold)
-    )
+def collapse_signatures(sigs: DataFrame) -> DataFrame:
+    """``(s1, s2, sig, rep)``: one representative (smallest key) per distinct signature."""
+    return sigs.groupBy("s1", "s2").agg(F.first("sig").alias("sig"), F.min("key").alias("rep"))
 
 
-def collapse_signatures(sigs: DataFrame) -> DataFrame:
-    """``(sig, rep, copies)``: one representative (smallest key) per distinct signature."""
-    return sigs.groupBy("sig").agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("copies"))
+def _with_signature_id(sigs: DataFrame) -> DataFrame:
+    """Adds 128 bits that stand for the signature in joins."""
+    return sigs.withColumns({"s1": F.xxhash64(F.lit(1), "sig"), "s2": F.xxhash64(F.lit(2), "sig")})
+
+
+def signature_table(items: DataFrame, opts: AssessOptions = AssessOptions()) -> DataFrame:
+    """:func:`signatures`, computed once with generated code and read back from the shared folder."""
+    with scoped_conf(items.sparkSession, WIDE_AGGREGATE_CONF):
+        return write_and_read(signatures(items, opts), "signatures")[0]
 
 
 def cluster_keys(items: DataFrame, opts: AssessOptions = AssessOptions()) -> DataFrame:
@@ -179,8 +185,8 @@ def cluster_keys(items: DataFrame, opts: AssessOptions = AssessOptions()) -> Dat
     """
     if opts.num_perm < 1:
         raise ValueError("num_perm must be >= 1")
-    ensure_checkpoint_dir(items.sparkSession)
-    sigs = signatures(items, opts)
+    ship_package(items.sparkSession)
+    sigs = signature_table(items, opts)
     need = required_matches(opts.num_perm, opts.threshold)
     if need is None:
         # nothing can reach the threshold, not even equal signatures
@@ -193,133 +199,115 @@ def cluster_keys(items: DataFrame, opts: AssessOptions = AssessOptions()) -> Dat
         return sigs.select(
             "key", F.lit(first["leader"]).alias("leader"), signature_similarity(lsig, F.col("sig")).alias("similarity")
         )
-
-    with scoped_conf(items.sparkSession, WIDE_AGGREGATE_CONF):
-        sigs = _ckpt(sigs)  # signatures are computed once; later jobs read the checkpoint
-    reps = _ckpt(collapse_signatures(sigs))
-    rep_leader = _leader_rounds(reps, opts)
-    # rep → leader, then every key through its signature
-    sig_leader = _ckpt(reps.join(rep_leader, "rep").select("sig", "copies", "leader", "similarity"))
-    # Back to every key.  A signature with very many copies is one hot join key: those
-    # signatures (at most keys / hot_signature_rows of them) are broadcast, the rest
-    # use the shuffle join, where no key has more than hot_signature_rows rows.
-    hot_limit = opts.hot_signature_rows
-    hot = sig_leader.filter(F.col("copies") > hot_limit).select("sig", "leader", "similarity")
-    cold = sig_leader.filter(F.col("copies") <= hot_limit).select("sig", "leader", "similarity")
-    out = sigs.join(cold, "sig")
-    if not hot.isEmpty():
-        out = out.unionByName(sigs.join(F.broadcast(hot), "sig"))
-    # the result is small (three columns per key) and read by several consumers
-    return _ckpt(out.select("key", "leader", "similarity"))
-
-
-def _ckpt(df: DataFrame) -> DataFrame:
-    return df.checkpoint(eager=True)
-
-
-def _leader_rounds(reps: DataFrame, opts: AssessOptions) -> DataFrame:
-    """``(rep, leader, similarity)`` for every representative."""
-    t = opts.threshold
-    ranges = band_ranges(opts.num_perm, t)
-    mem = _buckets(reps, ranges)
-    sizes = mem.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    mem = _ckpt(mem.join(sizes, "bucket"))  # only buckets with a partner; n carried along
-    largest = mem.agg(F.max("n")).first()[0] or 0  # one-row aggregate
-
-    # exact edges of small buckets (at most limit^2 / 2 pairs per bucket)
-    small = mem.filter(F.col("n") <= opts.bucket_pair_limit)
-    l, r = small.alias("l"), small.alias("r")
-    pairs = (
-        l.join(r, (F.col("l.bucket") == F.col("r.bucket")) & (F.col("l.rep") < F.col("r.rep")))
-        .select(F.col("l.rep").alias("a"), F.col("r.rep").alias("b"))
-        .distinct()
+    sigs = _with_signature_id(sigs)
+    reps, _ = write_and_read(collapse_signatures(sigs), "reps")
+    rep_leader = _leader_rounds(reps, need, opts)
+    # rep → leader, then every key through its signature: an inner join of one row per
+    # signature, whose hot side adaptive execution may split
+    of_sig = reps.select("s1", "s2", "rep").join(rep_leader, "rep", "left").select(
+        "s1", "s2", F.coalesce("leader", "rep").alias("leader"), F.coalesce("similarity", F.lit(1.0)).alias("similarity")
     )
-    edges = _ckpt(_verify(pairs, reps, t))
-
-    # large buckets: membership with signatures, salted by member
-    has_big = largest > opts.bucket_pair_limit
-    big = None
-    if has_big:
-        big = mem.filter(F.col("n") > opts.bucket_pair_limit).select("bucket", "rep")
-        big = _ckpt(big.join(reps.select("rep", "sig"), "rep").withColumn("salt", F.abs(F.xxhash64("rep")) % SALTS))
-    has_edges = not edges.isEmpty()
-
-    if not has_big and not has_edges:
-        return reps.select("rep", F.col("rep").alias("leader"), F.lit(1.0).alias("similarity"))
-
-    nodes = edges.select(F.col("a").alias("rep")).union(edges.select(F.col("b").alias("rep")))
-    if has_big:
-        nodes = nodes.union(big.select("rep"))
-    state = _ckpt(nodes.distinct().withColumn("status", F.lit(UNDECIDED)))
-    big_total = _ckpt(big.groupBy("rep").agg(F.count(F.lit(1)).alias("nb"))) if has_big else None
-    big_cands = None
+    out = sigs.select("key", "s1", "s2").join(of_sig, ["s1", "s2"])
+    return write_and_read(out.select("key", "leader", "similarity"), "clusters")[0]
+
 
+# --------------------------------------------------------------------------- leader rounds
+def _cells(members: DataFrame) -> DataFrame:
+    """Deal ``(bucket, rep, sig, status)`` out to cells of two blocks of a bucket."""
+    sizes = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"), F.count(F.lit(1)).alias("n"))
+    dealt = members.join(sizes.filter("n > 1").drop("n"), "bucket")
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cell = [F.col("bucket"), F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")]
+    dealt = dealt.select(*cell, "block", "rep", "status", "sig")
+    return dealt.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
+
+
+def _compare(members: DataFrame, need: int, num_perm: int, leaders: bool) -> DataFrame:
+    """Compare all members of each cell; at most one row per member and cell.
+
+    ``leaders`` false: ``(rep, leader, similarity)`` of members that a smaller undecided one
+    resembles (the smallest such).  True: of members that a leader resembles (likewise).
+    """
+
+    def cell_rows(rep, status, block, low, high, sig):
+        order = np.argsort(rep, kind="stable")
+        rep, status, block, sig = rep[order], status[order], block[order], sig[order]
+        first = np.flatnonzero(status == LEADER) if leaders else np.arange(len(rep))
+        then = np.flatnonzero(status != LEADER) if leaders else np.arange(len(rep))
+        for k in then:
+            smaller = first[first < k]
+            if low != high:
+                smaller = smaller[block[smaller] != block[k]]
+            for at in range(0, len(smaller), BLOCK):
+                some = smaller[at : at + BLOCK]
+                same = (sig[some] == sig[k]).sum(1)
+                hit = np.flatnonzero(same >= need)
+                if len(hit):
+                    yield rep[k], rep[some[hit[0]]], same[hit[0]] / num_perm
+                    break
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            table = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            keys = table[["bucket", "low", "high"]].to_numpy()
+            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
+            last = int(cuts[-1]) if len(cuts) else 0
+            yield from rows(table.iloc[:last], cuts[:-1])
+            held = table.iloc[last:]
+        if held is not None:
+            yield from rows(held, np.array([], dtype=int))
+
+    def rows(table, cuts):
+        if not len(table):
+            return
+        rep, status = table["rep"].to_numpy(), table["status"].to_numpy()
+        block, low, high = (table[c].to_numpy() for c in ("block", "low", "high"))
+        sig = np.stack(table["sig"].to_numpy())
+        out = []
+        for a, b in zip([0, *cuts], [*cuts, len(table)], strict=True):
+            out += cell_rows(rep[a:b], status[a:b], block[a:b], low[a], high[a], sig[a:b])
+        if out:
+            yield pd.DataFrame(out, columns=["rep", "leader", "similarity"])
+
+    found = _cells(members).mapInPandas(run, "rep string, leader string, similarity double")
+    return found.groupBy("rep").agg(F.min(F.struct("leader", "similarity")).alias("b")).select("rep", "b.leader", "b.similarity")
+
+
+def _leader_rounds(reps: DataFrame, need: int, opts: AssessOptions) -> DataFrame:
+    """``(rep, leader, similarity)`` of the representatives that share a bucket with another."""
+    spark = reps.sparkSession
+    every = _buckets(reps, band_ranges(opts.num_perm, opts.threshold))
+    shared = every.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    mem, _ = write_and_read(every.join(shared, "bucket").select("bucket", "rep"), "buckets")
+    sigs = reps.select("rep", "sig")
+    state, path = write_and_read(mem.select("rep").distinct().withColumn("status", F.lit(UNDECIDED)), "state")
     rounds, started = 0, time.perf_counter()
     while not state.filter(F.col("status") == UNDECIDED).isEmpty():
         rounds += 1
         LOG.info("leader round %d (%.1fs)", rounds, time.perf_counter() - started)
-        undecided = state.filter(F.col("status") == UNDECIDED).select("rep")
-        # blocked by a smaller neighbour that is not a member (undecided or leader)
-        live = state.filter(F.col("status") != MEMBER).select(F.col("rep").alias("a"))
-        blocked = edges.join(live, "a").select(F.col("b").alias("rep")).distinct()
-        promo = undecided.join(blocked, "rep", "left_anti")
-        if has_big:
-            # in every large bucket the node must be the smallest undecided member
-            und_big = big.join(undecided, "rep")
-            min_und = und_big.groupBy("bucket").agg(F.min("rep").alias("rep"))  # bounded per bucket
-            wins = min_und.groupBy("rep").agg(F.count(F.lit(1)).alias("nmin"))
-            not_min = big_total.join(wins, "rep", "left").filter(
-                F.coalesce(F.col("nmin"), F.lit(0)) < F.col("nb")
-            ).select("rep")
-            promo = promo.join(not_min, "rep", "left_anti")
-        promo = _ckpt(promo)
-
-        # attach: small-bucket edges of new leaders
-        attached = edges.join(promo.select(F.col("rep").alias("a")), "a").select(F.col("b").alias("rep"))
-        if has_big:
-            # each large bucket holds at most one new leader; pair it with every later member
-            lead = big.join(promo, "rep").select("bucket", F.col("rep").alias("leader"), F.col("sig").alias("lsig"))
-            lead = lead.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-            cands = (
-                big.join(lead, ["bucket", "salt"])
-                .filter(F.col("rep") > F.col("leader"))
-                .select("rep", "leader", signature_similarity(F.col("lsig"), F.col("sig")).alias("similarity"))
-                .filter(F.col("similarity") >= t)
-                .distinct()
-            )
-            cands = _ckpt(cands)
-            big_cands = cands if big_cands is None else _ckpt(big_cands.union(cands))
-            attached = attached.union(cands.select("rep"))
-        attached = attached.distinct().withColumn("hit", F.lit(True))
-
-        state = _ckpt(
-            state.join(promo.withColumn("new_leader", F.lit(True)), "rep", "left")
-            .join(attached, "rep", "left")
-            .select(
-                "rep",
-                F.when(F.col("status") != UNDECIDED, F.col("status"))
-                .when(F.col("new_leader"), F.lit(LEADER))
-                .when(F.col("hit"), F.lit(MEMBER))
-                .otherwise(F.lit(UNDECIDED))
-                .alias("status"),
-            )
-        )
-
-    leaders = state.filter(F.col("status") == LEADER).select(F.col("rep").alias("a"))
-    via = edges.join(leaders, "a").select(F.col("b").alias("rep"), F.col("a").alias("leader"), "similarity")
-    if big_cands is not None:
-        via = via.union(big_cands.select("rep", "leader", "similarity"))
-    # smallest leader wins; struct order compares leader first
-    best = via.groupBy("rep").agg(F.min(F.struct("leader", "similarity")).alias("b"))
-    return (
-        reps.select("rep")
-        .join(best, "rep", "left")
-        .select(
-            "rep",
-            F.coalesce(F.col("b.leader"), F.col("rep")).alias("leader"),
-            F.coalesce(F.col("b.similarity"), F.lit(1.0)).alias("similarity"),
-        )
-    )
+        open_ = state.filter(F.col("status") == UNDECIDED).select("rep")
+        listed = mem.join(open_, "rep")
+        if rounds <= STAR_ROUNDS:
+            # the smallest undecided member of all its buckets leads
+            smallest = listed.groupBy("bucket").agg(F.min("rep").alias("least"))
+            behind = listed.join(smallest, "bucket").filter("rep > least").select("rep").distinct()
+        else:
+            behind = _compare(listed.join(sigs, "rep").withColumn("status", F.lit(UNDECIDED)), need, opts.num_perm, False).select("rep")
+        new, new_path = write_and_read(open_.join(behind, "rep", "left_anti").withColumn("lead", F.lit(LEADER)), "leaders")
+        # members: undecided ones that a new leader resembles
+        with_new = listed.join(new, "rep", "left").select("bucket", "rep", F.coalesce("lead", F.lit(UNDECIDED)).alias("status"))
+        led = with_new.filter(F.col("status") == LEADER).select("bucket").distinct()
+        taken = _compare(with_new.join(led, "bucket").join(sigs, "rep"), need, opts.num_perm, True).select("rep", F.lit(MEMBER).alias("taken"))
+        status = F.coalesce(F.col("lead"), F.col("taken"), F.col("status")).alias("status")
+        after, new_state = write_and_read(state.join(new, "rep", "left").join(taken, "rep", "left").select("rep", status), "state")
+        delete_path(spark, path)
+        delete_path(spark, new_path)
+        state, path = after, new_state
+    # every member against all leaders of its buckets: the smallest one counts
+    final = mem.join(state, "rep").join(sigs, "rep")
+    return write_and_read(_compare(final, need, opts.num_perm, True), "rep-leaders")[0]
 
 
 # --------------------------------------------------------------------------- corpus helpers

@@ -96,12 +96,6 @@ class AssessOptions:
     threshold: float = DUPLICATE_THRESHOLD
     # 'first_section' compares section 0 like the reference; 'document' uses the whole text.
     dedupe_scope: str = "first_section"
-    # Buckets with more members than this are resolved by the linear leader path
-    # (no pair enumeration inside the bucket); smaller ones by exact pairs.
-    bucket_pair_limit: int = 64
-    # Signatures shared by more keys than this are joined back by broadcast; there are
-    # at most (keys / hot_signature_rows) of them, so the broadcast side is bounded.
-    hot_signature_rows: int = 1_000_000
     minhash_seed: int = 20240607
 
 

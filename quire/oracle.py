@@ -231,11 +231,13 @@ from .operators.dedupe import PRIME, SENTINEL, permutation_params  # noqa: E402
 from .options import DUPLICATE_THRESHOLD, MINHASH_NUM_PERM, SHINGLE_NGRAM, AssessOptions  # noqa: E402
 
 
-def dedupe_ctes(tag: str, n: int, threshold: float, num_perm: int, seed: int, scope: str = "first_section") -> str:
+def dedupe_ctes(
+    tag: str, n: int, threshold: float, num_perm: int, seed: int, scope: str = "first_section", only: str = "TRUE"
+) -> str:
     """Signatures, representatives, all-pairs edges (brute force) and the greedy walk."""
     params = "[" + ", ".join(f"{{'a': {a}, 'b': {b}}}" for a, b in permutation_params(num_perm, seed)) + "]"
     if scope == "document":
-        items = f"{tag}_items AS (SELECT path AS key, text FROM corpus),"
+        items = f"{tag}_items AS (SELECT path AS key, text FROM corpus WHERE {only}),"
     else:
         items = f"""{tag}_items AS (
   SELECT c.path AS key, coalesce(s.content, CASE WHEN c.fmt = 'generic' THEN c.text END, '') AS text
@@ -314,6 +316,8 @@ qd(
 qd("near_dup_clusters", "SELECT key, leader FROM dd_key_leader")
 qd("near_dup_clusters_loose", "SELECT key, leader FROM dl_key_leader", loose=True)
 qd("near_dup_clusters_document", "SELECT key, leader FROM dw_key_leader", extra="," + DEDUPE_DOC)
+DEDUPE_TEMPLATED = dedupe_ctes("dt", 3, 0.7, MINHASH_NUM_PERM, _D.minhash_seed, scope="document", only="path LIKE 'parts/%'")
+qd("near_dup_clusters_templated", "SELECT key, leader FROM dt_key_leader", extra="," + DEDUPE_TEMPLATED)
 qd("near_dup_pairs", "SELECT leader AS a, key AS b, similarity FROM dd_key_leader WHERE key <> leader")
 qd("clusters", "SELECT leader, count(*)::BIGINT AS size FROM dd_key_leader GROUP BY leader")
 qd(

@@ -180,7 +180,7 @@ def q_fingerprint(spark, sf):
 
 
 # ---------------------------------------------------------------- near duplicates
-from .operators.dedupe import cluster_keys, cluster_table, dedupe_items, shingles, signature_similarity, signatures  # noqa: E402
+from .operators.dedupe import cluster_keys, cluster_table, dedupe_items, shingles, signature_similarity, signature_table  # noqa: E402
 
 LOOSE = AssessOptions(ngram=3, threshold=0.7)
 
@@ -203,7 +203,7 @@ def q_shingles(spark, sf):
 
 @register("minhash_signature")
 def q_minhash(spark, sf):
-    s = signatures(_items(spark, sf))
+    s = signature_table(_items(spark, sf))
     return s.select("key", F.array_join(F.transform("sig", lambda v: v.cast("string")), ",").alias("sig"))
 
 
@@ -213,10 +213,7 @@ def q_signature_similarity(spark, sf):
     docs = read_table(spark, sf, "documents").select(
         "doc_id", F.concat(F.lit("docs/"), "source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".md")).alias("key")
     )
-    from .session import WIDE_AGGREGATE_CONF, scoped_conf
-
-    with scoped_conf(spark, WIDE_AGGREGATE_CONF):  # both join sides read one checkpoint
-        s = signatures(_items(spark, sf)).join(docs, "key").checkpoint(eager=True)
+    s = signature_table(_items(spark, sf)).join(docs, "key")
     a = s.select(F.col("doc_id").alias("id_a"), F.col("key").alias("a"), F.col("sig").alias("sa"))
     b = s.select((F.col("doc_id") - 1).alias("id_a"), F.col("key").alias("b"), F.col("sig").alias("sb"))
     return a.join(b, "id_a").select("a", "b", signature_similarity(F.col("sa"), F.col("sb")).alias("similarity"))
@@ -238,6 +235,16 @@ def q_near_dup_clusters_document(spark, sf):
     return cluster_keys(_items(spark, sf, opts), opts).select("key", "leader")
 
 
+# unlike documents of one template: many share buckets, few resemble each other
+TEMPLATED = AssessOptions(ngram=3, threshold=0.7, dedupe_scope="document")
+
+
+@register("near_dup_clusters_templated")
+def q_near_dup_clusters_templated(spark, sf):
+    items = dedupe_items(assess_documents(corpus(spark, sf, ("part",)), TEMPLATED), TEMPLATED.dedupe_scope)
+    return cluster_keys(items, TEMPLATED).select("key", "leader")
+
+
 @register("near_dup_pairs")
 def q_near_dup_pairs(spark, sf):
     kl = cluster_keys(_items(spark, sf))

@@ -9,10 +9,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "quire") -> SparkSession:
@@ -64,6 +65,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     )
 
 
+def write_and_read(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write ``df`` into the shared checkpoint folder and read it back: ``(table, path)``.
+
+    Cuts the lineage like ``checkpoint()``, but the table read back has the statistics of
+    its files; a checkpointed plan keeps its old size estimate, which loops multiply.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder that :func:`write_and_read` made and no plan reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 class scoped_conf:
     """Temporarily set SQL confs for the jobs run inside the block, then restore them."""
 

@@ -1,9 +1,12 @@
 """Near-duplicate clustering against a plain greedy pass over the same signatures."""
 
 import random
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
+from quire.operators import dedupe
 from quire.operators.dedupe import (
     SENTINEL,
     band_ranges,
@@ -90,8 +93,8 @@ def _random_corpus(seed: int, n: int):
     return rows
 
 
-def test_matches_greedy_and_large_bucket_path(spark):
-    """Random near-copies: small-bucket pairs, forced large-bucket path and plain greedy agree."""
+def test_matches_greedy_with_whole_and_cut_buckets(spark, monkeypatch):
+    """Random near-copies: whole buckets, buckets cut into cells and plain greedy agree."""
     for seed in (1, 2):
         rows = _random_corpus(seed, 60)
         items = spark.createDataFrame(rows, "key string, text string")
@@ -101,9 +104,10 @@ def test_matches_greedy_and_large_bucket_path(spark):
             want = greedy(sigs, t)
             exact = {r.key: r.leader for r in cluster_keys(items, opts).collect()}
             assert exact == want
-            # every bucket above 2 members goes through the linear large-bucket path
-            forced = AssessOptions(ngram=3, num_perm=32, threshold=t, bucket_pair_limit=2)
-            assert {r.key: r.leader for r in cluster_keys(items, forced).collect()} == want
+            # buckets cut into many cells
+            monkeypatch.setattr(dedupe, "BLOCK", 2)
+            assert {r.key: r.leader for r in cluster_keys(items, opts).collect()} == want
+            monkeypatch.undo()
 
 
 def test_every_key_in_one_cluster(spark):
@@ -126,8 +130,7 @@ def test_threshold_edges(spark):
 
 
 def test_hot_group_default_limit(spark):
-    """A third of the corpus are near-copies of one text: buckets exceed the default
-    pair limit, go through the large-bucket path, and the result is still the greedy one."""
+    """A third of the corpus are near-copies of one text; the result is the greedy one."""
     rng = random.Random(11)
     vocab = [f"v{i}" for i in range(300)]
     hot = [rng.choice(vocab) for _ in range(60)]
@@ -143,11 +146,6 @@ def test_hot_group_default_limit(spark):
     items = spark.createDataFrame(rows, "key string, text string")
     opts = AssessOptions(ngram=3, num_perm=64, threshold=0.7)
     sigs = {r.key: list(r.sig) for r in signatures(items, opts).collect()}
-    from quire.operators.dedupe import _buckets, band_ranges as br
-
-    reps = spark.createDataFrame([(k, v) for k, v in sigs.items()], "rep string, sig array<bigint>")
-    biggest = _buckets(reps, br(64, 0.7)).groupBy("bucket").count().agg(F.max("count")).first()[0]
-    assert biggest > opts.bucket_pair_limit  # the hot group really forms large buckets
     got = {r.key: r.leader for r in cluster_keys(items, opts).collect()}
     assert got == greedy(sigs, 0.7)
 
@@ -164,14 +162,31 @@ def test_column_minhash_equals_aggregate_signatures(spark):
     assert by_col == by_agg
 
 
-def test_hot_signature_broadcast_path(spark):
-    """Exact-copy groups above the hot limit are joined back by broadcast; same result."""
+def test_hot_signature(spark):
+    """Many exact copies of one text."""
     rows = [(f"c{i:03d}", "same words repeated in every copy of this text") for i in range(30)]
     rows += _random_corpus(4, 30)
     items = spark.createDataFrame(rows, "key string, text string")
-    base = AssessOptions(ngram=3, num_perm=32, threshold=0.7)
-    hot = AssessOptions(ngram=3, num_perm=32, threshold=0.7, hot_signature_rows=5)
-    sigs = {r.key: list(r.sig) for r in signatures(items, base).collect()}
-    want = greedy(sigs, 0.7)
-    assert {r.key: r.leader for r in cluster_keys(items, hot).collect()} == want
-    assert {r.key: r.leader for r in cluster_keys(items, base).collect()} == want
+    opts = AssessOptions(ngram=3, num_perm=32, threshold=0.7)
+    sigs = {r.key: list(r.sig) for r in signatures(items, opts).collect()}
+    assert {r.key: r.leader for r in cluster_keys(items, opts).collect()} == greedy(sigs, 0.7)
+
+
+@pytest.mark.parametrize("n", [100, 300])
+def test_templated_documents_end_soon(spark, n):
+    """Unlike documents of one template: large buckets, few look-alikes; rounds do not slow down."""
+    rng = random.Random(n)
+    vocab = [f"x{i}" for i in range(500)]
+    template = [rng.choice(vocab) for _ in range(120)]
+    rows = []
+    for i in range(n):
+        words = list(template)
+        for at in range(0, 120, 9):
+            words[at] = rng.choice(vocab)
+        rows.append((f"t{i:05d}", " ".join(words)))
+    items = spark.createDataFrame(rows, "key string, text string")
+    opts = AssessOptions(ngram=3, num_perm=64, threshold=0.7)
+    sigs = {r.key: list(r.sig) for r in signatures(items, opts).collect()}
+    started = time.perf_counter()
+    assert {r.key: r.leader for r in cluster_keys(items, opts).collect()} == greedy(sigs, 0.7)
+    assert time.perf_counter() - started < 120
