@@ -12,12 +12,13 @@ The links are found by a grouped prefix join:
 3.  Classes of the same prefix and size are collapsed into one group.
 4.  Candidates are found and verified in two steps, as only components are wanted.  First
     every group's leader is held against its members, and every prefix token's pivot
-    against the leaders in its bucket: a linear number of pairs, which joins most
-    families of near copies.  Then the groups are expanded, and those members that are
-    not connected with their bucket's pivot are held against all members of other
-    components that pass the size filter and the overlap bound (tokens that no other
-    member of large buckets has cannot be shared).  Every pair that could link is thus
-    verified or already connected, so no component is torn.
+    against the groups in its bucket that pass the size filter, expanded to their
+    members: a linear number of pairs, which joins most families of near copies.  Then
+    those members that are not connected with their bucket's pivot are held against all
+    members of other components that pass the size filter and the overlap bound.  That
+    bound counts what either set shares with the pivot and what else of it another set
+    may have (tokens that no other member of large buckets has cannot be shared).  Every
+    pair that could link is thus verified or already connected: no component is torn.
 
 Pairs are verified on the whole sets.  Every intermediate result is written to the shared
 folder; no pairs are listed within a class, and nothing is collected but counts.
@@ -178,35 +179,44 @@ def _roots(rows: DataFrame, buckets: DataFrame, words: int, percent: int) -> Dat
     own = own.filter("lo = hi").groupBy(F.col("lo").alias("node")).agg(F.count(F.lit(1)).alias("own"))
     members = materialize(members.join(own, "node", "left").withColumn("own", F.coalesce("own", F.lit(0))), "members")
 
-    # first step: leaders with their groups, pivots with the leaders of their buckets
+    # first step: pivots of buckets with the groups that fit, expanded to their members
     rank = F.struct("own", "lone", "node")
-    leaders = members.groupBy("grp").agg(F.min(rank)["node"].alias("leader"))
-    in_group = members.join(leaders, "grp").select(F.col("leader").alias("a"), F.col("node").alias("b"))
+    groups = members.groupBy("grp").agg(F.min(rank)["node"].alias("leader"))
+    in_group = members.join(groups, "grp").select(F.col("leader").alias("a"), F.col("node").alias("b"))
     lists = buckets.select("h", "node", "members").join(members.drop("doc_id"), "node")
     pivots = materialize(lists.groupBy("h").agg(F.min(rank)["node"].alias("pivot"), F.min_by("n", rank).alias("pivot_n")), "pivots")
-    led = lists.join(leaders.select(F.col("leader").alias("node")), "node", "left_semi")
     fits = F.least("n", "pivot_n") * 100 >= F.greatest("n", "pivot_n") * percent
-    in_bucket = led.join(pivots, "h").filter(fits).select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-    first = materialize(_ordered(in_group.unionByName(in_bucket)), "pairs")
-    links = materialize(_verified(first, sets, percent), "verified")
+    posted = lists.groupBy("h", "grp", "n").agg(F.count(F.lit(1)).alias("size"))  # a group once in a bucket
+    met = posted.join(pivots, "h").filter(fits).select("grp", "pivot").distinct()
+    in_bucket = met.join(members.select("grp", "node"), "grp").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+    first = materialize(_common(_ordered(in_group.unionByName(in_bucket)), sets), "verified")
+    links = first.filter(_linked(percent)).select("a", "b")
     roots = components(links)
 
     # second step: what is not connected with its pivot, against other components of the bucket
-    placed = lists.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    at_pivot = pivots.join(roots.withColumnRenamed("node", "pivot"), "pivot", "left").select("h", F.coalesce("root", "pivot").alias("pivot_root"))
-    placed = materialize(placed.join(at_pivot, "h").select("h", "node", "n", "own", "members", "root", "pivot_root"), "placed")
-    strays = placed.filter("root != pivot_root").select("h", *(F.col(c).alias(f"s_{c}") for c in ("node", "n", "own", "root")))
-    overlap = (F.col("n") + F.col("s_n")) * percent / (100 + percent)
-    bound = F.least(F.col("n") - F.col("own"), F.col("s_n") - F.col("s_own"))
+    placed = lists.join(pivots, "h").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    at_pivot = roots.select(F.col("node").alias("pivot"), F.col("root").alias("pivot_root"))
+    placed = placed.join(at_pivot, "pivot", "left").withColumn("pivot_root", F.coalesce("pivot_root", "pivot"))
+    placed = placed.withColumns({"a": F.least("pivot", "node"), "b": F.greatest("pivot", "node")}).join(first.select("a", "b", "common"), ["a", "b"], "left")
+    # tokens shared with the pivot (unknown where the sizes exclude a link), and the others that somebody else may have
+    own = F.when(F.col("members") >= CROWDED, F.col("own")).otherwise(0)
+    inside = F.when(F.col("node") == F.col("pivot"), F.col("n")).otherwise(F.col("common"))
+    placed = placed.select("h", "node", "n", "root", "pivot_root", (F.col("n") - own).alias("open"), inside.alias("inside"))
+    placed = materialize(placed.withColumn("outside", F.col("open") - F.col("inside")), "placed")
+    strays = placed.filter("root != pivot_root").select("h", *(F.col(c).alias(f"s_{c}") for c in ("node", "n", "root", "open", "inside", "outside")))
+    overlap = (F.col("n") + F.col("s_n")) * percent / (100 + percent) - 1e-6
+    # a common token is in the pivot and both sets, or in both but not in the pivot
+    through = F.when(F.col("inside").isNotNull() & F.col("s_inside").isNotNull(), F.least("inside", "s_inside") + F.least("outside", "s_outside"))
+    bound = F.least(through, "open", "s_open")  # a null is passed over
     tested = (
         (F.col("root") != F.col("s_root"))
         & ((F.col("root") == F.col("pivot_root")) | (F.col("node") > F.col("s_node")))  # two strays meet once
         & (F.least("n", "s_n") * 100 >= F.greatest("n", "s_n") * percent)
-        & ((F.col("members") < CROWDED) | (bound >= overlap - 1e-6))
+        & (bound >= overlap)
     )
     second = strays.join(placed, "h").filter(tested).select(F.col("s_node").alias("a"), F.col("node").alias("b"))
     second = _ordered(second).join(first, ["a", "b"], "left_anti")
-    more = _verified(second, sets, percent)
+    more = _common(second, sets).filter(_linked(percent)).select("a", "b")
     return components(links.unionByName(more))
 
 
@@ -214,9 +224,13 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose whole sets reach the similarity."""
+def _common(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Adds the sizes of the whole sets and of their intersection to ``pairs(a, b)``."""
     left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
-    both = F.size(F.array_intersect("x", "y"))
-    return pairs.join(left, "a").join(right, "b").filter(both * (100 + percent) >= (F.size("x") + F.size("y")) * percent).select("a", "b")
+    joined = pairs.join(left, "a").join(right, "b")
+    return joined.select("a", "b", F.size("x").alias("na"), F.size("y").alias("nb"), F.size(F.array_intersect("x", "y")).alias("common"))
+
+
+def _linked(percent: int):
+    return F.col("common") * (100 + percent) >= (F.col("na") + F.col("nb")) * percent
