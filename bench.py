@@ -17,6 +17,7 @@ HEADLINE = (
     "inventory",          # full assessment: sections, features, metrics, scores, predictions
     "section_features",   # per-section feature rows (explode + regex counters)
     "near_dup_clusters",  # MinHash + lossless banding + leader rounds
+    "near_dup_clusters_templated",  # unlike documents of one template: large buckets, many rounds
     "conversion_plan",    # plans with their file names
     "end_to_end",         # extract → transform (plans, classify, topics)
     "topic_map",          # ordered map fragments

@@ -12,6 +12,8 @@ import fnmatch
 import re
 import sys
 
+from pyspark.sql import SparkSession
+
 # Python ``\w`` on str == letters, numbers and underscore.
 WORD = r"[\p{L}\p{N}_]"
 NOT_WORD = r"[^\p{L}\p{N}_]"
@@ -95,64 +97,84 @@ _PY_ESCAPES = {
     "B": f"(?:(?<={WORD})(?={WORD})|(?<!{WORD})(?!{WORD}))",
     "Z": r"\z",
 }
-_PY_ESCAPES_IN_CLASS = {
-    "w": r"\p{L}\p{N}_",
-    "d": r"\p{Nd}",
-    "s": WS[1:-1],
-}
+_PY_ESCAPES_IN_CLASS = {"w": r"\p{L}\p{N}_", "d": r"\p{Nd}", "D": r"\P{Nd}", "s": WS[1:-1], "b": r"\x{8}"}
+#: complements that have no form inside a Java class without nesting
+_PY_COMPLEMENTS = {"W": NOT_WORD, "S": char_class(PY_SPACE_CHARS, negate=True)}
+
+
+def _class_to_java(pattern: str, i: int) -> tuple[str, int]:
+    """Java form of the Python class that starts at ``pattern[i] == "["``, and the place after it.
+
+    ``[`` and ``&`` are ordinary characters in a Python class, operators in a Java one.  A
+    class with ``\\W`` or ``\\S`` becomes an alternative of classes; if negated, any character
+    that the alternative does not match.
+    """
+    i += 1
+    negated = pattern.startswith("^", i)
+    i += negated
+    items, others, first = [], [], True
+    while i < len(pattern) and (pattern[i] != "]" or first):
+        ch = pattern[i]
+        first = False
+        if ch == "\\" and i + 1 < len(pattern):
+            nxt = pattern[i + 1]
+            if nxt in _PY_COMPLEMENTS:
+                others.append(_PY_COMPLEMENTS[nxt])
+            else:
+                items.append(_PY_ESCAPES_IN_CLASS.get(nxt, ch + nxt))
+            i += 2
+            continue
+        items.append("\\" + ch if ch in "[]&^~" else ch)
+        i += 1
+    own = "".join(items)
+    if not others:
+        return f"[{'^' if negated else ''}{own}]", i + 1
+    alternatives = "|".join(([f"[{own}]"] if own else []) + others)
+    return (f"(?:(?!{alternatives})(?s:.))" if negated else f"(?:{alternatives})"), i + 1
 
 
 def python_regex_to_java(pattern: str) -> str:
-    """Translate the Python-only meaning of ``\\w \\W \\d \\D \\s \\S \\b \\B \\Z`` and the
+    """Translate the Python-only meaning of ``\\w \\W \\d \\D \\s \\S \\b \\B \\Z``, of classes and the
     ``(?P<name>…)`` / ``(?P=name)`` group syntax to Java.
 
     Java gives these escapes ASCII meaning by default; Python gives them Unicode
     meaning on str.  Everything else in the two dialects used by rule patterns
-    (classes, groups, quantifiers, atomic groups, look-around) is shared.
+    (groups, quantifiers, atomic groups, look-around) is shared.
     """
     out: list[str] = []
-    i, n, in_class = 0, len(pattern), False
+    i, n = 0, len(pattern)
     while i < n:
         ch = pattern[i]
         if ch == "\\" and i + 1 < n:
-            nxt = pattern[i + 1]
-            if in_class and nxt in _PY_ESCAPES_IN_CLASS:
-                out.append(_PY_ESCAPES_IN_CLASS[nxt])
-            elif not in_class and nxt in _PY_ESCAPES:
-                out.append(_PY_ESCAPES[nxt])
-            else:
-                out.append(ch + nxt)
+            out.append(_PY_ESCAPES.get(pattern[i + 1], ch + pattern[i + 1]))
             i += 2
-            continue
-        if not in_class and pattern.startswith("(?P<", i):
+        elif pattern.startswith("(?P<", i):
             out.append("(?<")  # named group
             i += 4
-            continue
-        if not in_class and pattern.startswith("(?P=", i):
+        elif pattern.startswith("(?P=", i):
             j = pattern.index(")", i)
             out.append("\\k<" + pattern[i + 4:j] + ">")  # named back-reference
             i = j + 1
-            continue
-        if ch == "[" and not in_class:
-            in_class = True
+        elif ch == "[":
+            part, i = _class_to_java(pattern, i)
+            out.append(part)
+        else:
             out.append(ch)
-            # a leading ']' (or '^]') is a literal inside the class
-            j = i + 1
-            if j < n and pattern[j] == "^":
-                out.append("^")
-                j += 1
-            if j < n and pattern[j] == "]":
-                out.append("\\]")
-                j += 1
-            i = j
-            continue
-        if ch == "]" and in_class:
-            in_class = False
-        out.append(ch)
-        i += 1
+            i += 1
     return "".join(out)
 
 
+def checked_java_pattern(java: str, rule: str) -> str:
+    """``java`` if both dialects accept the rule, else a ``ValueError`` that names it (on the driver)."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        try:
+            spark._jvm.java.util.regex.Pattern.compile(java)
+        except Exception as e:  # noqa: BLE001 - any complaint of the pattern compiler
+            raise ValueError(f"rule pattern {rule!r} cannot be used: {str(e).splitlines()[0]}") from None
+    return java
+
+
 def glob_to_java(glob: str) -> str:
     """``fnmatch.fnmatch`` (case-sensitive, POSIX) as a full-match Java pattern."""
     return r"\A" + python_regex_to_java(fnmatch.translate(glob))

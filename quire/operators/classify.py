@@ -8,10 +8,12 @@ narrow projection.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..functions.regex import WORD, glob_to_java, python_regex_to_java
+from ..functions.regex import WORD, checked_java_pattern, glob_to_java, python_regex_to_java
 from ..functions.text import py_strip
 from ..options import REFERENCE_HEURISTIC_WORDS, TASK_HEURISTIC_WORDS, TOPIC_TYPES, Rule
 
@@ -33,7 +35,11 @@ def valid_type(c: Column) -> Column:
 
 def content_rule_pattern(pattern: str) -> str:
     """Python ``re.search(pattern, text, re.IGNORECASE)`` as a Java pattern."""
-    return "(?iud)" + python_regex_to_java(pattern)
+    try:
+        re.compile(pattern)
+    except re.error as e:
+        raise ValueError(f"rule pattern {pattern!r} cannot be used: {e}") from None
+    return checked_java_pattern("(?iud)" + python_regex_to_java(pattern), pattern)
 
 
 def classify_topic(
@@ -47,7 +53,7 @@ def classify_topic(
     content = F.coalesce(content, F.lit(""))
     branches: list[tuple[Column, Column]] = []
     for r in rules_by_filename:
-        branches.append((stem.rlike(glob_to_java(r.pattern)), F.lit(validated_type(r.type))))
+        branches.append((stem.rlike(checked_java_pattern(glob_to_java(r.pattern), r.pattern)), F.lit(validated_type(r.type))))
     for r in rules_by_content:
         branches.append((content.rlike(content_rule_pattern(r.pattern)), F.lit(validated_type(r.type))))
     if plan_type is not None:

@@ -14,8 +14,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions.regex import WS_INLINE
-from ..functions.text import py_strip, xml_escape
+from ..functions.text import py_strip, remove_tags, xml_escape
+from .sections import HTML_HEADING, split_on_headings
 
+# Parts of a page that are no text, and the tags that end a paragraph.
+DROPPED = r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
+BLOCK_TAG = (
+    r"(?is)</?(?:address|article|aside|blockquote|body|br|caption|dd|div|dl|dt|figure|footer|form|head|header|hr|html|li|main|nav|"
+    r"ol|p|pre|section|table|tbody|td|tfoot|th|thead|title|tr|ul)\b[^>]*>"
+)
 BLOCK_BREAK = "\\n(?:" + WS_INLINE + "*\\n)+"
 
 
@@ -33,15 +40,24 @@ def html_unescape_basic(c: Column) -> Column:
     return c
 
 
-def html_text_sections(sections: Column) -> Column:
-    """HTML sections with entities decoded in titles and contents."""
-    return F.transform(
-        sections,
-        lambda s: F.struct(
-            s["level"].alias("level"),
-            html_unescape_basic(s["title"]).alias("title"),
-            html_unescape_basic(s["content"]).alias("content"),
-        ),
+def html_blocks(raw: Column) -> Column:
+    """Text of raw HTML: block tags become blank lines, other tags go, entities are decoded."""
+    return html_unescape_basic(remove_tags(F.regexp_replace(raw, BLOCK_TAG, "\n\n")))
+
+
+def html_raw_sections(text: Column) -> Column:
+    """Sections of raw HTML at its headings; scripts, styles and comments are dropped first.
+
+    Titles are decoded text, contents text with a blank line at every block tag.
+    """
+    clean = lambda c: py_strip(remove_tags(c))
+    return split_on_headings(
+        F.regexp_replace(F.coalesce(text, F.lit("")), DROPPED, ""),
+        HTML_HEADING,
+        level_of=lambda lv: lv,
+        title_of=lambda c: html_unescape_basic(clean(c)),
+        body_of=html_blocks,
+        keep_preamble=lambda pre: clean(pre) != "",
     )
 
 

@@ -9,10 +9,13 @@ from ..functions.paths import suffix
 from ..options import DEFAULT_HANDLERS, OPTIONAL_HANDLERS
 
 
-def build_registry(overrides: dict | None = None, optional_handlers=()) -> dict[str, str]:
-    """Extension (lower case) → handler name; overrides win; unknown names raise."""
+def build_registry(overrides: dict | None = None, optional_handlers=(), converters=()) -> dict[str, str]:
+    """Extension (lower case) → handler name; overrides win; unknown names raise.
+
+    ``converters`` names the handlers that the caller has a converter for.
+    """
     registry = {ext.lower(): name for ext, name in DEFAULT_HANDLERS.items()}
-    known = set(registry.values()) | {h for h in optional_handlers if h in OPTIONAL_HANDLERS}
+    known = set(registry.values()) | {h for h in optional_handlers if h in OPTIONAL_HANDLERS} | set(converters)
     for ext, name in (overrides or {}).items():
         if name not in known:
             raise ValueError(f"Unknown extractor '{name}' for extension '{ext}'. Available: {sorted(known)}")

@@ -37,7 +37,7 @@ def _empty_sections() -> Column:
     return F.array().cast(SECTION_SCHEMA)
 
 
-def _split_on_headings(text: Column, pattern: str, level_of, title_of, body_of, keep_preamble) -> Column:
+def split_on_headings(text: Column, pattern: str, level_of, title_of, body_of, keep_preamble) -> Column:
     """Shared shape: ``split`` gives preamble + one body per heading, in match order.
 
     ``split`` and ``regexp_extract_all`` use the same matcher, so piece ``i + 1``
@@ -79,7 +79,7 @@ def markdown_sections(text: Column) -> Column:
     """
     t = F.coalesce(text, F.lit(""))
     norm = F.when(t.rlike(OTHER_BREAKS), normalize_newlines(t)).otherwise(t)
-    return _split_on_headings(
+    return split_on_headings(
         norm,
         MD_HEADING,
         level_of=F.length,
@@ -96,7 +96,7 @@ def html_sections(text: Column) -> Column:
     """
     t = F.coalesce(text, F.lit(""))
     clean = lambda c: py_strip(remove_tags(c))
-    return _split_on_headings(
+    return split_on_headings(
         t,
         HTML_HEADING,
         level_of=lambda lv: lv,

@@ -12,11 +12,10 @@ from pyspark.sql import functions as F
 
 from ..functions.paths import relative_path, stem
 from ..functions.text import let, py_strip, remove_tags, xml_escape
-from ..options import BODY_FALLBACK_CHARS, MAP_FOOTER, MAP_HEADER, TOPIC_ID, TOPIC_TEMPLATES, UNTITLED
+from ..options import MAP_FOOTER, MAP_HEADER, TOPIC_ID, TOPIC_TEMPLATES, UNTITLED
 
 TITLE_RE = r"(?iud)<title>(.*?)</title>"
 PARA_RE = r"(?isu)<para>(.*?)</para>"
-FRAGMENT_SCHEMA = "part bigint, k1 string, k2 bigint, k3 string, fragment string"
 
 
 def extract_title(docbook: Column) -> Column:
@@ -24,13 +23,14 @@ def extract_title(docbook: Column) -> Column:
     return F.when(docbook.rlike(TITLE_RE), F.regexp_extract(docbook, TITLE_RE, 1)).otherwise(F.lit(UNTITLED))
 
 
-def extract_body(docbook: Column) -> Column:
-    """All ``<para>`` contents (stripped) as ``<p>`` elements; without any, the first
-    200 characters of the tag-free text, escaped, in one ``<p>``."""
+def extract_body(docbook: Column, fallback_chars: int | None = None) -> Column:
+    """All ``<para>`` contents (stripped) as ``<p>`` elements; without any, the tag-free
+    text, escaped, in one ``<p>`` (its first ``fallback_chars`` characters if given)."""
     docbook = F.coalesce(docbook, F.lit(""))
-    fallback = F.concat(
-        F.lit("<p>"), xml_escape(F.substring(remove_tags(docbook), 1, BODY_FALLBACK_CHARS)), F.lit("</p>")
-    )
+    plain = remove_tags(docbook)
+    if fallback_chars is not None:
+        plain = F.substring(plain, 1, fallback_chars)
+    fallback = F.concat(F.lit("<p>"), xml_escape(plain), F.lit("</p>"))
     return let(
         F.regexp_extract_all(docbook, F.lit(PARA_RE), 1),
         lambda paras: F.when(
@@ -74,8 +74,10 @@ def map_fragments(topics: DataFrame, title: str, map_dir: str) -> DataFrame:
     kept), footer.  ``(part, k1, k2, k3, fragment)``; concatenated in key order they
     are the map document."""
     spark = topics.sparkSession
+    one = spark.range(1)
     esc_title = title.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
-    header = spark.createDataFrame([(0, "", 0, "", MAP_HEADER.format(title=esc_title))], FRAGMENT_SCHEMA)
+    key = lambda part: [F.lit(part).cast("bigint").alias("part"), F.lit("").alias("k1"), F.lit(0).cast("bigint").alias("k2"), F.lit("").alias("k3")]
+    header = one.select(*key(0), F.lit(MAP_HEADER.format(title=esc_title)).alias("fragment"))
     refs = topics.select(
         F.lit(1).cast("bigint").alias("part"),
         F.col("topic_path").alias("k1"),
@@ -83,10 +85,8 @@ def map_fragments(topics: DataFrame, title: str, map_dir: str) -> DataFrame:
         F.lit("").alias("k3"),
         F.concat(topicref(F.col("topic_path"), F.lit(map_dir)), F.lit("\n")).alias("fragment"),
     )
-    # refs joined by newlines, then the footer: with no topic an empty line remains.
-    # Emptiness is a bounded check (first row only), not a second pass over all topics.
-    has_refs = len(topics.select("topic_path").take(1)) > 0
-    footer_text = MAP_FOOTER[1:] if has_refs else MAP_FOOTER
-    footer = spark.createDataFrame([(2, "", 0, "", footer_text)], FRAGMENT_SCHEMA)
+    # refs end with newlines, then the footer: with no topic an empty line remains.  The
+    # count is part of the plan and reads no more than the filter of the topics needs.
+    count = topics.agg(F.count(F.lit(1)).alias("n"))
+    footer = count.select(*key(2), F.when(F.col("n") > 0, MAP_FOOTER[1:]).otherwise(MAP_FOOTER).alias("fragment"))
     return header.unionByName(refs).unionByName(footer)
-

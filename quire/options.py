@@ -66,7 +66,6 @@ MAP_HEADER = (
 MAP_FOOTER = "\n</map>\n"
 MAP_TITLE = "Documentation Set"
 UNTITLED = "Untitled"
-BODY_FALLBACK_CHARS = 200
 CHUNKING_LEVEL = 1
 CHUNKING_NESTED = True
 
@@ -118,5 +117,7 @@ class ConvertOptions:
     map_title: str = MAP_TITLE
     topics_dir: str = "dita/topics"
     map_dir: str = "dita"
+    # Converters of further handlers: name → function from the text column to an intermediate.
+    handlers: dict = field(default_factory=dict)
     # Plan lookup key: 'path' (exact) or 'basename' (reference behaviour, collisions overwrite).
     plan_key: str = "path"

@@ -201,6 +201,11 @@ q(
     "SELECT path, section_index, tokens, ordered_lists, unordered_lists, tables, images, links, has_steps_title, "
     "imperative_density, reference_markers FROM feat2",
 )
+CONFIDENCE = "CASE pred WHEN 'task' THEN 0.85 WHEN 'reference' THEN 0.80 ELSE 0.60 END::DOUBLE"
+REASONS = (
+    "CASE pred WHEN 'task' THEN 'ordered list + imperative/steps' WHEN 'reference' THEN 'tables or reference markers' "
+    "ELSE 'expository default' END"
+)
 q("imperative_density", "SELECT path, section_index, verb_hits, tokens, imperative_density FROM feat2")
 q(
     "predict_topic",
@@ -220,8 +225,12 @@ q("risk_score", "SELECT path, conversion_risk FROM scores")
 q(
     "inventory",
     "SELECT s.path, strlen(c.text)::BIGINT AS size, sha256(c.text) AS sha256, s.sections, s.topicization_readiness, "
-    "s.conversion_risk, s.pred_types, s.avg_section_tokens, s.heading_ladder_valid, s.complex_tables "
-    "FROM scores s JOIN corpus c USING (path)",
+    "s.conversion_risk, s.pred_types, coalesce(l.predictions, '') AS predictions, md5(coalesce(r.raw, '')) AS raw_sections_md5, s.avg_section_tokens, s.heading_ladder_valid, s.complex_tables "
+    "FROM scores s JOIN corpus c USING (path) LEFT JOIN (SELECT path, string_agg(concat_ws('|', section_index, title, pred, "
+    f"{CONFIDENCE}, {REASONS}), chr(10) ORDER BY section_index) AS predictions FROM feat2 GROUP BY path) l USING (path) "
+    "LEFT JOIN (SELECT path, string_agg(title || chr(1) || content, chr(2) ORDER BY section_index) AS raw FROM ("
+    "SELECT path, section_index, title, content FROM md_sections UNION ALL SELECT path, section_index, title, content FROM html_sections "
+    "UNION ALL SELECT path, section_index, title, content FROM generic_sections) GROUP BY path) r USING (path)",
 )
 q("fingerprint", "SELECT path, strlen(text)::BIGINT AS size, sha256(text) AS sha256 FROM corpus")
 
@@ -364,6 +373,7 @@ def stem_of(p: str) -> str:
     return f"(CASE WHEN {d} > 1 AND {d} < length({n}) THEN substr({n}, 1, {d} - 1) ELSE {n} END)"
 
 
+# Patterns and word lists that must equal the operators'
 TITLE_PAT = "(?i)<title>(.*?)</title>"
 PARA_PAT = "(?is)<para>(.*?)</para>"
 
@@ -375,7 +385,7 @@ def title_of(db: str) -> str:
 
 def body_of(db: str) -> str:
     paras = f"regexp_extract_all({db}, {sql_str(PARA_PAT)}, 1)"
-    fallback = f"'<p>' || {xml_esc('substr(' + untag(db) + ', 1, 200)')} || '</p>'"
+    fallback = f"'<p>' || {xml_esc(untag(db))} || '</p>'"
     return (f"(CASE WHEN len({paras}) > 0 THEN array_to_string(list_transform({paras}, "
             f"lambda p: '<p>' || {strip('p')} || '</p>'), '') ELSE {fallback} END)")
 
@@ -401,6 +411,7 @@ def toks_lower(x: str) -> str:
 
 
 NOT_W = r"[^\p{L}\p{N}_]"
+# Fixed values
 TASK_WORDS = ["step", "click", "select", "open", "run", "press", "type"]
 REF_WORDS = ["parameters", "syntax", "options", "defaults"]
 
@@ -414,6 +425,7 @@ def classify_sql(stem: str, db: str, plan: str | None, ruled: bool) -> str:
             f"WHEN regexp_full_match({stem}, '[13].*5') THEN 'reference'",
             f"WHEN regexp_full_match({stem}, '4[^0-4]') THEN 'concept'",
             f"WHEN list_contains({toks}, 'nicht') THEN 'reference'",
+            f"WHEN regexp_matches(lower({db}), 'end[\\[&.]') THEN 'reference'",
             f"WHEN contains(lower({db}), 'parameters:') THEN 'reference'",
             f"WHEN contains(lower({db}), 'procedure') THEN 'task'",
         ]
@@ -456,6 +468,19 @@ def section_xml(level: str, title: str, content: str) -> str:
             f"'</title>' || {paras_sql(content)} || '</section>' END)")
 
 
+# Parts of a page that are no text, and tags that end a paragraph
+NO_TEXT_PAT = r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
+PARAGRAPH_TAGS = (
+    "address article aside blockquote body br caption dd div dl dt figure footer form head header hr html li main nav "
+    "ol p pre section table tbody td tfoot th thead title tr ul"
+).split()
+
+
+def block_lines(raw: str) -> str:
+    pattern = "(?is)</?(" + "|".join(PARAGRAPH_TAGS) + r")\b[^>]*>"
+    return f"regexp_replace({raw}, {sql_str(pattern)}, chr(10) || chr(10), 'g')"
+
+
 DOCBOOK_DOCS = (
     "docbook_docs AS (SELECT concat('docs/', source, '/', CAST(doc_id AS VARCHAR), '.md') AS path, doc_id, "
     "'<article><title>' || split_part(text, chr(10), 1) || '</title>' || "
@@ -468,9 +493,20 @@ CONVERT = f"""
 md_inter AS (
   SELECT c.path, '<article>' || coalesce(string_agg({section_xml('s.level', 's.title', 's.content')}, '' ORDER BY s.section_index), '') || '</article>' AS docbook
   FROM corpus c LEFT JOIN md_sections s USING (path) WHERE c.fmt = 'md' GROUP BY c.path),
+hx_parts AS (
+  SELECT path,
+    regexp_extract_all(t, {sql_str(HTML_HEADING)}, 1) AS lv,
+    regexp_extract_all(t, {sql_str(HTML_HEADING)}, 2) AS ti,
+    regexp_split_to_array(t, {sql_str(HTML_HEADING)}) AS pc
+  FROM (SELECT path, regexp_replace(text, {sql_str(NO_TEXT_PAT)}, '', 'g') AS t FROM corpus WHERE fmt = 'html')),
+hx AS (
+  SELECT path, 0 AS k, 0 AS level, '' AS title, pc[1] AS raw FROM hx_parts WHERE {strip(untag('pc[1]'))} <> ''
+  UNION ALL
+  SELECT path, k, CAST(lv[k] AS INT), {strip(untag('ti[k]'))}, pc[k + 1]
+  FROM (SELECT *, unnest(generate_series(1, len(lv))) AS k FROM hx_parts)),
 html_inter AS (
-  SELECT c.path, '<article>' || coalesce(string_agg({section_xml('s.level', unesc('s.title'), unesc('s.content'))}, '' ORDER BY s.section_index), '') || '</article>' AS docbook
-  FROM corpus c LEFT JOIN html_sections s USING (path) WHERE c.fmt = 'html' GROUP BY c.path),
+  SELECT c.path, '<article>' || coalesce(string_agg({section_xml('s.level', unesc('s.title'), unesc(untag(block_lines('s.raw'))))}, '' ORDER BY s.k), '') || '</article>' AS docbook
+  FROM corpus c LEFT JOIN hx s USING (path) WHERE c.fmt = 'html' GROUP BY c.path),
 routed AS (
   SELECT path, lower({suffix_of('path')}) AS ext,
     CASE lower({suffix_of('path')}) WHEN '.md' THEN 'pandoc-md' WHEN '.html' THEN 'pandoc-html'
@@ -486,8 +522,12 @@ extracted AS (
 plans AS (
   SELECT c.path AS source, {base_name('c.path')} AS basename,
     coalesce(f.pred, 'concept') AS default_topic_type, s.conversion_risk AS risk, s.topicization_readiness AS readiness,
-    s.pred_types AS section_types
-  FROM corpus c JOIN scores s USING (path) LEFT JOIN (SELECT path, pred FROM feat2 WHERE section_index = 0) f USING (path)),
+    s.pred_types AS section_types,
+    to_json({{'source': c.path, 'chunking': {{'level': 1, 'nested_topics': true}}, 'default_topic_type': coalesce(f.pred, 'concept'),
+      'sections': coalesce(l.sections, []), 'risk': s.conversion_risk, 'readiness': s.topicization_readiness}})::VARCHAR AS json
+  FROM corpus c LEFT JOIN (
+    SELECT path, list({{'index': section_index, 'title': title, 'pred': pred, 'confidence': {CONFIDENCE}, 'reasons': [{REASONS}]}}
+      ORDER BY section_index) AS sections FROM feat2 GROUP BY path) l USING (path) JOIN scores s USING (path) LEFT JOIN (SELECT path, pred FROM feat2 WHERE section_index = 0) f USING (path)),
 e2e_topics AS (
   SELECT x.path, t.topic_type, 'dita/topics/' || {stem_of('x.path')} || '_' || t.topic_type || '.dita' AS topic_path,
     {topic_xml(title_of('x.docbook'), body_of('x.docbook'), 't.topic_type')} AS xml
@@ -495,6 +535,9 @@ e2e_topics AS (
     SELECT e.path, {classify_sql(stem_of('e.path'), 'e.docbook', 'p.default_topic_type', False)} AS topic_type
     FROM extracted e LEFT JOIN plans p ON p.source = e.path WHERE e.error IS NULL) t USING (path)
   WHERE x.error IS NULL),
+ruled_all AS (
+  SELECT d.path, 'dita/topics/' || {stem_of('d.path')} || '_' || {classify_sql(stem_of('d.path'), 'd.docbook', 'p.default_topic_type', True)} || '.dita' AS topic_path
+  FROM docbook_docs d LEFT JOIN plans p ON p.source = d.path),
 ruled_topics AS (
   SELECT d.path, t.topic_type,
     CASE WHEN d.doc_id % 97 <> 0 THEN 'dita/topics/' || {stem_of('d.path')} || '_' || t.topic_type || '.dita' END AS topic_path,
@@ -560,7 +603,7 @@ qc(
 qc(
     "conversion_plan",
     "SELECT source, basename || '.conversion_plan.json' AS plan_file, default_topic_type, 1::BIGINT AS chunk_level, "
-    "true AS nested_topics, risk, readiness, section_types FROM plans",
+    "true AS nested_topics, risk, readiness, section_types, json FROM plans",
 )
 qc("plan_collisions", "SELECT basename, count(*)::BIGINT AS n FROM plans GROUP BY basename HAVING count(*) > 1")
 qc("plan_join", "SELECT d.path, p.default_topic_type AS plan_type FROM docbook_docs d LEFT JOIN plans p ON p.source = d.path")
@@ -583,10 +626,19 @@ qc(
     "SELECT x.path, t.topic_type, t.topic_path, md5(t.xml) AS xml_md5, x.error AS extract_error "
     "FROM extracted x LEFT JOIN e2e_topics t USING (path)",
 )
-qc("topics", "SELECT topic_type, count(*)::BIGINT AS n FROM e2e_topics GROUP BY topic_type")
+qc("topics", "SELECT path, topic_path, topic_type, xml FROM e2e_topics")
+qc(
+    "extract_user_converter",
+    "SELECT x.path, CASE WHEN r.ext = '.txt' THEN 'text-lines' ELSE x.handler END AS handler, "
+    "md5(CASE WHEN r.ext = '.txt' THEN '<article>' || array_to_string(list_transform(list_filter(string_split(c.text, chr(10)), "
+    "lambda l: l <> ''), lambda l: '<para>' || " + xml_esc("l") + " || '</para>'), '') || '</article>' ELSE x.docbook END) AS docbook_md5, "
+    "CASE WHEN r.ext = '.txt' THEN NULL ELSE x.error END AS error "
+    "FROM extracted x JOIN routed r USING (path) JOIN corpus c USING (path)",
+)
+qc("topic_type_counts", "SELECT topic_type, count(*)::BIGINT AS n FROM e2e_topics GROUP BY topic_type")
 qc("topic_map", map_sql("e2e_topics", "Documentation Set"))
 qc("topic_count", "SELECT count(*)::BIGINT AS topic_count FROM e2e_topics")
-qc("load_stage", map_sql("(SELECT * FROM ruled_topics WHERE error IS NULL)", "Docs & Notes"))
+qc("load_stage", map_sql("ruled_all", "Docs & Notes"))
 qc("errors_split", "SELECT 'extract' AS stage, path, error FROM extracted WHERE error IS NOT NULL")
 qc(
     "run_summary",
@@ -609,26 +661,26 @@ _ROW = (
 qc(
     "report_html",
     f"""SELECT 0::BIGINT AS part, '' AS k1, 0::BIGINT AS k2, '' AS k3,
-  {sql_str(REPORT_HEAD)} || CAST(count(*) AS VARCHAR) || {sql_str(REPORT_TABLE_OPEN)} AS fragment FROM corpus
+  {sql_str(REPORT_HEAD)} || CAST(count(*) AS VARCHAR) || {sql_str(REPORT_TABLE_OPEN + chr(10))} AS fragment FROM corpus
 UNION ALL
-SELECT 1, c.path, 0, '', CASE WHEN c.path = (SELECT min(path) FROM corpus) THEN '' ELSE chr(10) END || {_ROW}
+SELECT 1, c.path, 0, '', {_ROW} || chr(10)
 FROM corpus c JOIN scores s USING (path)
 UNION ALL
-SELECT 2, '', 0, '', {sql_str(REPORT_MIDDLE)} || CASE WHEN count(*) > 0 THEN '<ul>' ELSE {sql_str(REPORT_NO_DUPLICATES)} END
+SELECT 2, '', 0, '', {sql_str(REPORT_MIDDLE)} || CASE WHEN count(*) > 0 THEN '<ul>' ELSE {sql_str(REPORT_NO_DUPLICATES)} END || chr(10)
 FROM (SELECT DISTINCT leader FROM dd_key_leader WHERE key <> leader)
 UNION ALL
-SELECT 3, leader, 0, '', '<li>' || {html_esc('leader')} FROM (SELECT DISTINCT leader FROM dd_key_leader WHERE key <> leader)
+SELECT 3, leader, 0, '', '<li>' || {html_esc('leader')} || chr(10) FROM (SELECT DISTINCT leader FROM dd_key_leader WHERE key <> leader)
 UNION ALL
-SELECT 3, leader, 1, key, ', ' || {html_esc('key')} FROM dd_key_leader WHERE key <> leader
+SELECT 3, leader, 1, key, ', ' || {html_esc('key')} || chr(10) FROM dd_key_leader WHERE key <> leader
 UNION ALL
-SELECT 3, leader, 2, '', '</li>' FROM (SELECT DISTINCT leader FROM dd_key_leader WHERE key <> leader)
+SELECT 3, leader, 2, '', '</li>' || chr(10) FROM (SELECT DISTINCT leader FROM dd_key_leader WHERE key <> leader)
 UNION ALL
-SELECT 4, '', 0, '', CASE WHEN count(*) > 0 THEN '</ul>' ELSE '' END || {sql_str(REPORT_TAIL)}
+SELECT 4, '', 0, '', CASE WHEN count(*) > 0 THEN '</ul>' ELSE '' END || {sql_str(REPORT_TAIL + chr(10))}
 FROM (SELECT DISTINCT leader FROM dd_key_leader WHERE key <> leader)""",
 )
 ORACLE["decode_text"] = (
     "SELECT concat('docs/', source, '/', CAST(doc_id AS VARCHAR), '.md') AS path, "
-    "CASE WHEN doc_id % 2 = 0 THEN true ELSE NOT regexp_matches(text, '[^\\x{00}-\\x{ff}]') END AS round_trip, "
-    "CASE WHEN doc_id % 2 = 0 THEN true ELSE NOT regexp_matches(text, '[\\x{80}-\\x{ff}]') END AS valid_utf8, "
+    "true AS round_trip, "
+    "CASE WHEN doc_id % 2 = 0 OR regexp_matches(text, '[^\\x{00}-\\x{ff}]') THEN true ELSE NOT regexp_matches(text, '[\\x{80}-\\x{ff}]') END AS valid_utf8, "
     "length(text)::BIGINT AS n_chars FROM documents"
 )

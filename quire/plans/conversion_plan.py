@@ -9,6 +9,9 @@ from ..functions.paths import basename
 from ..options import CHUNKING_LEVEL, CHUNKING_NESTED
 
 
+DEALS = 16  # parts that the documents of one basename are dealt to
+
+
 def conversion_plans(assessed: DataFrame) -> DataFrame:
     """Plan per document: default type = prediction of section 0 (else ``concept``),
     constant chunking, all section predictions, risk and readiness."""
@@ -68,8 +71,12 @@ def join_plans(docs: DataFrame, plans: DataFrame | None, key: str = "path") -> D
     if plans is None:
         return docs.withColumn("plan_type", F.lit(None).cast("string"))
     hints = plan_hints(plans, key)
-    k = F.col("path") if key == "path" else basename(F.col("path"))
-    return docs.withColumn("plan_key", k).join(hints, "plan_key", "left").drop("plan_key")
+    if key == "path":
+        return docs.withColumn("plan_key", F.col("path")).join(hints, "plan_key", "left").drop("plan_key")
+    # one name may belong to a third of the documents: deal it out, with a copy of its one hint each
+    dealt = docs.withColumns({"plan_key": basename(F.col("path")), "deal": F.pmod(F.xxhash64("path"), F.lit(DEALS)).cast("int")})
+    copies = hints.withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit(DEALS - 1))))
+    return dealt.join(copies, ["plan_key", "deal"], "left").drop("plan_key", "deal")
 
 
 PLAN_SCHEMA = (

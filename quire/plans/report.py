@@ -3,7 +3,8 @@ HTML fragments ``(part, k1, k2, k3, fragment)``.
 
 No cluster member list is gathered in one row: every member is its own fragment
 keyed by (leader, member), so a cluster holding a third of the corpus is written
-by many tasks.  Concatenated in key order the fragments are the report page.
+by many tasks.  Concatenated in key order the fragments are the report page; each ends
+with a line break (white space between elements, without meaning in HTML).
 """
 
 from __future__ import annotations
@@ -70,41 +71,35 @@ def _frag(part: int, k1, k2: int, k3, fragment):
 def report_fragments(inv: DataFrame, key_leader: DataFrame) -> DataFrame:
     """Ordered fragments of the report page from the inventory and ``(key, leader)``."""
     summary = report_summary(inv)
-    # bounded one-row aggregate: file count and the first path (rows are joined by newlines)
-    stats = summary.agg(F.count(F.lit(1)).alias("n"), F.min("path").alias("first")).first()
-    head = summary.sparkSession.range(1).select(
-        *_frag(0, "", 0, "", F.lit(REPORT_HEAD + str(stats["n"]) + REPORT_TABLE_OPEN))
-    )
+    line = F.lit("\n")
+    count = summary.agg(F.count(F.lit(1)).alias("n"))
+    head = count.select(*_frag(0, "", 0, "", F.concat(F.lit(REPORT_HEAD), F.col("n").cast("string"), F.lit(REPORT_TABLE_OPEN), line)))
     row = F.concat(
         F.lit("<tr><td>"), html_escape(F.col("path")), F.lit("</td><td>"),
         F.col("size").cast("string"), F.lit("</td><td>"),
         F.col("sections").cast("string"), F.lit("</td><td>"),
         F.col("readiness").cast("string"), F.lit("</td><td>"),
-        F.col("risk").cast("string"), F.lit("</td></tr>"),
+        F.col("risk").cast("string"), F.lit("</td></tr>"), line,
     )
-    first = stats["first"]
-    sep = F.when(F.col("path") == F.lit(first), F.lit("")).otherwise(F.lit("\n")) if first is not None else F.lit("")
-    rows = summary.select(*_frag(1, F.col("path"), 0, "", F.concat(sep, row)))
+    rows = summary.select(*_frag(1, F.col("path"), 0, "", row))
 
     members = key_leader.filter(F.col("key") != F.col("leader"))
-    has_dups = not members.isEmpty()  # bounded: looks for one row
-    dup_rows = members.select(*_frag(3, F.col("leader"), 1, F.col("key"), F.concat(F.lit(", "), html_escape(F.col("key")))))
+    dup_rows = members.select(*_frag(3, F.col("leader"), 1, F.col("key"), F.concat(F.lit(", "), html_escape(F.col("key")), line)))
     # one distinct over the leaders gives both the opening and the closing fragment
     bounds = members.select("leader").distinct().select(
         "leader",
         F.explode(F.array(
-            F.struct(F.lit(0).cast("bigint").alias("k2"), F.concat(F.lit("<li>"), html_escape(F.col("leader"))).alias("f")),
-            F.struct(F.lit(2).cast("bigint").alias("k2"), F.lit("</li>").alias("f")),
+            F.struct(F.lit(0).cast("bigint").alias("k2"), F.concat(F.lit("<li>"), html_escape(F.col("leader")), line).alias("f")),
+            F.struct(F.lit(2).cast("bigint").alias("k2"), F.concat(F.lit("</li>"), line).alias("f")),
         )).alias("b"),
     ).select(
         F.lit(3).cast("bigint").alias("part"), F.col("leader").alias("k1"), F.col("b.k2").alias("k2"),
         F.lit("").alias("k3"), F.col("b.f").alias("fragment"),
     )
-    spark = summary.sparkSession
-    middle_text = REPORT_MIDDLE + ("<ul>" if has_dups else REPORT_NO_DUPLICATES)
-    tail_text = ("</ul>" if has_dups else "") + REPORT_TAIL
-    middle = spark.range(1).select(*_frag(2, "", 0, "", F.lit(middle_text)))
-    tail = spark.range(1).select(*_frag(4, "", 0, "", F.lit(tail_text)))
+    some = members.agg(F.count(F.lit(1)).alias("n"))  # of the materialized cluster table
+    list_open = F.when(F.col("n") > 0, "<ul>\n").otherwise(REPORT_NO_DUPLICATES + "\n")
+    middle = some.select(*_frag(2, "", 0, "", F.concat(F.lit(REPORT_MIDDLE), list_open)))
+    tail = some.select(*_frag(4, "", 0, "", F.concat(F.when(F.col("n") > 0, "</ul>").otherwise(""), F.lit(REPORT_TAIL), line)))
     out = head
     for df in (rows, middle, bounds, dup_rows, tail):
         out = out.unionByName(df)

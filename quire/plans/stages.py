@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 
 from ..functions.paths import stem
 from ..operators.classify import classify_topic
-from ..operators.convert import html_text_sections, to_intermediate
+from ..operators.convert import html_raw_sections, to_intermediate
 from ..operators.dedupe import cluster_keys, dedupe_items
 from ..operators.inventory import assess_documents, inventory
 from ..operators.routing import build_registry, handler_for, no_handler_error
-from ..operators.sections import html_sections, markdown_sections
+from ..operators.sections import markdown_sections
 from ..operators.topics import build_topic, extract_body, extract_title, map_fragments, topic_file_name
 from ..options import AssessOptions, ConvertOptions
 from .conversion_plan import conversion_plans, join_plans
@@ -35,8 +35,7 @@ class Outputs(dict):
         return value
 
 
-MD_HANDLERS = ("pandoc-md",)
-HTML_HANDLERS = ("pandoc-html",)
+MD_HANDLER, HTML_HANDLER = "pandoc-md", "pandoc-html"
 
 
 def assess_stage(corpus: DataFrame, opts: AssessOptions = AssessOptions()) -> Outputs:
@@ -49,34 +48,31 @@ def assess_stage(corpus: DataFrame, opts: AssessOptions = AssessOptions()) -> Ou
     return out
 
 
-def _extract(rows: DataFrame, copts: ConvertOptions, md_sections, html_secs) -> DataFrame:
-    registry = build_registry(copts.handler_overrides, copts.optional_handlers)
+def _extract(rows: DataFrame, copts: ConvertOptions, md_sections) -> DataFrame:
+    """Adds ``handler, docbook, error, has_docbook`` to rows with ``path`` and ``text``."""
+    text = F.col("text")
+    made = {MD_HANDLER: to_intermediate(md_sections), HTML_HANDLER: to_intermediate(html_raw_sections(text))}
+    made |= {name: convert(text) for name, convert in copts.handlers.items()}
+    registry = build_registry(copts.handler_overrides, copts.optional_handlers, copts.handlers)
     h = handler_for(F.col("path"), registry)
-    docbook = (
-        F.when(h.isin(*MD_HANDLERS), to_intermediate(md_sections))
-        .when(h.isin(*HTML_HANDLERS), to_intermediate(html_text_sections(html_secs)))
-    )
+    docbook = None
+    for name, column in made.items():
+        docbook = F.when(h == name, column) if docbook is None else docbook.when(h == name, column)
     error = F.when(h.isNull(), no_handler_error(F.col("path"))).when(
-        ~h.isin(*MD_HANDLERS, *HTML_HANDLERS),
+        ~h.isin(*made),
         F.concat(F.lit("Handler '"), h, F.lit("' converts binary documents, which this engine does not read")),
     )
-    return rows.select(
-        "*",
-        h.alias("handler"),
-        docbook.alias("docbook"),
-        error.alias("error"),
-        h.isin(*MD_HANDLERS, *HTML_HANDLERS).alias("has_docbook"),
-    )
+    return rows.select("*", h.alias("handler"), docbook.alias("docbook"), error.alias("error"), h.isin(*made).alias("has_docbook"))
 
 
 def extract_stage(corpus: DataFrame, copts: ConvertOptions = ConvertOptions()) -> DataFrame:
-    """``(path, handler, docbook, error)``: route by extension, convert Markdown / HTML.
+    """``(path, handler, docbook, error)``: route by extension, convert Markdown / HTML, or
+    by the caller's own converters (``copts.handlers``: name → ``Column → Column``).
 
     Unknown extensions and handlers without a converter become error rows; the
     other rows are unaffected.
     """
-    text = F.col("text")
-    out = _extract(corpus.select("path", "text"), copts, markdown_sections(text), html_sections(text))
+    out = _extract(corpus.select("path", "text"), copts, markdown_sections(F.col("text")))
     return out.select("path", "handler", "docbook", "error")
 
 
@@ -161,10 +157,11 @@ def run_all(
     assessed = assess_stage(corpus, opts)
     a = assessed["assessed"].select(
         "path",
+        "text",
         "section_list",
         F.coalesce(F.get("predictions", 0)["pred"], F.lit("concept")).alias("plan_type"),
     )
-    rows = _extract(a, copts, F.col("section_list"), F.col("section_list"))
+    rows = _extract(a, copts, F.col("section_list"))
     extracted = rows.select("path", "handler", "docbook", "error")
     # one row per document: extraction and transformation results side by side (no join)
     documents = _transform(
@@ -183,8 +180,7 @@ def run_all(
         extracted=extracted,
         documents=documents,
         topics=topics,
-        # the map probes for emptiness (a job), so it is built only when asked for
-        map=lambda: map_fragments(ok_topics.select("topic_path"), copts.map_title, copts.map_dir),
+        map=map_fragments(ok_topics.select("topic_path"), copts.map_title, copts.map_dir),
         topic_count=ok_topics.agg(F.count(F.lit(1)).cast("bigint").alias("topic_count")),
         errors=failures,
         summary=run_summary(documents),

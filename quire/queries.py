@@ -7,6 +7,7 @@ DuckDB statements in ``quire.oracle`` one for one.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,7 +37,7 @@ _PLANS: dict = {}
 
 def _memo(kind: str, spark: SparkSession, sf: str, build, *extra):
     """Reuse a lazily built DataFrame (the plan object, not data) within one session."""
-    key = (kind, id(spark), sf, *map(repr, extra))
+    key = (kind, spark.sparkContext.applicationId, sf, *map(repr, extra))
     if key not in _PLANS:
         _PLANS[key] = build()
     return _PLANS[key]
@@ -155,6 +156,11 @@ def q_risk(spark, sf):
     return _assessed(spark, sf).select("path", "conversion_risk")
 
 
+def _prediction_text(p):
+    reasons = F.array_join(p["reasons"], "; ")
+    return F.concat_ws("|", p["index"].cast("string"), p["title"], p["pred"], p["confidence"].cast("string"), reasons)
+
+
 @register("inventory")
 def q_inventory(spark, sf):
     a = _assessed(spark, sf)
@@ -166,6 +172,8 @@ def q_inventory(spark, sf):
         "topicization_readiness",
         "conversion_risk",
         F.array_join(F.transform("predictions", lambda p: p["pred"]), ",").alias("pred_types"),
+        F.array_join(F.transform("predictions", _prediction_text), "\n").alias("predictions"),
+        F.md5(F.array_join(F.transform("raw_sections", lambda s: F.concat_ws("\u0001", s["title"], s["content"])), "\u0002")).alias("raw_sections_md5"),
         F.col("metrics.avg_section_tokens").alias("avg_section_tokens"),
         F.col("metrics.heading_ladder_valid").alias("heading_ladder_valid"),
         F.col("metrics.complex_tables").alias("complex_tables"),
@@ -266,7 +274,8 @@ def q_report_duplicates(spark, sf):
 # ---------------------------------------------------------------- conversion: shared derived inputs
 from .functions.paths import basename as path_basename, relative_path, stem as path_stem, suffix as path_suffix  # noqa: E402
 from .operators.classify import classify_topic  # noqa: E402
-from .operators.convert import html_text_sections, to_intermediate  # noqa: E402
+from .functions.text import xml_escape  # noqa: E402
+from .operators.convert import html_raw_sections, to_intermediate  # noqa: E402
 from .operators.routing import build_registry, extension, handler_for, no_handler_error  # noqa: E402
 from .operators.topics import (  # noqa: E402
     build_topic,
@@ -277,15 +286,17 @@ from .operators.topics import (  # noqa: E402
     topicref,
 )
 from .options import ConvertOptions, Rule  # noqa: E402
-from .plans.conversion_plan import conversion_plans, join_plans, plan_collisions, plan_json  # noqa: E402
+from .plans.conversion_plan import conversion_plans, join_plans, plan_collisions, plan_json, read_plans  # noqa: E402
 from .plans.report import report_fragments, report_summary  # noqa: E402
 from .plans.stages import assess_stage, errors, extract_stage, run_all, run_summary, transform_stage  # noqa: E402
-from .sources.files import decode_text, discover  # noqa: E402
+from .session import ensure_checkpoint_dir  # noqa: E402
+from .sources.files import decode_text  # noqa: E402
+from .sources.sinks import write_plans  # noqa: E402
 from .sources.tables import docbook_corpus, read_table  # noqa: E402
 
 # Rules exercised by the classification queries (glob on the stem, regex on the content).
 FILENAME_RULES = (Rule("2?", "task"), Rule("[13]*5", "Reference"), Rule("4[!0-4]", "glossary"))
-CONTENT_RULES = (Rule(r"\bnicht\b", "reference"), Rule("Parameters:", "reference"), Rule("procedure", "TASK"))
+CONTENT_RULES = (Rule(r"\bnicht\b", "reference"), Rule(r"end[[&&.]", "reference"), Rule("Parameters:", "reference"), Rule("procedure", "TASK"))
 RULED = ConvertOptions(rules_by_filename=FILENAME_RULES, rules_by_content=CONTENT_RULES)
 # plan hints of the classification query: valid (needs normalising), invalid, missing
 HINT_SQL = "CASE doc_id % 3 WHEN 0 THEN ' Task ' WHEN 1 THEN 'bogus' END"
@@ -302,11 +313,7 @@ ROUTE_PATH_SQL = (
 
 
 def _docbook_with_ids(spark, sf):
-    db = docbook_corpus(spark, sf)
-    ids = read_table(spark, sf, "documents").selectExpr(
-        "concat('docs/', source, '/', cast(doc_id as string), '.md') AS path", "doc_id"
-    )
-    return db.join(ids, "path")
+    return docbook_corpus(spark, sf)
 
 
 # ---------------------------------------------------------------- paths, routing
@@ -390,6 +397,7 @@ def q_conversion_plan(spark, sf):
         "risk",
         "readiness",
         F.array_join(F.transform("sections", lambda s: s["pred"]), ",").alias("section_types"),
+        "json",
     )
 
 
@@ -400,7 +408,10 @@ def q_plan_collisions(spark, sf):
 
 @register("plan_join")
 def q_plan_join(spark, sf):
-    p = _plans(spark, sf).select("source", "default_topic_type")
+    # the plans as the sink writes them, read back
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/plans-{uuid.uuid4().hex}"
+    write_plans(plan_json(_plans(spark, sf)), path)
+    p = read_plans(spark, path).select("source", "default_topic_type")
     return join_plans(docbook_corpus(spark, sf).select("path"), p, "path").select("path", "plan_type")
 
 
@@ -420,7 +431,7 @@ def q_md_to_intermediate(spark, sf):
 @register("html_to_intermediate")
 def q_html_to_intermediate(spark, sf):
     c = _corpus(spark, sf).filter(format_of(F.col("path")) == "html")
-    return c.select("path", to_intermediate(html_text_sections(html_sections(F.col("text")))).alias("docbook"))
+    return c.select("path", to_intermediate(html_raw_sections(F.col("text"))).alias("docbook"))
 
 
 @register("extract_stage")
@@ -429,6 +440,20 @@ def q_extract_stage(spark, sf):
     return e.select("path", "handler", F.md5("docbook").alias("docbook_md5"), "error")
 
 
+def _lines_to_intermediate(text):
+    """A user's converter for plain text: every line that is not empty becomes a paragraph."""
+    lines = F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: x != "")
+    paras = F.transform(lines, lambda x: F.concat(F.lit("<para>"), xml_escape(x), F.lit("</para>")))
+    return F.concat(F.lit("<article>"), F.array_join(paras, ""), F.lit("</article>"))
+
+
+@register("extract_user_converter")
+def q_extract_user_converter(spark, sf):
+    copts = ConvertOptions(handlers={"text-lines": _lines_to_intermediate}, handler_overrides={".txt": "text-lines"})
+    e = extract_stage(_corpus(spark, sf), copts)
+    return e.select("path", "handler", F.md5("docbook").alias("docbook_md5"), "error")
+
+
 def _ruled_topics(spark, sf):
     d = _docbook_with_ids(spark, sf)
     # every 97th intermediate is missing: an error row for that path only
@@ -463,6 +488,11 @@ def q_end_to_end(spark, sf):
 
 @register("topics")
 def q_topics(spark, sf):
+    return _run(spark, sf)["topics"].filter(F.col("error").isNull()).select("path", "topic_path", "topic_type", "xml")
+
+
+@register("topic_type_counts")
+def q_topic_type_counts(spark, sf):
     t = _run(spark, sf)["topics"].filter(F.col("error").isNull())
     return t.groupBy("topic_type").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
@@ -479,8 +509,9 @@ def q_topic_count(spark, sf):
 
 @register("load_stage")
 def q_load_stage(spark, sf):
-    # the map of the ruled transform (topics of documents with one rule set), as fragments
-    t = _ruled_topics(spark, sf)
+    # the map of the ruled transform over all documents, as fragments
+    plans = _plans(spark, sf).select("source", "default_topic_type")
+    t = transform_stage(docbook_corpus(spark, sf).select("path", "docbook"), plans, RULED)
     return map_fragments(t.filter(F.col("error").isNull()).select("topic_path"), "Docs & Notes", "dita")
 
 
@@ -510,11 +541,12 @@ def q_report_html(spark, sf):
 # ---------------------------------------------------------------- file sources
 @register("decode_text")
 def q_decode_text(spark, sf):
-    # the documents as bytes: UTF-8 for even ids, Latin-1 for odd ids
+    # the documents as bytes: Latin-1 for odd ids whose text it can express, else UTF-8
+    utf8 = (F.col("doc_id") % 2 == 0) | F.col("text").rlike(r"[^\x{0}-\x{ff}]")
     d = read_table(spark, sf, "documents").select(
         F.concat(F.lit("docs/"), "source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".md")).alias("path"),
         "text",
-        F.when(F.col("doc_id") % 2 == 0, F.encode("text", "UTF-8")).otherwise(F.encode("text", "ISO-8859-1")).alias("content"),
+        F.when(utf8, F.encode("text", "UTF-8")).otherwise(F.encode("text", "ISO-8859-1")).alias("content"),
     )
     dec = decode_text(F.col("content"))
     return d.select(
@@ -523,9 +555,3 @@ def q_decode_text(spark, sf):
         F.is_valid_utf8(F.col("content").cast("string")).alias("valid_utf8"),
         F.length(dec).cast("bigint").alias("n_chars"),
     )
-
-
-@register("discover")
-def q_discover(spark, sf):
-    files = discover(spark, sf, [".parquet"])
-    return files.select(path_basename(F.col("path")).alias("name"), "size")

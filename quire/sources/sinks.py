@@ -1,64 +1,37 @@
 """Sinks: every artefact is written by Spark writers, in parallel.
 
 * inventory / clusters / plans / topics → JSON lines (or parquet) folders
-* map and report → ordered fragments written as text without separators; the
-  part files, concatenated in name order, are the document.
+* map and report → ordered fragments of whole lines written as text; the part files,
+  concatenated in the order of their numbers, are the document.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _write_partition(path: str):
-    def run(rows):
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
-        target = f"{path.rstrip('/')}/part-{pid:05d}.txt"
-        try:
-            from pyarrow import fs as pafs
-
-            filesystem, rel = pafs.FileSystem.from_uri(target if "://" in target else "file://" + target)
-            filesystem.create_dir(rel.rsplit("/", 1)[0], recursive=True)
-            out = filesystem.open_output_stream(rel)
-        except Exception:  # noqa: BLE001 - plain local path without pyarrow support
-            import os
-
-            os.makedirs(os.path.dirname(target), exist_ok=True)
-            out = open(target, "wb")
-        with out:
-            for r in rows:
-                out.write(r[0].encode("utf-8"))
-
-    return run
-
-
 def write_fragments(fragments: DataFrame, path: str) -> None:
     """Write an ordered fragment table as one text document split into part files.
 
-    ``orderBy`` range-partitions by the keys, so part ``i`` holds a contiguous,
-    sorted slice; each task writes its slice without separators (Spark's text
-    writer always adds one).  Concatenating the part files in name order gives
-    the document.  A retried task rewrites its own part file.
+    Every fragment is one or more whole lines (it ends with a line break), so Spark's text
+    writer can write it, with its commit protocol and on any file system.  ``orderBy``
+    range-partitions by the keys: part ``i`` holds a contiguous, sorted slice, and the
+    part files concatenated in the order of their numbers are the document.  An existing
+    folder is refused: its part files would mix with the new ones.
     """
-    spark = fragments.sparkSession
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.exists(jpath):
-        # part files of an older, longer output would be concatenated with the new ones
-        raise FileExistsError(f"fragment output {path} exists; write to a new folder")
-    fragments.orderBy("part", "k1", "k2", "k3").select("fragment").foreachPartition(_write_partition(path))
+    line = F.expr("substring(fragment, 1, length(fragment) - 1)")  # the writer adds the last line break
+    whole = F.when(F.col("fragment").endswith("\n"), line).otherwise(F.raise_error(F.lit("a fragment must end with a line break")))
+    fragments.orderBy("part", "k1", "k2", "k3").select(whole.alias("value")).write.mode("error").text(path)
 
 
 def read_fragments_text(spark, path: str) -> str:
     """Concatenate a written fragment folder (small outputs / tests)."""
-    import glob
-    import os
-
-    files = sorted(glob.glob(os.path.join(path, "part-*.txt")))
-    return "".join(open(f, encoding="utf-8").read() for f in files)
+    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value").collect()
+    number = lambda f: int(re.search(r"part-(\d+)", f["file"].rsplit("/", 1)[-1]).group(1))
+    return "".join(f["value"] for f in sorted(files, key=number))
 
 
 def write_inventory(inventory: DataFrame, path: str, fmt: str = "json", mode: str = "overwrite") -> None:

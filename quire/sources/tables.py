@@ -37,6 +37,9 @@ CORPUS_SQL: dict[str, tuple[str, str, str]] = {
         "concat('parts/', p_brand, '/', cast(p_partkey as string), '.md')",
         "concat("
         f"'# ', p_name, {NL}, {NL}, 'Guide for the ', p_name, ' (', p_type, ').', {NL}, {NL}, "
+        # the first section decides a document's topic type: some are tasks, some references
+        f"CASE p_size % 5 WHEN 1 THEN concat('1. Open the ', p_name, ' box.', {NL}, '2. Press the button and run it.', {NL}, {NL}) "
+        f"WHEN 2 THEN concat('| part | brand |', {NL}, '| --- | --- |', {NL}, '| ', p_name, ' | ', p_brand, ' |', {NL}, {NL}) ELSE '' END, "
         f"'## Steps', {NL}, {NL}, "
         f"CASE WHEN p_size % 3 = 0 THEN '' ELSE concat('1. Open the ', p_name, ' box.', {NL}, "
         f"'2. Press the ', p_brand, ' button.', {NL}, '3) Check size ', cast(p_size as string), '.', {NL}, {NL}) END, "
@@ -71,20 +74,27 @@ _READS: dict = {}
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet table of the folder; the DataFrame (not data) is reused per session."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (spark.sparkContext.applicationId, path)
     if key not in _READS:
         _READS[key] = spark.read.parquet(path)
     return _READS[key]
 
 
+SPREAD_BYTES = 256 << 20
+
+
 def spread(df: DataFrame, factor: int = 2) -> DataFrame:
     """Spread a small input over the cluster's cores before CPU-heavy per-row work.
 
-    Text work costs far more CPU per byte than the scan, so an input that arrives
-    in fewer splits than there are cores (one row group, a folder of small files
-    packed into one split) would leave cores idle.  Large inputs already have many
-    splits and are left alone: no shuffle of the full corpus at scale.
+    Text work costs far more CPU per byte than the scan, so an input of a few row groups
+    would leave cores idle, and a row group cannot be split on reading.  Only inputs of
+    at most ``SPREAD_BYTES`` by the planner's statistics are dealt out; a larger one is
+    never shuffled here, however many cores there are (set
+    ``spark.sql.files.maxPartitionBytes`` for smaller splits).
     """
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(size)) > SPREAD_BYTES:
+        return df
     target = df.sparkSession.sparkContext.defaultParallelism * factor
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
@@ -125,6 +135,6 @@ def docbook_sql_expr() -> tuple[str, str]:
 
 
 def docbook_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(path, docbook)`` built from the ``documents`` table."""
+    """``(path, docbook, doc_id)`` built from the ``documents`` table."""
     path_sql, xml_sql = docbook_sql_expr()
-    return spread(read_table(spark, sf_dir, "documents").selectExpr(f"{path_sql} AS path", f"{xml_sql} AS docbook"))
+    return spread(read_table(spark, sf_dir, "documents").selectExpr(f"{path_sql} AS path", f"{xml_sql} AS docbook", "doc_id"))

@@ -153,3 +153,51 @@ def test_markup_regexes_match_python_re(spark):
             [h[1] for h in heads],
         )
         assert got[path] == want, (path, text)
+
+
+def test_random_classes_and_globs_equal_python(spark):
+    """Rule patterns with Python-only class syntax, against re and fnmatch."""
+    import fnmatch
+    import random
+    import re
+
+    from quire.functions.regex import checked_java_pattern, glob_to_java, python_regex_to_java
+
+    rng = random.Random(17)
+    parts = ["a", "b-d", "[", "&&", "&", r"\W", r"\S", r"\D", r"\w", r"\s", r"\d", "é", "^", "~", "_", r"\]", ".", "|"]
+    patterns = ["[a[]b", r"^[\W]$", r"[^\W\d]x", "[]a]", "[^]a]+", "[[:]b", r"[\S\s]", r"[^\S]", "[a&&b]"]
+    for _ in range(40):
+        body = "".join(rng.sample(parts, rng.randint(1, 4))).lstrip("^")
+        if body:
+            patterns.append(f"{rng.choice(['', '^', 'x?'])}[{rng.choice(['', '^'])}{body}]{rng.choice(['', '+', 'b', '$'])}")
+    usable = []
+    for p in patterns:
+        try:
+            re.compile(p)
+        except re.error:
+            continue
+        usable.append(p)
+    texts = ["", "a", "b", "[b", "ab", "&", "é", "É1", " ", "_", "^", "~x", "]", "x&&y", "١", "a b", "|", ".", "9x", "-"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    cols = [F.col("t").rlike("(?iud)" + checked_java_pattern(python_regex_to_java(p), p)).alias(f"c{i}") for i, p in enumerate(usable)]
+    for row in df.select("t", *cols).collect():
+        for i, p in enumerate(usable):
+            assert row[f"c{i}"] == bool(re.search(p, row.t, re.IGNORECASE)), (p, row.t)
+    globs = ["[a[]b", "a[x[]b", "[!a]*", "[[]", "a?[&&]", "*.[]x]", "[^a]"]
+    cols = [F.col("t").rlike(checked_java_pattern(glob_to_java(g), g)).alias(f"c{i}") for i, g in enumerate(globs)]
+    names = texts + ["a[b", "axb", "[", "ab&", "q.]", "q.x", "^"]
+    for row in spark.createDataFrame([(t,) for t in names], "t string").select("t", *cols).collect():
+        for i, g in enumerate(globs):
+            assert row[f"c{i}"] == fnmatch.fnmatchcase(row.t, g), (g, row.t)
+
+
+def test_rules_that_cannot_be_used_are_named_on_the_driver(spark):
+    import pytest
+
+    from quire.operators.classify import classify_topic
+    from quire.options import Rule
+
+    with pytest.raises(ValueError, match=r"\(unclosed"):
+        classify_topic(F.col("s"), F.col("c"), rules_by_content=(Rule("(unclosed", "task"),))
+    with pytest.raises(ValueError, match=r"\(\?\(1\)a\|b\)"):  # a conditional group has no Java form
+        classify_topic(F.col("s"), F.col("c"), rules_by_content=(Rule("(x)(?(1)a|b)", "task"),))
