@@ -235,17 +235,27 @@ def _compare(members: DataFrame, need: int, num_perm: int, leaders: bool) -> Dat
         rep, status, block, sig = rep[order], status[order], block[order], sig[order]
         first = np.flatnonzero(status == LEADER) if leaders else np.arange(len(rep))
         then = np.flatnonzero(status != LEADER) if leaders else np.arange(len(rep))
-        for k in then:
-            smaller = first[first < k]
+        if not len(first) or not len(then):
+            return
+        # one byte of each value bounds the equal positions from above; pairs that reach
+        # the bound are compared in full
+        low_bytes = (sig % 251).astype(np.uint8)
+        for at in range(0, len(then), BLOCK):
+            some = then[at : at + BLOCK]
+            near = np.zeros((len(some), len(first)), dtype=np.uint16)
+            for p in range(sig.shape[1]):
+                near += low_bytes[some, p][:, None] == low_bytes[first, p][None, :]
+            hits = (near >= need) & (first[None, :] < some[:, None])
             if low != high:
-                smaller = smaller[block[smaller] != block[k]]
-            for at in range(0, len(smaller), BLOCK):
-                some = smaller[at : at + BLOCK]
-                same = (sig[some] == sig[k]).sum(1)
-                hit = np.flatnonzero(same >= need)
-                if len(hit):
-                    yield rep[k], rep[some[hit[0]]], same[hit[0]] / num_perm
-                    break
+                hits &= block[first][None, :] != block[some][:, None]
+            for i in np.flatnonzero(hits.any(1)):
+                k, candidates = some[i], first[hits[i]]
+                for some_first in np.array_split(candidates, range(32, len(candidates), 1024)):  # the first is mostly right
+                    same = (sig[some_first] == sig[k]).sum(1)
+                    found = np.flatnonzero(same >= need)
+                    if len(found):
+                        yield rep[k], rep[some_first[found[0]]], same[found[0]] / num_perm
+                        break
 
     def run(batches):
         held = None
