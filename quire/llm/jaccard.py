@@ -41,6 +41,7 @@ WORDS = 3
 PERCENT = 90
 TIER = 5  # one token in so many is counted over the corpus and comes first in the order
 CROWDED = 8  # buckets of at least so many classes get the overlap bound
+SKETCH = 32  # prefix tokens that tell in which of its buckets a pair is looked at
 CACHE_ENTRIES = 500_000
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 SHIFT = np.uint64(29)
@@ -158,7 +159,8 @@ def _prefixes(made: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 def _roots(rows: DataFrame, buckets: DataFrame, words: int, percent: int) -> DataFrame:
     """``(node, root)`` of all classes that link with another."""
     members = materialize(buckets.groupBy("node").agg(
-        *(F.first(c).alias(c) for c in ("doc_id", "n", "lone", "grp")), F.max("members").alias("crowd")
+        *(F.first(c).alias(c) for c in ("doc_id", "n", "lone", "grp")), F.max("members").alias("crowd"),
+        F.slice(F.sort_array(F.collect_set("h")), 1, SKETCH).alias("sketch"),
     ), "members")
 
     def whole(batches):
@@ -183,7 +185,7 @@ def _roots(rows: DataFrame, buckets: DataFrame, words: int, percent: int) -> Dat
     rank = F.struct("own", "lone", "node")
     groups = members.groupBy("grp").agg(F.min(rank)["node"].alias("leader"))
     in_group = members.join(groups, "grp").select(F.col("leader").alias("a"), F.col("node").alias("b"))
-    lists = buckets.select("h", "node", "members").join(members.drop("doc_id"), "node")
+    lists = buckets.select("h", "node", "members").join(members.drop("doc_id", "sketch"), "node")
     pivots = materialize(lists.groupBy("h").agg(F.min(rank)["node"].alias("pivot"), F.min_by("n", rank).alias("pivot_n")), "pivots")
     fits = F.least("n", "pivot_n") * 100 >= F.greatest("n", "pivot_n") * percent
     posted = lists.groupBy("h", "grp", "n").agg(F.count(F.lit(1)).alias("size"))  # a group once in a bucket
@@ -202,8 +204,12 @@ def _roots(rows: DataFrame, buckets: DataFrame, words: int, percent: int) -> Dat
     own = F.when(F.col("members") >= CROWDED, F.col("own")).otherwise(0)
     inside = F.when(F.col("node") == F.col("pivot"), F.col("n")).otherwise(F.col("common"))
     placed = placed.select("h", "node", "n", "root", "pivot_root", (F.col("n") - own).alias("open"), inside.alias("inside"))
-    placed = materialize(placed.withColumn("outside", F.col("open") - F.col("inside")), "placed")
-    strays = placed.filter("root != pivot_root").select("h", *(F.col(c).alias(f"s_{c}") for c in ("node", "n", "root", "open", "inside", "outside")))
+    placed = placed.withColumn("outside", F.col("open") - F.col("inside"))
+    unsettled = placed.filter("root != pivot_root").select("h").distinct()
+    placed = placed.join(unsettled, "h").join(members.select("node", "sketch"), "node")
+    placed = materialize(placed, "placed")
+    columns = ("node", "n", "root", "open", "inside", "outside", "sketch")
+    strays = placed.filter("root != pivot_root").select("h", *(F.col(c).alias(f"s_{c}") for c in columns))
     overlap = (F.col("n") + F.col("s_n")) * percent / (100 + percent) - 1e-6
     # a common token is in the pivot and both sets, or in both but not in the pivot
     through = F.when(F.col("inside").isNotNull() & F.col("s_inside").isNotNull(), F.least("inside", "s_inside") + F.least("outside", "s_outside"))
@@ -214,6 +220,10 @@ def _roots(rows: DataFrame, buckets: DataFrame, words: int, percent: int) -> Dat
         & (F.least("n", "s_n") * 100 >= F.greatest("n", "s_n") * percent)
         & (bound >= overlap)
     )
+    # the least common token of two sketches is that of the prefixes: only its bucket shows the pair
+    # (bounds hold in every bucket; where the sketches have nothing in common, every bucket does)
+    least = F.get(F.array_intersect("sketch", "s_sketch"), 0)
+    tested = tested & F.coalesce(least == F.col("h"), F.lit(True))
     second = strays.join(placed, "h").filter(tested).select(F.col("s_node").alias("a"), F.col("node").alias("b"))
     second = _ordered(second).join(first, ["a", "b"], "left_anti")
     more = _common(second, sets).filter(_linked(percent)).select("a", "b")
