@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as entry
 
 SMOKE = "/root/testdata/sf0.001"
-TABLES = "part pages documents conversations benchmark labels".split()
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
 def test_entry(spark):
