@@ -44,18 +44,38 @@ INSULTS = frozenset(
     "imbecile cretin retard fool clown pig swine bastard bitch asshole shithead fuck fucking fucker crap jerk "
     "scumbag lowlife vermin degenerate subhuman".split()
 )
-THREAT = re.compile(r"\b(?:kill|hurt|beat|destroy|burn|hang)\s+(?:you|yourself|them|him|her|those|these)\b")
+THREAT_VERBS = ("kill", "hurt", "beat", "destroy", "burn", "hang")
+THREAT = re.compile(rf"\b(?:{'|'.join(THREAT_VERBS)})\s+(?:you|yourself|them|him|her|those|these)\b")
 SECOND_PERSON = re.compile(r"\byou(?:'re| are)?\s+(?:(?:such|so|a|an|all|really|fucking)\s+){0,3}(\w+)")
 SHOUT = re.compile(r"!{2,}")
 MASKED = re.compile(r"[a-z][*#$%&@]{2,}")
 
 
-@dataclass(frozen=True)
+SEEN_WORDS = 400_000
+
+
+@dataclass
 class Lexicon:
     """``words`` and ``stems`` (beginnings of one of the lengths ``STEMS``) to the number of their voter group."""
 
     words: dict[str, int] = field(default_factory=dict)
     stems: dict[str, int] = field(default_factory=dict)
+    seen: set[str] = field(default_factory=set, repr=False)  # words looked up before; emptied at a fixed size
+    known: dict[str, int | None] = field(default_factory=dict, repr=False)  # hits among them, with their group
+
+    def hits(self, words: set[str]) -> set[str]:
+        """The words that the lexicon or the insult list has; their groups are in ``known``."""
+        if len(self.seen) > SEEN_WORDS:
+            self.seen.clear()
+        fresh = words - self.seen
+        for w in fresh:
+            group = self.words.get(w)
+            if group is None:
+                group = next((g for k in STEMS if len(w) > k and (g := self.stems.get(w[:k])) is not None), None)
+            if group is not None or w in INSULTS:
+                self.known[w] = group
+        self.seen |= fresh
+        return words & self.known.keys()
 
 
 VOTERS = (*(f"lexicon_{i}" for i in range(LEXICON_GROUPS)), "insults", "several", "dense", "threat", "second_person", "shout", "masked", "capitals")
@@ -71,36 +91,28 @@ def features(text: str, lexicon: Lexicon) -> np.ndarray:
     words = WORDS(lowered)
     if not words:
         return out
-    hits = Counter()
-    for w in set(words):
-        group = lexicon.words.get(w)
-        if group is None:
-            group = next((g for k in STEMS if len(w) > k and (g := lexicon.stems.get(w[:k])) is not None), None)
-        if group is not None:
+    hits = lexicon.hits(set(words))
+    for w in hits:
+        if (group := lexicon.known[w]) is not None:
             out[group] = 1
-            hits[w] = 1
         if w in INSULTS:
             out[LEXICON_GROUPS] = 1
-            hits[w] = 1
     n = sum(map(hits.__contains__, words)) if hits else 0
+    # each pattern is tried only where one of its characters or words occurs
     votes = (
         len(hits) >= 2,
         n >= 0.01 * len(words),
-        bool(THREAT.search(lowered)),
-        "you" in lowered and any(m.group(1) in hits for m in SECOND_PERSON.finditer(lowered)),
-        len(SHOUT.findall(text)) >= 3,
-        len(MASKED.findall(text)) >= 3,
-        sum(map(str.isupper, words_of_case(text))) > 0.5 * len(words),
+        any(v in lowered for v in THREAT_VERBS) and bool(THREAT.search(lowered)),
+        bool(hits) and "you" in lowered and any(m.group(1) in hits for m in SECOND_PERSON.finditer(lowered)),
+        "!!" in text and len(SHOUT.findall(text)) >= 3,
+        any(c in text for c in "*#$%&@") and len(MASKED.findall(text)) >= 3,
+        sum(map(text.count, "AEIOU")) > 0.08 * len(text),
     )
     out[LEXICON_GROUPS + 1 : len(VOTERS)] = votes
     out[len(VOTERS) :] = math.log1p(n), min(len(hits), 10) / 10, min(10 * n / len(words), 1.0)
     return out
 
 
-def words_of_case(text: str) -> list[str]:
-    return WORDS(text) if not text.islower() else []
-
-
 # --------------------------------------------------------------------------- lexicon
 def terms(text: str) -> set[str]:
     """Distinct words, and beginnings (marked by a hyphen) of longer ones."""
