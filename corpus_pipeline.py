@@ -22,6 +22,8 @@ from quire.llm.queries import QUALITY_FOLDS, TOXIC_FOLDS, fitted
 from quire.session import ship_package
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Near copies share four fifths of their five-word shingles (op10_jaccard_join has a contract of its own)
+COPY_WORDS, COPY_PERCENT = 5, 80
 
 
 def _judged(operator, docs: DataFrame, spark: SparkSession, sf_dir: str, column: str, folds, wanted: int) -> DataFrame:
@@ -44,7 +46,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents, the one with the smallest id."""
     ship_package(spark)
-    linked = jaccard.link_components(docs)
+    linked = jaccard.link_components(docs, COPY_WORDS, COPY_PERCENT)
     copies = linked.filter("component_id != doc_id").select("doc_id").distinct()
     return docs.join(copies, "doc_id", "left_anti").select(*COLUMNS)
 
