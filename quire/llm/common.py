@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +35,27 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Together they tell rows apart, see ``keyed_rows``
+ROW_KEY = ("row_file", "row_at")
+
+
+def keyed_rows(df: DataFrame) -> DataFrame:
+    """``df`` with the columns of ``ROW_KEY``, which no two rows share and every reading repeats.
+
+    Rows of a Parquet table as read (columns chosen, rows filtered) are told by file and
+    position; anything else is written once with a number.
+    """
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ("Project", "Filter"):
+        plan = plan.child()
+    if plan.nodeName() == "LogicalRelation":
+        try:
+            return df.select("*", F.xxhash64("_metadata.file_path").alias("row_file"), F.col("_metadata.row_index").alias("row_at"))
+        except AnalysisException:  # not a format that knows positions
+            pass
+    return materialize(df.select("*", F.lit(0).cast("bigint").alias("row_file"), F.monotonically_increasing_id().alias("row_at")), "rows")
+
+
 def bounded_sample(df: DataFrame, key: Column, rows: int, seed: str) -> DataFrame:
     """About ``rows`` rows at most: all of a smaller table, else those whose keyed hash is low."""
     n = df.count()

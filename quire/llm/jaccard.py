@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import ROW_KEY, keyed_rows, materialize
 from .components import components
 
 WORDS = 3
@@ -103,6 +103,19 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     table gives no rows; other columns are not read.
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    made, of_class = _classes(keyed_rows(rows), words, percent)
+    least = of_class.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    named = of_class.join(least, "root").select("node", "component_id")
+    return made.select("doc_id", "n", "node").join(named, "node", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
+    )
+
+
+def _classes(rows: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """``rows(doc_id, text, ROW_KEY)`` with ``n`` and ``node`` for ``text``, and ``(node, doc_id, first, root)`` of their classes.
+
+    ``first``: the null flag, id and key of the class's first row.
+    """
 
     def sets(batches):
         for b in batches:
@@ -115,28 +128,26 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
                 node.append(xxhash.xxh64_intdigest(h.tobytes()) - (1 << 63) if len(h) else None)
                 toks.append(tier)
                 more.append(h[~first][: max(0, p - len(tier))] if len(h) else h)
-            yield pd.DataFrame({"doc_id": b["doc_id"], "n": n, "node": pd.array(node, dtype="Int64"), "toks": toks, "more": more})
+            kept = {c: b[c] for c in ("doc_id", *ROW_KEY)}
+            yield pd.DataFrame({**kept, "n": n, "node": pd.array(node, dtype="Int64"), "toks": toks, "more": more})
 
-    made = materialize(rows.mapInPandas(sets, "doc_id bigint, n bigint, node bigint, toks array<bigint>, more array<bigint>"), "shingles")
+    schema = "doc_id bigint, row_file bigint, row_at bigint, n bigint, node bigint, toks array<bigint>, more array<bigint>"
+    made = materialize(rows.mapInPandas(sets, schema), "shingles")
     classes = made.filter("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("toks").alias("toks"), F.first("more").alias("more")
+        F.first("n").alias("n"), F.first("toks").alias("toks"), F.first("more").alias("more")
     )
+    firsts = made.filter("node is not null").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *ROW_KEY)).alias("first"))
     prefixes = materialize(_prefixes(made, classes, percent), "prefixes")
     shared = prefixes.groupBy("h").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    buckets = materialize(prefixes.join(shared, "h"), "buckets")  # (h, node, doc_id, n, lone, grp, members)
+    buckets = materialize(prefixes.join(shared, "h"), "buckets")  # (h, node, n, lone, grp, members)
 
-    roots = _roots(rows, buckets, words, percent)
-    of_class = made.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(roots, "node", "left")
-    of_class = materialize(of_class.select("node", "doc_id", F.coalesce("root", "node").alias("root")), "classes")
-    least = of_class.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = of_class.join(least, "root").select("node", "component_id")
-    return made.select("doc_id", "n", "node").join(named, "node", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
-    )
+    roots = _roots(rows, firsts, buckets, words, percent)
+    of_class = firsts.join(roots, "node", "left").select("node", "first", F.col("first")["doc_id"].alias("doc_id"), F.coalesce("root", "node").alias("root"))
+    return made, materialize(of_class, "classes")
 
 
 def _prefixes(made: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """``(h, node, doc_id, n, lone, grp)``: the prefix tokens that more than one class may have."""
+    """``(h, node, n, lone, grp)``: the prefix tokens that more than one class may have."""
     counted = made.select("node", F.explode("toks").alias("h")).groupBy("h").agg(
         F.count(F.lit(1)).alias("df"), F.min("node").alias("lo"), F.max("node").alias("hi")
     )
@@ -146,34 +157,31 @@ def _prefixes(made: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     length = F.expr(f"n - (n * {percent} + 99) div 100 + 1")  # prefix_length
     alive = classes.join(alone, "node", "left").withColumn("lone", F.coalesce("lone", F.lit(0)))
     alive = alive.withColumn("left", (length - F.col("lone")).cast("int")).filter("left > 0")
-    kept = alive.select("node", "doc_id", "n", "lone", "left", "more", F.explode_outer("toks").alias("h")).join(common, "h", "left")
+    kept = alive.select("node", "n", "lone", "left", "more", F.explode_outer("toks").alias("h")).join(common, "h", "left")
     ordered = kept.groupBy("node").agg(
-        *(F.first(c).alias(c) for c in ("doc_id", "n", "lone", "left", "more")),
+        *(F.first(c).alias(c) for c in ("n", "lone", "left", "more")),
         F.sort_array(F.collect_list(F.when(F.col("df").isNotNull(), F.struct("df", "h")))).alias("toks"),
     )
     prefix = F.concat(F.transform(F.slice("toks", F.lit(1), F.col("left")), lambda t: t["h"]), F.col("more"))
-    ordered = ordered.select("node", "doc_id", "n", "lone", prefix.alias("prefix"))
-    return ordered.select("node", "doc_id", "n", "lone", F.xxhash64("n", "prefix").alias("grp"), F.explode("prefix").alias("h"))
+    ordered = ordered.select("node", "n", "lone", prefix.alias("prefix"))
+    return ordered.select("node", "n", "lone", F.xxhash64("n", "prefix").alias("grp"), F.explode("prefix").alias("h"))
 
 
-def _roots(rows: DataFrame, buckets: DataFrame, words: int, percent: int) -> DataFrame:
+def _roots(rows: DataFrame, firsts: DataFrame, buckets: DataFrame, words: int, percent: int) -> DataFrame:
     """``(node, root)`` of all classes that link with another."""
     members = materialize(buckets.groupBy("node").agg(
-        *(F.first(c).alias(c) for c in ("doc_id", "n", "lone", "grp")), F.max("members").alias("crowd"),
+        *(F.first(c).alias(c) for c in ("n", "lone", "grp")), F.max("members").alias("crowd"),
         F.slice(F.sort_array(F.collect_set("h")), 1, SKETCH).alias("sketch"),
     ), "members")
 
     def whole(batches):
         for b in batches:
-            found = [shingle_hashes(t, words) for t in b["text"]]
-            node = [xxhash.xxh64_intdigest(h.tobytes()) - (1 << 63) for h in found]
-            same = b["node"].to_numpy() == np.array(node, dtype=np.int64)
-            yield pd.DataFrame({"node": node, "tokens": found})[same]
+            yield pd.DataFrame({"node": b["node"], "tokens": [shingle_hashes(t, words) for t in b["text"]]})
 
-    wanted = members.select("doc_id", "node")
-    texts = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["doc_id"])).select("node", "text")
-    sets = texts.mapInPandas(whole, "node bigint, tokens array<bigint>").dropDuplicates(["node"])
-    sets = materialize(sets, "sets")
+    # the text of one row of each class
+    wanted = firsts.join(members.select("node"), "node", "left_semi").select("node", *(F.col("first")[c].alias(c) for c in ROW_KEY))
+    texts = rows.join(wanted, list(ROW_KEY)).select("node", "text")
+    sets = materialize(texts.mapInPandas(whole, "node bigint, tokens array<bigint>"), "sets")
 
     # tokens that no other class in crowded buckets has
     crowded = sets.join(members.filter(F.col("crowd") >= CROWDED).select("node"), "node", "left_semi")
@@ -185,7 +193,7 @@ def _roots(rows: DataFrame, buckets: DataFrame, words: int, percent: int) -> Dat
     rank = F.struct("own", "lone", "node")
     groups = members.groupBy("grp").agg(F.min(rank)["node"].alias("leader"))
     in_group = members.join(groups, "grp").select(F.col("leader").alias("a"), F.col("node").alias("b"))
-    lists = buckets.select("h", "node", "members").join(members.drop("doc_id", "sketch"), "node")
+    lists = buckets.select("h", "node", "members").join(members.drop("sketch"), "node")
     pivots = materialize(lists.groupBy("h").agg(F.min(rank)["node"].alias("pivot"), F.min_by("n", rank).alias("pivot_n")), "pivots")
     fits = F.least("n", "pivot_n") * 100 >= F.greatest("n", "pivot_n") * percent
     posted = lists.groupBy("h", "grp", "n").agg(F.count(F.lit(1)).alias("size"))  # a group once in a bucket

@@ -3,6 +3,7 @@
 import numpy as np
 
 import corpus_pipeline as cp
+from quire.llm import jaccard
 from test_jaccard import shingles
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -36,3 +37,22 @@ def test_near_copies_by_five_words_and_four_fifths(spark):
     want = sorted(set(group))
     assert 1 not in want and 4 not in want  # one word of 50, nine of 500
     assert sorted(i for i, _ in kept(spark, [(i, t, "s") for i, t in rows])) == want
+
+
+def test_null_ids_fetch_one_text_a_class(spark, monkeypatch, tmp_path):
+    # the second pass reads one row of each class, however many rows share its id
+    rng = np.random.default_rng(6)
+    bases = [list(rng.choice(WORDS, 50)) for _ in range(12)]
+    rows = [(None, " ".join([*t, *rng.choice(WORDS, k)])) for t in bases for k in (0, 1, 1, 2)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/docs.parquet")
+    calls, plain = f"{tmp_path}/calls", jaccard.shingle_hashes
+
+    def counted(text, words):
+        with open(calls, "a") as f:
+            f.write("x")
+        return plain(text, words)
+
+    monkeypatch.setattr(jaccard, "shingle_hashes", counted)
+    jaccard.link_components(spark.read.parquet(f"{tmp_path}/docs.parquet")).collect()
+    with open(calls) as f:
+        assert len(rows) < len(f.read()) <= 2 * len(rows)
