@@ -7,7 +7,8 @@ are blanked out.
 
 Nulls, empty and repeated rows: a null text is scored as empty text by the classifiers,
 links with nothing, keeps being null through the secret stage and is packed as an empty
-document.  Rows with a null id are never removed as copies.  An empty table stays empty.
+document.  Copies are told by row: of a group one row stays, whether ids repeat or are null
+(a null id only if the group has no other).  An empty table stays empty.
 """
 
 from __future__ import annotations
@@ -44,11 +45,9 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents, the one with the smallest id."""
+    """Of each group of linked documents, one row: that with the smallest id."""
     ship_package(spark)
-    linked = jaccard.link_components(docs, COPY_WORDS, COPY_PERCENT)
-    copies = linked.filter("component_id != doc_id").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*COLUMNS)
+    return jaccard.first_of_components(docs, COPY_WORDS, COPY_PERCENT).select(*COLUMNS)
 
 
 def blank_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

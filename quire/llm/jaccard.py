@@ -111,6 +111,18 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     )
 
 
+def first_of_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each component of ``docs``, all columns: the smallest id's (a null comes last), of equal ids any one.
+
+    Rows are told apart by themselves, not by their ids.  Rows without shingles all stay.
+    """
+    keyed = keyed_rows(docs)
+    made, of_class = _classes(keyed.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), *ROW_KEY), words, percent)
+    kept = of_class.groupBy("root").agg(F.min("first").alias("first")).select(*(F.col("first")[c].alias(c) for c in ROW_KEY))
+    copies = made.filter("node is not null").select(*ROW_KEY).join(kept, list(ROW_KEY), "left_anti")
+    return keyed.join(materialize(copies, "copies"), list(ROW_KEY), "left_anti").select(*docs.columns)
+
+
 def _classes(rows: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """``rows(doc_id, text, ROW_KEY)`` with ``n`` and ``node`` for ``text``, and ``(node, doc_id, first, root)`` of their classes.
 

@@ -1,6 +1,7 @@
-"""The stage that drops copies, by its own rule."""
+"""The stage that drops copies: its own rule, and rows with repeated or null ids."""
 
 import numpy as np
+import pytest
 
 import corpus_pipeline as cp
 from quire.llm import jaccard
@@ -10,6 +11,12 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 WORDS = [f"w{i}" for i in range(4000)]
 
 
+@pytest.fixture(scope="module")
+def texts():
+    rng = np.random.default_rng(5)
+    return [" ".join(rng.choice(WORDS, 50)) for _ in range(12)]
+
+
 def kept(spark, rows, path=None):
     docs = spark.createDataFrame([(i, t, s, s, 1) for i, t, s in rows], SCHEMA).repartition(3)
     if path:
@@ -18,6 +25,21 @@ def kept(spark, rows, path=None):
     return sorted(((r.doc_id, r.source) for r in cp.drop_copies(spark, docs, "").collect()), key=repr)
 
 
+@pytest.mark.parametrize("written", [True, False])
+def test_rows_with_repeated_and_null_ids(spark, texts, tmp_path, written):
+    a, b, c, d, e, f = texts[:6]
+    rows = [
+        (1, a, "a"), (1, a, "a"),  # loaded twice
+        (2, a, "copy"), (2, b, "b"),  # an id with a copy and a clean text
+        (None, c, "c"), (None, c, "c"), (None, c, "c"),
+        (None, d, "null copy"), (7, d, "d"),
+        (None, e, "e"), (None, f, "f"),
+        (None, None, "none"), (None, None, "none"), (8, "", "empty"),
+    ]
+    want = [(1, "a"), (2, "b"), (7, "d"), (8, "empty"), (None, "c"), (None, "e"), (None, "f"), (None, "none"), (None, "none")]
+    assert kept(spark, rows, f"{tmp_path}/docs.parquet" if written else None) == sorted(want, key=repr)
+
+
 def test_near_copies_by_five_words_and_four_fifths(spark):
     # against brute force; pairs between this rule and that of op10_jaccard_join are copies here
     rng = np.random.default_rng(9)
