@@ -17,7 +17,6 @@ leftovers (bounded per partition), since a merge may cut them anew.
 from __future__ import annotations
 
 import base64
-import re
 import zlib
 from functools import lru_cache
 
@@ -31,23 +30,16 @@ LENGTH = 2048
 OPEN_WINDOWS = 16
 END_ID = 1
 FAN_IN = 64
-CACHE_ENTRIES = 300_000
 # A sequence id holds the round, the group (at first the partition) and a running number.
 GROUP_BITS, ROUND_BITS = 32, 56
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 WITH_IDS = PIECES + ", ids binary"
 # Fixed value: the split pattern of the byte-level vocabulary
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-BETWEEN_WORDS = re.compile(r"(?<=\S) (?=\S)")
 
 
 class Encoder:
-    """Token ids of texts as little-endian unsigned 32-bit bytes.
-
-    A blank between two other characters always starts a new word of the split pattern,
-    so texts are encoded by the chunks between such blanks; ids of chunks are kept in a
-    dictionary that is emptied at a fixed size.
-    """
+    """Token ids of whole texts as little-endian unsigned 32-bit bytes."""
 
     def __init__(self, ranks_path: str, specials: tuple[tuple[str, int], ...]):
         import tiktoken
@@ -55,26 +47,9 @@ class Encoder:
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.bpe = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=dict(specials))
-        self.specials = [s for s, _ in specials]
-        self.known: dict[str, bytes] = {}
-
-    def raw(self, text: str) -> bytes:
-        return self.bpe.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
-        if any(s in text for s in self.specials):
-            return self.raw(text)
-        chunks = text.split(" ")
-        whole = "".join(chunks)
-        if not all(chunks) or len(whole.split()) != 1:
-            chunks = BETWEEN_WORDS.split(text)
-        known = self.known
-        if len(known) > CACHE_ENTRIES:
-            known.clear()
-        first, rest = chunks[0], [" " + c for c in chunks[1:]]
-        for chunk in set(rest).difference(known):
-            known[chunk] = self.raw(chunk)
-        return self.raw(first) + b"".join(map(known.__getitem__, rest))
+        return self.bpe.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes()
 
 
 @lru_cache(maxsize=2)
