@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import ann, jaccard, licenses, packing, pieces, quality, secrets, token_counts, topk, toxicity
+from . import ann, fill_in_middle, jaccard, licenses, packing, pieces, quality, secrets, token_counts, topk, toxicity
 from .common import in_fold, learnable, read_columns, score_texts
 
 
@@ -95,6 +95,16 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_components(read_columns(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_in_middle.fill_in_middle(read_columns(spark, sf_dir, "documents", "doc_id", "text"))
+    rebuilt = fill_in_middle.restored(F.col("output"), F.col("form"))
+    digest = lambda text: F.sha2(text.cast("binary"), 256)
+    return found.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        digest(F.col("output")).alias("output_sha256"), digest(rebuilt).alias("restored_sha256"),
+    )
+
+
 def _shipping(query):
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,7 +117,7 @@ def _shipping(query):
 QUERIES = {f.__name__: _shipping(f) for f in (
     op1_toxicity, op2_license_scans, op3_secret_scans, op4_nearest_neighbours, op5_quality_classifier,
     op6_piece_segmentation, op7_token_counts, op8_top_k, op9_packing,
-    op10_jaccard_join,
+    op10_jaccard_join, op12_fill_in_middle,
 )}
 
 # DuckDB statements of the queries that SQL can express
