@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import ann, fill_in_middle, jaccard, licenses, packing, pieces, quality, secrets, token_counts, topk, toxicity
+from . import ann, fill_in_middle, jaccard, licenses, packing, pieces, quality, secrets, token_counts, topk, toxicity, warc
 from .common import in_fold, learnable, read_columns, score_texts
 
 
@@ -95,6 +95,12 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_components(read_columns(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = warc.archive_folder(spark)
+    warc.write_archives(read_columns(spark, sf_dir, "pages", "page_id", "url", "html"), path)
+    return warc.read_archives(spark, path, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fill_in_middle.fill_in_middle(read_columns(spark, sf_dir, "documents", "doc_id", "text"))
     rebuilt = fill_in_middle.restored(F.col("output"), F.col("form"))
@@ -117,7 +123,7 @@ def _shipping(query):
 QUERIES = {f.__name__: _shipping(f) for f in (
     op1_toxicity, op2_license_scans, op3_secret_scans, op4_nearest_neighbours, op5_quality_classifier,
     op6_piece_segmentation, op7_token_counts, op8_top_k, op9_packing,
-    op10_jaccard_join, op12_fill_in_middle,
+    op10_jaccard_join, op11_warc, op12_fill_in_middle,
 )}
 
 # DuckDB statements of the queries that SQL can express
