@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import ann, fill_in_middle, jaccard, licenses, packing, pieces, quality, secrets, token_counts, topk, toxicity, warc
+from . import alignment, ann, fill_in_middle, jaccard, licenses, packing, pieces, quality, secrets, token_counts, topk, toxicity, warc
 from .common import in_fold, learnable, read_columns, score_texts
 
 
@@ -111,6 +111,11 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_columns(spark, sf_dir, "documents", "doc_id", "text")
+    return alignment.align(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def _shipping(query):
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,7 +128,7 @@ def _shipping(query):
 QUERIES = {f.__name__: _shipping(f) for f in (
     op1_toxicity, op2_license_scans, op3_secret_scans, op4_nearest_neighbours, op5_quality_classifier,
     op6_piece_segmentation, op7_token_counts, op8_top_k, op9_packing,
-    op10_jaccard_join, op11_warc, op12_fill_in_middle,
+    op10_jaccard_join, op11_warc, op12_fill_in_middle, op13_alignment,
 )}
 
 # DuckDB statements of the queries that SQL can express
