@@ -1,5 +1,5 @@
-"""Near-duplicate detection: shingles → MinHash → lossless banded candidates →
-leader clustering, all as DataFrame jobs.
+"""Near-duplicate detection: shingles → MinHash → lossless candidates by rare
+positions → leader clustering, all as DataFrame jobs.
 
 Clustering semantics (equal to a greedy pass over the keys in ascending order):
 the first key not yet taken becomes a leader and takes every later untaken key
@@ -16,18 +16,17 @@ Scale plan
 * Equal signatures collapse to one representative by 128 bits of hash with map-side
   partial aggregation, so a group of exact copies holding a third of the data
   never lands in one task; equal signatures always share a cluster.
-* Bands are lossless: with ``need`` = the fewest equal positions that reach the
-  threshold, ``num_perm - need + 1`` bands guarantee by pigeonhole that every
-  qualifying pair agrees on a whole band.  No qualifying pair is ever missed.
-* Pairs are never listed.  A bucket (band, band value) is dealt out in cells of two
-  blocks of bounded size; a task compares a cell's signatures and returns at most one
-  row per member: that a smaller undecided member resembles it, or which leader does.
-  One path serves buckets of any size.
-* Leader rounds: first two linear ones, in which the smallest member of all its buckets
-  leads and takes what resembles it (families of near copies are settled there); then
-  rounds in which every member without a smaller undecided look-alike leads.  Members
-  that merely share a template do not block each other, so the number of rounds
-  follows the longest chain of look-alikes, not the size of a bucket.
+* Candidates share one of their rarest positions.  With ``need`` = the fewest equal positions
+  that reach the threshold, two look-alikes agree in one of the ``num_perm - need + 1``
+  rarest (position, value) pairs of either, if rarity is one order for the corpus.  No
+  qualifying pair is missed, and what a template puts into many signatures makes no bucket.
+* All pairs are never listed.  A bucket is dealt out in cells of two blocks of bounded size; a
+  task compares a cell's signatures and returns for each undecided member at most ``NEAREST``
+  look-alikes, the smallest ones.  One path serves buckets of any size.
+* Leader rounds work on these short lists alone, without signatures: a member with a leading
+  look-alike follows, one whose look-alikes all follow leads.  The number of rounds is the
+  longest chain of look-alikes.  Only where all listed ones follow and the list was cut is
+  there another comparison, among leaders and undecided ones.
 * The state of a round is written as parquet to the shared checkpoint folder and the
   round before is deleted: sizes stay known to the planner, rounds stay equally fast.
 """
@@ -50,7 +49,7 @@ from ..session import WIDE_AGGREGATE_CONF, delete_path, scoped_conf, ship_packag
 PRIME = 2147483647  # 2^31 - 1, modulus of the affine permutations
 SENTINEL = 2**63 - 1  # start value of every slot; stays for an empty shingle set
 BLOCK = 1024  # members of a block; a cell compares two blocks
-STAR_ROUNDS = 2  # linear rounds before all members are compared
+NEAREST = 16  # look-alikes that a comparison lists for a member
 
 UNDECIDED, LEADER, MEMBER = 0, 1, 2
 LOG = logging.getLogger("quire.dedupe")
@@ -125,7 +124,7 @@ def signatures(items: DataFrame, opts: AssessOptions = AssessOptions()) -> DataF
     )
 
 
-# --------------------------------------------------------------------------- banding
+# --------------------------------------------------------------------------- candidates
 def required_matches(num_perm: int, threshold: float) -> int | None:
     """Fewest equal positions m with m / num_perm ≥ threshold (None if unreachable)."""
     for m in range(num_perm + 1):
@@ -134,30 +133,29 @@ def required_matches(num_perm: int, threshold: float) -> int | None:
     return None
 
 
-def band_ranges(num_perm: int, threshold: float) -> list[tuple[int, int]]:
-    """Contiguous ``(start, length)`` bands, ``num_perm - need + 1`` of them (lossless)."""
-    need = required_matches(num_perm, threshold)
-    if need is None or need == 0:
-        return []
-    bands = num_perm - need + 1
-    base, extra = divmod(num_perm, bands)
-    out, start = [], 0
-    for i in range(bands):
-        size = base + (1 if i < extra else 0)
-        out.append((start, size))
-        start += size
-    return out
+def _buckets(reps: DataFrame, num_perm: int, need: int) -> DataFrame:
+    """``(rep, bucket)``: the ``num_perm - need + 1`` rarest (position, value) pairs of every signature.
 
+    Two signatures with ``need`` equal positions share one of these, if rarity is one order
+    for the whole corpus.  What a template puts into many signatures is frequent and thus
+    mostly left out.  A bucket is a 64-bit hash; a collision only adds candidates (all
+    are verified), never loses one.
+    """
+    tokens = F.transform("sig", lambda v, i: F.xxhash64(i, v))
+    listed = reps.select("rep", F.explode(tokens).alias("bucket"))
+    # a token of one signature alone is rarest, but leads nowhere
+    frequent = listed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    kept = num_perm - need + 1
+    # as many as fit behind the tokens that no other signature has
+    found = listed.join(frequent, "bucket").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("n", "bucket"))).alias("found"))
+    first = F.slice("found", F.lit(1), F.greatest(F.lit(0), F.size("found") - F.lit(num_perm - kept)))
+    return found.select("rep", F.explode(F.transform(first, lambda t: t["bucket"])).alias("bucket"))
 
-def _buckets(reps: DataFrame, ranges) -> DataFrame:
-    """``(rep, bucket)`` for every band; bucket = 64-bit hash of (band no, band values).
 
-    A hash collision only adds candidates (all are verified), never loses one.
-    """
-    arr = F.array(*[
-        F.xxhash64(F.lit(i), F.slice("sig", start + 1, size)) for i, (start, size) in enumerate(ranges)
-    ])
-    return reps.select("rep", F.explode(arr).alias("bucket"))
+def packed(sig: Column, num_perm: int) -> Column:
+    """The signature as ``num_perm`` big-endian 32-bit integers; the sentinel becomes -1."""
+    value = lambda v: F.when(v == SENTINEL, F.lit("FFFFFFFF")).otherwise(F.lpad(F.hex(v), 8, "0"))
+    return F.unhex(F.concat(*(value(F.get(sig, i)) for i in range(num_perm))))
 
 
 # --------------------------------------------------------------------------- clustering
@@ -223,38 +221,36 @@ def _cells(members: DataFrame) -> DataFrame:
     return dealt.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
 
 
-def _compare(members: DataFrame, need: int, num_perm: int, leaders: bool) -> DataFrame:
-    """Compare all members of each cell; at most one row per member and cell.
+def _look_alikes(members: DataFrame, need: int, num_perm: int) -> DataFrame:
+    """``(rep, near)`` for undecided members: their ``NEAREST`` smallest smaller look-alikes among all ``members``.
 
-    ``leaders`` false: ``(rep, leader, similarity)`` of members that a smaller undecided one
-    resembles (the smallest such).  True: of members that a leader resembles (likewise).
+    ``near`` is an array of ``(near, similarity)`` in ascending order.  All members of a cell
+    are compared; a cell returns at most ``NEAREST`` rows per member.
     """
 
     def cell_rows(rep, status, block, low, high, sig):
         order = np.argsort(rep, kind="stable")
         rep, status, block, sig = rep[order], status[order], block[order], sig[order]
-        first = np.flatnonzero(status == LEADER) if leaders else np.arange(len(rep))
-        then = np.flatnonzero(status != LEADER) if leaders else np.arange(len(rep))
-        if not len(first) or not len(then):
-            return
+        then = np.flatnonzero(status == UNDECIDED)
         # one byte of each value bounds the equal positions from above; pairs that reach
         # the bound are compared in full
         low_bytes = (sig % 251).astype(np.uint8)
         for at in range(0, len(then), BLOCK):
             some = then[at : at + BLOCK]
-            near = np.zeros((len(some), len(first)), dtype=np.uint16)
+            near = np.zeros((len(some), len(rep)), dtype=np.uint8 if num_perm < 256 else np.uint16)
             for p in range(sig.shape[1]):
-                near += low_bytes[some, p][:, None] == low_bytes[first, p][None, :]
-            hits = (near >= need) & (first[None, :] < some[:, None])
+                near += low_bytes[some, p][:, None] == low_bytes[:, p][None, :]
+            hits = (near >= need) & (np.arange(len(rep))[None, :] < some[:, None])
             if low != high:
-                hits &= block[first][None, :] != block[some][:, None]
+                hits &= block[None, :] != block[some][:, None]
             for i in np.flatnonzero(hits.any(1)):
-                k, candidates = some[i], first[hits[i]]
-                for some_first in np.array_split(candidates, range(32, len(candidates), 1024)):  # the first is mostly right
-                    same = (sig[some_first] == sig[k]).sum(1)
-                    found = np.flatnonzero(same >= need)
-                    if len(found):
-                        yield rep[k], rep[some_first[found[0]]], same[found[0]] / num_perm
+                k, candidates, found = some[i], np.flatnonzero(hits[i]), 0
+                for few in np.array_split(candidates, range(2 * NEAREST, len(candidates), 1024)):  # the first are mostly right
+                    same = (sig[few] == sig[k]).sum(1)
+                    for j in np.flatnonzero(same >= need)[: NEAREST - found]:
+                        yield rep[k], rep[few[j]], same[j] / num_perm
+                        found += 1
+                    if found == NEAREST:
                         break
 
     def run(batches):
@@ -274,50 +270,84 @@ def _compare(members: DataFrame, need: int, num_perm: int, leaders: bool) -> Dat
             return
         rep, status = table["rep"].to_numpy(), table["status"].to_numpy()
         block, low, high = (table[c].to_numpy() for c in ("block", "low", "high"))
-        sig = np.stack(table["sig"].to_numpy())
+        sig = np.frombuffer(b"".join(table["sig"]), dtype=">i4").reshape(len(table), num_perm).astype(np.int32)
         out = []
         for a, b in zip([0, *cuts], [*cuts, len(table)], strict=True):
             out += cell_rows(rep[a:b], status[a:b], block[a:b], low[a], high[a], sig[a:b])
         if out:
-            yield pd.DataFrame(out, columns=["rep", "leader", "similarity"])
+            yield pd.DataFrame(out, columns=["rep", "near", "similarity"])
 
-    found = _cells(members).mapInPandas(run, "rep string, leader string, similarity double")
-    return found.groupBy("rep").agg(F.min(F.struct("leader", "similarity")).alias("b")).select("rep", "b.leader", "b.similarity")
+    found = _cells(members).mapInPandas(run, "rep string, near string, similarity double")
+    # several buckets find the same pair
+    return found.groupBy("rep").agg(F.slice(F.sort_array(F.collect_set(F.struct("near", "similarity"))), 1, NEAREST).alias("near"))
 
 
 def _leader_rounds(reps: DataFrame, need: int, opts: AssessOptions) -> DataFrame:
     """``(rep, leader, similarity)`` of the representatives that share a bucket with another."""
     spark = reps.sparkSession
-    every = _buckets(reps, band_ranges(opts.num_perm, opts.threshold))
+    written: list[str] = []
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        table, path = write_and_read(df, name)
+        written.append(path)
+        return table
+
+    every = _buckets(reps, opts.num_perm, need)
     shared = every.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    mem, _ = write_and_read(every.join(shared, "bucket").select("bucket", "rep"), "buckets")
-    sigs = reps.select("rep", "sig")
-    state, path = write_and_read(mem.select("rep").distinct().withColumn("status", F.lit(UNDECIDED)), "state")
-    rounds, started = 0, time.perf_counter()
-    while not state.filter(F.col("status") == UNDECIDED).isEmpty():
-        rounds += 1
-        LOG.info("leader round %d (%.1fs)", rounds, time.perf_counter() - started)
-        open_ = state.filter(F.col("status") == UNDECIDED).select("rep")
-        listed = mem.join(open_, "rep")
-        if rounds <= STAR_ROUNDS:
-            # the smallest undecided member of all its buckets leads
-            smallest = listed.groupBy("bucket").agg(F.min("rep").alias("least"))
-            behind = listed.join(smallest, "bucket").filter("rep > least").select("rep").distinct()
-        else:
-            behind = _compare(listed.join(sigs, "rep").withColumn("status", F.lit(UNDECIDED)), need, opts.num_perm, False).select("rep")
-        new, new_path = write_and_read(open_.join(behind, "rep", "left_anti").withColumn("lead", F.lit(LEADER)), "leaders")
-        # members: undecided ones that a new leader resembles
-        with_new = listed.join(new, "rep", "left").select("bucket", "rep", F.coalesce("lead", F.lit(UNDECIDED)).alias("status"))
-        led = with_new.filter(F.col("status") == LEADER).select("bucket").distinct()
-        taken = _compare(with_new.join(led, "bucket").join(sigs, "rep"), need, opts.num_perm, True).select("rep", F.lit(MEMBER).alias("taken"))
-        status = F.coalesce(F.col("lead"), F.col("taken"), F.col("status")).alias("status")
-        after, new_state = write_and_read(state.join(new, "rep", "left").join(taken, "rep", "left").select("rep", status), "state")
-        delete_path(spark, path)
-        delete_path(spark, new_path)
-        state, path = after, new_state
-    # every member against all leaders of its buckets: the smallest one counts
-    final = mem.join(state, "rep").join(sigs, "rep")
-    return write_and_read(_compare(final, need, opts.num_perm, True), "rep-leaders")[0]
+    mem = kept(every.join(shared, "bucket").select("bucket", "rep"), "buckets")
+    sigs = kept(reps.join(mem.select("rep").distinct(), "rep", "left_semi").select("rep", packed(F.col("sig"), opts.num_perm).alias("sig")), "packed")
+    state, path = write_and_read(sigs.select("rep", F.lit(UNDECIDED).alias("status")), "state")
+    lists, comparisons, rounds, started = [], 0, 0, time.perf_counter()
+    undecided = state.count()
+    while undecided:
+        comparisons += 1
+        # members lead nobody: only leaders and undecided ones are compared
+        alive = mem.join(state.filter(F.col("status") != MEMBER), "rep").join(sigs, "rep")
+        lists.append(kept(_look_alikes(alive, need, opts.num_perm), "look-alikes"))
+        LOG.info("comparison %d of %d undecided (%.1fs)", comparisons, undecided, time.perf_counter() - started)
+        before = undecided + 1
+        while 0 < undecided < before:
+            rounds += 1
+            before = undecided
+            after, new_path = write_and_read(_decided(state, lists[-1]), "state")
+            undecided = after.filter(F.col("status") == UNDECIDED).count()
+            delete_path(spark, path)
+            state, path = after, new_path
+            LOG.info("leader round %d: %d undecided (%.1fs)", rounds, undecided, time.perf_counter() - started)
+    # a member's leader is the smallest leader among its look-alikes (of the last list that it is in)
+    leaders = state.filter(F.col("status") == LEADER).select(F.col("rep").alias("leader"))
+    out = None
+    for n, table in enumerate(lists):
+        for later in lists[n + 1 :]:
+            table = table.join(later.select("rep"), "rep", "left_anti")
+        out = table if out is None else out.unionByName(table)
+    if out is None:
+        return sigs.select("rep", F.col("rep").alias("leader"), F.lit(1.0).alias("similarity"))
+    near = out.join(state.filter(F.col("status") == MEMBER).select("rep"), "rep", "left_semi").select("rep", F.explode("near").alias("n"))
+    led = near.select("rep", F.col("n.near").alias("leader"), F.col("n.similarity").alias("similarity")).join(leaders, "leader")
+    led = led.groupBy("rep").agg(F.min(F.struct("leader", "similarity")).alias("b")).select("rep", "b.leader", "b.similarity")
+    result, _ = write_and_read(led, "rep-leaders")
+    for done in (*written, path):
+        delete_path(spark, done)
+    return result
+
+
+def _decided(state: DataFrame, lists: DataFrame) -> DataFrame:
+    """One round: ``state(rep, status)`` with those decided whose look-alikes allow it.
+
+    A look-alike that leads makes a member.  If all look-alikes are members, or there are
+    none, a member whose list is complete leads; where the list is cut at ``NEAREST`` the next
+    comparison, without the members, tells.
+    """
+    open_ = state.filter(F.col("status") == UNDECIDED).select("rep")
+    listed = open_.join(lists, "rep", "left")
+    asked = listed.select("rep", F.explode_outer("near").alias("n")).select("rep", F.col("n.near").alias("near"))
+    known = state.select(F.col("rep").alias("near"), F.col("status").alias("of_near"))
+    seen = asked.join(known, "near", "left").groupBy("rep").agg(
+        F.count("near").alias("n"), F.count_if(F.col("of_near") == LEADER).alias("leading"), F.count_if(F.col("of_near") == MEMBER).alias("following")
+    )
+    decided = F.when(F.col("leading") > 0, F.lit(MEMBER)).when((F.col("following") == F.col("n")) & (F.col("n") < NEAREST), F.lit(LEADER)).otherwise(F.lit(UNDECIDED))
+    return state.filter(F.col("status") != UNDECIDED).unionByName(seen.select("rep", decided.alias("status")))
 
 
 # --------------------------------------------------------------------------- corpus helpers

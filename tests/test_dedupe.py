@@ -1,6 +1,7 @@
 """Near-duplicate clustering against a plain greedy pass over the same signatures."""
 
 import random
+import struct
 import time
 
 import pytest
@@ -9,7 +10,6 @@ from pyspark.sql import functions as F
 from quire.operators import dedupe
 from quire.operators.dedupe import (
     SENTINEL,
-    band_ranges,
     cluster_keys,
     required_matches,
     shingles,
@@ -53,13 +53,44 @@ def test_similarity(spark):
     assert [r[0] for r in df.select(signature_similarity(F.col("a"), F.col("b"))).collect()] == [0.5, 0.0]
 
 
-def test_bands_are_lossless():
-    for num_perm in (16, 32, 64):
-        for t in (0.5, 0.7, 0.88, 1.0):
-            need = required_matches(num_perm, t)
-            ranges = band_ranges(num_perm, t)
-            assert sum(n for _, n in ranges) == num_perm
-            assert len(ranges) == num_perm - need + 1
+def test_rarest_positions_are_lossless(spark):
+    """Every pair that reaches the threshold shares a bucket; a template's positions make none."""
+    rng = random.Random(5)
+    for num_perm, t in ((16, 0.5), (32, 0.7), (32, 1.0)):
+        need = required_matches(num_perm, t)
+        bases = [[rng.randrange(1000) for _ in range(num_perm)] for _ in range(4)]
+        rows = []
+        for i in range(120):
+            sig = list(rng.choice(bases))
+            for _ in range(rng.randrange(num_perm)):
+                sig[rng.randrange(num_perm)] = rng.randrange(1000)
+            rows.append((f"r{i}", sig))
+        found = {}
+        for r in dedupe._buckets(spark.createDataFrame(rows, "rep string, sig array<bigint>"), num_perm, need).collect():
+            found.setdefault(r.rep, set()).add(r.bucket)
+        assert all(len(v) <= num_perm - need + 1 for v in found.values())
+        for i, (a, x) in enumerate(rows):
+            for b, y in rows[:i]:
+                if sum(p == q for p, q in zip(x, y, strict=True)) >= need:
+                    assert found[a] & found[b]
+
+
+def test_packed_signatures(spark):
+    sig = [0, 1, 2**31 - 2, SENTINEL]
+    row = spark.createDataFrame([(sig,)], "s array<bigint>").select(dedupe.packed(F.col("s"), 4)).first()[0]
+    assert list(struct.unpack(">4i", row)) == [0, 1, 2**31 - 2, -1]
+
+
+@pytest.mark.parametrize("nearest", [1, 2])
+def test_cut_lists_are_compared_again(spark, monkeypatch, nearest):
+    """Members with more look-alikes than a comparison lists, all of which follow."""
+    monkeypatch.setattr(dedupe, "NEAREST", nearest)
+    for seed in (3, 4):
+        rows = _random_corpus(seed, 70)
+        opts = AssessOptions(ngram=3, num_perm=32, threshold=0.5)
+        items = spark.createDataFrame(rows, "key string, text string")
+        sigs = {r.key: list(r.sig) for r in signatures(items, opts).collect()}
+        assert {r.key: r.leader for r in cluster_keys(items, opts).collect()} == greedy(sigs, 0.5)
 
 
 def test_fixture_clusters(spark):
