@@ -102,12 +102,16 @@ class Segmenter:
         return best, into
 
     def paths(self, text: str):
-        """All segmentations as ``(score, ids)``, best first: backward A-star on the Viterbi scores."""
+        """All segmentations as ``(score, ids)``, best first: backward A-star on the Viterbi scores.
+
+        Equal priorities (repeated characters have very many) go on where the least of the
+        text is left, so that a path is finished before others of its score are begun.
+        """
         best, into = self.lattice(text)
         turn = count()
-        queue = [(-best[-1], 0, len(text), 0.0, None)]
+        queue = [(-best[-1], len(text), 0, 0.0, None)]
         while queue:
-            cost, _, at, tail, chain = heapq.heappop(queue)
+            cost, at, _, tail, chain = heapq.heappop(queue)
             if at == 0:
                 ids = []
                 while chain:
@@ -116,7 +120,7 @@ class Segmenter:
                 yield -cost, ids
                 continue
             for start, piece, score in into[at]:
-                heapq.heappush(queue, (-(best[start] + (tail + score)), next(turn), start, tail + score, (piece, chain)))
+                heapq.heappush(queue, (-(best[start] + (tail + score)), start, next(turn), tail + score, (piece, chain)))
 
     def best_two(self, text: str) -> tuple[float, float, bytes]:
         """Best score, the second path's loss (infinite if there is none) and the best path's ids.

@@ -1,5 +1,7 @@
 """N-best piece segmentation against plain enumeration, decoding against the library."""
 
+import time
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -61,6 +63,15 @@ def test_random_texts(seg):
         assert [p[0] for p in seg.n_best(text, 6)] == [p[0] for p in enumerate_all(seg, text)[:6]]
 
 
+@pytest.mark.parametrize("text", ["#" * 20_000, "-" * 20_000, " " * 20_000, "a" * 20_000, "=" * 20_000, "#-" * 5000, "ha" * 400 + "!" * 700, "x" + " " * 3000 + "y", "\n" * 5000])
+def test_repeated_characters_end(seg, text):
+    start = time.process_time()
+    found = seg.n_best(text)
+    assert time.process_time() - start < 6  # about 1 s; without the order of equal scores it does not end
+    assert [p[0] for p in found] == sorted((p[0] for p in found), reverse=True)
+    assert all(seg.decode(raw) == text for _, raw in found) and len({raw for _, raw in found}) == len(found)
+
+
 def test_decoding_equals_the_library(seg, spark):
     library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
     docs = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
