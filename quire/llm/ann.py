@@ -80,9 +80,9 @@ def nearest(table: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_
     """``(query_id, rank, vec_id, score)``: each query's ``k`` nearest found, ties to the smaller id.
 
     ``is_query`` is a condition on ``vec_id``.  Vectors that are null, empty, zero or hold
-    null or non-finite components take no part, neither do null ids and vectors of another
-    than the most frequent dimension.  Ids should be unique: rows that repeat an id count
-    as one more copy with that id.  An empty table gives no rows; other columns are not read.
+    null or non-finite components take no part, neither do null ids; vectors of different
+    dimensions are not compared.  Ids should be unique: rows that repeat an id count as one
+    more copy with that id.  The query set may be of any size (see ``vectors``).  An empty table gives no rows; other columns are not read.
     """
     vector = F.col(vector_col).cast("array<double>")
     rows = table.select(F.col(id_col).cast("bigint").alias("vec_id"), vector.alias("vector"))

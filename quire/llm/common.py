@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import delete_path, ship_package, write_and_read
 
 
 def read_columns(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFrame:
@@ -27,16 +27,32 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
     Cuts the lineage (a lost executor costs a re-read, not a recomputation) and gives
     later plans fresh size statistics.  The files stay until the folder is cleared, as
-    a lazily returned result may still read them.
+    a lazily returned result may still read them; see ``Scratch`` for the others.
     """
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return write_and_read(df, name)[0]
 
 
-#: Together they tell rows apart, see ``keyed_rows``
-ROW_KEY = ("row_file", "row_at")
+class Scratch:
+    """Named tables in the shared folder that are deleted as soon as no later plan reads them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def table(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` written and read back; a table that had the name is deleted after that."""
+        out, path = write_and_read(df, name)
+        self.drop(name)
+        self.paths[name] = path
+        return out
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            if name in self.paths:
+                delete_path(self.spark, self.paths.pop(name))
+
+
+#: Together they tell rows apart, see ``keyed_rows``; no table of a user has such names
+ROW_KEY = ("__quire_row_file", "__quire_row_at")
 
 
 def keyed_rows(df: DataFrame) -> DataFrame:
@@ -50,10 +66,10 @@ def keyed_rows(df: DataFrame) -> DataFrame:
         plan = plan.child()
     if plan.nodeName() == "LogicalRelation":
         try:
-            return df.select("*", F.xxhash64("_metadata.file_path").alias("row_file"), F.col("_metadata.row_index").alias("row_at"))
+            return df.select("*", F.xxhash64("_metadata.file_path").alias(ROW_KEY[0]), F.col("_metadata.row_index").alias(ROW_KEY[1]))
         except AnalysisException:  # not a format that knows positions
             pass
-    return materialize(df.select("*", F.lit(0).cast("bigint").alias("row_file"), F.monotonically_increasing_id().alias("row_at")), "rows")
+    return materialize(df.select("*", F.lit(0).cast("bigint").alias(ROW_KEY[0]), F.monotonically_increasing_id().alias(ROW_KEY[1])), "rows")
 
 
 def bounded_sample(df: DataFrame, key: Column, rows: int, seed: str) -> DataFrame:
@@ -64,6 +80,26 @@ def bounded_sample(df: DataFrame, key: Column, rows: int, seed: str) -> DataFram
     return df.filter(F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 30)) < int((1 << 30) * rows / n))
 
 
+BATCH_SETTING, BATCH_DEFAULT, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"
+
+
+def ready(spark: SparkSession) -> None:
+    """Give the workers this package, and rows to Python in small batches.
+
+    Spark's default batch of 10,000 rows is meant for numbers; of texts it takes tens of
+    megabytes in the JVM, on the wire and in Python each.  Another setting than the default stays.
+    """
+    ship_package(spark)
+    if spark.conf.get(BATCH_SETTING) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
+
+
+def map_batches(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """``mapInPandas`` by workers that have this package."""
+    ready(df.sparkSession)
+    return df.mapInPandas(run, schema)
+
+
 def map_pandas(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     """``mapInPandas`` for a function of one pandas frame."""
 
@@ -72,25 +108,27 @@ def map_pandas(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
             if len(batch):
                 yield fn(batch)
 
-    return df.mapInPandas(run, schema)
+    return map_batches(df, run, schema)
 
 
 def score_texts(docs: DataFrame, model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns, ``score`` (0 to 1) and ``predicted`` (1 if score >= 0.5), one row per input row.
 
     ``model.scores(texts)`` gives the scores; a null text counts as empty and is scored
-    too.  One narrow pass; null ids and repeated rows are kept, an empty table gives no
-    rows.  Other columns of ``docs`` are not read; ``keep`` must not name the new ones.
+    too.  One narrow pass: only the text travels to Python and only the score comes back.
+    Null ids and repeated rows are kept, an empty table gives no rows.  Other columns of
+    ``docs`` are not read; ``keep`` must not name the new ones.
     """
     if {"score", "predicted"} & set(keep):
         raise ValueError("keep must not hold score or predicted")
-    types = dict(docs.dtypes)
-    schema = ", ".join([*(f"`{c}` {types[c]}" for c in keep), "score double"])
+    ready(docs.sparkSession)
 
-    def run(batch):
-        return batch.assign(score=model.scores(batch["text"].fillna("")))[[*keep, "score"]]
+    def score(texts: pd.Series) -> pd.Series:
+        return pd.Series(model.scores(texts.fillna("")))
 
-    out = map_pandas(docs.select(*dict.fromkeys(["text", *keep])), run, schema)
+    # not deterministic: a filter on the score must not be pushed below, which would score twice
+    scored = F.pandas_udf(score, "double").asNondeterministic()
+    out = docs.select(*(F.col(f"`{c}`") for c in keep), scored("text").alias("score"))
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 

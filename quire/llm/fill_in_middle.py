@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ship_package
+from .common import ready
 
 SEED = 7
 SENTINELS = ("<P>", "<S>", "<M>")  # before the prefix, the suffix and the middle
@@ -133,7 +133,7 @@ def fill_in_middle(docs: DataFrame, seed: int = SEED, sentinels: tuple[str, str,
     taken whole, other columns are not read.
     """
     check_sentinels(sentinels)
-    ship_package(docs.sparkSession)
+    ready(docs.sparkSession)
     names = [c.split()[0] for c in OUT.split(", ")]
 
     def run(batches):

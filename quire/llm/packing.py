@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import map_batches, materialize
 
 LENGTH = 2048
 OPEN_WINDOWS = 16
@@ -153,7 +153,7 @@ def pack(docs: DataFrame, ranks: str, specials: tuple[tuple[str, int], ...] = ((
             yield _rows([w[1] for w in packer.open], first + made, True)
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    state = materialize(rows.mapInPandas(first_pass, WITH_IDS), "pack")
+    state = materialize(map_batches(rows, first_pass, WITH_IDS), "pack")
     done = state.filter(F.col("ids").isNull()).drop("ids")
     group = F.shiftright("sequence_id", GROUP_BITS) % (1 << (ROUND_BITS - GROUP_BITS))
     for turn in range(1, 1 << (63 - ROUND_BITS)):

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, map_pandas
+from .common import bounded_sample, map_batches, map_pandas
 
 FIT_ROWS = 40_000
 FEATURES = 300
@@ -123,18 +123,20 @@ class QualityModel:
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, features: int = FEATURES, seed: int = 7) -> QualityModel:
     """Model from ``docs(doc_id, text)`` and ``labels(doc_id, label)`` (only rows that may be learnt from).
 
-    Rows with a null id or label teach nothing, a null text counts as empty.  Without
-    labelled rows every score is 0.5.
+    Rows with a null id or label teach nothing, a null text counts as empty; of rows that
+    share an id one teaches.  Without labelled rows every score is 0.5.
     """
     known = labels.dropna().groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
     known = bounded_sample(known, F.col("doc_id"), fit_rows, "quality-labels")
     part = F.pmod(F.xxhash64(F.lit("calibrate"), "doc_id"), F.lit(CALIBRATION)) == 0
-    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")  # at most fit_rows rows
-    table = map_pandas(
-        rows.select("label", part.alias("calibrate"), F.coalesce("text", F.lit("")).alias("text")),
-        lambda b: b[["label", "calibrate"]].assign(stats=[statistics(t).tolist() for t in b["text"]]),
-        "label int, calibrate boolean, stats array<double>",
-    ).coalesce(PARTS).persist()
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(F.broadcast(known), "doc_id")  # at most fit_rows ids
+    measured = map_pandas(
+        rows.select("doc_id", "label", F.coalesce("text", F.lit("")).alias("text")),
+        lambda b: b[["doc_id", "label"]].assign(stats=[statistics(t).tolist() for t in b["text"]]),
+        "doc_id bigint, label int, stats array<double>",
+    )
+    # an id that several rows share teaches once; the scan stays as wide as the table, only these few rows are dealt to PARTS
+    table = measured.groupBy("doc_id", "label").agg(F.min("stats").alias("stats")).coalesce(PARTS).withColumn("calibrate", part).persist()
     try:
         rng = np.random.default_rng(seed)
         moments = table.select(*(f(F.col("stats")[i]).alias(f"{f.__name__}{i}") for f in (F.avg, F.stddev_pop) for i in range(len(STATS)))).first()
@@ -155,7 +157,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, features:
                     total += z.T @ np.hstack([z, b[["label"]].to_numpy(float)])
             yield pd.DataFrame({"sums": [total.tobytes()]})
 
-        sums = table.filter(~F.col("calibrate")).mapInPandas(partial, "sums binary").collect()  # at most PARTS matrices
+        sums = map_batches(table.filter(~F.col("calibrate")), partial, "sums binary").collect()  # at most PARTS matrices
         total = sum(np.frombuffer(r.sums).reshape(features + 1, -1) for r in sums)
         model.weights = np.linalg.solve(total[:, :-1] + RIDGE * np.eye(features + 1) * np.r_[np.ones(features), 1e-6], total[:, -1])
         scored = map_pandas(

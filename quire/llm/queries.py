@@ -8,9 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship_package
 from . import alignment, ann, fill_in_middle, jaccard, licenses, packing, pieces, quality, secrets, token_counts, topk, toxicity, warc
-from .common import in_fold, learnable, read_columns, score_texts
+from .common import in_fold, learnable, read_columns, ready, score_texts
 
 
 # Held-out folds: crc32 of the id modulo the first number leaves the second
@@ -119,7 +118,7 @@ def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _shipping(query):
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        ship_package(spark)
+        ready(spark)
         return query(spark, sf_dir)
 
     return run

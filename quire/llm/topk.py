@@ -85,9 +85,9 @@ def highest_products(table: DataFrame, is_query: Column, k: int = 10, id_col: st
     """``(query_id, rank, vec_id, score)``: each query's ``k`` highest inner products of ``floor(scale * x)``.
 
     ``is_query`` is a condition on ``vec_id``; ties go to the smaller id.  Vectors that are
-    null, empty or hold null or non-finite components take no part, neither do null ids
-    and vectors of another than the most frequent dimension.  Components are exact up to
-    2 ** 53.  An empty table gives no rows; other columns are not read.
+    null, empty or hold null or non-finite components take no part, neither do null ids;
+    vectors of different dimensions are not compared.  Components are exact up to 2 ** 53.
+    The query set may be of any size (see ``vectors``).  An empty table gives no rows; other columns are not read.
     """
     vector = F.col(vector_col).cast("array<double>")
     rows = table.select(F.col(id_col).cast("bigint").alias("vec_id"), vector.alias("vector")).filter(vectors.usable(F.col("vector")))

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, map_pandas
+from .common import Scratch, bounded_sample, map_batches, map_pandas
 
 FIT_ROWS = 12_000
 MAX_TERMS = 96
@@ -149,7 +149,7 @@ def mine_lexicon(rows: DataFrame) -> Lexicon:
                 if total:  # an empty string column has no Arrow form
                     yield pd.DataFrame({"term": list(total.keys()), "n": list(total.values())})
 
-            counted = single.filter(F.col("label") == label).mapInPandas(per_partition, "term string, n bigint")
+            counted = map_batches(single.filter(F.col("label") == label), per_partition, "term string, n bigint")
             return counted.groupBy("term").agg(F.sum("n").alias("n"))
 
         toxic = dict(count(1, None).filter(F.col("n") >= least).toPandas().itertuples(index=False))
@@ -273,14 +273,24 @@ class ToxicityModel:
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> ToxicityModel:
     """Model from ``docs(doc_id, text)`` and ``labels(doc_id, label)`` (only rows that may be learnt from).
 
-    Rows with a null id or label teach nothing; a null text counts as empty.  Without
-    labels of both kinds the general voters alone decide; without documents every score
-    is the prior.
+    Rows with a null id or label teach nothing; a null text counts as empty; of rows that
+    share an id one teaches.  Without labels of both kinds the general voters alone decide;
+    without documents every score is the prior.
     """
     known = labels.dropna().groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
     known = bounded_sample(known, F.col("doc_id"), fit_rows, "toxicity-labels")
-    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select(F.coalesce("text", F.lit("")).alias("text"), "label")
-    # rows has at most fit_rows rows
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(known), "doc_id")
+    # at most fit_rows rows: of those that share an id one teaches
+    scratch = Scratch(docs.sparkSession)
+    rows = scratch.table(rows.groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("text", "label"), "toxicity-rows")
+    try:
+        return _fit(docs, rows, known)
+    finally:
+        scratch.drop("toxicity-rows")
+
+
+def _fit(docs: DataFrame, rows: DataFrame, known: DataFrame) -> ToxicityModel:
+    """The model from all documents and the labelled ``rows(text, label)``."""
     lexicon = mine_lexicon(rows)
     share = known.agg(F.avg("label")).first()[0]
     prior = float(np.clip(PRIOR if share is None else share, 0.01, 0.5))
@@ -292,7 +302,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Toxicit
                 total[int(pattern_of(features(t, lexicon)[None, : len(VOTERS)])[0])] += 1
         yield pd.DataFrame({"pattern": list(total.keys()), "n": list(total.values())})
 
-    counted = docs.select("text").mapInPandas(votes, "pattern int, n bigint").groupBy("pattern").agg(F.sum("n").alias("n"))
+    counted = map_batches(docs.select("text"), votes, "pattern int, n bigint").groupBy("pattern").agg(F.sum("n").alias("n"))
     table = counted.toPandas()  # at most 2 ** len(VOTERS) rows
     if table.empty:
         return ToxicityModel(lexicon, None, np.append(np.zeros(len(VOTERS) + len(STATS)), math.log(prior / (1 - prior))))

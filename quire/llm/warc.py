@@ -30,8 +30,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, ship_package
-from .common import ROW_KEY, keyed_rows, map_batches, materialize
+from ..session import ensure_checkpoint_dir
+from .common import ROW_KEY, keyed_rows, map_batches, materialize, ready
 
 LEVEL = 3
 DICTIONARY_BYTES = 64 << 10
@@ -245,7 +245,7 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
     payload.  Each stored payload is digested anew: a record that does not agree with its header
     raises ``ValueError``.  ``payloads`` false leaves the payload null.
     """
-    ship_package(spark)
+    ready(spark)
     page = re.compile(r"<urn:page:(-?\d+)>")
 
     def id_of(uri: str | None) -> int | None:

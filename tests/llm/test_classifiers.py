@@ -24,6 +24,11 @@ def test_held_out_accuracy(spark, query, column, least):
     assert got["score"].between(0, 1).all() and ((got["score"] >= 0.5) == (got["predicted"] == 1)).all()
     unseen = got[got["held_out"]]
     assert len(unseen) > 50 and (unseen["predicted"] == unseen["y"]).mean() >= least
+    # accuracy alone says little where one label is rare
+    for label in (0, 1):
+        said, is_ = unseen["predicted"] == label, unseen["y"] == label
+        assert (said & is_).sum() / is_.sum() >= (0.8 if (column, label) == ("toxic", 1) else 0.95)  # recall
+        assert (said & is_).sum() / said.sum() >= 0.9  # precision
 
 
 def test_folds(spark):
@@ -86,6 +91,23 @@ def test_edge_cases(spark, operator):
     assert score_texts(docs.limit(0), operator.fit(docs.limit(0), some)).collect() == []
 
 
+@pytest.mark.parametrize("operator", [toxicity, quality])
+def test_ids_that_many_rows_share_teach_once(spark, operator):
+    rows = [(i % 3, f"text {i} of an id that is not its own " + ("idiot scum " if i % 3 == 1 else "")) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(0, 0), (1, 1), (2, 0)], "doc_id long, label int")
+    model = operator.fit(docs, labels, fit_rows=3)
+    assert score_texts(docs, model).count() == len(rows)
+    if operator is toxicity:
+        assert {r.doc_id for r in score_texts(docs, model).filter("predicted = 1").collect()} <= {1}
+
+
+def test_a_filter_on_the_score_scores_once(spark):
+    docs = spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, text string")
+    plan = score_texts(docs, quality.fit(docs, docs.select("doc_id", F.lit(1).alias("label")).limit(0))).filter("predicted = 1")
+    assert plan._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
 def test_toxic_words_are_learnt_from_labels(spark):
     rng = np.random.default_rng(4)
     plain = [f"w{a}{b}ord" for a in "abcdefghij" for b in "klmnopqrst"]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quire.llm import ann, topk, vectors
 from quire.llm.queries import ORACLE, QUERIES
+from quire.session import scoped_conf
 
 SF = "/root/testdata/sf0.01"
 BAD = [(901, None), (902, []), (903, [None, 1.0]), (904, [float("nan"), 1.0]), (905, [float("inf"), 1.0]), (906, [1.0])]
@@ -47,13 +48,38 @@ def test_exact_top_k_equals_brute_force(spark, rows):
 
 
 def test_top_k_with_small_blocks_and_shards(spark, rows, monkeypatch):
-    monkeypatch.setattr(vectors, "QUERY_BLOCK", 7)
+    monkeypatch.setattr(vectors, "LANE_QUERIES", 7)
     monkeypatch.setattr(vectors, "SHARD_ROWS", 20)
     monkeypatch.setattr(topk, "BLOCK_ROWS", 6)
     got = topk.highest_products(table(spark, rows), F.col("vec_id") % 7 == 0, k=5).collect()
     assert sorted((r.query_id, r["rank"], r.vec_id, -r.score) for r in got) == brute(rows, lambda q: q % 7 == 0, 5, product)
 
 
+def test_one_plan_branch_and_one_index_per_shard(spark, rows, monkeypatch, tmp_path):
+    # three batches of queries pass by the index of each shard
+    monkeypatch.setattr(vectors, "SHARD_ROWS", 200)
+    made = tmp_path / "indexes"
+
+    def prepare(matrix):
+        with made.open("a") as f:
+            f.write(f"{len(matrix)}\n")
+        return topk.Index(matrix, 3).search
+
+    with scoped_conf(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "40"}):
+        found = vectors.top_k(table(spark, rows).select("vec_id", F.col("embedding").alias("vector")), F.col("vec_id") % 3 == 0, 3, prepare, True, "bigint")
+        assert len(found.collect()) == 3 * sum(i % 3 == 0 for i, _ in rows)
+        assert found._jdf.queryExecution().toString().count("MapInPandas") <= 6  # one in each form of the plan and its final stages
+    sizes = [int(x) for x in made.read_text().split()]
+    assert len(sizes) == 2 and sum(sizes) == 300
+
+
+def test_dimensions_are_searched_among_their_own_kind(spark, rows):
+    three = [(5000 + i, [float(i % 5), float(i), 1.0]) for i in range(40)]
+    got = topk.highest_products(table(spark, rows + three + [(7000, [2.0])]), F.col("vec_id") % 7 == 0, k=5).collect()
+    want = brute(rows, lambda q: q % 7 == 0, 5, product) + brute(three, lambda q: q % 7 == 0, 5, product)
+    assert sorted((r.query_id, r["rank"], r.vec_id, -r.score) for r in got) == sorted(want)
+
+
 def test_max_score_index_alone():
     rng = np.random.default_rng(9)
     for d, n, k in ((3, 50, 4), (40, 3000, 10), (64, 9000, 10)):
