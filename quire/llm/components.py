@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import Scratch
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -29,17 +29,22 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.filter("a > b").distinct()
 
 
-def components(links: DataFrame) -> DataFrame:
-    """``(node, root)`` for every node of ``links(a, b)``; the root is the smallest node of its component."""
+def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """``(node, root)`` for every node of ``links(a, b)``; the root is the smallest node of its component.
+
+    The result is the table ``name`` of ``scratch``; a round's edges are deleted when the next are written.
+    """
     edges = links.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    edges = materialize(edges, "links")
+    edges = scratch.table(edges, "edges")
     summary = None
     while True:
-        edges = materialize(_star(_star(edges, True), False), "links")
+        edges = scratch.table(_star(_star(edges, True), False), "edges")
         # stable when every node has one edge, to a node without one: a sum over the edges is the same twice
         now = edges.agg(F.count(F.lit(1)), F.sum(F.col("b").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("a", "b"))).first()
         if now == summary:
             break
         summary = now
     roots = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    return materialize(roots.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()), "roots")
+    out = scratch.table(roots.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()), name)
+    scratch.drop("edges")
+    return out

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW_KEY, keyed_rows, materialize
+from .common import ROW_KEY, Scratch, keyed_rows, map_batches, materialize
 from .components import components
 
 WORDS = 3
@@ -42,7 +42,7 @@ PERCENT = 90
 TIER = 5  # one token in so many is counted over the corpus and comes first in the order
 CROWDED = 8  # buckets of at least so many classes get the overlap bound
 SKETCH = 32  # prefix tokens that tell in which of its buckets a pair is looked at
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 100_000
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 SHIFT = np.uint64(29)
 
@@ -143,23 +143,29 @@ def _classes(rows: DataFrame, words: int, percent: int) -> tuple[DataFrame, Data
             kept = {c: b[c] for c in ("doc_id", *ROW_KEY)}
             yield pd.DataFrame({**kept, "n": n, "node": pd.array(node, dtype="Int64"), "toks": toks, "more": more})
 
-    schema = "doc_id bigint, row_file bigint, row_at bigint, n bigint, node bigint, toks array<bigint>, more array<bigint>"
-    made = materialize(rows.mapInPandas(sets, schema), "shingles")
-    classes = made.filter("node is not null").groupBy("node").agg(
+    scratch = Scratch(rows.sparkSession)
+    schema = "doc_id bigint, " + ", ".join(f"{c} bigint" for c in ROW_KEY) + ", n bigint, node bigint, toks array<bigint>, more array<bigint>"
+    shingles = scratch.table(map_batches(rows, sets, schema), "shingles")
+    made = materialize(shingles.select("doc_id", *ROW_KEY, "n", "node"), "nodes")  # what results read
+    classes = shingles.filter("node is not null").groupBy("node").agg(
         F.first("n").alias("n"), F.first("toks").alias("toks"), F.first("more").alias("more")
     )
     firsts = made.filter("node is not null").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *ROW_KEY)).alias("first"))
-    prefixes = materialize(_prefixes(made, classes, percent), "prefixes")
-    shared = prefixes.groupBy("h").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    buckets = materialize(prefixes.join(shared, "h"), "buckets")  # (h, node, n, lone, grp, members)
+    prefixes = scratch.table(_prefixes(shingles, classes, percent), "prefixes")
+    scratch.drop("shingles")
+    listed = prefixes.select("node", F.explode("prefix").alias("h"))
+    shared = listed.groupBy("h").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    buckets = scratch.table(listed.join(shared, "h"), "buckets")  # (h, node, members)
 
-    roots = _roots(rows, firsts, buckets, words, percent)
+    roots = _roots(rows, firsts, prefixes.drop("prefix"), buckets, words, percent, scratch)
     of_class = firsts.join(roots, "node", "left").select("node", "first", F.col("first")["doc_id"].alias("doc_id"), F.coalesce("root", "node").alias("root"))
-    return made, materialize(of_class, "classes")
+    of_class = materialize(of_class, "classes")
+    scratch.drop(*list(scratch.paths))
+    return made, of_class
 
 
 def _prefixes(made: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """``(h, node, n, lone, grp)``: the prefix tokens that more than one class may have."""
+    """``(node, n, lone, grp, prefix)``: the prefix tokens that more than one class may have."""
     counted = made.select("node", F.explode("toks").alias("h")).groupBy("h").agg(
         F.count(F.lit(1)).alias("df"), F.min("node").alias("lo"), F.max("node").alias("hi")
     )
@@ -175,16 +181,14 @@ def _prefixes(made: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         F.sort_array(F.collect_list(F.when(F.col("df").isNotNull(), F.struct("df", "h")))).alias("toks"),
     )
     prefix = F.concat(F.transform(F.slice("toks", F.lit(1), F.col("left")), lambda t: t["h"]), F.col("more"))
-    ordered = ordered.select("node", "n", "lone", prefix.alias("prefix"))
-    return ordered.select("node", "n", "lone", F.xxhash64("n", "prefix").alias("grp"), F.explode("prefix").alias("h"))
+    return ordered.select("node", "n", "lone", prefix.alias("prefix")).withColumn("grp", F.xxhash64("n", "prefix"))
 
 
-def _roots(rows: DataFrame, firsts: DataFrame, buckets: DataFrame, words: int, percent: int) -> DataFrame:
-    """``(node, root)`` of all classes that link with another."""
-    members = materialize(buckets.groupBy("node").agg(
-        *(F.first(c).alias(c) for c in ("n", "lone", "grp")), F.max("members").alias("crowd"),
-        F.slice(F.sort_array(F.collect_set("h")), 1, SKETCH).alias("sketch"),
-    ), "members")
+def _roots(rows: DataFrame, firsts: DataFrame, heads: DataFrame, buckets: DataFrame, words: int, percent: int, scratch: Scratch) -> DataFrame:
+    """``(node, root)`` of all classes that link with another; ``heads(node, n, lone, grp)`` describes the classes."""
+    placed = buckets.groupBy("node").agg(F.max("members").alias("crowd"), F.slice(F.sort_array(F.collect_set("h")), 1, SKETCH).alias("sketch"))
+    members = scratch.table(placed.join(heads, "node"), "members")
+    scratch.drop("prefixes")
 
     def whole(batches):
         for b in batches:
@@ -193,27 +197,27 @@ def _roots(rows: DataFrame, firsts: DataFrame, buckets: DataFrame, words: int, p
     # the text of one row of each class
     wanted = firsts.join(members.select("node"), "node", "left_semi").select("node", *(F.col("first")[c].alias(c) for c in ROW_KEY))
     texts = rows.join(wanted, list(ROW_KEY)).select("node", "text")
-    sets = materialize(texts.mapInPandas(whole, "node bigint, tokens array<bigint>"), "sets")
+    sets = scratch.table(map_batches(texts, whole, "node bigint, tokens array<bigint>"), "sets")
 
     # tokens that no other class in crowded buckets has
     crowded = sets.join(members.filter(F.col("crowd") >= CROWDED).select("node"), "node", "left_semi")
     own = crowded.select("node", F.explode("tokens").alias("h")).groupBy("h").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
     own = own.filter("lo = hi").groupBy(F.col("lo").alias("node")).agg(F.count(F.lit(1)).alias("own"))
-    members = materialize(members.join(own, "node", "left").withColumn("own", F.coalesce("own", F.lit(0))), "members")
+    members = scratch.table(members.join(own, "node", "left").withColumn("own", F.coalesce("own", F.lit(0))), "members")
 
     # first step: pivots of buckets with the groups that fit, expanded to their members
     rank = F.struct("own", "lone", "node")
     groups = members.groupBy("grp").agg(F.min(rank)["node"].alias("leader"))
     in_group = members.join(groups, "grp").select(F.col("leader").alias("a"), F.col("node").alias("b"))
     lists = buckets.select("h", "node", "members").join(members.drop("sketch"), "node")
-    pivots = materialize(lists.groupBy("h").agg(F.min(rank)["node"].alias("pivot"), F.min_by("n", rank).alias("pivot_n")), "pivots")
+    pivots = scratch.table(lists.groupBy("h").agg(F.min(rank)["node"].alias("pivot"), F.min_by("n", rank).alias("pivot_n")), "pivots")
     fits = F.least("n", "pivot_n") * 100 >= F.greatest("n", "pivot_n") * percent
     posted = lists.groupBy("h", "grp", "n").agg(F.count(F.lit(1)).alias("size"))  # a group once in a bucket
     met = posted.join(pivots, "h").filter(fits).select("grp", "pivot").distinct()
     in_bucket = met.join(members.select("grp", "node"), "grp").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-    first = materialize(_common(_ordered(in_group.unionByName(in_bucket)), sets), "verified")
+    first = scratch.table(_common(_ordered(in_group.unionByName(in_bucket)), sets), "verified")
     links = first.filter(_linked(percent)).select("a", "b")
-    roots = components(links)
+    roots = components(links, scratch, "first roots")
 
     # second step: what is not connected with its pivot, against other components of the bucket
     placed = lists.join(pivots, "h").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -227,7 +231,7 @@ def _roots(rows: DataFrame, firsts: DataFrame, buckets: DataFrame, words: int, p
     placed = placed.withColumn("outside", F.col("open") - F.col("inside"))
     unsettled = placed.filter("root != pivot_root").select("h").distinct()
     placed = placed.join(unsettled, "h").join(members.select("node", "sketch"), "node")
-    placed = materialize(placed, "placed")
+    placed = scratch.table(placed, "placed")
     columns = ("node", "n", "root", "open", "inside", "outside", "sketch")
     strays = placed.filter("root != pivot_root").select("h", *(F.col(c).alias(f"s_{c}") for c in columns))
     overlap = (F.col("n") + F.col("s_n")) * percent / (100 + percent) - 1e-6
@@ -247,7 +251,7 @@ def _roots(rows: DataFrame, firsts: DataFrame, buckets: DataFrame, words: int, p
     second = strays.join(placed, "h").filter(tested).select(F.col("s_node").alias("a"), F.col("node").alias("b"))
     second = _ordered(second).join(first, ["a", "b"], "left_anti")
     more = _common(second, sets).filter(_linked(percent)).select("a", "b")
-    return components(links.unionByName(more))
+    return components(links.unionByName(scratch.table(more, "more links")), scratch, "roots")
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quire.llm import jaccard
+from quire.llm.common import Scratch
 from quire.llm.components import components
 
 
@@ -107,6 +108,6 @@ def test_components(spark):
     for a, b in links:
         x, y = find(a), find(b)
         root[max(x, y)] = min(x, y)
-    got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long"), Scratch(spark), "roots").collect()}
     assert got == {a: find(a) for a in {n for p in links if p[0] != p[1] for n in p}}
-    assert components(spark.createDataFrame([], "a long, b long")).filter(F.lit(True)).collect() == []
+    assert components(spark.createDataFrame([], "a long, b long"), Scratch(spark), "roots").filter(F.lit(True)).collect() == []
