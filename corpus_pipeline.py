@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from quire.llm import jaccard, packing, quality, secrets, toxicity
 from quire.llm.common import materialize, read_columns, score_texts
 from quire.llm.queries import QUALITY_FOLDS, TOXIC_FOLDS, fitted
-from quire.session import ship_package
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Near copies share four fifths of their five-word shingles (op10_jaccard_join has a contract of its own)
@@ -29,7 +28,6 @@ COPY_WORDS, COPY_PERCENT = 5, 80
 
 def _judged(operator, docs: DataFrame, spark: SparkSession, sf_dir: str, column: str, folds, wanted: int) -> DataFrame:
     """The documents that the operator's model predicts to be ``wanted``; labels of the held-out fold teach nothing."""
-    ship_package(spark)
     model = fitted(operator, docs, read_columns(spark, sf_dir, "labels", "doc_id", column), column, folds)
     return score_texts(docs, model, keep=COLUMNS).filter(F.col("predicted") == wanted).select(*COLUMNS)
 
@@ -46,13 +44,11 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents, one row: that with the smallest id."""
-    ship_package(spark)
     return jaccard.first_of_components(docs, COPY_WORDS, COPY_PERCENT).select(*COLUMNS)
 
 
 def blank_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, every stretch that holds a secret replaced; ``n_chars`` is counted anew."""
-    ship_package(spark)
     found = secrets.secret_spans(docs, keep=tuple(c for c in COLUMNS if c not in ("doc_id", "text")))
     clean = found.withColumn("text", F.col("redacted"))
     return clean.withColumn("n_chars", F.coalesce(F.length("text").cast("bigint"), F.col("n_chars"))).select(*COLUMNS)
@@ -60,7 +56,6 @@ def blank_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of 2048 tokens."""
-    ship_package(spark)
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
