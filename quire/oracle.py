@@ -349,7 +349,9 @@ def html_esc(x: str) -> str:
 
 
 def unesc(x: str) -> str:
-    return f"replace(replace(replace(replace(replace({x}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&amp;', '&')"
+    for name, char in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "'"), ("copy", "©"), ("middot", "·"), ("amp", "&")):
+        x = f"replace({x}, '&{name};', {sql_str(char)})"
+    return x
 
 
 def base_name(p: str) -> str:
@@ -463,9 +465,54 @@ def paras_sql(content: str) -> str:
     return f"array_to_string(list_transform({blocks}, lambda b: '<para>' || {xml_esc('b')} || '</para>'), '')"
 
 
-def section_xml(level: str, title: str, content: str) -> str:
-    return (f"(CASE WHEN {level} = 0 THEN {paras_sql(content)} ELSE '<section><title>' || {xml_esc(title)} || "
-            f"'</title>' || {paras_sql(content)} || '</section>' END)")
+BRACKETS = r"\[([^\[\]]*)\]\(([^()\s]*)\)"
+IMAGE_XML = r'<inlinemediaobject><imageobject><imagedata fileref="\2"/></imageobject><textobject><phrase>\1</phrase></textobject></inlinemediaobject>'
+LINK_XML = r'<ulink url="\2">\1</ulink>'
+
+
+def inline_sql(x: str) -> str:
+    """Escaped text with its inline images and links (the corpora hold no other inline markup)."""
+    images = f"regexp_replace({xml_esc(x)}, {sql_str('!' + BRACKETS)}, {sql_str(IMAGE_XML)}, 'g')"
+    return f"regexp_replace({images}, {sql_str(BRACKETS)}, {sql_str(LINK_XML)}, 'g')"
+
+
+def item_sql(line: str) -> str:
+    text = strip(f"regexp_replace({line}, '^ {{0,3}}([-*+]|[0-9]+[.)])[ \\t]+', '')")
+    return f"'<listitem><para>' || {inline_sql(text)} || '</para></listitem>'"
+
+
+def cells_sql(row: str) -> str:
+    inner = f"regexp_replace(regexp_replace(trim({row}), '^[|]', ''), '[|]$', '')"
+    entries = f"list_transform(string_split({inner}, '|'), lambda c: '<entry>' || {inline_sql('trim(c)')} || '</entry>')"
+    return f"('<row>' || array_to_string({entries}, '') || '</row>')"
+
+
+HEADING_TEXT = strip("regexp_extract(txt, '^ {0,3}#{1,6}(.*)$', 1)")
+# The Markdown corpora hold flat lists, pipe tables, headings and paragraphs: lines of one kind side by side make a block.
+MD_BLOCKS = f"""
+md_k AS (
+  SELECT path, ln, line, CASE
+    WHEN regexp_matches(line, '^ {{0,3}}#{{1,6}}([ \t]|$)') THEN 'h' WHEN trim(line, ' ' || chr(9)) = '' THEN 'b'
+    WHEN regexp_matches(line, '^ {{0,3}}[-*+][ \t]') THEN 'u' WHEN regexp_matches(line, '^ {{0,3}}[0-9]{{1,9}}[.][ \t]') THEN 'o.'
+    WHEN regexp_matches(line, '^ {{0,3}}[0-9]{{1,9}}[)][ \t]') THEN 'o)' WHEN line LIKE '|%' THEN 't' ELSE 'p' END AS kind
+  FROM md_u),
+md_n AS (
+  SELECT *, sum(CASE WHEN kind = 'h' OR kind IS DISTINCT FROM prev THEN 1 ELSE 0 END) OVER (PARTITION BY path ORDER BY ln) AS grp
+  FROM (SELECT *, lag(kind) OVER (PARTITION BY path ORDER BY ln) AS prev FROM md_k)),
+md_blk AS (
+  SELECT path, grp, kind, string_agg(line, chr(10) ORDER BY ln) AS txt, list(line ORDER BY ln) AS ls
+  FROM md_n WHERE kind <> 'b' GROUP BY path, grp, kind),
+md_xml AS (
+  SELECT path, grp, kind, count(*) FILTER (WHERE kind = 'h') OVER (PARTITION BY path ORDER BY grp) AS heads, CASE
+    WHEN kind = 'h' THEN '<section><title>' || {inline_sql(HEADING_TEXT)} || '</title>'
+    WHEN kind = 'u' THEN '<itemizedlist>' || array_to_string(list_transform(ls, lambda l: {item_sql('l')}), '') || '</itemizedlist>'
+    WHEN kind IN ('o.', 'o)') THEN '<orderedlist' || CASE WHEN regexp_extract(txt, '^ {{0,3}}([0-9]+)', 1) = '1' THEN ''
+      ELSE ' startingnumber="' || regexp_extract(txt, '^ {{0,3}}([0-9]+)', 1) || '"' END || '>'
+      || array_to_string(list_transform(ls, lambda l: {item_sql('l')}), '') || '</orderedlist>'
+    WHEN kind = 't' THEN '<table><tgroup cols="' || CAST(len(string_split(trim(ls[1], '|'), '|')) AS VARCHAR) || '"><thead>' || {cells_sql('ls[1]')}
+      || '</thead><tbody>' || array_to_string(list_transform(ls[3:], lambda r: {cells_sql('r')}), '') || '</tbody></tgroup></table>'
+    WHEN {strip('txt')} = '' THEN '' ELSE '<para>' || {inline_sql(strip('txt'))} || '</para>' END AS xml
+  FROM md_blk)"""
 
 
 # Parts of a page that are no text, and tags that end a paragraph
@@ -488,11 +535,15 @@ DOCBOOK_DOCS = (
     "|| '</article>' AS docbook FROM documents)"
 )
 
+# the pages have one list, of links
+NAV = '<li><a href="([^"]*)">([^<]*)</a></li>'
+
 CONVERT = f"""
-{DOCBOOK_DOCS},
+{DOCBOOK_DOCS},{MD_BLOCKS},
 md_inter AS (
-  SELECT c.path, '<article>' || coalesce(string_agg({section_xml('s.level', 's.title', 's.content')}, '' ORDER BY s.section_index), '') || '</article>' AS docbook
-  FROM corpus c LEFT JOIN md_sections s USING (path) WHERE c.fmt = 'md' GROUP BY c.path),
+  SELECT c.path, '<article>' || coalesce(string_agg(CASE WHEN x.kind = 'h' AND x.heads > 1 THEN '</section>' ELSE '' END || x.xml, '' ORDER BY x.grp), '')
+    || CASE WHEN max(x.heads) > 0 THEN '</section>' ELSE '' END || '</article>' AS docbook
+  FROM corpus c LEFT JOIN md_xml x USING (path) WHERE c.fmt = 'md' GROUP BY c.path),
 hx_parts AS (
   SELECT path,
     regexp_extract_all(t, {sql_str(HTML_HEADING)}, 1) AS lv,
@@ -504,9 +555,20 @@ hx AS (
   UNION ALL
   SELECT path, k, CAST(lv[k] AS INT), {strip(untag('ti[k]'))}, pc[k + 1]
   FROM (SELECT *, unnest(generate_series(1, len(lv))) AS k FROM hx_parts)),
+hx_list AS (
+  SELECT path, k, level, title, split_part(r, '<ul>', 1) AS before, CASE WHEN contains(r, '<ul>') THEN split_part(split_part(r, '<ul>', 2), '</ul>', 1) END AS items,
+    CASE WHEN contains(r, '<ul>') THEN split_part(r, '</ul>', 2) ELSE '' END AS after
+  FROM (SELECT *, regexp_replace(raw, '\\n\\s*\\n', chr(10), 'g') AS r FROM hx)),
 html_inter AS (
-  SELECT c.path, '<article>' || coalesce(string_agg({section_xml('s.level', unesc('s.title'), unesc(untag(block_lines('s.raw'))))}, '' ORDER BY s.k), '') || '</article>' AS docbook
-  FROM corpus c LEFT JOIN hx s USING (path) WHERE c.fmt = 'html' GROUP BY c.path),
+  SELECT c.path, '<article>' || coalesce(string_agg(
+    CASE WHEN s.level > 0 THEN '<section><title>' || {xml_esc(strip(unesc('s.title')))} || '</title>' ELSE '' END
+    || {paras_sql(unesc(untag(block_lines('s.before'))))}
+    || CASE WHEN s.items IS NULL THEN '' ELSE '<itemizedlist>' || array_to_string(list_transform(generate_series(1, len(regexp_extract_all(s.items, {sql_str(NAV)}))),
+      lambda i: '<listitem><para><ulink url="' || {xml_esc(unesc("regexp_extract_all(s.items, " + sql_str(NAV) + ", 1)[i]"))} || '">'
+      || {xml_esc(unesc("regexp_extract_all(s.items, " + sql_str(NAV) + ", 2)[i]"))} || '</ulink></para></listitem>'), '') || '</itemizedlist>' END
+    || {paras_sql(unesc(untag(block_lines('s.after'))))}
+    || CASE WHEN s.level > 0 THEN '</section>' ELSE '' END, '' ORDER BY s.k), '') || '</article>' AS docbook
+  FROM corpus c LEFT JOIN hx_list s USING (path) WHERE c.fmt = 'html' GROUP BY c.path),
 routed AS (
   SELECT path, lower({suffix_of('path')}) AS ext,
     CASE lower({suffix_of('path')}) WHEN '.md' THEN 'pandoc-md' WHEN '.html' THEN 'pandoc-html'
@@ -678,6 +740,27 @@ UNION ALL
 SELECT 4, '', 0, '', CASE WHEN count(*) > 0 THEN '</ul>' ELSE '' END || {sql_str(REPORT_TAIL + chr(10))}
 FROM (SELECT DISTINCT leader FROM dd_key_leader WHERE key <> leader)""",
 )
+# What the converters must make of the guides: written from the parts' columns, without any parsing.
+_N, _T, _B = xml_esc("p_name"), xml_esc("p_type"), xml_esc("p_brand")
+ORACLE["md_blocks"] = f"""SELECT concat('guides/', CAST(p_partkey AS VARCHAR), '.md') AS path,
+  '<article><section><title>' || {_N} || '</title><para>The <emphasis role="strong">' || {_T} || '</emphasis> box has <literal>' || {_B}
+  || '</literal> &amp; ' || CASE p_size % 3 WHEN 0 THEN '<ulink url="http://zero.example/' || CAST(p_partkey AS VARCHAR) || '">a spec</ulink>'
+    WHEN 1 THEN '<ulink url="http://one.example/?a=1&amp;b=2">a spec</ulink>' ELSE '[a spec][s2]' END
+  || '.</para><programlisting language="sh"># run ' || {_N} || chr(10) || 'if x &lt; ' || CAST(p_size AS VARCHAR)
+  || '; then</programlisting><itemizedlist><listitem><para>open <emphasis>' || {_T} || '</emphasis></para><orderedlist><listitem><para>lid</para></listitem>'
+  || '<listitem><para>' || {_B} || '</para></listitem></orderedlist></listitem><listitem><para>close</para></listitem></itemizedlist>'
+  || '<blockquote><para>note: ' || {_N} || '</para><itemizedlist><listitem><para>keep</para></listitem></itemizedlist></blockquote>'
+  || '<table><tgroup cols="2"><thead><row><entry>part</entry><entry>size</entry></row></thead><tbody><row><entry>' || {_N} || '</entry><entry>'
+  || CAST(p_size AS VARCHAR) || '</entry></row><row><entry>a|b</entry><entry></entry></row></tbody></tgroup></table>'
+  || CASE WHEN p_size % 2 = 0 THEN '</section><section><title>Underlined ' || {_B} || '</title><para>end</para>'
+    ELSE '<programlisting>indented ' || CAST(p_size AS VARCHAR) || '</programlisting>' END || '</section></article>' AS docbook FROM part"""
+ORACLE["html_structure"] = f"""SELECT concat('guides/', CAST(p_partkey AS VARCHAR), '.html') AS path,
+  '<article><section><title>' || {_N} || ' — café</title><para>Size' || chr(160) || CAST(p_size AS VARCHAR) || ' © ’ <emphasis role="strong">' || {_B}
+  || '</emphasis> <ulink url="http://parts.example/?a=1&amp;b=' || CAST(p_partkey AS VARCHAR) || '">spec</ulink></para>'
+  || '<itemizedlist><listitem><para>one</para><itemizedlist><listitem><para>' || {_T} || '</para></listitem></itemizedlist></listitem><listitem><para>two</para></listitem></itemizedlist>'
+  || '<informaltable><tbody><tr><td><para>part</para></td><td><para>size</para></td></tr><tr><td><para>' || {_N} || '</para></td><td><para>'
+  || CAST(p_size AS VARCHAR) || '</para></td></tr></tbody></informaltable><programlisting>  run ' || {_N} || chr(10) || chr(10)
+  || '  x &lt; 1</programlisting></section></article>' AS docbook FROM part"""
 ORACLE["decode_text"] = (
     "SELECT concat('docs/', source, '/', CAST(doc_id AS VARCHAR), '.md') AS path, "
     "true AS round_trip, "

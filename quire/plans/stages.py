@@ -13,11 +13,10 @@ from pyspark.sql import functions as F
 
 from ..functions.paths import stem
 from ..operators.classify import classify_topic
-from ..operators.convert import html_raw_sections, to_intermediate
+from ..operators.convert import html_article, markdown_article
 from ..operators.dedupe import cluster_keys, dedupe_items
 from ..operators.inventory import assess_documents, inventory
 from ..operators.routing import build_registry, handler_for, no_handler_error
-from ..operators.sections import markdown_sections
 from ..operators.topics import build_topic, extract_body, extract_title, map_fragments, topic_file_name
 from ..options import AssessOptions, ConvertOptions
 from .conversion_plan import conversion_plans, join_plans
@@ -48,10 +47,10 @@ def assess_stage(corpus: DataFrame, opts: AssessOptions = AssessOptions()) -> Ou
     return out
 
 
-def _extract(rows: DataFrame, copts: ConvertOptions, md_sections) -> DataFrame:
+def _extract(rows: DataFrame, copts: ConvertOptions) -> DataFrame:
     """Adds ``handler, docbook, error, has_docbook`` to rows with ``path`` and ``text``."""
     text = F.col("text")
-    made = {MD_HANDLER: to_intermediate(md_sections), HTML_HANDLER: to_intermediate(html_raw_sections(text))}
+    made = {MD_HANDLER: markdown_article(text), HTML_HANDLER: html_article(text)}
     made |= {name: convert(text) for name, convert in copts.handlers.items()}
     registry = build_registry(copts.handler_overrides, copts.optional_handlers, copts.handlers)
     h = handler_for(F.col("path"), registry)
@@ -72,7 +71,7 @@ def extract_stage(corpus: DataFrame, copts: ConvertOptions = ConvertOptions()) -
     Unknown extensions and handlers without a converter become error rows; the
     other rows are unaffected.
     """
-    out = _extract(corpus.select("path", "text"), copts, markdown_sections(F.col("text")))
+    out = _extract(corpus.select("path", "text"), copts)
     return out.select("path", "handler", "docbook", "error")
 
 
@@ -150,18 +149,16 @@ def run_all(
 ) -> Outputs:
     """Whole conversion: assess → extract → transform (with plans) → load.
 
-    Extraction reuses the assessment's section arrays and the plan's default type
-    travels in the same row, so every document is split once and no plan join is
-    needed: assessment, extraction and transformation are one narrow projection.
+    The plan's default type travels in the same row, so no plan join is needed:
+    assessment, extraction and transformation are one narrow projection.
     """
     assessed = assess_stage(corpus, opts)
     a = assessed["assessed"].select(
         "path",
         "text",
-        "section_list",
         F.coalesce(F.get("predictions", 0)["pred"], F.lit("concept")).alias("plan_type"),
     )
-    rows = _extract(a, copts, F.col("section_list"))
+    rows = _extract(a, copts)
     extracted = rows.select("path", "handler", "docbook", "error")
     # one row per document: extraction and transformation results side by side (no join)
     documents = _transform(

@@ -275,7 +275,7 @@ def q_report_duplicates(spark, sf):
 from .functions.paths import basename as path_basename, relative_path, stem as path_stem, suffix as path_suffix  # noqa: E402
 from .operators.classify import classify_topic  # noqa: E402
 from .functions.text import xml_escape  # noqa: E402
-from .operators.convert import html_raw_sections, to_intermediate  # noqa: E402
+from .operators.convert import html_article, markdown_article  # noqa: E402
 from .operators.routing import build_registry, extension, handler_for, no_handler_error  # noqa: E402
 from .operators.topics import (  # noqa: E402
     build_topic,
@@ -292,7 +292,7 @@ from .plans.stages import assess_stage, errors, extract_stage, run_all, run_summ
 from .session import ensure_checkpoint_dir  # noqa: E402
 from .sources.files import decode_text  # noqa: E402
 from .sources.sinks import write_plans  # noqa: E402
-from .sources.tables import docbook_corpus, read_table  # noqa: E402
+from .sources.tables import docbook_corpus, guides, read_table  # noqa: E402
 
 # Rules exercised by the classification queries (glob on the stem, regex on the content).
 FILENAME_RULES = (Rule("2?", "task"), Rule("[13]*5", "Reference"), Rule("4[!0-4]", "glossary"))
@@ -425,13 +425,23 @@ def q_plan_join_basename(spark, sf):
 @register("md_to_intermediate")
 def q_md_to_intermediate(spark, sf):
     c = _corpus(spark, sf).filter(format_of(F.col("path")) == "md")
-    return c.select("path", to_intermediate(markdown_sections(F.col("text"))).alias("docbook"))
+    return c.select("path", markdown_article(F.col("text")).alias("docbook"))
 
 
 @register("html_to_intermediate")
 def q_html_to_intermediate(spark, sf):
     c = _corpus(spark, sf).filter(format_of(F.col("path")) == "html")
-    return c.select("path", to_intermediate(html_raw_sections(F.col("text"))).alias("docbook"))
+    return c.select("path", html_article(F.col("text")).alias("docbook"))
+
+
+@register("md_blocks")
+def q_md_blocks(spark, sf):
+    return guides(spark, sf, "md").select("path", markdown_article(F.col("text")).alias("docbook"))
+
+
+@register("html_structure")
+def q_html_structure(spark, sf):
+    return guides(spark, sf, "html").select("path", html_article(F.col("text")).alias("docbook"))
 
 
 @register("extract_stage")

@@ -65,6 +65,34 @@ CORPUS_SQL: dict[str, tuple[str, str, str]] = {
     ),
 }
 
+# Guides with the block structure that the converters read, made of the parts' columns
+GUIDE_SQL = {
+    "md": (
+        "concat('guides/', cast(p_partkey as string), '.md')",
+        "concat("
+        f"'---', {NL}, 'title: ', p_name, {NL}, '---', {NL}, '# ', p_name, {NL}, {NL}, 'The **', p_type, '** box has `', p_brand, '` & [a spec][s', "
+        f"cast(p_size % 3 as string), '].', {NL}, {NL}, '```sh', {NL}, '# run ', p_name, {NL}, 'if x < ', cast(p_size as string), '; then', {NL}, '```', {NL}, "
+        f"'- open *', p_type, '*', {NL}, '  1. lid', {NL}, '  2. ', p_brand, {NL}, '- close', {NL}, {NL}, '> note: ', p_name, {NL}, '> - keep', {NL}, {NL}, "
+        f"'| part | size |', {NL}, '| --- | ---: |', {NL}, '| ', p_name, ' | ', cast(p_size as string), ' |', {NL}, '| a', chr(92), '|b |', {NL}, {NL}, "
+        f"CASE WHEN p_size % 2 = 0 THEN concat('Underlined ', p_brand, {NL}, '---', {NL}, {NL}, 'end') ELSE concat('    indented ', cast(p_size as string)) END, "
+        f"{NL}, {NL}, '[s0]: http://zero.example/', cast(p_partkey as string), {NL}, '[S1]: <http://one.example/?a=1&b=2> ', chr(34), 'x', chr(34), {NL})",
+    ),
+    "html": (
+        "concat('guides/', cast(p_partkey as string), '.html')",
+        "concat('<h2>', p_name, ' &mdash; caf&eacute;</h2><p>Size&nbsp;', cast(p_size as string), ' &#169; &#x2019; <b>', p_brand, "
+        "'</b> <a class=x href=\"http://parts.example/?a=1&amp;b=', cast(p_partkey as string), '\">spec</a>', "
+        "'<ul><li>one<ul><li>', p_type, '</ul><li>two</ul><table><tr><th>part<th>size<tr><td>', p_name, '<td>', cast(p_size as string), "
+        f"'</table><pre>  run ', p_name, {NL}, {NL}, '  x &lt; 1</pre>')",
+    ),
+}
+
+
+def guides(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """``(path, text)``: one structured guide per part, ``md`` or ``html``."""
+    path_sql, text_sql = GUIDE_SQL[kind]
+    return spread(read_table(spark, sf_dir, "part").selectExpr(f"{path_sql} AS path", f"{text_sql} AS text"))
+
+
 ALL_CORPORA = ("documents", "conversations", "part", "pages", "benchmark")
 
 
