@@ -186,7 +186,7 @@ def _prefixes(made: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 def _roots(rows: DataFrame, firsts: DataFrame, heads: DataFrame, buckets: DataFrame, words: int, percent: int, scratch: Scratch) -> DataFrame:
     """``(node, root)`` of all classes that link with another; ``heads(node, n, lone, grp)`` describes the classes."""
-    placed = buckets.groupBy("node").agg(F.max("members").alias("crowd"), F.slice(F.sort_array(F.collect_set("h")), 1, SKETCH).alias("sketch"))
+    placed = buckets.groupBy("node").agg(F.slice(F.sort_array(F.collect_set("h")), 1, SKETCH).alias("sketch"))
     members = scratch.table(placed.join(heads, "node"), "members")
     scratch.drop("prefixes")
 
@@ -199,14 +199,8 @@ def _roots(rows: DataFrame, firsts: DataFrame, heads: DataFrame, buckets: DataFr
     texts = rows.join(wanted, list(ROW_KEY)).select("node", "text")
     sets = scratch.table(map_batches(texts, whole, "node bigint, tokens array<bigint>"), "sets")
 
-    # tokens that no other class in crowded buckets has
-    crowded = sets.join(members.filter(F.col("crowd") >= CROWDED).select("node"), "node", "left_semi")
-    own = crowded.select("node", F.explode("tokens").alias("h")).groupBy("h").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-    own = own.filter("lo = hi").groupBy(F.col("lo").alias("node")).agg(F.count(F.lit(1)).alias("own"))
-    members = scratch.table(members.join(own, "node", "left").withColumn("own", F.coalesce("own", F.lit(0))), "members")
-
     # first step: pivots of buckets with the groups that fit, expanded to their members
-    rank = F.struct("own", "lone", "node")
+    rank = F.struct("lone", "node")
     groups = members.groupBy("grp").agg(F.min(rank)["node"].alias("leader"))
     in_group = members.join(groups, "grp").select(F.col("leader").alias("a"), F.col("node").alias("b"))
     lists = buckets.select("h", "node", "members").join(members.drop("sketch"), "node")
@@ -224,14 +218,20 @@ def _roots(rows: DataFrame, firsts: DataFrame, heads: DataFrame, buckets: DataFr
     at_pivot = roots.select(F.col("node").alias("pivot"), F.col("root").alias("pivot_root"))
     placed = placed.join(at_pivot, "pivot", "left").withColumn("pivot_root", F.coalesce("pivot_root", "pivot"))
     placed = placed.withColumns({"a": F.least("pivot", "node"), "b": F.greatest("pivot", "node")}).join(first.select("a", "b", "common"), ["a", "b"], "left")
-    # tokens shared with the pivot (unknown where the sizes exclude a link), and the others that somebody else may have
-    own = F.when(F.col("members") >= CROWDED, F.col("own")).otherwise(0)
     inside = F.when(F.col("node") == F.col("pivot"), F.col("n")).otherwise(F.col("common"))
-    placed = placed.select("h", "node", "n", "root", "pivot_root", (F.col("n") - own).alias("open"), inside.alias("inside"))
-    placed = placed.withColumn("outside", F.col("open") - F.col("inside"))
+    placed = placed.select("h", "members", "node", "n", "root", "pivot_root", inside.alias("inside"))
     unsettled = placed.filter("root != pivot_root").select("h").distinct()
-    placed = placed.join(unsettled, "h").join(members.select("node", "sketch"), "node")
+    placed = scratch.table(placed.join(unsettled, "h"), "unsettled")
+    # tokens that no other class in crowded unsettled buckets has: no partner can share them
+    crowded = sets.join(placed.filter(F.col("members") >= CROWDED).select("node").distinct(), "node", "left_semi")
+    own = crowded.select("node", F.explode("tokens").alias("h")).groupBy("h").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
+    own = own.filter("lo = hi").groupBy(F.col("lo").alias("node")).agg(F.count(F.lit(1)).alias("own"))
+    # tokens shared with the pivot (unknown where the sizes exclude a link), and the others that somebody else may have
+    own_here = F.when(F.col("members") >= CROWDED, F.coalesce("own", F.lit(0))).otherwise(0)
+    placed = placed.join(own, "node", "left").select("h", "node", "n", "root", "pivot_root", (F.col("n") - own_here).alias("open"), "inside")
+    placed = placed.withColumn("outside", F.col("open") - F.col("inside")).join(members.select("node", "sketch"), "node")
     placed = scratch.table(placed, "placed")
+    scratch.drop("unsettled", "pivots", "first roots")
     columns = ("node", "n", "root", "open", "inside", "outside", "sketch")
     strays = placed.filter("root != pivot_root").select("h", *(F.col(c).alias(f"s_{c}") for c in columns))
     overlap = (F.col("n") + F.col("s_n")) * percent / (100 + percent) - 1e-6
