@@ -3,13 +3,15 @@
 Priority: filename rules (glob on the stem) → content rules (case-insensitive
 regex search) → a valid plan hint → task words → reference words → concept.
 Rules are driver-side data folded into the expression, so classification is a
-narrow projection.
+narrow projection.  Content rules run in the JVM; one that only Python's dialect can express is
+evaluated by Python in Arrow batches.
 """
 
 from __future__ import annotations
 
 import re
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,6 +44,29 @@ def content_rule_pattern(pattern: str) -> str:
     return checked_java_pattern("(?iud)" + python_regex_to_java(pattern), pattern)
 
 
+def python_search(content: Column, pattern: str) -> Column:
+    """``re.search(pattern, text, re.IGNORECASE)`` in Python, Arrow batch by batch: for patterns that Java has no form of."""
+
+    def run(texts: pd.Series) -> pd.Series:
+        search = re.compile(pattern, re.IGNORECASE).search
+        return pd.Series([search(t) is not None for t in texts.fillna("")], dtype=bool)
+
+    return F.pandas_udf(run, "boolean")(content)
+
+
+def content_rule(content: Column, pattern: str) -> Column:
+    """Whether a content rule matches: in the JVM, or by Python's own engine where Java refuses the pattern."""
+    try:
+        java = content_rule_pattern(pattern)
+    except ValueError:
+        try:
+            re.compile(pattern)
+        except re.error:
+            raise ValueError(f"rule pattern {pattern!r} cannot be used") from None
+        return python_search(content, pattern)
+    return content.rlike(java)
+
+
 def classify_topic(
     stem: Column,
     content: Column,
@@ -55,7 +80,7 @@ def classify_topic(
     for r in rules_by_filename:
         branches.append((stem.rlike(checked_java_pattern(glob_to_java(r.pattern), r.pattern)), F.lit(validated_type(r.type))))
     for r in rules_by_content:
-        branches.append((content.rlike(content_rule_pattern(r.pattern)), F.lit(validated_type(r.type))))
+        branches.append((content_rule(content, r.pattern), F.lit(validated_type(r.type))))
     if plan_type is not None:
         hint = py_strip(F.lower(plan_type))
         branches.append((plan_type.isNotNull() & hint.isin(*TOPIC_TYPES), hint))

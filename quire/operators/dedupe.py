@@ -45,6 +45,7 @@ from pyspark.sql import functions as F
 from ..functions.text import let, tokens_lower
 from ..options import AssessOptions
 from ..session import WIDE_AGGREGATE_CONF, delete_path, scoped_conf, ship_package, write_and_read
+from .numbering import numbered
 
 PRIME = 2147483647  # 2^31 - 1, modulus of the affine permutations
 SENTINEL = 2**63 - 1  # start value of every slot; stays for an empty shingle set
@@ -365,3 +366,11 @@ def dedupe_items(assessed: DataFrame, scope: str = "first_section") -> DataFrame
 def cluster_table(key_leader: DataFrame) -> DataFrame:
     """``(leader, size)`` per cluster — bounded aggregate, no member lists."""
     return key_leader.groupBy("leader").agg(F.count(F.lit(1)).cast("bigint").alias("size"))
+
+
+def cluster_members(key_leader: DataFrame) -> DataFrame:
+    """``(leader, position, key)``: the members of every cluster in input order, the leader at 0.
+
+    A leader is its cluster's smallest key, and input order is the order of the keys.
+    """
+    return numbered(key_leader.select("leader", "key"), ["leader"], ["key"]).select("leader", "position", "key")

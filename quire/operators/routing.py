@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -39,3 +44,40 @@ def handler_for(path: Column, registry: dict[str, str]) -> Column:
 def no_handler_error(path: Column) -> Column:
     """``No extractor registered for extension: '<ext>'`` (Python repr quoting)."""
     return F.concat(F.lit("No extractor registered for extension: '"), extension(path), F.lit("'"))
+
+
+@dataclass(frozen=True)
+class BatchConverter:
+    """A converter in Python: a function from a list of texts to as many intermediates.
+
+    A batch that raises is tried again text by text, so that an error is the error of
+    one document and the others of its batch are converted.
+    """
+
+    convert: Callable[[list[str]], list[str]]
+
+    def column(self, text: Column) -> Column:
+        """``struct<value, error>`` of a text; null texts (other handlers' rows) never reach the function."""
+        convert = self.convert
+
+        def batch(texts: list[str]) -> list[tuple[str | None, str | None]]:
+            try:
+                made = convert(texts)
+                if len(made) != len(texts):
+                    raise ValueError(f"{len(made)} intermediates for {len(texts)} texts")
+                return [(m, None if m is not None else "The converter returned nothing") for m in made]
+            except Exception as e:  # noqa: BLE001 - whatever a user's converter raises belongs to its document
+                if len(texts) == 1:
+                    return [(None, str(e) or type(e).__name__)]
+                return [batch([t])[0] for t in texts]
+
+        def run(texts: pd.Series) -> pd.DataFrame:
+            value, error = np.full(len(texts), None, dtype=object), np.full(len(texts), None, dtype=object)
+            asked = np.flatnonzero(texts.notna())
+            if len(asked):
+                for i, (v, e) in zip(asked, batch(texts.iloc[asked].tolist()), strict=True):
+                    value[i], error[i] = v, e
+            return pd.DataFrame({"value": value, "error": error})
+
+        # not deterministic: value and error come from one call
+        return F.pandas_udf(run, "value string, error string").asNondeterministic()(text)

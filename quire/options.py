@@ -117,7 +117,8 @@ class ConvertOptions:
     map_title: str = MAP_TITLE
     topics_dir: str = "dita/topics"
     map_dir: str = "dita"
-    # Converters of further handlers: name → function from the text column to an intermediate.
+    # Converters of further handlers: name → function from the text column to an intermediate,
+    # or an ``operators.routing.BatchConverter`` that runs Python code and may fail.
     handlers: dict = field(default_factory=dict)
     # Plan lookup key: 'path' (exact) or 'basename' (reference behaviour, collisions overwrite).
     plan_key: str = "path"

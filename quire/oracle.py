@@ -329,6 +329,11 @@ DEDUPE_TEMPLATED = dedupe_ctes("dt", 3, 0.7, MINHASH_NUM_PERM, _D.minhash_seed,
 qd("near_dup_clusters_templated", "SELECT key, leader FROM dt_key_leader", extra="," + DEDUPE_TEMPLATED)
 qd("near_dup_pairs", "SELECT leader AS a, key AS b, similarity FROM dd_key_leader WHERE key <> leader")
 qd("clusters", "SELECT leader, count(*)::BIGINT AS size FROM dd_key_leader GROUP BY leader")
+qd(
+    "cluster_members",
+    "SELECT leader, (row_number() OVER (PARTITION BY leader ORDER BY key) - 1)::BIGINT AS position, key FROM dl_key_leader",
+    loose=True,
+)
 qd(
     "report_duplicates",
     "SELECT leader, count(*)::BIGINT AS size FROM dd_key_leader GROUP BY leader HAVING count(*) > 1",
@@ -697,6 +702,23 @@ qc(
     "CASE WHEN r.ext = '.txt' THEN NULL ELSE x.error END AS error "
     "FROM extracted x JOIN routed r USING (path) JOIN corpus c USING (path)",
 )
+qc("transform_bucketed", "SELECT path, topic_type, topic_path, xml, error FROM ruled_topics")
+LONG_WORD = "regexp_matches(c.text, '[A-Za-z]{14}')"
+qc(
+    "extract_failing_converter",
+    "SELECT x.path, CASE WHEN r.ext = '.txt' THEN 'python-lines' ELSE x.handler END AS handler, "
+    f"md5(CASE WHEN r.ext = '.txt' THEN CASE WHEN NOT {LONG_WORD} THEN '<article>' || array_to_string(list_transform(list_filter(string_split(c.text, chr(10)), "
+    "lambda l: l <> ''), lambda l: '<para>' || " + xml_esc("l") + " || '</para>'), '') || '</article>' END ELSE x.docbook END) AS docbook_md5, "
+    f"CASE WHEN r.ext = '.txt' THEN CASE WHEN {LONG_WORD} THEN 'a word is too long' END ELSE x.error END AS error "
+    "FROM extracted x JOIN routed r USING (path) JOIN corpus c USING (path)",
+)
+_PY = toks_lower("docbook")
+qc(
+    "classify_python_rule",
+    f"SELECT path, CASE WHEN regexp_matches(docbook, '\\p{{Nd}}7') OR list_contains({_PY}, 'que') THEN 'reference' "
+    "WHEN contains(lower(docbook), 'procedure') THEN 'task' "
+    f"ELSE {classify_sql('path', 'docbook', None, False)} END AS topic_type FROM docbook_docs",
+)
 qc("topic_type_counts", "SELECT topic_type, count(*)::BIGINT AS n FROM e2e_topics GROUP BY topic_type")
 qc("topic_map", map_sql("e2e_topics", "Documentation Set"))
 qc("topic_count", "SELECT count(*)::BIGINT AS topic_count FROM e2e_topics")

@@ -79,6 +79,16 @@ def join_plans(docs: DataFrame, plans: DataFrame | None, key: str = "path") -> D
     return dealt.join(copies, ["plan_key", "deal"], "left").drop("plan_key", "deal")
 
 
+def join_bucketed(docs: DataFrame, hints: DataFrame) -> DataFrame:
+    """:func:`join_plans` by path for two tables bucketed by path: the buckets meet where they lie.
+
+    Neither the intermediates nor the hints are exchanged; a bucket is sorted by path in its
+    task (Spark spills that sort), and the merge reads the long column in passing.
+    """
+    found = hints.select(F.col("path").alias("plan_key"), "plan_type").hint("merge")
+    return docs.join(found, docs["path"] == found["plan_key"], "left").drop("plan_key")
+
+
 PLAN_SCHEMA = (
     "source string, chunking struct<level:int,nested_topics:boolean>, default_topic_type string, "
     "sections array<struct<index:int,title:string,pred:string,confidence:double,reasons:array<string>>>, "

@@ -8,7 +8,7 @@ map / report sinks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.paths import stem
@@ -16,10 +16,11 @@ from ..operators.classify import classify_topic
 from ..operators.convert import html_article, markdown_article
 from ..operators.dedupe import cluster_keys, dedupe_items
 from ..operators.inventory import assess_documents, inventory
-from ..operators.routing import build_registry, handler_for, no_handler_error
+from ..operators.routing import BatchConverter, build_registry, handler_for, no_handler_error
 from ..operators.topics import build_topic, extract_body, extract_title, map_fragments, topic_file_name
 from ..options import AssessOptions, ConvertOptions
-from .conversion_plan import conversion_plans, join_plans
+from ..session import ship_package
+from .conversion_plan import conversion_plans, join_bucketed, join_plans
 from .report import report_fragments
 
 class Outputs(dict):
@@ -51,25 +52,36 @@ def _extract(rows: DataFrame, copts: ConvertOptions) -> DataFrame:
     """Adds ``handler, docbook, error, has_docbook`` to rows with ``path`` and ``text``."""
     text = F.col("text")
     made = {MD_HANDLER: markdown_article(text), HTML_HANDLER: html_article(text)}
-    made |= {name: convert(text) for name, convert in copts.handlers.items()}
+    batch = {name: c for name, c in copts.handlers.items() if isinstance(c, BatchConverter)}
+    made |= {name: convert(text) for name, convert in copts.handlers.items() if name not in batch}
     registry = build_registry(copts.handler_overrides, copts.optional_handlers, copts.handlers)
     h = handler_for(F.col("path"), registry)
+    failure = F.lit(None).cast("string")
+    if batch:
+        ship_package(rows.sparkSession)
+        for k, (name, converter) in enumerate(batch.items()):
+            own = F.when(h == name, F.coalesce(text, F.lit("")))
+            rows = rows.withColumn(f"__converted_{k}", converter.column(own))
+            made[name] = F.col(f"__converted_{k}")["value"]
+            failure = F.coalesce(failure, F.col(f"__converted_{k}")["error"])
     docbook = None
     for name, column in made.items():
         docbook = F.when(h == name, column) if docbook is None else docbook.when(h == name, column)
     error = F.when(h.isNull(), no_handler_error(F.col("path"))).when(
         ~h.isin(*made),
         F.concat(F.lit("Handler '"), h, F.lit("' converts binary documents, which this engine does not read")),
-    )
-    return rows.select("*", h.alias("handler"), docbook.alias("docbook"), error.alias("error"), h.isin(*made).alias("has_docbook"))
+    ).otherwise(failure)
+    has = h.isin(*made) & failure.isNull() if batch else h.isin(*made)
+    kept = [c for c in rows.columns if not c.startswith("__converted_")]
+    return rows.select(*kept, h.alias("handler"), docbook.alias("docbook"), error.alias("error"), has.alias("has_docbook"))
 
 
 def extract_stage(corpus: DataFrame, copts: ConvertOptions = ConvertOptions()) -> DataFrame:
     """``(path, handler, docbook, error)``: route by extension, convert Markdown / HTML, or
     by the caller's own converters (``copts.handlers``: name → ``Column → Column``).
 
-    Unknown extensions and handlers without a converter become error rows; the
-    other rows are unaffected.
+    Unknown extensions, handlers without a converter and documents whose converter
+    raises (``BatchConverter``) become error rows; the other rows are unaffected.
     """
     out = _extract(corpus.select("path", "text"), copts)
     return out.select("path", "handler", "docbook", "error")
@@ -113,6 +125,12 @@ def transform_stage(
     return _transform(docs.withColumn("has_docbook", F.col("docbook").isNotNull()), copts)
 
 
+def transform_tables(intermediates: str, hints: str, spark: SparkSession, copts: ConvertOptions = ConvertOptions()) -> DataFrame:
+    """:func:`transform_stage` on tables bucketed by path (``sources.sinks.write_bucketed``): no exchange at all."""
+    docs = join_bucketed(spark.table(intermediates).select("path", "docbook"), spark.table(hints))
+    return _transform(docs.withColumn("has_docbook", F.col("docbook").isNotNull()), copts)
+
+
 def load_stage(topics: DataFrame, copts: ConvertOptions = ConvertOptions()) -> dict[str, DataFrame]:
     """Map fragments over all successful topics and the topic count."""
     ok = topics.filter(F.col("error").isNull()).select("topic_path")

@@ -7,6 +7,7 @@ DuckDB statements in ``quire.oracle`` one for one.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable
 
@@ -188,7 +189,7 @@ def q_fingerprint(spark, sf):
 
 
 # ---------------------------------------------------------------- near duplicates
-from .operators.dedupe import cluster_keys, cluster_table, dedupe_items, shingles, signature_similarity, signature_table  # noqa: E402
+from .operators.dedupe import cluster_keys, cluster_members, cluster_table, dedupe_items, shingles, signature_similarity, signature_table  # noqa: E402
 
 LOOSE = AssessOptions(ngram=3, threshold=0.7)
 
@@ -266,6 +267,12 @@ def q_clusters(spark, sf):
     return cluster_table(cluster_keys(_items(spark, sf)))
 
 
+@register("cluster_members")
+def q_cluster_members(spark, sf):
+    # of loose clusters, which are larger
+    return cluster_members(cluster_keys(_items(spark, sf, LOOSE), LOOSE))
+
+
 @register("report_duplicates")
 def q_report_duplicates(spark, sf):
     return cluster_table(cluster_keys(_items(spark, sf))).filter(F.col("size") > 1)
@@ -276,7 +283,7 @@ from .functions.paths import basename as path_basename, relative_path, stem as p
 from .operators.classify import classify_topic  # noqa: E402
 from .functions.text import xml_escape  # noqa: E402
 from .operators.convert import html_article, markdown_article  # noqa: E402
-from .operators.routing import build_registry, extension, handler_for, no_handler_error  # noqa: E402
+from .operators.routing import BatchConverter, build_registry, extension, handler_for, no_handler_error  # noqa: E402
 from .operators.topics import (  # noqa: E402
     build_topic,
     extract_body,
@@ -286,12 +293,12 @@ from .operators.topics import (  # noqa: E402
     topicref,
 )
 from .options import ConvertOptions, Rule  # noqa: E402
-from .plans.conversion_plan import conversion_plans, join_plans, plan_collisions, plan_json, read_plans  # noqa: E402
+from .plans.conversion_plan import conversion_plans, join_plans, plan_collisions, plan_hints, plan_json, read_plans  # noqa: E402
 from .plans.report import report_fragments, report_summary  # noqa: E402
-from .plans.stages import assess_stage, errors, extract_stage, run_all, run_summary, transform_stage  # noqa: E402
+from .plans.stages import assess_stage, errors, extract_stage, run_all, run_summary, transform_stage, transform_tables  # noqa: E402
 from .session import ensure_checkpoint_dir  # noqa: E402
 from .sources.files import decode_text  # noqa: E402
-from .sources.sinks import write_plans  # noqa: E402
+from .sources.sinks import write_bucketed, write_plans  # noqa: E402
 from .sources.tables import docbook_corpus, guides, read_table  # noqa: E402
 
 # Rules exercised by the classification queries (glob on the stem, regex on the content).
@@ -464,6 +471,46 @@ def q_extract_user_converter(spark, sf):
     return e.select("path", "handler", F.md5("docbook").alias("docbook_md5"), "error")
 
 
+def _lines_or_failure(texts):
+    """A converter in Python that fails for some texts: those with a word of 14 letters or more."""
+    out = []
+    for text in texts:
+        if re.search(r"[A-Za-z]{14}", text):
+            raise ValueError("a word is too long")
+        lines = [x.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;") for x in text.split("\n") if x]
+        out.append("<article>" + "".join(f"<para>{x}</para>" for x in lines) + "</article>")
+    return out
+
+
+@register("extract_failing_converter")
+def q_extract_failing_converter(spark, sf):
+    copts = ConvertOptions(handlers={"python-lines": BatchConverter(_lines_or_failure)}, handler_overrides={".txt": "python-lines"})
+    e = extract_stage(_corpus(spark, sf), copts)
+    return e.select("path", "handler", F.md5("docbook").alias("docbook_md5"), "error")
+
+
+# a conditional group, which Java has no form of: a digit before 7, or else the word
+PYTHON_RULES = (Rule(r"(\d)?(?(1)7|\bque\b)", "reference"), Rule("procedure", "TASK"))
+
+
+@register("classify_python_rule")
+def q_classify_python_rule(spark, sf):
+    d = docbook_corpus(spark, sf)
+    return d.select("path", classify_topic(path_stem(F.col("path")), F.col("docbook"), (), PYTHON_RULES).alias("topic_type"))
+
+
+BUCKETS = 32
+
+
+@register("transform_bucketed")
+def q_transform_bucketed(spark, sf):
+    d = _docbook_with_ids(spark, sf)
+    d = d.withColumn("docbook", F.when(F.col("doc_id") % 97 != 0, F.col("docbook")))
+    hints = plan_hints(_plans(spark, sf)).select(F.col("plan_key").alias("path"), "plan_type")
+    docs = write_bucketed(d.select("path", "docbook"), "path", BUCKETS, "intermediates")
+    return transform_tables(docs, write_bucketed(hints, "path", BUCKETS, "hints"), spark, RULED)
+
+
 def _ruled_topics(spark, sf):
     d = _docbook_with_ids(spark, sf)
     # every 97th intermediate is missing: an error row for that path only

@@ -8,10 +8,13 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 
 def write_fragments(fragments: DataFrame, path: str) -> None:
     """Write an ordered fragment table as one text document split into part files.
@@ -57,3 +60,16 @@ def write_topics(topics: DataFrame, path: str, mode: str = "overwrite") -> None:
         .partitionBy("topic_type")
         .json(path)
     )
+
+
+def write_bucketed(df: DataFrame, key: str, buckets: int, name: str) -> str:
+    """Write ``df`` as a table bucketed by ``key`` into the shared folder and return the table's name.
+
+    No exchange: every task writes its rows to the files of their buckets.  Tables with the
+    same number of buckets are joined by ``key`` without moving a row.
+    """
+    spark = df.sparkSession
+    table = f"quire_{name}_{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{table}"
+    df.write.bucketBy(buckets, key).sortBy(key).format("parquet").option("path", path).saveAsTable(table)
+    return table

@@ -181,7 +181,7 @@ def test_fragment_writer_refuses_existing_folder(spark):
 
 
 def test_html_paragraphs(spark):
-    from quire.operators.convert import html_raw_sections, to_intermediate
+    from quire.operators.convert import html_article
 
     html = [
         "<p>one</p><p>two</p><script>var x=1;</script>",
@@ -189,13 +189,90 @@ def test_html_paragraphs(spark):
         "plain\ntext", "", None, "<SCRIPT type='a'>\n<p>q</p>\n</SCRIPT ><P class=x>upper</P>", "<pre>k</pre><param>m",
     ]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(html)], "i int, t string").coalesce(1)
-    got = {r.i: r.d for r in df.select("i", to_intermediate(html_raw_sections(F.col("t"))).alias("d")).collect()}
+    got = {r.i: r.d for r in df.select("i", html_article(F.col("t")).alias("d")).collect()}
     assert got[0] == "<article><para>one</para><para>two</para></article>"
-    assert got[1] == "<article><section><title>A &amp; B</title><para>x y</para><para>z</para><para>1</para><para>2</para></section></article>"
+    assert got[1] == (
+        "<article><section><title>A &amp; B</title><para>x <emphasis>y</emphasis></para><para>z</para>"
+        "<itemizedlist><listitem><para>1</para></listitem><listitem><para>2</para></listitem></itemizedlist></section></article>"
+    )
     assert got[2] == "<article><para>plain\ntext</para></article>"
     assert got[3] == got[4] == "<article></article>"
     assert got[5] == "<article><para>upper</para></article>"
-    assert got[6] == "<article><para>k</para><para>m</para></article>"
+    assert got[6] == "<article><programlisting>k</programlisting><para>m</para></article>"
+
+
+def test_failing_converter(spark):
+    from quire.operators.routing import BatchConverter
+    from quire.plans.stages import extract_stage, run_all
+
+    def convert(texts):
+        if any("bad" in t for t in texts):
+            raise RuntimeError("cannot read bad")
+        if any("short" in t for t in texts):
+            return []
+        return [None if t == "nothing" else f"<article><para>{t}</para></article>" for t in texts]
+
+    rows = [(f"{i}.txt", t) for i, t in enumerate(["a", "bad one", "", None, "nothing", "short", "b"] * 3)] + [("x.md", "# bad"), ("y.xyz", "bad")]
+    corpus = spark.createDataFrame(rows, "path string, text string").coalesce(1)
+    copts = ConvertOptions(handlers={"mine": BatchConverter(convert)}, handler_overrides={".txt": "mine"})
+    got = {r.path: (r.docbook, r.error) for r in extract_stage(corpus, copts).collect()}
+    for path, text in rows[:21]:
+        docbook, error = got[path]
+        if text in ("bad one", "nothing", "short"):
+            assert docbook is None and error == {"bad one": "cannot read bad", "nothing": "The converter returned nothing", "short": "0 intermediates for 1 texts"}[text]
+        else:
+            assert docbook == f"<article><para>{text or ''}</para></article>" and error is None
+    assert got["x.md"][1] is None and "No extractor" in got["y.xyz"][1]
+    out = run_all(corpus, copts=copts)
+    assert {(r.stage, r.path) for r in out["errors"].collect()} == {("extract", p) for p, (_, e) in got.items() if e}
+    assert out["topic_count"].first()[0] == sum(e is None for _, e in got.values())
+
+
+def test_bucketed_plan_join_moves_nothing(spark):
+    from quire.plans.stages import transform_tables
+    from quire.sources.sinks import write_bucketed
+
+    rows = [(f"d/{i}.md", f"<title>T{i}</title><para>p</para>" if i % 5 else None) for i in range(200)] + [("d/0.md", "<para>again</para>")]
+    inter = spark.createDataFrame(rows, "path string, docbook string").repartition(3)
+    hints = spark.createDataFrame([(f"d/{i}.md", "task" if i % 2 else "reference") for i in range(150)], "path string, plan_type string").repartition(2)
+    tables = write_bucketed(inter, "path", 4, "docs"), write_bucketed(hints, "path", 4, "hints")
+    out = transform_tables(*tables, spark)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "SortMergeJoin" in plan
+    want = transform_stage(inter, hints.select(F.col("path").alias("source"), F.col("plan_type").alias("default_topic_type")))
+    assert sorted(map(str, out.collect())) == sorted(map(str, want.collect()))
+
+
+def test_rules_in_pythons_dialect(spark):
+    import re
+
+    texts = ["a7", "7", "x que y", "queue", "A que", "", None, "17", "nothing"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1)
+    pattern = r"(\d)?(?(1)7|\bque\b)"
+    got = [r[0] for r in df.select(classify_topic(F.lit("s"), F.col("t"), (), (Rule(pattern, "reference"),))).collect()]
+    assert got == ["reference" if re.search(pattern, t or "", re.I) else "concept" for t in texts]
+    with pytest.raises(ValueError):
+        classify_topic(F.lit("s"), F.lit("t"), (), (Rule("(", "task"),))
+
+
+def test_numbering_of_huge_and_small_groups(spark):
+    from quire.operators.numbering import numbered
+
+    rows = [("hot", i) for i in range(3000)] + [(f"g{i % 40}", i) for i in range(200)] + [(None, 5), (None, 3)]
+    df = spark.createDataFrame(rows, "g string, k int").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = numbered(df, ["g"], ["k"]).collect()
+        alone = numbered(df, [], ["g", "k"]).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    groups = {}
+    for g, k in rows:
+        groups.setdefault(g, []).append(k)
+    assert sorted((r.g or "", r.k, r.position) for r in got) == sorted((g or "", k, i) for g, ks in groups.items() for i, k in enumerate(sorted(ks)))
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1]))
+    assert [(r.g, r.k) for r in sorted(alone, key=lambda r: r.position)] == order and len({r.position for r in alone}) == len(rows)
+    assert numbered(df.limit(0), ["g"], ["k"]).collect() == []
 
 
 def test_body_without_paragraphs_is_whole(spark):
