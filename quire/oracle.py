@@ -783,6 +783,15 @@ ORACLE["html_structure"] = f"""SELECT concat('guides/', CAST(p_partkey AS VARCHA
   || '<informaltable><tbody><tr><td><para>part</para></td><td><para>size</para></td></tr><tr><td><para>' || {_N} || '</para></td><td><para>'
   || CAST(p_size AS VARCHAR) || '</para></td></tr></tbody></informaltable><programlisting>  run ' || {_N} || chr(10) || chr(10)
   || '  x &lt; 1</programlisting></section></article>' AS docbook FROM part"""
+# Of the linked guides: the text of each section is short, so that no document gets the bonus for its length.
+_LOST = "(p_size % 7 = 0 OR p_partkey + 1 NOT IN (SELECT p_partkey FROM part))"
+ORACLE["measured_metrics"] = f"""SELECT concat('linked/', CAST(p_partkey AS VARCHAR), '.md') AS path,
+  p_size % 6 <= 3 AS lists_depth_ok, p_size % 2 = 0 AS images_with_alt, p_size % 6 > 4 AS deep_nesting, {_LOST} AS unresolved_anchors,
+  p_size % 5 = 0 AS mixed_inline_blocks,
+  ({TW['heading_ladder_valid']} + {TW['tables_simple']} + CASE WHEN p_size % 6 <= 3 THEN {TW['lists_depth_ok']} ELSE 0 END
+    + CASE WHEN p_size % 2 = 0 THEN {TW['images_with_alt']} ELSE 0 END)::BIGINT AS topicization_readiness,
+  (CASE WHEN p_size % 6 > 4 THEN {RW['deep_nesting']} ELSE 0 END + CASE WHEN {_LOST} THEN {RW['unresolved_anchors']} ELSE 0 END
+    + CASE WHEN p_size % 5 = 0 THEN {RW['mixed_inline_blocks']} ELSE 0 END)::BIGINT AS conversion_risk FROM part"""
 ORACLE["decode_text"] = (
     "SELECT concat('docs/', source, '/', CAST(doc_id AS VARCHAR), '.md') AS path, "
     "true AS round_trip, "

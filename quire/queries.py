@@ -283,6 +283,7 @@ from .functions.paths import basename as path_basename, relative_path, stem as p
 from .operators.classify import classify_topic  # noqa: E402
 from .functions.text import xml_escape  # noqa: E402
 from .operators.convert import html_article, markdown_article  # noqa: E402
+from .operators.measured import FIELDS as MEASURED_FIELDS, measured  # noqa: E402
 from .operators.routing import BatchConverter, build_registry, extension, handler_for, no_handler_error  # noqa: E402
 from .operators.topics import (  # noqa: E402
     build_topic,
@@ -451,6 +452,12 @@ def q_html_structure(spark, sf):
     return guides(spark, sf, "html").select("path", html_article(F.col("text")).alias("docbook"))
 
 
+@register("measured_metrics")
+def q_measured_metrics(spark, sf):
+    out = measured(assess_documents(guides(spark, sf, "linked")))
+    return out.select("path", *(F.col(f"metrics.{f}").alias(f) for f in MEASURED_FIELDS), "topicization_readiness", "conversion_risk")
+
+
 @register("extract_stage")
 def q_extract_stage(spark, sf):
     e = extract_stage(_corpus(spark, sf))

@@ -77,6 +77,19 @@ GUIDE_SQL = {
         f"CASE WHEN p_size % 2 = 0 THEN concat('Underlined ', p_brand, {NL}, '---', {NL}, {NL}, 'end') ELSE concat('    indented ', cast(p_size as string)) END, "
         f"{NL}, {NL}, '[s0]: http://zero.example/', cast(p_partkey as string), {NL}, '[S1]: <http://one.example/?a=1&b=2> ', chr(34), 'x', chr(34), {NL})",
     ),
+    # lists of 0 to 5 levels, links to its own and the next part's headings, images with and without a text
+    "linked": (
+        "concat('linked/', cast(p_partkey as string), '.md')",
+        "concat("
+        f"'# Part ', cast(p_partkey as string), {NL}, {NL}, '## Set up', {NL}, {NL}, '## Set up', {NL}, {NL}, "
+        f"CASE WHEN p_size % 6 >= 1 THEN concat('- a', {NL}) ELSE '' END, CASE WHEN p_size % 6 >= 2 THEN concat('  - b', {NL}) ELSE '' END, "
+        f"CASE WHEN p_size % 6 >= 3 THEN concat('    - c', {NL}) ELSE '' END, CASE WHEN p_size % 6 >= 4 THEN concat('      1. d', {NL}) ELSE '' END, "
+        f"CASE WHEN p_size % 6 >= 5 THEN concat('         - e', {NL}, '- f', {NL}) ELSE '' END, {NL}, "
+        f"CASE WHEN p_size % 2 = 0 THEN '![a text](x.png)' ELSE '![ ](x.png)' END, {NL}, {NL}, 'See [up](#set-up-1), [next](../linked/./', "
+        f"cast(p_partkey + 1 as string), '.md#part-', cast(p_partkey + 1 as string), ') and [web](http://x.example/#y).', {NL}, {NL}, "
+        f"CASE WHEN p_size % 7 = 0 THEN concat('[bad](#nowhere)', {NL}) ELSE '' END, "
+        f"CASE WHEN p_size % 5 = 0 THEN concat('text <div>block</div>', {NL}) ELSE '' END)",
+    ),
     "html": (
         "concat('guides/', cast(p_partkey as string), '.html')",
         "concat('<h2>', p_name, ' &mdash; caf&eacute;</h2><p>Size&nbsp;', cast(p_size as string), ' &#169; &#x2019; <b>', p_brand, "
@@ -88,7 +101,7 @@ GUIDE_SQL = {
 
 
 def guides(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    """``(path, text)``: one structured guide per part, ``md`` or ``html``."""
+    """``(path, text)``: one structured guide per part, of one of the kinds of ``GUIDE_SQL``."""
     path_sql, text_sql = GUIDE_SQL[kind]
     return spread(read_table(spark, sf_dir, "part").selectExpr(f"{path_sql} AS path", f"{text_sql} AS text"))
 
