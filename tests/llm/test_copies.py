@@ -78,3 +78,12 @@ def test_null_ids_fetch_one_text_a_class(spark, monkeypatch, tmp_path):
     jaccard.link_components(spark.read.parquet(f"{tmp_path}/docs.parquet")).collect()
     with open(calls) as f:
         assert len(rows) < len(f.read()) <= 2 * len(rows)
+
+
+def test_clashing_names(spark, tmp_path):
+    rows = [(i, "one two three four five six seven" if i < 2 else f"word{i} and other{i} text{i} here{i} now{i}", i, i, i) for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row_file long, row_at long, n long")
+    docs.write.parquet(f"{tmp_path}/d")
+    for table in (docs, spark.read.parquet(f"{tmp_path}/d")):
+        got = jaccard.first_of_components(table, 3, 90)
+        assert got.columns == docs.columns and sorted(r.doc_id for r in got.collect()) == [0, 2, 3, 4]
