@@ -229,10 +229,9 @@ def _roots(rows: DataFrame, firsts: DataFrame, heads: DataFrame, buckets: DataFr
     # tokens shared with the pivot (unknown where the sizes exclude a link), and the others that somebody else may have
     own_here = F.when(F.col("members") >= CROWDED, F.coalesce("own", F.lit(0))).otherwise(0)
     placed = placed.join(own, "node", "left").select("h", "node", "n", "root", "pivot_root", (F.col("n") - own_here).alias("open"), "inside")
-    placed = placed.withColumn("outside", F.col("open") - F.col("inside")).join(members.select("node", "sketch"), "node")
-    placed = scratch.table(placed, "placed")
+    placed = scratch.table(placed.withColumn("outside", F.col("open") - F.col("inside")), "placed")
     scratch.drop("unsettled", "pivots", "first roots")
-    columns = ("node", "n", "root", "open", "inside", "outside", "sketch")
+    columns = ("node", "n", "root", "open", "inside", "outside")
     strays = placed.filter("root != pivot_root").select("h", *(F.col(c).alias(f"s_{c}") for c in columns))
     overlap = (F.col("n") + F.col("s_n")) * percent / (100 + percent) - 1e-6
     # a common token is in the pivot and both sets, or in both but not in the pivot
@@ -244,11 +243,13 @@ def _roots(rows: DataFrame, firsts: DataFrame, heads: DataFrame, buckets: DataFr
         & (F.least("n", "s_n") * 100 >= F.greatest("n", "s_n") * percent)
         & (bound >= overlap)
     )
+    met = scratch.table(strays.join(placed, "h").filter(tested).select("h", F.col("s_node").alias("a"), F.col("node").alias("b")), "met")
+    scratch.drop("placed", "buckets")
     # the least common token of two sketches is that of the prefixes: only its bucket shows the pair
     # (bounds hold in every bucket; where the sketches have nothing in common, every bucket does)
-    least = F.get(F.array_intersect("sketch", "s_sketch"), 0)
-    tested = tested & F.coalesce(least == F.col("h"), F.lit(True))
-    second = strays.join(placed, "h").filter(tested).select(F.col("s_node").alias("a"), F.col("node").alias("b"))
+    of_a, of_b = (members.select(F.col("node").alias(side), F.col("sketch").alias(f"sketch_{side}")) for side in ("a", "b"))
+    least = F.get(F.array_intersect("sketch_a", "sketch_b"), 0)
+    second = met.join(of_a, "a").join(of_b, "b").filter(F.coalesce(least == F.col("h"), F.lit(True))).select("a", "b")
     second = _ordered(second).join(first, ["a", "b"], "left_anti")
     more = _common(second, sets).filter(_linked(percent)).select("a", "b")
     return components(links.unionByName(scratch.table(more, "more links")), scratch, "roots")
