@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import delete_path, ship_package, write_and_read
+from ..session import delete_path, scoped_conf, ship_package, write_and_read
 
 
 def read_columns(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFrame:
@@ -22,6 +22,16 @@ def in_fold(doc_id: Column, folds: int, fold: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
+#: Spark removes a query's shuffle files when the query ends, not when the driver's garbage collector finds them
+CLEANUP = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
+def _written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``write_and_read`` whose shuffle files go as soon as the table stands: nothing runs its plan again."""
+    with scoped_conf(df.sparkSession, CLEANUP):
+        return write_and_read(df, name)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once into the session's shared checkpoint folder and read it back.
 
@@ -29,7 +39,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     later plans fresh size statistics.  The files stay until the folder is cleared, as
     a lazily returned result may still read them; see ``Scratch`` for the others.
     """
-    return write_and_read(df, name)[0]
+    return _written(df, name)[0]
 
 
 class Scratch:
@@ -40,7 +50,7 @@ class Scratch:
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
         """``df`` written and read back; a table that had the name is deleted after that."""
-        out, path = write_and_read(df, name)
+        out, path = _written(df, name)
         self.drop(name)
         self.paths[name] = path
         return out
