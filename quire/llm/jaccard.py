@@ -17,10 +17,12 @@ The links are found by a grouped prefix join:
     those members that are not connected with their bucket's pivot are held against all
     members of other components that pass the size filter and the overlap bound.  That
     bound counts what either set shares with the pivot and what else of it another set
-    may have (tokens that no other member of large buckets has cannot be shared).  Every
-    pair that could link is thus verified or already connected: no component is torn.
+    may have (counted tokens of one class alone cannot be shared), and in what bits the
+    parities of the sets' tokens differ (a token in one set alone flips one bit, so sets
+    differ by at least as many tokens).  Every pair that could link is thus verified or
+    already connected: no component is torn.
 
-Pairs are verified on the whole sets.  Every intermediate result is written to the shared
+Pairs are verified on the whole sets, which only the documents in pairs get.  Every intermediate result is written to the shared
 folder; no pairs are listed within a class, and nothing is collected but counts.
 """
 
@@ -40,8 +42,8 @@ from .components import components
 WORDS = 3
 PERCENT = 90
 TIER = 5  # one token in so many is counted over the corpus and comes first in the order
-CROWDED = 8  # buckets of at least so many classes get the overlap bound
 SKETCH = 32  # prefix tokens that tell in which of its buckets a pair is looked at
+BITS = 512  # parities of a set's tokens; they tell sets of up to about 1,000 tokens apart, longer ones meet the other bounds
 CACHE_ENTRIES = 100_000
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 SHIFT = np.uint64(29)
@@ -93,6 +95,12 @@ def in_tier(tokens: np.ndarray) -> np.ndarray:
     return tokens.view(np.uint64) % np.uint64(TIER) == 0
 
 
+def parities(tokens: np.ndarray) -> np.ndarray:
+    """``BITS`` bits as 64-bit integers: whether an odd number of tokens falls on each."""
+    odd = np.bincount((tokens.view(np.uint64) % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, n_shingles, component_id)``: one row per input row.
 
@@ -131,7 +139,7 @@ def _classes(rows: DataFrame, words: int, percent: int) -> tuple[DataFrame, Data
 
     def sets(batches):
         for b in batches:
-            n, node, toks, more = [], [], [], []
+            n, node, toks, more, bits = [], [], [], [], []
             for text in b["text"]:
                 h = shingle_hashes(text if isinstance(text, str) else None, words)
                 first = in_tier(h)
@@ -139,23 +147,24 @@ def _classes(rows: DataFrame, words: int, percent: int) -> tuple[DataFrame, Data
                 n.append(len(h))
                 node.append(xxhash.xxh64_intdigest(h.tobytes()) - (1 << 63) if len(h) else None)
                 toks.append(tier)
+                bits.append(parities(h) if len(h) else None)
                 more.append(h[~first][: max(0, p - len(tier))] if len(h) else h)
             kept = {c: b[c] for c in ("doc_id", *ROW_KEY)}
-            yield pd.DataFrame({**kept, "n": n, "node": pd.array(node, dtype="Int64"), "toks": toks, "more": more})
+            yield pd.DataFrame({**kept, "n": n, "node": pd.array(node, dtype="Int64"), "toks": toks, "more": more, "bits": bits})
 
     scratch = Scratch(rows.sparkSession)
-    schema = "doc_id bigint, " + ", ".join(f"{c} bigint" for c in ROW_KEY) + ", n bigint, node bigint, toks array<bigint>, more array<bigint>"
+    schema = "doc_id bigint, " + ", ".join(f"{c} bigint" for c in ROW_KEY) + ", n bigint, node bigint, toks array<bigint>, more array<bigint>, bits array<bigint>"
     shingles = scratch.table(map_batches(rows, sets, schema), "shingles")
     made = materialize(shingles.select("doc_id", *ROW_KEY, "n", "node"), "nodes")  # what results read
     classes = shingles.filter("node is not null").groupBy("node").agg(
-        F.first("n").alias("n"), F.first("toks").alias("toks"), F.first("more").alias("more")
+        F.first("n").alias("n"), F.first("toks").alias("toks"), F.first("more").alias("more"), F.first("bits").alias("bits")
     )
     firsts = made.filter("node is not null").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *ROW_KEY)).alias("first"))
     prefixes = scratch.table(_prefixes(shingles, classes, percent), "prefixes")
     scratch.drop("shingles")
     listed = prefixes.select("node", F.explode("prefix").alias("h"))
-    shared = listed.groupBy("h").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    buckets = scratch.table(listed.join(shared, "h"), "buckets")  # (h, node, members)
+    shared = listed.groupBy("h").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("h")
+    buckets = scratch.table(listed.join(shared, "h"), "buckets")  # (h, node)
 
     roots = _roots(rows, firsts, prefixes.drop("prefix"), buckets, words, percent, scratch)
     of_class = firsts.join(roots, "node", "left").select("node", "first", F.col("first")["doc_id"].alias("doc_id"), F.coalesce("root", "node").alias("root"))
@@ -165,7 +174,7 @@ def _classes(rows: DataFrame, words: int, percent: int) -> tuple[DataFrame, Data
 
 
 def _prefixes(made: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """``(node, n, lone, grp, prefix)``: the prefix tokens that more than one class may have."""
+    """``(node, n, lone, bits, grp, prefix)``: the prefix tokens that more than one class may have."""
     counted = made.select("node", F.explode("toks").alias("h")).groupBy("h").agg(
         F.count(F.lit(1)).alias("df"), F.min("node").alias("lo"), F.max("node").alias("hi")
     )
@@ -175,41 +184,35 @@ def _prefixes(made: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     length = F.expr(f"n - (n * {percent} + 99) div 100 + 1")  # prefix_length
     alive = classes.join(alone, "node", "left").withColumn("lone", F.coalesce("lone", F.lit(0)))
     alive = alive.withColumn("left", (length - F.col("lone")).cast("int")).filter("left > 0")
-    kept = alive.select("node", "n", "lone", "left", "more", F.explode_outer("toks").alias("h")).join(common, "h", "left")
-    ordered = kept.groupBy("node").agg(
-        *(F.first(c).alias(c) for c in ("n", "lone", "left", "more")),
-        F.sort_array(F.collect_list(F.when(F.col("df").isNotNull(), F.struct("df", "h")))).alias("toks"),
-    )
-    prefix = F.concat(F.transform(F.slice("toks", F.lit(1), F.col("left")), lambda t: t["h"]), F.col("more"))
-    return ordered.select("node", "n", "lone", prefix.alias("prefix")).withColumn("grp", F.xxhash64("n", "prefix"))
+    # tokens travel with their node alone, and only those that are common travel back
+    kept = alive.select("node", F.explode("toks").alias("h")).join(common, "h")
+    ordered = kept.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("tier"))
+    joined = alive.select("node", "n", "lone", "bits", "left", "more").join(ordered, "node", "left")
+    first = F.transform(F.slice("tier", F.lit(1), F.col("left")), lambda t: t["h"])
+    prefix = F.concat(F.coalesce(first, F.array().cast("array<bigint>")), F.col("more"))
+    return joined.select("node", "n", "lone", "bits", prefix.alias("prefix")).withColumn("grp", F.xxhash64("n", "prefix"))
 
 
 def _roots(rows: DataFrame, firsts: DataFrame, heads: DataFrame, buckets: DataFrame, words: int, percent: int, scratch: Scratch) -> DataFrame:
-    """``(node, root)`` of all classes that link with another; ``heads(node, n, lone, grp)`` describes the classes."""
+    """``(node, root)`` of all classes that link with another; ``heads(node, n, lone, bits, grp)`` describes the classes."""
     placed = buckets.groupBy("node").agg(F.slice(F.sort_array(F.collect_set("h")), 1, SKETCH).alias("sketch"))
     members = scratch.table(placed.join(heads, "node"), "members")
     scratch.drop("prefixes")
 
-    def whole(batches):
-        for b in batches:
-            yield pd.DataFrame({"node": b["node"], "tokens": [shingle_hashes(t, words) for t in b["text"]]})
-
-    # the text of one row of each class
-    wanted = firsts.join(members.select("node"), "node", "left_semi").select("node", *(F.col("first")[c].alias(c) for c in ROW_KEY))
-    texts = rows.join(wanted, list(ROW_KEY)).select("node", "text")
-    sets = scratch.table(map_batches(texts, whole, "node bigint, tokens array<bigint>"), "sets")
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
+        return _common(pairs, rows, firsts, words, scratch, name)
 
     # first step: pivots of buckets with the groups that fit, expanded to their members
     rank = F.struct("lone", "node")
     groups = members.groupBy("grp").agg(F.min(rank)["node"].alias("leader"))
     in_group = members.join(groups, "grp").select(F.col("leader").alias("a"), F.col("node").alias("b"))
-    lists = buckets.select("h", "node", "members").join(members.drop("sketch"), "node")
+    lists = buckets.join(members.drop("sketch", "bits"), "node")
     pivots = scratch.table(lists.groupBy("h").agg(F.min(rank)["node"].alias("pivot"), F.min_by("n", rank).alias("pivot_n")), "pivots")
     fits = F.least("n", "pivot_n") * 100 >= F.greatest("n", "pivot_n") * percent
     posted = lists.groupBy("h", "grp", "n").agg(F.count(F.lit(1)).alias("size"))  # a group once in a bucket
     met = posted.join(pivots, "h").filter(fits).select("grp", "pivot").distinct()
     in_bucket = met.join(members.select("grp", "node"), "grp").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-    first = scratch.table(_common(_ordered(in_group.unionByName(in_bucket)), sets), "verified")
+    first = verified(_ordered(in_group.unionByName(in_bucket)), "verified")
     links = first.filter(_linked(percent)).select("a", "b")
     roots = components(links, scratch, "first roots")
 
@@ -218,30 +221,28 @@ def _roots(rows: DataFrame, firsts: DataFrame, heads: DataFrame, buckets: DataFr
     at_pivot = roots.select(F.col("node").alias("pivot"), F.col("root").alias("pivot_root"))
     placed = placed.join(at_pivot, "pivot", "left").withColumn("pivot_root", F.coalesce("pivot_root", "pivot"))
     placed = placed.withColumns({"a": F.least("pivot", "node"), "b": F.greatest("pivot", "node")}).join(first.select("a", "b", "common"), ["a", "b"], "left")
-    inside = F.when(F.col("node") == F.col("pivot"), F.col("n")).otherwise(F.col("common"))
-    placed = placed.select("h", "members", "node", "n", "root", "pivot_root", inside.alias("inside"))
+    # what others may share of a set: all but lone tokens, inside the pivot (unknown where sizes exclude a link) or outside
+    placed = placed.withColumn("open", F.col("n") - F.col("lone"))
+    inside = F.when(F.col("node") == F.col("pivot"), F.col("open")).otherwise(F.col("common"))
+    placed = placed.select("h", "node", "n", "root", "pivot_root", "open", inside.alias("inside"))
+    placed = placed.withColumn("outside", F.col("open") - F.col("inside"))
     unsettled = placed.filter("root != pivot_root").select("h").distinct()
-    placed = scratch.table(placed.join(unsettled, "h"), "unsettled")
-    # tokens that no other class in crowded unsettled buckets has: no partner can share them
-    crowded = sets.join(placed.filter(F.col("members") >= CROWDED).select("node").distinct(), "node", "left_semi")
-    own = crowded.select("node", F.explode("tokens").alias("h")).groupBy("h").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-    own = own.filter("lo = hi").groupBy(F.col("lo").alias("node")).agg(F.count(F.lit(1)).alias("own"))
-    # tokens shared with the pivot (unknown where the sizes exclude a link), and the others that somebody else may have
-    own_here = F.when(F.col("members") >= CROWDED, F.coalesce("own", F.lit(0))).otherwise(0)
-    placed = placed.join(own, "node", "left").select("h", "node", "n", "root", "pivot_root", (F.col("n") - own_here).alias("open"), "inside")
-    placed = scratch.table(placed.withColumn("outside", F.col("open") - F.col("inside")), "placed")
-    scratch.drop("unsettled", "pivots", "first roots")
-    columns = ("node", "n", "root", "open", "inside", "outside")
+    placed = scratch.table(placed.join(unsettled, "h"), "placed")
+    scratch.drop("pivots", "first roots")
+    placed = placed.join(members.select("node", "bits"), "node")
+    columns = ("node", "n", "root", "open", "inside", "outside", "bits")
     strays = placed.filter("root != pivot_root").select("h", *(F.col(c).alias(f"s_{c}") for c in columns))
     overlap = (F.col("n") + F.col("s_n")) * percent / (100 + percent) - 1e-6
     # a common token is in the pivot and both sets, or in both but not in the pivot
     through = F.when(F.col("inside").isNotNull() & F.col("s_inside").isNotNull(), F.least("inside", "s_inside") + F.least("outside", "s_outside"))
     bound = F.least(through, "open", "s_open")  # a null is passed over
+    differing = sum(F.bit_count(F.col("bits")[i].bitwiseXOR(F.col("s_bits")[i])) for i in range(BITS // 64))
     tested = (
         (F.col("root") != F.col("s_root"))
         & ((F.col("root") == F.col("pivot_root")) | (F.col("node") > F.col("s_node")))  # two strays meet once
         & (F.least("n", "s_n") * 100 >= F.greatest("n", "s_n") * percent)
         & (bound >= overlap)
+        & ((F.col("n") + F.col("s_n") - differing) / 2 >= overlap)
     )
     met = scratch.table(strays.join(placed, "h").filter(tested).select("h", F.col("s_node").alias("a"), F.col("node").alias("b")), "met")
     scratch.drop("placed", "buckets")
@@ -251,20 +252,34 @@ def _roots(rows: DataFrame, firsts: DataFrame, heads: DataFrame, buckets: DataFr
     least = F.get(F.array_intersect("sketch_a", "sketch_b"), 0)
     second = met.join(of_a, "a").join(of_b, "b").filter(F.coalesce(least == F.col("h"), F.lit(True))).select("a", "b")
     second = _ordered(second).join(first, ["a", "b"], "left_anti")
-    more = _common(second, sets).filter(_linked(percent)).select("a", "b")
-    return components(links.unionByName(scratch.table(more, "more links")), scratch, "roots")
+    more = verified(second, "more verified").filter(_linked(percent)).select("a", "b")
+    return components(links.unionByName(more), scratch, "roots")
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _common(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Adds the sizes of the whole sets and of their intersection to ``pairs(a, b)``."""
+def _common(pairs: DataFrame, rows: DataFrame, firsts: DataFrame, words: int, scratch: Scratch, name: str) -> DataFrame:
+    """The table ``name``: ``pairs(a, b)`` with the sizes of the whole sets and of their intersection."""
+
+    def whole(batches):
+        for b in batches:
+            yield pd.DataFrame({"node": b["node"], "tokens": [shingle_hashes(t, words) for t in b["text"]]})
+
+    pairs = scratch.table(pairs, "pairs")
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    # the text of one row of each class in a pair
+    wanted = firsts.join(nodes, "node", "left_semi").select("node", *(F.col("first")[c].alias(c) for c in ROW_KEY))
+    texts = rows.join(wanted, list(ROW_KEY)).select("node", "text")
+    sets = scratch.table(map_batches(texts, whole, "node bigint, tokens array<bigint>"), "sets")
     left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
     joined = pairs.join(left, "a").join(right, "b")
-    return joined.select("a", "b", F.size("x").alias("na"), F.size("y").alias("nb"), F.size(F.array_intersect("x", "y")).alias("common"))
+    out = joined.select("a", "b", F.size("x").alias("na"), F.size("y").alias("nb"), F.size(F.array_intersect("x", "y")).alias("common"))
+    out = scratch.table(out, name)
+    scratch.drop("pairs", "sets")
+    return out
 
 
 def _linked(percent: int):
