@@ -73,13 +73,21 @@ def test_equals_brute_force(spark, seed):
     assert run(spark, rows) == brute(rows)
 
 
-def test_chain_of_links_and_second_step(spark, monkeypatch):
+def test_parities_never_exceed_the_difference():
+    rng = np.random.default_rng(3)
+    for n, extra in ((0, 1), (5, 0), (40, 3), (300, 40), (5000, 700)):
+        both = rng.integers(-(2**63), 2**63, n)
+        a, b = (np.unique(np.concatenate([both, rng.integers(-(2**63), 2**63, extra)])) for _ in range(2))
+        flips = sum(int(x).bit_count() for x in (jaccard.parities(a) ^ jaccard.parities(b)).view(np.uint64))
+        assert len(jaccard.parities(a)) * 64 == jaccard.BITS
+        assert flips <= len(np.setxor1d(a, b)) and (flips - len(np.setxor1d(a, b))) % 2 == 0
+
+
+def test_chain_of_links_and_second_step(spark):
     # b2 links with b1 only through documents that are not their bucket's pivot
     words = [f"t{i}" for i in range(400)]
     rows = [(i, " ".join(words[3 * i : 3 * i + 130])) for i in range(60)]
     assert run(spark, rows) == brute(rows)
-    monkeypatch.setattr(jaccard, "CROWDED", 2)
-    assert run(spark, rows) == brute(rows)
 
 
 def test_edge_cases(spark):
