@@ -141,6 +141,25 @@ def test_matches_greedy_with_whole_and_cut_buckets(spark, monkeypatch):
             monkeypatch.undo()
 
 
+def test_large_buckets_are_held_against_leaders_only(spark, monkeypatch):
+    """Of a bucket's undecided members only the first ones are compared with each other; leaders come out as by greedy."""
+    dealt, cells = [], dedupe._cells
+
+    def watched(members):
+        sizes = members.groupBy("bucket").count().groupBy().agg(F.max("count")).first()
+        dealt.append(sizes[0])
+        return cells(members)
+
+    for name, value in (("_cells", watched), ("BLOCK", 4), ("ASKED", 3), ("STEP", 1)):
+        monkeypatch.setattr(dedupe, name, value)
+    rows = _random_corpus(9, 120)
+    items = spark.createDataFrame(rows, "key string, text string")
+    opts = AssessOptions(ngram=3, num_perm=32, threshold=0.5)
+    sigs = {r.key: list(r.sig) for r in signatures(items, opts).collect()}
+    assert {r.key: r.leader for r in cluster_keys(items, opts).collect()} == greedy(sigs, 0.5)
+    assert dealt[0] <= 4 and all(n <= 4 << k for k, n in enumerate(dealt))
+
+
 def test_every_key_in_one_cluster(spark):
     rows = _random_corpus(7, 40)
     items = spark.createDataFrame(rows, "key string, text string")
