@@ -27,7 +27,7 @@ import re
 import zlib
 from functools import lru_cache
 from itertools import count, islice
-from operator import itemgetter
+from operator import add, itemgetter
 from struct import pack
 
 import numpy as np
@@ -125,47 +125,49 @@ class Segmenter:
     def best_two(self, text: str) -> tuple[float, float, bytes]:
         """Best score, the second path's loss (infinite if there is none) and the best path's ids.
 
-        Every other path has an edge that the best one lacks, so the second is the best
-        path through one of these: forward score, edge and backward score.
+        One forward pass holds the best two scores of every prefix: a path to a place is the
+        best or the second path to the place before, and an edge.
         """
         n = len(text)
-        best, came, took = [0.0] + [-np.inf] * n, [0] * (n + 1), [()] * (n + 1)
-        edges, table = [], self.edges
+        best, second, came = [0.0] + [-np.inf] * n, [-np.inf] * (n + 1), [0] * (n + 1)
+        get = self.edges.get
         for i in range(n):
-            here = best[i]
+            here, other = best[i], second[i]
             alone = False
             for j in range(i + 1, n + 1):
-                edge = table.get(text[i:j], 0)
+                edge = get(text[i:j], 0)
                 if edge:
-                    score = edge[1]
-                    edges.append((i, j, score))
                     alone = alone or j == i + 1
-                    if here + score > best[j]:
-                        best[j], came[j], took[j] = here + score, i, edge[:1]
+                    score = here + edge[1]
+                    if score > best[j]:
+                        best[j], second[j], came[j] = score, best[j], i
+                    elif score > second[j]:
+                        second[j] = score
+                    if other + edge[1] > second[j]:
+                        second[j] = other + edge[1]
                 elif edge == 0:
                     break
-            if not alone:
-                ids, score = self.byte_edge(text[i])
-                edges.append((i, i + 1, score))
-                if here + score > best[i + 1]:
-                    best[i + 1], came[i + 1], took[i + 1] = here + score, i, ids
-        after = [-np.inf] * n + [0.0]
-        for i, j, score in reversed(edges):  # by falling start
-            if score + after[j] > after[i]:
-                after[i] = score + after[j]
+            if not alone:  # a byte edge
+                j, cost = i + 1, self.byte_edge(text[i])[1]
+                score = here + cost
+                if score > best[j]:
+                    best[j], second[j], came[j] = score, best[j], i
+                elif score > second[j]:
+                    second[j] = score
+                if other + cost > second[j]:
+                    second[j] = other + cost
         path, at = [], n
-        start = [-1] * (n + 1)
         while at:
-            path.append(took[at])
-            start[at] = came[at]
+            edge = get(text[came[at] : at])
+            path.append(edge[:1] if edge else self.byte_edge(text[came[at]])[0])
             at = came[at]
-        second = max([best[i] + score + after[j] for i, j, score in edges if start[j] != i], default=-np.inf)
         ids = [x for p in reversed(path) for x in p]
-        return best[n], best[n] - second, pack(f"<{len(ids)}I", *ids)
+        return best[n], best[n] - second[n], pack(f"<{len(ids)}I", *ids)
 
     def unit(self, word: str) -> tuple[float, float, bytes]:
         """``best_two`` of a stretch, put together from parts that no piece spans."""
-        cuts = [0, *(k for k in range(1, len(word)) if word[k - 1 : k + 1] not in self.beside), len(word)]
+        beside = self.beside
+        cuts = [0, *(k for k, two in enumerate(map(add, word, word[1:]), 1) if two not in beside), len(word)]
         found = []
         for a, b in zip(cuts, cuts[1:]):
             part = word[a:b]
@@ -174,7 +176,8 @@ class Segmenter:
             found.append(two)
         if len(found) == 1:
             return found[0]
-        return sum(f[0] for f in found), min(f[1] for f in found), b"".join(f[2] for f in found)
+        scores, losses, ids = zip(*found)
+        return sum(scores), min(losses), b"".join(ids)
 
     def losses(self, word: str, n: int) -> list[tuple[float, bytes]]:
         """``(loss against the best, ids)`` of up to ``n`` paths of a stretch after the best."""

@@ -63,6 +63,17 @@ def test_random_texts(seg):
         assert [p[0] for p in seg.n_best(text, 6)] == [p[0] for p in enumerate_all(seg, text)[:6]]
 
 
+def test_best_two_of_a_stretch(seg):
+    """The best score, the second path's loss and the ids, as all paths give them; equal scores lose nothing."""
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        word = "".join(rng.choice(list("theanio.é日"), rng.integers(1, 8)))
+        want = enumerate_all(seg, word)
+        score, loss, raw = seg.best_two(pieces.MARK + word)
+        assert score == want[0][0] and as_ids(raw) in {ids for s, ids in want if s == score}
+        assert loss == (want[0][0] - want[1][0] if len(want) > 1 else np.inf)
+
+
 @pytest.mark.parametrize("text", ["#" * 20_000, "-" * 20_000, " " * 20_000, "a" * 20_000, "=" * 20_000, "#-" * 5000, "ha" * 400 + "!" * 700, "x" + " " * 3000 + "y", "\n" * 5000])
 def test_repeated_characters_end(seg, text):
     start = time.process_time()
