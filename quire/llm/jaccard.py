@@ -244,14 +244,16 @@ def _roots(rows: DataFrame, firsts: DataFrame, heads: DataFrame, buckets: DataFr
         & (bound >= overlap)
         & ((F.col("n") + F.col("s_n") - differing) / 2 >= overlap)
     )
-    met = scratch.table(strays.join(placed, "h").filter(tested).select("h", F.col("s_node").alias("a"), F.col("node").alias("b")), "met")
+    # near copies meet in many buckets: a pair travels on once, with the buckets that it passed in
+    met = strays.join(placed, "h").filter(tested).select("h", F.least("s_node", "node").alias("a"), F.greatest("s_node", "node").alias("b"))
+    met = scratch.table(met.groupBy("a", "b").agg(F.collect_set("h").alias("hs")), "met")
     scratch.drop("placed", "buckets")
     # the least common token of two sketches is that of the prefixes: only its bucket shows the pair
     # (bounds hold in every bucket; where the sketches have nothing in common, every bucket does)
     of_a, of_b = (members.select(F.col("node").alias(side), F.col("sketch").alias(f"sketch_{side}")) for side in ("a", "b"))
     least = F.get(F.array_intersect("sketch_a", "sketch_b"), 0)
-    second = met.join(of_a, "a").join(of_b, "b").filter(F.coalesce(least == F.col("h"), F.lit(True))).select("a", "b")
-    second = _ordered(second).join(first, ["a", "b"], "left_anti")
+    second = met.join(of_a, "a").join(of_b, "b").filter(F.coalesce(F.array_contains("hs", least), F.lit(True))).select("a", "b")
+    second = second.join(first, ["a", "b"], "left_anti")
     more = verified(second, "more verified").filter(_linked(percent)).select("a", "b")
     return components(links.unionByName(more), scratch, "roots")
 
