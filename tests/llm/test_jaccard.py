@@ -57,6 +57,23 @@ def family(rng, base, copies, edits, words):
         yield " ".join(text)
 
 
+def test_pairs_of_many_buckets_travel_once(spark, monkeypatch):
+    """Near copies that share many buckets: each pair is one row of the second step."""
+    rng, met, table = np.random.default_rng(8), [], Scratch.table
+
+    def watched(self, df, name):
+        out = table(self, df, name)
+        if name == "met":
+            met.append((out.count(), out.select(F.least("a", "b"), F.greatest("a", "b")).distinct().count()))
+        return out
+
+    monkeypatch.setattr(Scratch, "table", watched)
+    words = [f"w{i}" for i in range(400)]
+    texts = list(enumerate(family(rng, rng.choice(words, 150), 80, 8, words)))
+    assert run(spark, texts, percent=80) == brute(texts, 80)
+    assert met[0][0] == met[0][1] > 0
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_equals_brute_force(spark, seed):
     rng = np.random.default_rng(seed)
