@@ -26,6 +26,7 @@ IMAGE_WITHOUT_ALT = r"!\[[ \t]*\]\("
 BLOCK_BEHIND_TEXT = r"(?imd)^[^\n<]*[^\s<][^\n<]*<(?:div|table|p|ul|ol|pre|blockquote|h[1-6])\b"
 LINK = r"(?<!!)\[[^\[\]\n]*\]\(([^()\s]+)"
 SCHEME = r"\A(?:[A-Za-z][A-Za-z0-9+.-]*:|//)"
+TASKS = 200  # of a shuffle, at least; Spark would join its small compressed parts to a few large tasks
 FIELDS = ("lists_depth_ok", "images_with_alt", "deep_nesting", "unresolved_anchors", "mixed_inline_blocks")
 
 
@@ -44,6 +45,11 @@ def list_depth(text: Column) -> Column:
     return F.aggregate(marks, start, step, lambda s: s["deepest"])
 
 
+def _dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt out by ``keys`` over a number of tasks that is not reduced, so that none sorts much."""
+    return df.repartition(max(TASKS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), *keys)
+
+
 def slug(title: Column) -> Column:
     """The anchor of a heading: lower case, blanks as hyphens, without other marks."""
     return F.replace(F.regexp_replace(F.lower(title), rf"[^ \-{WORD[1:-1]}]", ""), F.lit(" "), F.lit("-"))
@@ -54,7 +60,7 @@ def anchors(documents: DataFrame) -> DataFrame:
     heads = documents.select("path", F.posexplode_outer(F.filter("section_list", lambda s: s["level"] > 0)).alias("k", "s")).filter("k is not null")
     of_slug = Window.partitionBy("path", "slug").orderBy("k")
     again = F.row_number().over(of_slug) - 1
-    named = heads.select("path", "k", slug(F.col("s.title")).alias("slug")).withColumn("again", again)
+    named = _dealt(heads.select("path", "k", slug(F.col("s.title")).alias("slug")), "path").withColumn("again", again)
     return named.select("path", F.when(F.col("again") > 0, F.concat_ws("-", "slug", F.col("again").cast("string"))).otherwise(F.col("slug")).alias("anchor"))
 
 
@@ -73,12 +79,14 @@ def _resolved(path: Column, target: Column) -> Column:
 def unresolved(documents: DataFrame) -> DataFrame:
     """``(path)`` of the documents with a relative link that leads to no document or no heading."""
     links = documents.select("path", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(LINK), 1))).alias("link")).filter(~F.col("link").rlike(SCHEME))
-    file, place = F.substring_index("link", "#", 1), F.regexp_extract("link", "#(.*)", 1)
-    asked = links.select("path", _resolved(F.col("path"), file).alias("target"), F.lower(place).alias("anchor"))
+    file, anchor = F.substring_index("link", "#", 1), F.regexp_extract("link", "#(.*)", 1)
+    asked = links.select("path", _resolved(F.col("path"), file).alias("target"), F.lower(anchor).alias("anchor"))
     # a document itself is the anchor without a name
     known = anchors(documents).unionByName(documents.select("path", F.lit("").alias("anchor")))
-    known = known.select(F.col("path").alias("target"), "anchor").distinct()
-    return asked.join(known, ["target", "anchor"], "left_anti").select("path").distinct()
+    known = known.select(F.col("path").alias("target"), "anchor")
+    place = ("target", "anchor")
+    lost = _dealt(asked, *place).join(_dealt(known, *place), list(place), "left_anti").select("path")
+    return _dealt(lost, "path").distinct()
 
 
 def measured(assessed: DataFrame, opts: AssessOptions = AssessOptions()) -> DataFrame:
@@ -86,16 +94,12 @@ def measured(assessed: DataFrame, opts: AssessOptions = AssessOptions()) -> Data
     documents = assessed.filter(F.col("fmt") == "md").select("path", F.coalesce("text", F.lit("")).alias("text"), "section_list")
     lost = unresolved(documents).withColumn("__lost", F.lit(True))
     text = F.coalesce("text", F.lit(""))
-    values = {
-        "images_with_alt": ~text.rlike(IMAGE_WITHOUT_ALT), "mixed_inline_blocks": text.rlike(BLOCK_BEHIND_TEXT),
-        "unresolved_anchors": F.coalesce("__lost", F.lit(False)),
-    }
-    joined = assessed.join(lost, "path", "left")
     is_md = F.col("fmt") == "md"
     fields = lambda d: F.col("metrics").withField("lists_depth_ok", d <= LIST_DEPTH_OK).withField("deep_nesting", d > DEEP)
-    metrics = let(list_depth(text), fields)
-    for name, value in values.items():
-        metrics = metrics.withField(name, value)
+    metrics = let(list_depth(text), fields).withField("images_with_alt", ~text.rlike(IMAGE_WITHOUT_ALT)).withField("mixed_inline_blocks", text.rlike(BLOCK_BEHIND_TEXT))
+    # measured before the join, which then need not carry the texts
+    joined = assessed.withColumn("metrics", F.when(is_md, metrics).otherwise(F.col("metrics"))).join(lost, "path", "left")
+    metrics = F.col("metrics").withField("unresolved_anchors", F.coalesce("__lost", F.lit(False)))
     staged = joined.withColumn("metrics", F.when(is_md, metrics).otherwise(F.col("metrics"))).drop("__lost")
     return staged.withColumns({
         "topicization_readiness": F.when(is_md, readiness_score(F.col("metrics"), opts)).otherwise(F.col("topicization_readiness")),

@@ -34,3 +34,16 @@ def test_anchors_are_resolved_across_documents(spark):
     before = {r.path: r for r in assessed.collect()}
     assert not any(r.metrics.unresolved_anchors for r in before.values()) and before["d/h.html"].metrics == out["d/h.html"].metrics
     assert measured(assessed.limit(0)).collect() == []
+
+
+def test_anchors_are_shared_by_many_tasks_and_the_join_carries_no_texts(spark):
+    corpus = spark.createDataFrame([(f"d/{k}.md", f"# A\n\n[x](#a) [y](#b{k})") for k in range(50)], "path string, text string")
+    assessed = assess_documents(corpus)
+    md = assessed.filter("fmt = 'md'").select("path", F.coalesce("text", F.lit("")).alias("text"), "section_list")
+    lost = unresolved(md)
+    assert len(lost.collect()) == 50 and lost.rdd.getNumPartitions() >= 200
+    plan = measured(assessed).select("path", "metrics")._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() != "Join":
+        plan = plan.children().head()
+    carried = plan.children().head().output().mkString(",")
+    assert "metrics" in carried and "text" not in carried
