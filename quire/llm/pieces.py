@@ -61,6 +61,16 @@ class Segmenter:
                 beside.add(piece[k - 1 : k + 1])
             self.edges[piece] = (i, model.get_score(i))
         self.beside = beside
+        # the pieces from their ends as a tree: character -> [score if a piece begins there, the characters before]
+        self.endings: dict[str, list] = {}
+        for piece, edge in self.edges.items():
+            if edge:
+                below = self.endings
+                for char in reversed(piece):
+                    step = below.setdefault(char, [None, {}])
+                    below = step[1]
+                step[0] = edge[1]
+        self.packed = {piece: pack("<I", edge[0]) for piece, edge in self.edges.items() if edge}
         scores = [s[1] for s in self.edges.values() if s and s[1] > -1e8]  # runs of blanks are marked by a huge penalty
         self.byte_score = min(scores) - BYTE_PENALTY
         self.bytes = {int(model.id_to_piece(i)[3:5], 16): i for i in range(n) if model.is_byte(i)}
@@ -126,48 +136,49 @@ class Segmenter:
         """Best score, the second path's loss (infinite if there is none) and the best path's ids.
 
         One forward pass holds the best two scores of every prefix: a path to a place is the
-        best or the second path to the place before, and an edge.
+        best or the second path to the place before, and an edge.  Of equal scores the
+        longer last piece counts as the best.
         """
-        n = len(text)
-        best, second, came = [0.0] + [-np.inf] * n, [-np.inf] * (n + 1), [0] * (n + 1)
-        get = self.edges.get
-        for i in range(n):
-            here, other = best[i], second[i]
-            alone = False
-            for j in range(i + 1, n + 1):
-                edge = get(text[i:j], 0)
-                if edge:
-                    alone = alone or j == i + 1
-                    score = here + edge[1]
-                    if score > best[j]:
-                        best[j], second[j], came[j] = score, best[j], i
-                    elif score > second[j]:
-                        second[j] = score
-                    if other + edge[1] > second[j]:
-                        second[j] = other + edge[1]
-                elif edge == 0:
+        n, back = len(text), text[::-1]
+        best, second, came = [0.0], [-np.inf], [0]
+        packed, endings = self.packed, self.endings
+        for j in range(1, n + 1):
+            first = other = -np.inf
+            i, start, below = j, 0, endings
+            if text[j - 1] not in packed:  # a byte edge
+                start, cost = j - 1, self.byte_edge(text[j - 1])[1]
+                first, other = best[start] + cost, second[start] + cost
+            for char in back[n - j :]:
+                step = below.get(char)
+                if step is None:
                     break
-            if not alone:  # a byte edge
-                j, cost = i + 1, self.byte_edge(text[i])[1]
-                score = here + cost
-                if score > best[j]:
-                    best[j], second[j], came[j] = score, best[j], i
-                elif score > second[j]:
-                    second[j] = score
-                if other + cost > second[j]:
-                    second[j] = other + cost
+                i -= 1
+                cost, below = step
+                if cost is not None:
+                    score = best[i] + cost
+                    if score >= first:
+                        first, other, start = score, first, i
+                    elif score > other:
+                        other = score
+                    score = second[i] + cost
+                    if score > other:
+                        other = score
+            best.append(first)
+            second.append(other)
+            came.append(start)
         path, at = [], n
         while at:
-            edge = get(text[came[at] : at])
-            path.append(edge[:1] if edge else self.byte_edge(text[came[at]])[0])
-            at = came[at]
-        ids = [x for p in reversed(path) for x in p]
-        return best[n], best[n] - second[n], pack(f"<{len(ids)}I", *ids)
+            start = came[at]
+            ids = packed.get(text[start:at])
+            path.append(ids if ids is not None else b"".join(pack("<I", x) for x in self.byte_edge(text[start])[0]))
+            at = start
+        return best[n], best[n] - second[n], b"".join(reversed(path))
 
     def unit(self, word: str) -> tuple[float, float, bytes]:
         """``best_two`` of a stretch, put together from parts that no piece spans."""
         beside = self.beside
-        cuts = [0, *(k for k, two in enumerate(map(add, word, word[1:]), 1) if two not in beside), len(word)]
+        whole = beside.issuperset(map(add, word, word[1:]))
+        cuts = [0, len(word)] if whole else [0, *[k for k, two in enumerate(map(add, word, word[1:]), 1) if two not in beside], len(word)]
         found = []
         for a, b in zip(cuts, cuts[1:]):
             part = word[a:b]

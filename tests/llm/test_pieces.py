@@ -104,3 +104,23 @@ def test_query(spark, tmp_path):
     assert [r.doc_id for r in got] == [None, 0, 1, 3, 4, 5]
     assert [r.round_trip for r in got] == [True, True, True, True, True, False]
     assert got[0].paths == got[3].paths and got[1].n_paths == 0 and got[1].paths == "" and got[4].n_paths == 4
+
+
+def test_forward_pass_gives_the_first_two_paths_of_the_search():
+    """Best score, loss of the second and ids as the A-star search finds them, for pieces, byte edges and blanks."""
+    import random
+
+    import numpy as np
+    import public_tokenizers
+
+    from quire.llm.pieces import MARK, segmenter
+
+    s, rng = segmenter(public_tokenizers.path("piece_bpe_32k.model")), random.Random(7)
+    for _ in range(300):
+        text = MARK + "".join(rng.choice("abcdinotes" + MARK + "é漢\U0001f600\x00") for _ in range(rng.randrange(0, 14)))
+        paths = s.paths(text)
+        first, then = next(paths), next(paths, None)
+        best, loss, ids = s.best_two(text)
+        assert abs(best - first[0]) < 1e-6 and len(ids) % 4 == 0
+        assert s.decode(ids) == text.replace(MARK, " ").removeprefix(" ")
+        assert loss == np.inf if then is None else abs(loss - (first[0] - then[0])) < 1e-6
