@@ -10,12 +10,14 @@ The links are found by a grouped prefix join:
     the corpus.  A token of one class alone cannot be shared: a class whose prefix
     consists of such tokens is done.
 3.  Classes of the same prefix and size are collapsed into one group.
-4.  Candidates are found and verified in two steps, as only components are wanted.  First
+4.  Candidates are found and verified in steps, as only components are wanted.  First
     every group's leader is held against its members, and every prefix token's pivot
     against the groups in its bucket that pass the size filter, expanded to their
     members: a linear number of pairs, which joins most families of near copies.  Then
-    those members that are not connected with their bucket's pivot are held against all
-    members of other components that pass the size filter and the overlap bound.  That
+    those members that are not connected with their bucket's pivot are held against the
+    first ``PIVOTS`` of them and of the others in the bucket, and those that this leaves
+    against all members of other components, if a pair passes the size filter and the
+    overlap bound.  A pair is looked at in one of its buckets.  That
     bound counts what either set shares with the pivot and what else of it another set
     may have (counted tokens of one class alone cannot be shared), and in what bits the
     parities of the sets' tokens differ (a token in one set alone flips one bit, so sets
@@ -33,7 +35,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import ROW_KEY, Scratch, keyed_rows, map_batches, materialize
@@ -42,6 +44,7 @@ from .components import components
 WORDS = 3
 PERCENT = 90
 TIER = 5  # one token in so many is counted over the corpus and comes first in the order
+PIVOTS = 8  # members of a bucket, connected with its pivot and not, that what is not connected is held against before all others
 SKETCH = 32  # prefix tokens that tell in which of its buckets a pair is looked at
 BITS = 512  # parities of a set's tokens; they tell sets of up to about 1,000 tokens apart, longer ones meet the other bounds
 CACHE_ENTRIES = 100_000
@@ -216,22 +219,55 @@ def _roots(rows: DataFrame, firsts: DataFrame, heads: DataFrame, buckets: DataFr
     links = first.filter(_linked(percent)).select("a", "b")
     roots = components(links, scratch, "first roots")
 
-    # second step: what is not connected with its pivot, against other components of the bucket
-    placed = lists.join(pivots, "h").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    at_pivot = roots.select(F.col("node").alias("pivot"), F.col("root").alias("pivot_root"))
-    placed = placed.join(at_pivot, "pivot", "left").withColumn("pivot_root", F.coalesce("pivot_root", "pivot"))
-    placed = placed.withColumns({"a": F.least("pivot", "node"), "b": F.greatest("pivot", "node")}).join(first.select("a", "b", "common"), ["a", "b"], "left")
     # what others may share of a set: all but lone tokens, inside the pivot (unknown where sizes exclude a link) or outside
+    placed = lists.join(pivots, "h")
+    placed = placed.withColumns({"a": F.least("pivot", "node"), "b": F.greatest("pivot", "node")}).join(first.select("a", "b", "common"), ["a", "b"], "left")
     placed = placed.withColumn("open", F.col("n") - F.col("lone"))
     inside = F.when(F.col("node") == F.col("pivot"), F.col("open")).otherwise(F.col("common"))
-    placed = placed.select("h", "node", "n", "root", "pivot_root", "open", inside.alias("inside"))
+    placed = placed.select("h", "pivot", "node", "n", "lone", "open", inside.alias("inside"))
     placed = placed.withColumn("outside", F.col("open") - F.col("inside"))
-    unsettled = placed.filter("root != pivot_root").select("h").distinct()
-    placed = scratch.table(placed.join(unsettled, "h"), "placed")
+
+    # second step: what is not connected with its pivot, against the first such members of the bucket, and the first others
+    placed = scratch.table(_unsettled(placed, roots), "placed")
     scratch.drop("pivots", "first roots")
-    placed = placed.join(members.select("node", "bits"), "node")
-    columns = ("node", "n", "root", "open", "inside", "outside", "bits")
-    strays = placed.filter("root != pivot_root").select("h", *(F.col(c).alias(f"s_{c}") for c in columns))
+    place = F.row_number().over(Window.partitionBy("h", F.col("root") != F.col("pivot_root")).orderBy("lone", "node"))
+    near = placed.withColumn("place", place).filter(F.col("place") <= PIVOTS).drop("place")
+    met = scratch.table(_met(placed, near, members, percent, False), "met")
+    second = verified(met.join(first, ["a", "b"], "left_anti"), "more verified")
+    links = links.unionByName(second.filter(_linked(percent)).select("a", "b"))
+    roots = components(links, scratch, "second roots")
+    # third step: what is still not connected, against all other components of the bucket
+    left = scratch.table(_unsettled(placed.drop("root", "pivot_root"), roots), "left")
+    scratch.drop("placed", "second roots", "buckets")
+    met = scratch.table(_met(left, left, members, percent, True), "last met")
+    scratch.drop("left")
+    done = first.select("a", "b").unionByName(second.select("a", "b"))
+    more = verified(met.join(done, ["a", "b"], "left_anti"), "last verified").filter(_linked(percent)).select("a", "b")
+    return components(links.unionByName(more), scratch, "roots")
+
+
+def _unsettled(placed: DataFrame, roots: DataFrame) -> DataFrame:
+    """``placed(h, pivot, node, ...)`` with ``root`` and ``pivot_root``, of the buckets that hold what is not connected with their pivot."""
+    placed = placed.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    at_pivot = roots.select(F.col("node").alias("pivot"), F.col("root").alias("pivot_root"))
+    placed = placed.join(at_pivot, "pivot", "left").withColumn("pivot_root", F.coalesce("pivot_root", "pivot"))
+    return placed.join(placed.filter("root != pivot_root").select("h").distinct(), "h")
+
+
+def _met(placed: DataFrame, others: DataFrame, members: DataFrame, percent: int, once: bool) -> DataFrame:
+    """Distinct ``(a, b)``: what is not connected with its pivot and those ``others`` of its bucket that pass all bounds.
+
+    A pair is looked at in the bucket of the least common token of its sketches, which is that of the prefixes (bounds
+    hold in every bucket; where the sketches have nothing in common, every bucket shows the pair).  ``once``: two such
+    members of a bucket are among each other's ``others`` and need to meet from one side alone.
+    """
+    columns = ("node", "n", "root", "open", "inside", "outside", "bits", "before")
+
+    def described(rows: DataFrame) -> DataFrame:
+        before = F.filter("sketch", lambda t: t < F.col("h"))
+        return rows.join(members.select("node", "bits", "sketch"), "node").withColumn("before", before).drop("sketch")
+
+    strays = described(placed.filter("root != pivot_root")).select("h", *(F.col(c).alias(f"s_{c}") for c in columns))
     overlap = (F.col("n") + F.col("s_n")) * percent / (100 + percent) - 1e-6
     # a common token is in the pivot and both sets, or in both but not in the pivot
     through = F.when(F.col("inside").isNotNull() & F.col("s_inside").isNotNull(), F.least("inside", "s_inside") + F.least("outside", "s_outside"))
@@ -239,23 +275,15 @@ def _roots(rows: DataFrame, firsts: DataFrame, heads: DataFrame, buckets: DataFr
     differing = sum(F.bit_count(F.col("bits")[i].bitwiseXOR(F.col("s_bits")[i])) for i in range(BITS // 64))
     tested = (
         (F.col("root") != F.col("s_root"))
-        & ((F.col("root") == F.col("pivot_root")) | (F.col("node") > F.col("s_node")))  # two strays meet once
         & (F.least("n", "s_n") * 100 >= F.greatest("n", "s_n") * percent)
         & (bound >= overlap)
         & ((F.col("n") + F.col("s_n") - differing) / 2 >= overlap)
+        & ~F.arrays_overlap("before", "s_before")
     )
-    # near copies meet in many buckets: a pair travels on once, with the buckets that it passed in
-    met = strays.join(placed, "h").filter(tested).select("h", F.least("s_node", "node").alias("a"), F.greatest("s_node", "node").alias("b"))
-    met = scratch.table(met.groupBy("a", "b").agg(F.collect_set("h").alias("hs")), "met")
-    scratch.drop("placed", "buckets")
-    # the least common token of two sketches is that of the prefixes: only its bucket shows the pair
-    # (bounds hold in every bucket; where the sketches have nothing in common, every bucket does)
-    of_a, of_b = (members.select(F.col("node").alias(side), F.col("sketch").alias(f"sketch_{side}")) for side in ("a", "b"))
-    least = F.get(F.array_intersect("sketch_a", "sketch_b"), 0)
-    second = met.join(of_a, "a").join(of_b, "b").filter(F.coalesce(F.array_contains("hs", least), F.lit(True))).select("a", "b")
-    second = second.join(first, ["a", "b"], "left_anti")
-    more = verified(second, "more verified").filter(_linked(percent)).select("a", "b")
-    return components(links.unionByName(more), scratch, "roots")
+    if once:
+        tested = ((F.col("root") == F.col("pivot_root")) | (F.col("node") > F.col("s_node"))) & tested
+    met = strays.join(described(others), "h").filter(tested)
+    return met.select(F.least("s_node", "node").alias("a"), F.greatest("s_node", "node").alias("b")).distinct()
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:

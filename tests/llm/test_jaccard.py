@@ -74,6 +74,26 @@ def test_pairs_of_many_buckets_travel_once(spark, monkeypatch):
     assert met[0][0] == met[0][1] > 0
 
 
+def test_a_pair_is_made_in_one_bucket(spark, monkeypatch):
+    """The join on buckets makes a row for a pair, not one for each bucket that both are in."""
+    rng, made, table = np.random.default_rng(8), [], Scratch.table
+
+    def watched(self, df, name):
+        if name in ("met", "last met"):
+            # the rows below the step that leaves distinct ones
+            distinct = df._jdf.queryExecution().analyzed()
+            assert distinct.nodeName() in ("Distinct", "Deduplicate")
+            below = spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, distinct.child())
+            made.append((below.count(), df.count()))
+        return table(self, df, name)
+
+    monkeypatch.setattr(Scratch, "table", watched)
+    words = [f"w{i}" for i in range(400)]
+    texts = list(enumerate(family(rng, rng.choice(words, 150), 80, 8, words)))
+    assert run(spark, texts, percent=80) == brute(texts, 80)
+    assert sum(rows for rows, _ in made) <= 2 * sum(pairs for _, pairs in made)
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_equals_brute_force(spark, seed):
     rng = np.random.default_rng(seed)
