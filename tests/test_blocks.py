@@ -8,7 +8,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from quire.functions.entities import html_unescape
+from quire.functions.regex import WORDS
+from quire.functions.text import OTHER_BREAKS, plain, token_count, tokens_lower
+from quire.operators.blocks import CONTROL
 from quire.operators.convert import html_article, markdown_article
+from quire.operators.features import verb_hits
+from quire.options import TASK_KEYWORDS
 
 MARKDOWN = [
     ("", ""), (None, ""), ("plain", "<para>plain</para>"),
@@ -87,3 +92,26 @@ def test_references_equal_python(spark):
     for t, u in zip(texts, got, strict=True):
         want = html.unescape(t)
         assert u == want or (t == "&#1114111;" and u == "\U0010ffff"), t
+
+
+def test_checks_before_costly_patterns_change_nothing(spark):
+    """Each check that spares a pattern, on texts that pass it, fail it or nearly do."""
+    parts = ["a", "Set", "\u017felect", "CL\u0130CK", "\u212aey", "click", "run", " ", "\t", "\n", "\n\n", "\n \n", "\r\n", "\x0b", "\x85", "\u2028", "\x01", "---\n", "===", "|", "--- | ---\n", "é", "_", "*", "&", "<http", "7"]
+    rng = random.Random(4)
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(12))) for _ in range(400)]
+    t = F.col("t")
+    exact = F.regexp_count(t, F.lit(WORDS)).cast("bigint")
+    verbs = r"(?iu)(?<![\p{L}\p{N}_])(?:click|open|press|run|select|type)(?![\p{L}\p{N}_])"
+    rows = spark.createDataFrame([(x,) for x in texts], "t string").select(
+        "t", token_count(t).alias("n"), exact.alias("n_exact"), verb_hits(t, TASK_KEYWORDS).alias("v"), F.regexp_count(t, F.lit(verbs)).alias("v_exact"),
+        t.rlike(OTHER_BREAKS + "|" + CONTROL).alias("odd"), plain(t).alias("plain"), tokens_lower(t).alias("low"),
+    ).collect()
+    for r in rows:
+        assert (r.n, r.v) == (r.n_exact, r.v_exact) and len(r.low) == r.n, r
+        assert not (r.odd and r.plain) and r.plain == all(x in "\t\n" or " " <= x <= "~" for x in r.t), r
+
+
+def test_prose_is_searched_once_for_other_breaks(spark):
+    """The text of a plain document is bound before it is searched: no copy of the search in each use of the text."""
+    plan = spark.createDataFrame([("a",)], "t string").select(markdown_article(F.col("t")).alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(OTHER_BREAKS) <= 1
