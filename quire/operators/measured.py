@@ -85,7 +85,8 @@ def unresolved(documents: DataFrame) -> DataFrame:
     known = anchors(documents).unionByName(documents.select("path", F.lit("").alias("anchor")))
     known = known.select(F.col("path").alias("target"), "anchor")
     place = ("target", "anchor")
-    lost = _dealt(asked, *place).join(_dealt(known, *place), list(place), "left_anti").select("path")
+    # merged: the estimate for a small file of long texts would have all anchors sent to every task
+    lost = _dealt(asked, *place).join(_dealt(known, *place).hint("merge"), list(place), "left_anti").select("path")
     return _dealt(lost, "path").distinct()
 
 
@@ -98,7 +99,7 @@ def measured(assessed: DataFrame, opts: AssessOptions = AssessOptions()) -> Data
     fields = lambda d: F.col("metrics").withField("lists_depth_ok", d <= LIST_DEPTH_OK).withField("deep_nesting", d > DEEP)
     metrics = let(list_depth(text), fields).withField("images_with_alt", ~text.rlike(IMAGE_WITHOUT_ALT)).withField("mixed_inline_blocks", text.rlike(BLOCK_BEHIND_TEXT))
     # measured before the join, which then need not carry the texts
-    joined = assessed.withColumn("metrics", F.when(is_md, metrics).otherwise(F.col("metrics"))).join(lost, "path", "left")
+    joined = assessed.withColumn("metrics", F.when(is_md, metrics).otherwise(F.col("metrics"))).join(lost.hint("merge"), "path", "left")
     metrics = F.col("metrics").withField("unresolved_anchors", F.coalesce("__lost", F.lit(False)))
     staged = joined.withColumn("metrics", F.when(is_md, metrics).otherwise(F.col("metrics"))).drop("__lost")
     return staged.withColumns({

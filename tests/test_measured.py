@@ -47,3 +47,12 @@ def test_anchors_are_shared_by_many_tasks_and_the_join_carries_no_texts(spark):
         plan = plan.children().head()
     carried = plan.children().head().output().mkString(",")
     assert "metrics" in carried and "text" not in carried
+
+
+def test_anchors_are_not_sent_whole_to_every_task(spark, tmp_path):
+    """However small the planner takes the documents to be (by their file), their anchors are merged, not broadcast."""
+    spark.createDataFrame([("d/a.md", "# A\n\n[x](#a) [y](#b)"), ("d/b.md", "[z](a.md#a)")], "path string, text string").write.parquet(f"{tmp_path}/corpus")
+    assessed = assess_documents(spark.read.parquet(f"{tmp_path}/corpus"))
+    out = measured(assessed).select("path", "metrics.unresolved_anchors")
+    assert "Broadcast" not in out._jdf.queryExecution().sparkPlan().toString()
+    assert {tuple(r) for r in out.collect()} == {("d/a.md", True), ("d/b.md", False)}
