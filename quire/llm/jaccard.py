@@ -4,10 +4,10 @@ Two documents link when the Jaccard similarity of their shingle sets reaches a p
 The links are found by a grouped prefix join:
 
 1.  Documents with equal sets form a class; one set stands for it.
-2.  Tokens (64-bit shingle hashes) have one global order: a fixed fifth of all tokens
+2.  Tokens (64-bit shingle hashes) have one global order: a fixed share of all tokens
     first, rare ones before frequent ones, then the others by hash.  Linked sets share a
-    token among the first ``n - ceil(t n) + 1`` of either.  Only the fifth is counted over
-    the corpus.  A token of one class alone cannot be shared: a class whose prefix
+    token among the first ``n - ceil(t n) + 1`` of either.  Only the share is counted over
+    the corpus, a slice of the hashes at a time.  A token of one class alone cannot be shared: a class whose prefix
     consists of such tokens is done.
 3.  Classes of the same prefix and size are collapsed into one group.
 4.  Candidates are found and verified in steps, as only components are wanted.  First
@@ -30,7 +30,7 @@ folder; no pairs are listed within a class, and nothing is collected but counts.
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pandas as pd
@@ -43,10 +43,12 @@ from .components import components
 
 WORDS = 3
 PERCENT = 90
-TIER = 5  # one token in so many is counted over the corpus and comes first in the order
+TIER = 5  # one token in so many, or more (see ``tier``), is counted over the corpus and comes first in the order
 PIVOTS = 8  # members of a bucket, connected with its pivot and not, that what is not connected is held against before all others
 SKETCH = 32  # prefix tokens that tell in which of its buckets a pair is looked at
 BITS = 512  # parities of a set's tokens; they tell sets of up to about 1,000 tokens apart, longer ones meet the other bounds
+SLICES, TEXT_SLICES = 8, 4  # what travels whole, tokens by hash and texts by row, goes in so many slices, whose shuffle files never lie together
+SLICE_BYTES = 16 << 20  # by the planner's statistics; a smaller table needs fewer slices
 CACHE_ENTRIES = 100_000
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 SHIFT = np.uint64(29)
@@ -94,8 +96,17 @@ def prefix_length(n, percent: int):
     return n - (n * percent + 99) // 100 + 1
 
 
-def in_tier(tokens: np.ndarray) -> np.ndarray:
-    return tokens.view(np.uint64) % np.uint64(TIER) == 0
+def tier(percent: int) -> int:
+    """One token in how many is counted: half as many again as a prefix holds.
+
+    What is not counted is in a prefix only where a set has too few counted tokens.  Nothing tells there
+    what is frequent, so that a common line would gather all such sets in one bucket.
+    """
+    return max(1, min(TIER, 200 // (3 * max(1, 100 - percent))))
+
+
+def in_tier(tokens: np.ndarray, one_in: int) -> np.ndarray:
+    return tokens.view(np.uint64) % np.uint64(one_in) == 0
 
 
 def parities(tokens: np.ndarray) -> np.ndarray:
@@ -140,18 +151,20 @@ def _classes(rows: DataFrame, words: int, percent: int) -> tuple[DataFrame, Data
     ``first``: the null flag, id and key of the class's first row.
     """
 
+    one_in = tier(percent)
+
     def sets(batches):
         for b in batches:
             n, node, toks, more, bits = [], [], [], [], []
             for text in b["text"]:
                 h = shingle_hashes(text if isinstance(text, str) else None, words)
-                first = in_tier(h)
-                tier, p = h[first], prefix_length(len(h), percent)
+                first = in_tier(h, one_in)
+                counted, p = h[first], prefix_length(len(h), percent)
                 n.append(len(h))
                 node.append(xxhash.xxh64_intdigest(h.tobytes()) - (1 << 63) if len(h) else None)
-                toks.append(tier)
+                toks.append(counted)
                 bits.append(parities(h) if len(h) else None)
-                more.append(h[~first][: max(0, p - len(tier))] if len(h) else h)
+                more.append(h[~first][: max(0, p - len(counted))] if len(h) else h)
             kept = {c: b[c] for c in ("doc_id", *ROW_KEY)}
             yield pd.DataFrame({**kept, "n": n, "node": pd.array(node, dtype="Int64"), "toks": toks, "more": more, "bits": bits})
 
@@ -159,12 +172,10 @@ def _classes(rows: DataFrame, words: int, percent: int) -> tuple[DataFrame, Data
     schema = "doc_id bigint, " + ", ".join(f"{c} bigint" for c in ROW_KEY) + ", n bigint, node bigint, toks array<bigint>, more array<bigint>, bits array<bigint>"
     shingles = scratch.table(map_batches(rows, sets, schema), "shingles")
     made = materialize(shingles.select("doc_id", *ROW_KEY, "n", "node"), "nodes")  # what results read
-    classes = shingles.filter("node is not null").groupBy("node").agg(
-        F.first("n").alias("n"), F.first("toks").alias("toks"), F.first("more").alias("more"), F.first("bits").alias("bits")
-    )
     firsts = made.filter("node is not null").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *ROW_KEY)).alias("first"))
-    prefixes = scratch.table(_prefixes(shingles, classes, percent), "prefixes")
-    scratch.drop("shingles")
+    common = _common_tokens(shingles, scratch)
+    prefixes = scratch.table(_prefixes(shingles, common, percent), "prefixes")
+    scratch.drop("shingles", *(f"common tokens {part}" for part in range(SLICES)))
     listed = prefixes.select("node", F.explode("prefix").alias("h"))
     shared = listed.groupBy("h").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("h")
     buckets = scratch.table(listed.join(shared, "h"), "buckets")  # (h, node)
@@ -176,24 +187,39 @@ def _classes(rows: DataFrame, words: int, percent: int) -> tuple[DataFrame, Data
     return made, of_class
 
 
-def _prefixes(made: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def _slices(df: DataFrame, most: int) -> range:
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return range(min(most, 1 + size // SLICE_BYTES))
+
+
+def _common_tokens(made: DataFrame, scratch: Scratch) -> DataFrame:
+    """``(h, node, df)``: the counted tokens that more than one class has, of ``df`` rows.
+
+    Every counted token of every row travels by its hash, which is more than the texts take:
+    one slice of the hashes at a time, so that a slice's shuffle files are gone before the next.
+    """
+    slices = []
+    parts = _slices(made, SLICES)
+    for part in parts:
+        listed = made.select("node", F.explode("toks").alias("h")).filter(F.pmod("h", F.lit(len(parts))) == part)
+        counted = listed.groupBy("h").agg(F.count(F.lit(1)).alias("df"), F.min("node").alias("lo"), F.max("node").alias("hi"))
+        several = counted.filter("lo < hi").select("h", "df")
+        slices.append(scratch.table(listed.join(several, "h"), f"common tokens {part}"))
+    return reduce(DataFrame.unionByName, slices)
+
+
+def _prefixes(made: DataFrame, common: DataFrame, percent: int) -> DataFrame:
     """``(node, n, lone, bits, grp, prefix)``: the prefix tokens that more than one class may have."""
-    counted = made.select("node", F.explode("toks").alias("h")).groupBy("h").agg(
-        F.count(F.lit(1)).alias("df"), F.min("node").alias("lo"), F.max("node").alias("hi")
-    )
-    # both uses read all three columns, so that they share one exchange
-    alone = counted.filter("lo = hi and df > 0").groupBy(F.col("lo").alias("node")).agg(F.count(F.lit(1)).alias("lone"))
-    common = counted.filter("lo < hi").select("h", "df")
+    ordered = common.groupBy("node").agg(F.sort_array(F.collect_set(F.struct("df", "h"))).alias("tier"))
+    # the counted tokens stay behind: those that are not common are lone
+    sizes = made.filter("node is not null").select("node", "n", "more", "bits", F.size("toks").alias("counted"))
+    classes = sizes.groupBy("node").agg(*(F.first(c).alias(c) for c in ("n", "more", "bits", "counted")))
+    joined = classes.join(ordered, "node", "left").withColumn("lone", F.col("counted").cast("bigint") - F.coalesce(F.size("tier"), F.lit(0)))
     length = F.expr(f"n - (n * {percent} + 99) div 100 + 1")  # prefix_length
-    alive = classes.join(alone, "node", "left").withColumn("lone", F.coalesce("lone", F.lit(0)))
-    alive = alive.withColumn("left", (length - F.col("lone")).cast("int")).filter("left > 0")
-    # tokens travel with their node alone, and only those that are common travel back
-    kept = alive.select("node", F.explode("toks").alias("h")).join(common, "h")
-    ordered = kept.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("tier"))
-    joined = alive.select("node", "n", "lone", "bits", "left", "more").join(ordered, "node", "left")
+    alive = joined.withColumn("left", (length - F.col("lone")).cast("int")).filter("left > 0")
     first = F.transform(F.slice("tier", F.lit(1), F.col("left")), lambda t: t["h"])
     prefix = F.concat(F.coalesce(first, F.array().cast("array<bigint>")), F.col("more"))
-    return joined.select("node", "n", "lone", "bits", prefix.alias("prefix")).withColumn("grp", F.xxhash64("n", "prefix"))
+    return alive.select("node", "n", "lone", "bits", prefix.alias("prefix")).withColumn("grp", F.xxhash64("n", "prefix"))
 
 
 def _roots(rows: DataFrame, firsts: DataFrame, heads: DataFrame, buckets: DataFrame, words: int, percent: int, scratch: Scratch) -> DataFrame:
@@ -301,14 +327,20 @@ def _common(pairs: DataFrame, rows: DataFrame, firsts: DataFrame, words: int, sc
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     # the text of one row of each class in a pair
     wanted = firsts.join(nodes, "node", "left_semi").select("node", *(F.col("first")[c].alias(c) for c in ROW_KEY))
-    texts = rows.join(wanted, list(ROW_KEY)).select("node", "text")
-    sets = scratch.table(map_batches(texts, whole, "node bigint, tokens array<bigint>"), "sets")
+    wanted = scratch.table(wanted, "wanted")
+    sliced = []
+    parts = _slices(rows, TEXT_SLICES)
+    for part in parts:  # all texts travel by their row's key: a slice of the rows at a time
+        here = F.pmod(F.xxhash64(*ROW_KEY), F.lit(len(parts))) == part
+        texts = rows.filter(here).join(wanted.filter(here), list(ROW_KEY)).select("node", "text")
+        sliced.append(scratch.table(map_batches(texts, whole, "node bigint, tokens array<bigint>"), f"sets {part}"))
+    sets = reduce(DataFrame.unionByName, sliced)
     left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
     joined = pairs.join(left, "a").join(right, "b")
     out = joined.select("a", "b", F.size("x").alias("na"), F.size("y").alias("nb"), F.size(F.array_intersect("x", "y")).alias("common"))
     out = scratch.table(out, name)
-    scratch.drop("pairs", "sets")
+    scratch.drop("pairs", "wanted", *(f"sets {part}" for part in range(TEXT_SLICES)))
     return out
 
 

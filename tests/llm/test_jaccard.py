@@ -94,6 +94,25 @@ def test_a_pair_is_made_in_one_bucket(spark, monkeypatch):
     assert sum(rows for rows, _ in made) <= 2 * sum(pairs for _, pairs in made)
 
 
+def test_a_common_line_makes_no_bucket_and_hashes_travel_in_slices(spark, monkeypatch):
+    """Unlike texts with one common line: enough rare tokens are counted that the line is in no prefix."""
+    rng, rows, table = np.random.default_rng(4), {}, Scratch.table
+
+    def watched(self, df, name):
+        out = table(self, df, name)
+        rows[name] = out.count()
+        return out
+
+    monkeypatch.setattr(Scratch, "table", watched)
+    monkeypatch.setattr(jaccard, "SLICE_BYTES", 1)
+    line = " ".join(f"line{i}" for i in range(30))
+    texts = [(i, " ".join(f"v{w}" for w in rng.integers(0, 10**6, 300)) + " " + line) for i in range(200)]
+    assert run(spark, texts, percent=80) == brute(texts, 80)
+    assert rows["members"] <= 4
+    common = [n for name, n in rows.items() if name.startswith("common tokens")]
+    assert len(common) == jaccard.SLICES and sum(common) >= 200
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_equals_brute_force(spark, seed):
     rng = np.random.default_rng(seed)
