@@ -160,6 +160,29 @@ def test_large_buckets_are_held_against_leaders_only(spark, monkeypatch):
     assert dealt[0] <= 4 and all(n <= 4 << k for k, n in enumerate(dealt))
 
 
+def test_signatures_of_unique_keys_need_no_exchange(spark):
+    """Known and unknown characters, long and repeated texts: the values of the column expression, in one narrow pass."""
+    latin = "".join(chr(c) + ("b c" if c % 3 else " d ") for c in range(0x20, 0x250))
+    rows = [("a", latin), ("b", latin[:900].replace("\u0130", "")), ("c", "\u2014 Caf\u00e9 \u201cGr\u00fc\u00dfe\u201d \u20ac5 \u00bd m\u00b2 a\u00d7b"), ("d", "\u65e5\u672c \u8a9e \u03a3\u0391\u03a3 \u0130x"), ("e", None),
+            ("f", "a\x00b c\x1fd-e f,g;h\r\ni"), ("g", " \n"), ("h", "one two"), ("i", "word " * 3000), *_random_corpus(5, 20)]
+    items = spark.createDataFrame(rows, "key string, text string")
+    opts = AssessOptions(ngram=3, num_perm=16)
+    want = {r.key: list(r.sig) for r in items.select("key", dedupe.minhash(shingles(F.col("text"), 3), 16, opts.minhash_seed).alias("sig")).collect()}
+    assert {r.key: list(r.sig) for r in dedupe.signature_table(items, opts).collect()} == want
+    assert "Exchange" not in dedupe._text_signatures(items, opts)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_texts_of_a_repeated_key_count_as_one(spark):
+    rows = [("a", "p q r s"), ("a", "t u v"), (None, "k l m"), (None, "n o p"), ("b", "p q r s"), ("c", "")]
+    items = spark.createDataFrame(rows, "key string, text string")
+    opts = AssessOptions(ngram=3, num_perm=8)
+    one = {r.key: list(r.sig) for r in signatures(spark.createDataFrame([(str(i), t) for i, (_, t) in enumerate(rows)], "key string, text string"), opts).collect()}
+    both = lambda a, b: [min(x, y) for x, y in zip(one[a], one[b], strict=True)]
+    want = {"a": both("0", "1"), None: both("2", "3"), "b": one["4"], "c": one["5"]}
+    for table in (signatures(items, opts), dedupe.signature_table(items, opts)):
+        assert sorted(((r.key, list(r.sig)) for r in table.collect()), key=repr) == sorted(want.items(), key=repr)
+
+
 def test_every_key_in_one_cluster(spark):
     rows = _random_corpus(7, 40)
     items = spark.createDataFrame(rows, "key string, text string")
