@@ -160,6 +160,23 @@ def test_large_buckets_are_held_against_leaders_only(spark, monkeypatch):
     assert dealt[0] <= 4 and all(n <= 4 << k for k, n in enumerate(dealt))
 
 
+def test_members_are_held_against_a_leader_once(spark, monkeypatch):
+    """Leaders of several windows: each call has the new ones alone, and the smallest leader is still found."""
+    asked, smallest = [], dedupe._smallest_leaders
+
+    def watched(ask, leaders, *rest):
+        asked.append({r.rep for r in leaders.collect()})
+        return smallest(ask, leaders, *rest)
+
+    for name, value in (("_smallest_leaders", watched), ("BLOCK", 4), ("NEAREST", 2)):
+        monkeypatch.setattr(dedupe, name, value)
+    items = spark.createDataFrame(_random_corpus(12, 120), "key string, text string")
+    opts = AssessOptions(ngram=3, num_perm=32, threshold=0.6)
+    sigs = {r.key: list(r.sig) for r in signatures(items, opts).collect()}
+    assert {r.key: r.leader for r in cluster_keys(items, opts).collect()} == greedy(sigs, 0.6)
+    assert len(asked) > 1 and sum(map(len, asked)) == len(set().union(*asked))
+
+
 def test_signatures_of_unique_keys_need_no_exchange(spark):
     """Known and unknown characters, long and repeated texts: the values of the column expression, in one narrow pass."""
     latin = "".join(chr(c) + ("b c" if c % 3 else " d ") for c in range(0x20, 0x250))
